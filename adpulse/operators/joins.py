@@ -1,0 +1,27 @@
+"""Join helpers with an explicit, checked broadcast decision."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key set is broadcast only when a count proves it is at most this many rows
+# (a few MB of longs); beyond that the shuffle join (with AQE skew splitting)
+# is used instead.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def filter_by_keys(big: DataFrame, keys: DataFrame, on: str, how: str,
+                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``left_semi`` / ``left_anti`` of ``big`` against a distinct key set.
+
+    ``keys`` must already be distinct on ``on``. Its size is counted first
+    (one cheap job over an already-aggregated set); small sets are broadcast
+    so the big side is never shuffled on a possibly hot key.
+    """
+    assert how in ("left_semi", "left_anti")
+    n = keys.count()
+    if n == 0:
+        return big if how == "left_anti" else big.limit(0)
+    side = F.broadcast(keys) if n <= max_rows else keys
+    return big.join(side, on, how)
