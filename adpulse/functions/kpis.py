@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Output conventions shared by every operator: ratios and money leave as
-# DOUBLE rounded to 6 places, counts as BIGINT.
+# Output conventions shared by every operator: counts leave as BIGINT, money
+# and ratios as DOUBLE. A ratio of exact (DECIMAL / integer) sums is a single
+# IEEE division and is left unrounded; values that went through floating
+# accumulation (averages, chained products) are rounded to 6 places.
 RATIO_SCALE = 6
 
 
@@ -23,6 +25,12 @@ def dbl(x) -> Column:
 
 
 def r6(x) -> Column:
+    """An exact-input value as DOUBLE (no rounding needed)."""
+    return dbl(x)
+
+
+def round6(x) -> Column:
+    """A floating-accumulated value, rounded to 6 places."""
     return F.round(dbl(x), RATIO_SCALE)
 
 

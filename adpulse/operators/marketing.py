@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adpulse.functions.kpis import cpa, cpc, ctr, cvr, dbl, r6, roas, safe_div
+from adpulse.functions.kpis import cpa, cpc, ctr, cvr, dbl, r6, roas, round6, safe_div
 from adpulse.params import DEFAULTS, AnalysisParams
 
 # Dimensions that may be grouped by; anything else is rejected.
@@ -66,9 +66,11 @@ def funnel_stages(campaigns: DataFrame) -> DataFrame:
                       F.sum("conversions").alias("v"))
     stages = F.array(
         F.struct(F.lit(1).alias("stage_order"), F.lit("Impressions").alias("stage"),
-                 F.col("i").cast("bigint").alias("value"), F.lit(1.0).alias("pct_of_initial")),
-        F.struct(F.lit(2), F.lit("Clicks"), F.col("c").cast("bigint"), r6(safe_div("c", "i"))),
-        F.struct(F.lit(3), F.lit("Conversions"), F.col("v").cast("bigint"), r6(safe_div("v", "i"))),
+                 F.col("i").cast("bigint").alias("value"), F.lit(1.0).cast("double").alias("pct_of_initial")),
+        F.struct(F.lit(2).alias("stage_order"), F.lit("Clicks").alias("stage"),
+                 F.col("c").cast("bigint").alias("value"), r6(safe_div("c", "i")).alias("pct_of_initial")),
+        F.struct(F.lit(3).alias("stage_order"), F.lit("Conversions").alias("stage"),
+                 F.col("v").cast("bigint").alias("value"), r6(safe_div("v", "i")).alias("pct_of_initial")),
     )
     return f.select(F.inline(stages))
 
@@ -153,7 +155,7 @@ def seasonality(campaigns: DataFrame, params: AnalysisParams = DEFAULTS) -> Data
     return m.agg(
         F.min_by("month", F.struct(-F.col("revenue"), F.col("month"))).alias("peak_month"),
         F.max("revenue").alias("peak_revenue"),
-        r6(F.avg("revenue")).alias("mean_revenue"),
+        round6(F.avg("revenue")).alias("mean_revenue"),
         F.count(F.lit(1)).cast("bigint").alias("months_used"),
     ).filter(F.col("months_used") > 0)
 

@@ -1,20 +1,437 @@
-"""Oracle SQL (DuckDB), written independently of the Spark operators."""
+"""Oracle SQL (DuckDB), written independently of the Spark operators.
+
+Each body may use the fixture CTEs: fx_* (raw engine tables), cc (clean
+campaigns), cu (customers), tx (clean transactions), ab (A/B daily table).
+Output conventions match the engine: integers BIGINT, ratios/money DOUBLE
+rounded to 6 places.
+"""
 
 from adpulse.oracle.fixtures_sql import with_fixtures
 
 _BODIES: dict = {}
 
+
+def _r6(x: str) -> str:
+    """Exact-input value as DOUBLE (no rounding)."""
+    return f"CAST({x} AS DOUBLE)"
+
+
+def _div(a: str, b: str) -> str:
+    return f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0))"
+
+
+# ------------------------------------------------------------------ audit
+def _rule_values() -> str:
+    from adpulse.operators.quality import RULES
+    def q(s):
+        return "'" + s.replace("'", "''") + "'"
+    rows = ",\n    ".join(
+        f"({i + 1}, {q(r.key)}, {q(r.check)}, {q(r.table)}, {q(r.severity)}, {q(r.why)}, {q(r.handling)}, {q(r.remedy)})"
+        for i, r in enumerate(RULES))
+    return f"(VALUES\n    {rows}) AS m(rule_order, key, check_name, table_name, severity, why_it_matters, production_handling, remedy)"
+
+
+_AUDIT_COUNTS = """
+WITH d AS (SELECT DISTINCT * FROM fx_campaigns),
+n AS (
+  SELECT 'duplicate_rows' AS key, (SELECT COUNT(*) FROM fx_campaigns) - (SELECT COUNT(*) FROM d) AS issue_count,
+         (SELECT COUNT(*) FROM fx_campaigns) AS denom
+  UNION ALL SELECT 'out_of_range_dates', COUNT(*) FILTER (WHERE date IS NULL OR date < DATE '1990-01-01' OR date > current_date), COUNT(*) FROM d
+  UNION ALL SELECT 'negative_spend', COUNT(*) FILTER (WHERE spend < 0), COUNT(*) FROM d
+  UNION ALL SELECT 'negative_revenue', COUNT(*) FILTER (WHERE revenue < 0), COUNT(*) FROM d
+  UNION ALL SELECT 'conversions_exceed_clicks', COUNT(*) FILTER (WHERE conversions > clicks), COUNT(*) FROM d
+  UNION ALL SELECT 'impossible_ctr', COUNT(*) FILTER (WHERE COALESCE(clicks::DOUBLE / NULLIF(impressions, 0) NOT BETWEEN 0 AND 1, FALSE)), COUNT(*) FROM d
+  UNION ALL SELECT 'impossible_cvr', COUNT(*) FILTER (WHERE COALESCE(conversions::DOUBLE / NULLIF(clicks, 0) NOT BETWEEN 0 AND 1, FALSE)), COUNT(*) FROM d
+  UNION ALL SELECT 'missing_age_group', COUNT(*) FILTER (WHERE age_group IS NULL), COUNT(*) FROM fx_customers
+  UNION ALL SELECT 'missing_customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL), COUNT(*) FROM fx_transactions
+  UNION ALL SELECT 'profit_exceeds_amount', COUNT(*) FILTER (WHERE profit > amount), COUNT(*) FROM fx_transactions
+  UNION ALL SELECT 'orphan_transactions',
+         COUNT(*) FILTER (WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM fx_customers)),
+         COUNT(*) FROM fx_transactions
+)
+"""
+
+_BODIES["q_report"] = _AUDIT_COUNTS + f"""
+SELECT CAST(m.rule_order AS BIGINT) AS rule_order, m.key, m.check_name, m.table_name, m.severity,
+       CAST(n.issue_count AS BIGINT) AS issue_count,
+       CASE WHEN n.denom > 0 THEN ROUND(n.issue_count * 100.0 / n.denom, 4) ELSE 0.0 END AS pct_of_rows,
+       m.why_it_matters, m.production_handling, m.remedy
+FROM n JOIN {_rule_values()} ON n.key = m.key
+"""
+
+_BODIES["q_flagged"] = _AUDIT_COUNTS + """
+SELECT CAST(COUNT(*) FILTER (WHERE issue_count > 0) AS BIGINT) AS total_flagged, CAST(COUNT(*) AS BIGINT) AS rules_run FROM n
+"""
+
+_BODIES["q_rows"] = """
+SELECT 'campaigns' AS table_name, (SELECT COUNT(*) FROM fx_campaigns) AS rows_before, (SELECT COUNT(*) FROM cc) AS rows_after,
+       (SELECT COUNT(*) FROM fx_campaigns) - (SELECT COUNT(*) FROM cc) AS rows_removed
+UNION ALL SELECT 'customers', (SELECT COUNT(*) FROM fx_customers), (SELECT COUNT(*) FROM cu), 0
+UNION ALL SELECT 'transactions', (SELECT COUNT(*) FROM fx_transactions), (SELECT COUNT(*) FROM tx),
+       (SELECT COUNT(*) FROM fx_transactions) - (SELECT COUNT(*) FROM tx)
+UNION ALL SELECT 'ab_test', (SELECT COUNT(*) FROM fx_ab_test), (SELECT COUNT(*) FROM fx_ab_test), 0
+"""
+
+_BODIES["q_clean_campaigns"] = "SELECT * FROM cc"
+_BODIES["q_clean_transactions"] = "SELECT * FROM tx"
+
+_BODIES["q_quarantine_counts"] = """
+SELECT rule_key, table_name, COUNT(*) AS rows_quarantined FROM (
+  SELECT CASE WHEN spend < 0 THEN 'negative_spend' ELSE 'negative_revenue' END AS rule_key, 'campaigns' AS table_name
+  FROM (SELECT DISTINCT * FROM fx_campaigns) WHERE spend < 0 OR revenue < 0
+  UNION ALL SELECT 'missing_customer_id', 'transactions' FROM fx_transactions WHERE customer_id IS NULL
+  UNION ALL SELECT 'orphan_transactions', 'transactions' FROM fx_transactions
+  WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM fx_customers)
+) GROUP BY rule_key, table_name
+"""
+
+# ------------------------------------------------------------------ marketing
+def _kpis(prefix: str = "") -> str:
+    return f"""
+       {_r6(_div('SUM(clicks)', 'SUM(impressions)'))} AS ctr,
+       {_r6(_div('SUM(conversions)', 'SUM(clicks)'))} AS cvr,
+       {_r6(_div('SUM(spend)', 'SUM(clicks)'))} AS cpc,
+       {_r6(_div('SUM(spend)', 'SUM(conversions)'))} AS cpa,
+       {_r6(_div('SUM(revenue)', 'SUM(spend)'))} AS roas"""
+
+
+_SUMS = f"""CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       CAST(SUM(conversions) AS BIGINT) AS conversions, {_r6('SUM(spend)')} AS spend, {_r6('SUM(revenue)')} AS revenue"""
+
 for _dim in ("channel", "device", "country", "objective", "audience"):
-    _BODIES[f"m3_by_{_dim}"] = f"""
-SELECT {_dim}, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
-       CAST(SUM(conversions) AS BIGINT) AS conversions,
-       ROUND(CAST(SUM(spend) AS DOUBLE), 6) AS spend, ROUND(CAST(SUM(revenue) AS DOUBLE), 6) AS revenue,
-       ROUND(SUM(clicks)::DOUBLE / NULLIF(SUM(impressions), 0), 6) AS ctr,
-       ROUND(SUM(conversions)::DOUBLE / NULLIF(SUM(clicks), 0), 6) AS cvr,
-       ROUND(SUM(spend)::DOUBLE / NULLIF(SUM(clicks), 0), 6) AS cpc,
-       ROUND(SUM(spend)::DOUBLE / NULLIF(SUM(conversions), 0), 6) AS cpa,
-       ROUND(SUM(revenue)::DOUBLE / NULLIF(SUM(spend)::DOUBLE, 0), 6) AS roas
-FROM cc WHERE {_dim} IS NOT NULL GROUP BY {_dim}"""
+    _BODIES[f"m3_by_{_dim}"] = f"SELECT {_dim}, {_SUMS}, {_kpis()} FROM cc WHERE {_dim} IS NOT NULL GROUP BY {_dim}"
+
+_BODIES["m3_all_dimensions"] = "\nUNION ALL\n".join(
+    f"SELECT '{d}' AS dimension, {d} AS value, {_SUMS}, {_kpis()} FROM cc WHERE {d} IS NOT NULL GROUP BY {d}"
+    for d in ("channel", "device", "country", "objective", "audience"))
+
+_BODIES["m1_funnel"] = f"""
+WITH f AS (SELECT SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(conversions) AS conversions,
+                  COALESCE(SUM(spend) FILTER (WHERE spend > 0), 0) AS spend, SUM(revenue) AS revenue FROM cc)
+SELECT CAST(impressions AS BIGINT) AS impressions, CAST(clicks AS BIGINT) AS clicks, CAST(conversions AS BIGINT) AS conversions,
+       {_r6('spend')} AS spend, {_r6('revenue')} AS revenue,
+       {_r6(_div('clicks', 'impressions'))} AS ctr, {_r6(_div('conversions', 'clicks'))} AS cvr,
+       {_r6(_div('spend', 'clicks'))} AS cpc, {_r6(_div('spend', 'conversions'))} AS cpa,
+       {_r6(_div('revenue', 'spend'))} AS roas
+FROM f"""
+
+_BODIES["m2_funnel_stages"] = f"""
+WITH f AS (SELECT SUM(impressions) AS i, SUM(clicks) AS c, SUM(conversions) AS v FROM cc)
+SELECT CAST(1 AS BIGINT) AS stage_order, 'Impressions' AS stage, CAST(i AS BIGINT) AS value, 1.0::DOUBLE AS pct_of_initial FROM f
+UNION ALL SELECT 2, 'Clicks', CAST(c AS BIGINT), {_r6(_div('c', 'i'))} FROM f
+UNION ALL SELECT 3, 'Conversions', CAST(v AS BIGINT), {_r6(_div('v', 'i'))} FROM f"""
+
+_BODIES["m4_leaderboard"] = f"""
+WITH perf AS (
+  SELECT campaign_id, campaign_name, channel, SUM(spend) AS s, SUM(revenue) AS r, SUM(conversions) AS v
+  FROM cc WHERE spend > 100 GROUP BY campaign_id, campaign_name, channel),
+p AS (SELECT *, {_div('r', 's')} AS raw_roas FROM perf),
+ranked AS (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY raw_roas DESC NULLS LAST, campaign_id) AS top_pos,
+            ROW_NUMBER() OVER (ORDER BY raw_roas ASC NULLS FIRST, campaign_id DESC) AS bottom_pos FROM p),
+sides AS (
+  SELECT 'top' AS side, top_pos AS position, * FROM ranked WHERE top_pos <= 5
+  UNION ALL SELECT 'bottom', bottom_pos, * FROM ranked WHERE bottom_pos <= 5)
+SELECT side, CAST(position AS BIGINT) AS position, campaign_id, campaign_name, channel,
+       {_r6('s')} AS spend, {_r6('r')} AS revenue, CAST(v AS BIGINT) AS conversions,
+       raw_roas AS roas, {_r6(_div('s', 'v'))} AS cpa,
+       (SELECT COUNT(*) FROM perf) AS n_campaigns
+FROM sides"""
+
+_MONTHLY = """
+WITH b AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM cc),
+e AS (SELECT CAST(date_trunc('month', lo) AS DATE) AS s,
+             CAST(CASE WHEN hi < last_day(hi) THEN date_trunc('month', hi) - INTERVAL 1 MONTH
+                       ELSE date_trunc('month', hi) END AS DATE) AS e FROM b WHERE lo IS NOT NULL),
+spine AS (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM e),
+bm AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, SUM(revenue) AS rev FROM cc GROUP BY 1),
+monthly AS (SELECT spine.month, CAST(COALESCE(bm.rev, 0) AS DOUBLE) AS revenue
+            FROM spine LEFT JOIN bm ON spine.month = bm.month)
+"""
+
+_BODIES["m5_monthly_revenue"] = _MONTHLY + "SELECT month, revenue FROM monthly"
+_BODIES["m6_seasonality"] = _MONTHLY + """
+SELECT (SELECT month FROM monthly ORDER BY revenue DESC, month LIMIT 1) AS peak_month,
+       MAX(revenue) AS peak_revenue, ROUND(AVG(revenue), 6) AS mean_revenue, COUNT(*) AS months_used
+FROM monthly HAVING COUNT(*) > 0"""
+
+_BODIES["m7_daily_revenue"] = f"SELECT date, {_r6('SUM(revenue)')} AS revenue FROM cc GROUP BY date"
+_BODIES["m8_channel_mix"] = f"SELECT channel, {_r6('SUM(spend)')} AS spend, {_r6('SUM(revenue)')} AS revenue FROM cc GROUP BY channel"
+_BODIES["b_row_kpis"] = f"""
+SELECT campaign_id, date, channel, {_r6(_div('clicks', 'impressions'))} AS ctr, {_r6(_div('conversions', 'clicks'))} AS cvr,
+       {_r6(_div('spend', 'clicks'))} AS cpc, {_r6(_div('spend', 'conversions'))} AS cpa, {_r6(_div('revenue', 'spend'))} AS roas
+FROM cc"""
+
+# ------------------------------------------------------------------ customers
+_RFM_BASE = """
+WITH ref AS (SELECT MAX(transaction_date) AS d FROM tx),
+base AS (
+  SELECT customer_id, MAX(transaction_date) AS last_purchase, COUNT(transaction_id) AS frequency, SUM(amount) AS monetary
+  FROM tx WHERE NOT refund_flag GROUP BY customer_id),
+b2 AS (SELECT *, CAST(date_diff('day', last_purchase, (SELECT d FROM ref)) AS BIGINT) AS recency_days FROM base)
+"""
+
+_BODIES["c1_reference_date"] = "SELECT MAX(transaction_date) AS reference_date FROM tx"
+_BODIES["c2_rfm_base"] = _RFM_BASE + f"""
+SELECT customer_id, last_purchase, CAST(frequency AS BIGINT) AS frequency, {_r6('monetary')} AS monetary, recency_days FROM b2"""
+
+_RFM_SCORED = _RFM_BASE + """,
+edges AS (SELECT list_sort(list_distinct(quantile_cont(recency_days, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS e,
+                 COUNT(*) AS n FROM b2),
+ranked AS (
+  SELECT b2.*, ROW_NUMBER() OVER (ORDER BY frequency, customer_id) AS rf,
+         ROW_NUMBER() OVER (ORDER BY monetary, customer_id) AS rm FROM b2),
+scored AS (
+  SELECT r.*,
+    GREATEST(len(x.e) - 1, 1) + 1
+      - (1 + len(list_filter(x.e[2:len(x.e) - 1], lambda v: r.recency_days > v))) AS R_score,
+    CASE WHEN rf = 1 OR x.n <= 1 THEN 1 ELSE ((rf - 1) * 5 + x.n - 2) // (x.n - 1) END AS F_score,
+    CASE WHEN rm = 1 OR x.n <= 1 THEN 1 ELSE ((rm - 1) * 5 + x.n - 2) // (x.n - 1) END AS M_score
+  FROM ranked r, edges x),
+seg AS (
+  SELECT *, CASE
+    WHEN R_score BETWEEN 4 AND 5 AND F_score BETWEEN 4 AND 5 THEN 'Champions'
+    WHEN R_score BETWEEN 3 AND 5 AND F_score BETWEEN 3 AND 5 THEN 'Loyal Customers'
+    WHEN R_score BETWEEN 4 AND 5 AND F_score BETWEEN 1 AND 2 THEN 'Potential Loyalists'
+    WHEN R_score BETWEEN 1 AND 2 AND F_score BETWEEN 3 AND 5 THEN 'At Risk'
+    WHEN R_score BETWEEN 1 AND 2 AND F_score BETWEEN 1 AND 2 THEN 'Lost Customers'
+    ELSE 'Needs Attention' END AS segment
+  FROM scored)
+"""
+
+_BODIES["c6_rfm_segments"] = _RFM_SCORED + f"""
+SELECT s.customer_id, s.last_purchase, CAST(s.frequency AS BIGINT) AS frequency, {_r6('s.monetary')} AS monetary,
+       s.recency_days, CAST(R_score AS BIGINT) AS R_score, CAST(F_score AS BIGINT) AS F_score, CAST(M_score AS BIGINT) AS M_score,
+       CAST(R_score + F_score + M_score AS BIGINT) AS rfm_score, segment, c.acquisition_channel, c.subscription_plan
+FROM seg s LEFT JOIN cu c ON s.customer_id = c.customer_id"""
+
+_BODIES["c8_segment_summary"] = _RFM_SCORED + f"""
+SELECT segment, COUNT(*) AS customers, ROUND(AVG(recency_days), 6) AS avg_recency_days,
+       ROUND(AVG(frequency), 6) AS avg_frequency, ROUND(AVG(CAST(monetary AS DOUBLE)), 6) AS avg_monetary,
+       COUNT(*)::DOUBLE / (SELECT COUNT(*) FROM seg) AS pct_of_base
+FROM seg GROUP BY segment"""
+
+_BODIES["c5_bins_used"] = _RFM_BASE + """
+SELECT CAST(len(list_distinct(quantile_cont(recency_days, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) - 1 AS BIGINT) AS r_bins,
+       CAST(LEAST(COUNT(*), 5) AS BIGINT) AS f_bins, CAST(LEAST(COUNT(*), 5) AS BIGINT) AS m_bins,
+       LEAST(len(list_distinct(quantile_cont(recency_days, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) - 1, LEAST(COUNT(*), 5)) < 5 AS degraded
+FROM b2"""
+
+_COHORT = """
+WITH act AS (
+  SELECT DISTINCT t.customer_id, year(t.transaction_date) * 12 + month(t.transaction_date) - 1 AS am
+  FROM tx t WHERE NOT t.refund_flag AND t.customer_id IS NOT NULL),
+tagged AS (
+  SELECT a.customer_id, c.acquisition_channel, year(c.acquisition_date) * 12 + month(c.acquisition_date) - 1 AS cm,
+         a.am - (year(c.acquisition_date) * 12 + month(c.acquisition_date) - 1) AS k
+  FROM act a JOIN cu c ON a.customer_id = c.customer_id WHERE c.acquisition_date IS NOT NULL),
+sizes AS (SELECT year(acquisition_date) * 12 + month(acquisition_date) - 1 AS cm, COUNT(*) AS cohort_size
+          FROM cu WHERE acquisition_date IS NOT NULL GROUP BY 1),
+counts AS (
+  SELECT t.cm, t.k, COUNT(DISTINCT t.customer_id) AS active, s.cohort_size
+  FROM tagged t JOIN sizes s ON t.cm = s.cm
+  WHERE t.k BETWEEN 0 AND 11 AND s.cohort_size >= 20 GROUP BY t.cm, t.k, s.cohort_size),
+cohorts AS (
+  SELECT make_date(CAST(cm // 12 AS BIGINT), CAST(cm % 12 + 1 AS BIGINT), 1) AS cohort, cm,
+         CAST(k AS BIGINT) AS months_since_acquisition, CAST(active AS BIGINT) AS active_customers,
+         CAST(cohort_size AS BIGINT) AS cohort_size, active::DOUBLE / cohort_size AS ret
+  FROM counts)
+"""
+
+_BODIES["c10_cohort_retention"] = _COHORT + """
+SELECT cohort, months_since_acquisition, active_customers, cohort_size, ret AS retention_pct FROM cohorts"""
+
+_BODIES["c11_retention_matrix"] = _COHORT + """,
+ref AS (SELECT year(MAX(transaction_date)) * 12 + month(MAX(transaction_date)) - 1 AS rm FROM tx),
+months AS (SELECT DISTINCT months_since_acquisition FROM cohorts),
+grid AS (SELECT DISTINCT c.cohort, c.cm, c.cohort_size, m.months_since_acquisition FROM cohorts c, months m)
+SELECT g.cohort, g.cohort_size, g.months_since_acquisition, c.ret AS retention_pct,
+       g.months_since_acquisition <= (SELECT rm FROM ref) - g.cm AS observed
+FROM grid g LEFT JOIN cohorts c ON g.cohort = c.cohort AND g.months_since_acquisition = c.months_since_acquisition"""
+
+_BODIES["c12_cohort_means"] = _COHORT + """
+SELECT ROUND(AVG(ret) FILTER (WHERE months_since_acquisition = 0), 6) AS mean_month_0,
+       ROUND(AVG(ret) FILTER (WHERE months_since_acquisition = 1), 6) AS mean_month_1,
+       ROUND(AVG(ret) FILTER (WHERE months_since_acquisition = 0) - AVG(ret) FILTER (WHERE months_since_acquisition = 1), 6) AS month_0_to_1_drop,
+       CAST(COUNT(DISTINCT cohort) AS BIGINT) AS n_cohorts
+FROM cohorts"""
+
+_BODIES["c16_steepest_drop"] = _COHORT + """,
+means AS (SELECT months_since_acquisition, AVG(ret) AS m FROM cohorts GROUP BY 1),
+d AS (SELECT months_since_acquisition, ROUND(m, 6) AS mean_retention,
+             ROUND(LAG(m) OVER (ORDER BY months_since_acquisition) - m, 6) AS drop_from_previous FROM means)
+SELECT *, (ROW_NUMBER() OVER (ORDER BY drop_from_previous DESC NULLS LAST, months_since_acquisition) = 1)
+          AND drop_from_previous IS NOT NULL AS is_steepest
+FROM d"""
+
+_CHANNEL_RET = _COHORT + """,
+chsize AS (SELECT acquisition_channel, COUNT(*) AS n FROM cu GROUP BY 1),
+byc AS (
+  SELECT t.acquisition_channel, CAST(t.k AS BIGINT) AS months_since_acquisition,
+         CAST(COUNT(DISTINCT t.customer_id) AS BIGINT) AS active_customers, CAST(s.n AS BIGINT) AS cohort_size,
+         COUNT(DISTINCT t.customer_id)::DOUBLE / s.n AS retention_pct
+  FROM tagged t LEFT JOIN chsize s ON t.acquisition_channel = s.acquisition_channel
+  WHERE t.k BETWEEN 0 AND 6 GROUP BY t.acquisition_channel, t.k, s.n)
+"""
+_BODIES["c13_retention_by_channel"] = _CHANNEL_RET + "SELECT * FROM byc"
+_BODIES["c14_month3_channel_ranking"] = _CHANNEL_RET + """
+SELECT acquisition_channel, retention_pct,
+       ROW_NUMBER() OVER (ORDER BY retention_pct DESC NULLS LAST, acquisition_channel) AS rank
+FROM byc WHERE months_since_acquisition = 3"""
+
+_BODIES["c15_value_by_plan"] = """
+WITH per AS (SELECT customer_id, SUM(profit) AS lp, COUNT(transaction_id) AS np FROM tx WHERE NOT refund_flag GROUP BY customer_id)
+SELECT c.subscription_plan, COUNT(*) AS customers, ROUND(AVG(np), 6) AS avg_purchases,
+       ROUND(CAST(AVG(lp) AS DOUBLE), 6) AS avg_lifetime_profit
+FROM per p JOIN cu c ON p.customer_id = c.customer_id WHERE c.subscription_plan IS NOT NULL
+GROUP BY c.subscription_plan"""
+
+# ------------------------------------------------------------------ finance
+_FIN = """
+WITH lp AS (SELECT customer_id, SUM(profit) AS lifetime_profit FROM tx WHERE NOT refund_flag GROUP BY customer_id),
+cp AS (SELECT c.customer_id, c.acquisition_channel, c.subscription_plan, COALESCE(lp.lifetime_profit, 0) AS lifetime_profit
+       FROM cu c LEFT JOIN lp ON c.customer_id = lp.customer_id),
+sr AS (SELECT channel, SUM(spend) AS spend, SUM(revenue) AS revenue FROM cc GROUP BY channel),
+nc AS (SELECT acquisition_channel AS channel, COUNT(*) AS new_customers FROM cu GROUP BY 1),
+gp AS (SELECT acquisition_channel AS channel, SUM(lifetime_profit) AS gross FROM cp GROUP BY 1),
+pt AS (
+  SELECT COALESCE(sr.channel, gp.channel) AS channel,
+         COALESCE(CAST(sr.revenue AS DOUBLE), 0.0) AS campaign_revenue,
+         COALESCE(CAST(sr.spend AS DOUBLE), 0.0) AS marketing_spend,
+         COALESCE(CAST(gp.gross AS DOUBLE), 0.0) AS customer_gross_profit,
+         COALESCE(CAST(gp.gross AS DOUBLE) - CAST(sr.spend AS DOUBLE), 0.0) AS net_profit
+  FROM sr FULL OUTER JOIN gp ON sr.channel = gp.channel),
+pt2 AS (
+  SELECT pt.*, nc.new_customers,
+         CAST(FLOOR(AVG(rn1) OVER (PARTITION BY campaign_revenue)) AS BIGINT) AS revenue_rank,
+         CAST(FLOOR(AVG(rn2) OVER (PARTITION BY net_profit)) AS BIGINT) AS profit_rank
+  FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY campaign_revenue DESC) AS rn1,
+                  ROW_NUMBER() OVER (ORDER BY net_profit DESC) AS rn2 FROM pt) pt
+  LEFT JOIN nc ON pt.channel = nc.channel)
+"""
+
+_BODIES["f1_lifetime_profit"] = _FIN + f"SELECT customer_id, {_r6('lifetime_profit')} AS lifetime_profit FROM lp"
+_BODIES["f2_customers_profit"] = _FIN + f"""
+SELECT customer_id, acquisition_channel, subscription_plan, {_r6('lifetime_profit')} AS lifetime_profit FROM cp"""
+
+
+def _cac_ltv(transacting: bool) -> str:
+    flt = "WHERE lifetime_profit <> 0" if transacting else ""
+    return _FIN + f""",
+cac AS (SELECT sr.channel, {_div('sr.spend', 'nc.new_customers')} AS cac FROM sr JOIN nc ON sr.channel = nc.channel),
+ltv AS (SELECT acquisition_channel AS channel, CAST(AVG(lifetime_profit) AS DOUBLE) AS ltv FROM cp {flt} GROUP BY 1)
+SELECT cac.channel, cac AS cac, ROUND(ltv, 6) AS ltv, cac = 0 AS ratio_undefined,
+       ROUND(ltv / NULLIF(cac, 0), 6) AS ltv_cac_ratio,
+       CASE WHEN cac = 0 THEN NULL ELSE ltv / NULLIF(cac, 0) >= 3.0 END AS clears_benchmark
+FROM cac JOIN ltv ON cac.channel = ltv.channel WHERE cac IS NOT NULL AND ltv IS NOT NULL"""
+
+
+_BODIES["f3_cac_ltv"] = _cac_ltv(False)
+_BODIES["f3_cac_ltv_transacting"] = _cac_ltv(True)
+
+_BODIES["f4_profitability"] = _FIN + f"""
+SELECT channel, campaign_revenue, marketing_spend, customer_gross_profit, net_profit,
+       revenue_rank, profit_rank, revenue_rank - profit_rank AS rank_shift,
+       (campaign_revenue - marketing_spend) / NULLIF(campaign_revenue, 0) AS contribution_margin,
+       customer_gross_profit / NULLIF(CAST(new_customers AS DOUBLE), 0) AS profit_per_customer,
+       (customer_gross_profit - marketing_spend) / NULLIF(marketing_spend, 0) AS roi
+FROM pt2"""
+
+_BODIES["f10_net_profit_inner"] = _FIN + f"""
+SELECT sr.channel, {_r6('sr.spend')} AS marketing_spend, {_r6('gp.gross')} AS customer_gross_profit,
+       CAST(gp.gross AS DOUBLE) - CAST(sr.spend AS DOUBLE) AS net_profit
+FROM sr JOIN gp ON sr.channel = gp.channel"""
+
+_BODIES["f9_top_channels"] = _FIN + """
+SELECT (SELECT channel FROM pt ORDER BY campaign_revenue DESC, channel DESC LIMIT 1) AS top_by_revenue,
+       (SELECT channel FROM pt ORDER BY net_profit DESC, channel DESC LIMIT 1) AS top_by_profit,
+       (SELECT channel FROM pt ORDER BY campaign_revenue DESC, channel DESC LIMIT 1)
+         <> (SELECT channel FROM pt ORDER BY net_profit DESC, channel DESC LIMIT 1) AS rankings_disagree"""
+
+_REALLOC = _FIN + """,
+conf AS (SELECT COUNT(*) AS n FROM pt WHERE channel IN ('Google Ads', 'Facebook', 'Instagram', 'Affiliate', 'TikTok')),
+el AS (
+  SELECT pt.*, CASE WHEN (SELECT n FROM conf) >= 4 THEN 'configured' ELSE 'inferred' END AS basis,
+         (customer_gross_profit - marketing_spend) / NULLIF(marketing_spend, 0) AS roi
+  FROM pt
+  WHERE CASE WHEN (SELECT n FROM conf) >= 4
+             THEN channel IN ('Google Ads', 'Facebook', 'Instagram', 'Affiliate', 'TikTok')
+             ELSE marketing_spend > 0 END),
+pos AS (SELECT *, ROW_NUMBER() OVER (ORDER BY roi DESC NULLS LAST, channel) AS p, COUNT(*) OVER () AS n FROM el),
+roles AS (
+  SELECT *, CASE WHEN n < 4 THEN NULL WHEN p <= 2 THEN 'recipient' WHEN p > n - 2 THEN 'donor' ELSE 'hold' END AS role FROM pos),
+w AS (SELECT *, CASE WHEN role = 'recipient' THEN roi / NULLIF(SUM(roi) FILTER (WHERE role = 'recipient') OVER (), 0) END AS wt
+      FROM roles WHERE role IS NOT NULL),
+tot AS (SELECT SUM(marketing_spend * 0.15) FILTER (WHERE role = 'donor') AS shift FROM w)
+"""
+
+_BODIES["f5_reallocation"] = _REALLOC + """,
+agg AS (
+  SELECT (SELECT shift FROM tot) AS shift_amount,
+         SUM(marketing_spend * 0.15 * roi) FILTER (WHERE role = 'donor') AS profit_lost,
+         SUM(wt * (SELECT shift FROM tot) * roi) FILTER (WHERE role = 'recipient') AS profit_gained,
+         SUM(marketing_spend * 0.15 * (campaign_revenue / NULLIF(marketing_spend, 0))) FILTER (WHERE role = 'donor') AS revenue_lost,
+         SUM(wt * (SELECT shift FROM tot) * (campaign_revenue / NULLIF(marketing_spend, 0))) FILTER (WHERE role = 'recipient') AS revenue_gained,
+         string_agg(channel, ', ' ORDER BY p) FILTER (WHERE role = 'donor') AS from_channels,
+         string_agg(channel, ', ' ORDER BY p) FILTER (WHERE role = 'recipient') AS to_channels,
+         string_agg(channel, ', ' ORDER BY channel) AS channels_considered,
+         MIN(basis) AS basis
+  FROM w)
+SELECT 0.15::DOUBLE AS shift_pct, ROUND(shift_amount, 6) AS shift_amount, from_channels, to_channels,
+       ROUND(profit_lost, 6) AS profit_lost, ROUND(profit_gained, 6) AS profit_gained,
+       ROUND(profit_gained - profit_lost, 6) AS net_profit_change,
+       ROUND(revenue_lost, 6) AS revenue_lost, ROUND(revenue_gained, 6) AS revenue_gained,
+       ROUND(revenue_gained - revenue_lost, 6) AS net_revenue_change,
+       ROUND((profit_gained - profit_lost) / NULLIF(shift_amount, 0), 6) AS net_profit_per_dollar,
+       basis, channels_considered
+FROM agg WHERE shift_amount IS NOT NULL"""
+
+_BODIES["f6_reallocation_plan"] = _REALLOC + """,
+plan AS (
+  SELECT channel, role, marketing_spend AS cur,
+         CASE WHEN role = 'donor' THEN -(marketing_spend * 0.15)
+              WHEN role = 'recipient' THEN wt * (SELECT shift FROM tot) ELSE 0.0 END AS chg
+  FROM w)
+SELECT channel, role, ROUND(cur, 6) AS current_spend, ROUND(cur + chg, 6) AS recommended_spend,
+       ROUND(chg, 6) AS change, ROUND(chg / NULLIF(cur, 0), 6) AS change_pct
+FROM plan"""
+
+
+def _kpi_sql(transacting: bool) -> str:
+    avg = "TRUE" if transacting else "FALSE"
+    if transacting:
+        ltv = "mean_pp"
+        ltv_basis = "format('{:,} customers who transacted', n_tx)"
+    else:
+        ltv = "gross / NULLIF(CAST(n_cust AS DOUBLE), 0)"
+        ltv_basis = "format('all {:,} customers, zero-filled', n_cust)"
+    return f"""
+WITH per AS (SELECT customer_id, SUM(profit) AS pp, COUNT(*) AS np FROM tx WHERE NOT refund_flag GROUP BY customer_id),
+v AS (
+  SELECT CAST((SELECT SUM(revenue) FROM cc) AS DOUBLE) AS rev, CAST((SELECT SUM(spend) FROM cc) AS DOUBLE) AS spend,
+         CAST((SELECT SUM(conversions) FROM cc) AS DOUBLE) AS conv, CAST((SELECT SUM(clicks) FROM cc) AS DOUBLE) AS clicks,
+         COALESCE(CAST((SELECT SUM(pp) FROM per) AS DOUBLE), 0.0) AS gross,
+         (SELECT COUNT(*) FROM per) AS n_tx, CAST((SELECT AVG(pp) FROM per) AS DOUBLE) AS mean_pp,
+         (SELECT COUNT(*) FROM per WHERE np > 1) AS repeaters, (SELECT COUNT(*) FROM cu) AS n_cust),
+k AS (SELECT *, {ltv} AS ltv, spend / NULLIF(CAST(n_cust AS DOUBLE), 0) AS cac FROM v)
+SELECT CAST(kpi_order AS BIGINT) AS kpi_order, kpi,
+       CASE WHEN {avg} AND kpi IN ('blended_ltv', 'ltv_cac_ratio') THEN ROUND(value, 6) ELSE value END AS value, basis FROM (
+  SELECT 1 AS kpi_order, 'total_revenue' AS kpi, rev AS value, 'campaign-attributed' AS basis FROM k
+  UNION ALL SELECT 2, 'total_spend', spend, 'campaign media spend' FROM k
+  UNION ALL SELECT 3, 'total_gross_profit', gross, 'non-refunded transaction profit' FROM k
+  UNION ALL SELECT 4, 'total_net_profit', gross - spend, 'transaction profit less marketing spend' FROM k
+  UNION ALL SELECT 5, 'blended_cac', cac, format('spend / all {{:,}} customers', n_cust) FROM k
+  UNION ALL SELECT 6, 'blended_ltv', ltv, {ltv_basis} FROM k
+  UNION ALL SELECT 7, 'ltv_cac_ratio', ltv / NULLIF(cac, 0), 'same denominator on both sides' FROM k
+  UNION ALL SELECT 8, 'blended_roas', rev / NULLIF(spend, 0), 'campaign revenue / spend' FROM k
+  UNION ALL SELECT 9, 'blended_roi', (gross - spend) / NULLIF(spend, 0), 'transaction profit / spend' FROM k
+  UNION ALL SELECT 10, 'blended_cvr', conv / NULLIF(clicks, 0), 'conversions / clicks' FROM k
+  UNION ALL SELECT 11, 'repeat_rate', COALESCE(CAST(repeaters AS DOUBLE) / NULLIF(CAST(n_tx AS DOUBLE), 0), 0.0),
+                   'share of transacting customers with >1 purchase' FROM k)"""
+
+
+_BODIES["f7_headline_kpis"] = _kpi_sql(False)
+_BODIES["f7_headline_kpis_transacting"] = _kpi_sql(True)
 
 
 def oracle_sql() -> dict:

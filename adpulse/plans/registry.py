@@ -1,13 +1,14 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
-Each query builds the fixture tables from the parquet inputs, runs the audit
-(clean tables) and then one operator over the whole tables.
+Each query derives the engine tables from the parquet inputs, runs the audit
+(clean tables) and then one operator over the whole tables. Parametrised
+operators get one key per variant.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
+from adpulse.operators import customers as cu
+from adpulse.operators import finance as fi
 from adpulse.operators import marketing as mk
 from adpulse.sources.bundle import load_bundle
 
@@ -21,10 +22,251 @@ def register(name):
     return deco
 
 
-def _b(spark, sf_dir, tables=None):
-    return load_bundle(spark, sf_dir) if tables is None else load_bundle(spark, sf_dir, tables=tables)
+def _b(spark, sf_dir, tables=None, params=None):
+    kw = {}
+    if tables is not None:
+        kw["tables"] = tables
+    if params is not None:
+        kw["params"] = params
+    return load_bundle(spark, sf_dir, **kw)
+
+
+_C = ("campaigns",)
+_CT = ("customers", "transactions")
+_CCT = ("campaigns", "customers", "transactions")
+
+
+# ------------------------------------------------------------ audit (Q)
+@register("q_report")
+def _q_report(spark, sf):
+    return _b(spark, sf).audit.report
+
+
+@register("q_rows")
+def _q_rows(spark, sf):
+    return _b(spark, sf).audit.rows
+
+
+@register("q_flagged")
+def _q_flagged(spark, sf):
+    from adpulse.operators.quality import flagged_summary
+    return flagged_summary(_b(spark, sf).audit.report)
 
 
+@register("q_clean_campaigns")
+def _q_clean_campaigns(spark, sf):
+    return _b(spark, sf, _C).campaigns
+
+
+@register("q_clean_transactions")
+def _q_clean_transactions(spark, sf):
+    return _b(spark, sf, _CT).transactions
+
+
+@register("q_quarantine_counts")
+def _q_quarantine(spark, sf):
+    from pyspark.sql import functions as F
+    q = _b(spark, sf).audit.quarantine
+    return q.groupBy("rule_key", "table_name").agg(F.count(F.lit(1)).alias("rows_quarantined"))
+
+
+@register("q_examples")
+def _q_examples(spark, sf):
+    return _b(spark, sf).audit.examples
+
+
+# ------------------------------------------------------------ marketing (M)
 for _dim in mk.GROUPABLE:
     QUERIES[f"m3_by_{_dim}"] = (lambda d: lambda spark, sf: mk.groupby_kpis(
-        _b(spark, sf, ("campaigns",)).campaigns, d))(_dim)
+        _b(spark, sf, _C).campaigns, d))(_dim)
+
+QUERIES["m1_funnel"] = lambda spark, sf: mk.funnel(_b(spark, sf, _C).campaigns)
+QUERIES["m2_funnel_stages"] = lambda spark, sf: mk.funnel_stages(_b(spark, sf, _C).campaigns)
+QUERIES["m3_all_dimensions"] = lambda spark, sf: mk.all_dimension_kpis(_b(spark, sf, _C).campaigns)
+QUERIES["m4_leaderboard"] = lambda spark, sf: mk.campaign_leaderboard(_b(spark, sf, _C).campaigns)
+QUERIES["m5_monthly_revenue"] = lambda spark, sf: mk.monthly_revenue(_b(spark, sf, _C).campaigns)
+QUERIES["m6_seasonality"] = lambda spark, sf: mk.seasonality(_b(spark, sf, _C).campaigns)
+QUERIES["m7_daily_revenue"] = lambda spark, sf: mk.daily_revenue(_b(spark, sf, _C).campaigns)
+QUERIES["m8_channel_mix"] = lambda spark, sf: mk.channel_mix(_b(spark, sf, _C).campaigns)
+QUERIES["b_row_kpis"] = lambda spark, sf: mk.row_kpis(_b(spark, sf, _C).campaigns)
+
+
+# ------------------------------------------------------------ customers (C)
+@register("c1_reference_date")
+def _c1(spark, sf):
+    from pyspark.sql import functions as F
+    t = _b(spark, sf, _CT).transactions
+    return t.agg(F.max("transaction_date").alias("reference_date"))
+
+
+@register("c2_rfm_base")
+def _c2(spark, sf):
+    from pyspark.sql import functions as F
+    from adpulse.functions.kpis import r6
+    b = cu.rfm_base(_b(spark, sf, _CT).transactions)
+    return b.select("customer_id", "last_purchase", F.col("frequency").cast("bigint").alias("frequency"),
+                    r6("monetary").alias("monetary"), F.col("recency_days").cast("int").alias("recency_days"))
+
+
+@register("c6_rfm_segments")
+def _c6(spark, sf):
+    b = _b(spark, sf, _CT)
+    return cu.rfm_table(b.transactions, b.customers, b.params)
+
+
+@register("c5_bins_used")
+def _c5(spark, sf):
+    return cu.rfm_bins_used(_b(spark, sf, _CT).transactions)
+
+
+@register("c8_segment_summary")
+def _c8(spark, sf):
+    b = _b(spark, sf, _CT)
+    return cu.segment_summary(cu.rfm_table(b.transactions, None, b.params))
+
+
+def _activity(spark, sf):
+    b = _b(spark, sf, _CT)
+    return b, cu.cohort_activity(b.transactions, b.customers, b.params)
+
+
+@register("c10_cohort_retention")
+def _c10(spark, sf):
+    b, a = _activity(spark, sf)
+    return cu.cohort_counts(a, b.customers, b.params)
+
+
+@register("c11_retention_matrix")
+def _c11(spark, sf):
+    b, a = _activity(spark, sf)
+    return cu.retention_matrix(cu.cohort_counts(a, b.customers, b.params),
+                               cu.reference_date(b.transactions, b.params))
+
+
+@register("c12_cohort_means")
+def _c12(spark, sf):
+    b, a = _activity(spark, sf)
+    return cu.cohort_means(cu.cohort_counts(a, b.customers, b.params, rounded=False))
+
+
+@register("c13_retention_by_channel")
+def _c13(spark, sf):
+    b, a = _activity(spark, sf)
+    return cu.retention_by_channel(a, b.customers, b.params)
+
+
+@register("c14_month3_channel_ranking")
+def _c14(spark, sf):
+    b, a = _activity(spark, sf)
+    return cu.month_n_channel_ranking(cu.retention_by_channel(a, b.customers, b.params), 3)
+
+
+@register("c15_value_by_plan")
+def _c15(spark, sf):
+    b = _b(spark, sf, _CT)
+    return cu.value_by_plan(b.transactions, b.customers, b.params)
+
+
+@register("c16_steepest_drop")
+def _c16(spark, sf):
+    b, a = _activity(spark, sf)
+    return cu.steepest_drop(cu.cohort_counts(a, b.customers, b.params, rounded=False))
+
+
+# ------------------------------------------------------------ finance (F)
+@register("f1_lifetime_profit")
+def _f1(spark, sf):
+    from adpulse.functions.kpis import r6
+    t = _b(spark, sf, _CT).transactions
+    return fi.lifetime_profit(t).select("customer_id", r6("lifetime_profit").alias("lifetime_profit"))
+
+
+@register("f2_customers_profit")
+def _f2(spark, sf):
+    from adpulse.functions.kpis import r6
+    b = _b(spark, sf, _CT)
+    return fi.customers_with_profit(b.customers, b.transactions).select(
+        "customer_id", "acquisition_channel", "subscription_plan", r6("lifetime_profit").alias("lifetime_profit"))
+
+
+def _finance(spark, sf, params=None):
+    b = _b(spark, sf, _CCT, params)
+    return b, fi.customers_with_profit(b.customers, b.transactions, b.params)
+
+
+@register("f3_cac_ltv")
+def _f3(spark, sf):
+    b, cp = _finance(spark, sf)
+    return fi.cac_ltv_by_channel(b.campaigns, b.customers, cp, b.params)
+
+
+@register("f3_cac_ltv_transacting")
+def _f3t(spark, sf):
+    from adpulse.params import DEFAULTS
+    b, cp = _finance(spark, sf, DEFAULTS.replace(ltv_denominator="transacting_customers"))
+    return fi.cac_ltv_by_channel(b.campaigns, b.customers, cp, b.params)
+
+
+@register("f4_profitability")
+def _f4(spark, sf):
+    b, cp = _finance(spark, sf)
+    return fi.profitability(b.campaigns, b.customers, cp)
+
+
+@register("f5_reallocation")
+def _f5(spark, sf):
+    b, cp = _finance(spark, sf)
+    return fi.reallocation_summary(fi.profit_table(b.campaigns, b.customers, cp), b.params)
+
+
+@register("f6_reallocation_plan")
+def _f6(spark, sf):
+    b, cp = _finance(spark, sf)
+    return fi.reallocation_plan(fi.profit_table(b.campaigns, b.customers, cp), b.params)
+
+
+@register("f7_headline_kpis")
+def _f7(spark, sf):
+    b = _b(spark, sf, _CCT)
+    return fi.headline_kpis(b.campaigns, b.customers, b.transactions, b.params)
+
+
+@register("f7_headline_kpis_transacting")
+def _f7t(spark, sf):
+    from adpulse.params import DEFAULTS
+    b = _b(spark, sf, _CCT, DEFAULTS.replace(ltv_denominator="transacting_customers"))
+    return fi.headline_kpis(b.campaigns, b.customers, b.transactions, b.params)
+
+
+@register("f9_top_channels")
+def _f9(spark, sf):
+    b, cp = _finance(spark, sf)
+    return fi.top_channels(fi.profit_table(b.campaigns, b.customers, cp))
+
+
+@register("f10_net_profit_inner")
+def _f10(spark, sf):
+    b, cp = _finance(spark, sf)
+    return fi.channel_net_profit_inner(b.campaigns, cp)
+
+
+def normalize_types(df):
+    """Output convention: every integral column leaves as BIGINT, every
+    floating column as DOUBLE (so result schemas do not depend on which
+    integer width an expression happened to produce)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+            cols.append(F.col(f.name).cast("bigint").alias(f.name))
+        elif isinstance(f.dataType, T.FloatType):
+            cols.append(F.col(f.name).cast("double").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+def exported() -> dict:
+    return {name: (lambda fn: lambda spark, sf: normalize_types(fn(spark, sf)))(fn)
+            for name, fn in QUERIES.items()}

@@ -26,7 +26,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -36,6 +36,8 @@ def _norm(v):
     if isinstance(v, decimal.Decimal):
         return _norm(float(v))
     if isinstance(v, (pd.Timestamp, dt.datetime)):
+        if v.hour == v.minute == v.second == v.microsecond == 0:
+            return v.date().isoformat()
         return v.isoformat()
     if isinstance(v, dt.date):
         return v.isoformat()
