@@ -436,3 +436,149 @@ _BODIES["f7_headline_kpis_transacting"] = _kpi_sql(True)
 
 def oracle_sql() -> dict:
     return {k: with_fixtures(v) for k, v in _BODIES.items()}
+
+
+# ------------------------------------------------------------------ SQL corpus (raw tables)
+_S = {}
+_S["s01_monthly_revenue_spend"] = """
+SELECT strftime(date, '%Y-%m') AS month, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS total_revenue,
+       CAST(ROUND(SUM(spend), 2) AS DOUBLE) AS total_spend
+FROM fx_campaigns GROUP BY 1"""
+_S["s02_monthly_profit"] = """
+SELECT strftime(transaction_date, '%Y-%m') AS month, CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit,
+       COUNT(*) AS transaction_count
+FROM fx_transactions WHERE NOT refund_flag GROUP BY 1"""
+_S["s03_campaign_roas"] = """
+SELECT campaign_id, campaign_name, channel, CAST(ROUND(SUM(spend), 2) AS DOUBLE) AS total_spend,
+       CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS total_revenue,
+       ROUND(CAST(SUM(revenue) AS DOUBLE) / NULLIF(CAST(SUM(spend) AS DOUBLE), 0), 2) AS roas,
+       CASE WHEN CAST(SUM(revenue) AS DOUBLE) / NULLIF(CAST(SUM(spend) AS DOUBLE), 0) >= 4 THEN 'Excellent'
+            WHEN CAST(SUM(revenue) AS DOUBLE) / NULLIF(CAST(SUM(spend) AS DOUBLE), 0) >= 2 THEN 'Healthy'
+            WHEN CAST(SUM(revenue) AS DOUBLE) / NULLIF(CAST(SUM(spend) AS DOUBLE), 0) >= 1 THEN 'Break-even'
+            ELSE 'Underperforming' END AS performance_tier
+FROM fx_campaigns WHERE spend > 0
+GROUP BY campaign_id, campaign_name, channel HAVING SUM(spend) > 500
+ORDER BY roas DESC NULLS LAST, campaign_id LIMIT 15"""
+_S["s04_channel_roi"] = """
+WITH g AS (SELECT channel, SUM(spend) AS s, SUM(revenue) AS r FROM fx_campaigns WHERE spend > 0 GROUP BY channel HAVING SUM(spend) > 1000),
+x AS (SELECT *, (CAST(r AS DOUBLE) - CAST(s AS DOUBLE)) / NULLIF(CAST(s AS DOUBLE), 0) AS roi FROM g)
+SELECT channel, CAST(ROUND(s, 2) AS DOUBLE) AS total_spend, CAST(ROUND(r, 2) AS DOUBLE) AS total_revenue,
+       ROUND(roi, 3) AS roi,
+       CASE WHEN roi >= 1 THEN 'High ROI' WHEN roi >= 0.3 THEN 'Moderate ROI' ELSE 'Low / Negative ROI' END AS roi_tier
+FROM x"""
+_S["s05_cac_by_channel"] = """
+WITH s AS (SELECT channel, SUM(spend) AS total_spend FROM fx_campaigns GROUP BY channel),
+c AS (SELECT acquisition_channel AS channel, COUNT(*) AS new_customers FROM fx_customers GROUP BY acquisition_channel)
+SELECT s.channel, CAST(ROUND(s.total_spend, 2) AS DOUBLE) AS total_spend, c.new_customers,
+       ROUND(CAST(s.total_spend AS DOUBLE) / NULLIF(CAST(c.new_customers AS DOUBLE), 0), 2) AS cac
+FROM s JOIN c ON s.channel = c.channel"""
+_S["s06_ltv_by_channel"] = """
+WITH cp AS (SELECT customer_id, SUM(profit) AS lifetime_profit FROM fx_transactions GROUP BY customer_id)
+SELECT cu.acquisition_channel, COUNT(DISTINCT cu.customer_id) AS customers,
+       CAST(ROUND(AVG(cp.lifetime_profit), 2) AS DOUBLE) AS avg_ltv
+FROM fx_customers cu JOIN cp ON cu.customer_id = cp.customer_id GROUP BY cu.acquisition_channel"""
+_S["s07_ltv_cac"] = """
+WITH s AS (SELECT channel, SUM(spend) AS total_spend FROM fx_campaigns GROUP BY channel),
+c AS (SELECT acquisition_channel AS channel, COUNT(*) AS new_customers FROM fx_customers GROUP BY acquisition_channel),
+cac_tbl AS (SELECT s.channel, CAST(s.total_spend AS DOUBLE) / NULLIF(CAST(c.new_customers AS DOUBLE), 0) AS cac
+            FROM s JOIN c ON s.channel = c.channel),
+ltv_tbl AS (SELECT cu.acquisition_channel AS channel, AVG(cp.lifetime_profit) AS ltv
+            FROM fx_customers cu JOIN (SELECT customer_id, SUM(profit) AS lifetime_profit FROM fx_transactions GROUP BY customer_id) cp
+            ON cu.customer_id = cp.customer_id GROUP BY cu.acquisition_channel)
+SELECT l.channel, ROUND(c.cac, 2) AS cac, CAST(ROUND(l.ltv, 2) AS DOUBLE) AS ltv,
+       ROUND(CAST(l.ltv AS DOUBLE) / NULLIF(c.cac, 0), 2) AS ltv_to_cac_ratio,
+       CASE WHEN CAST(l.ltv AS DOUBLE) / NULLIF(c.cac, 0) >= 3 THEN 'Efficient'
+            WHEN CAST(l.ltv AS DOUBLE) / NULLIF(c.cac, 0) >= 1 THEN 'Marginal' ELSE 'Unprofitable' END AS efficiency
+FROM ltv_tbl l JOIN cac_tbl c ON l.channel = c.channel"""
+_S["s08_cohort_activity"] = """
+WITH cohort AS (SELECT customer_id, strftime(acquisition_date, '%Y-%m') AS cohort_month FROM fx_customers),
+activity AS (SELECT t.customer_id, c.cohort_month, strftime(t.transaction_date, '%Y-%m') AS activity_month
+             FROM fx_transactions t JOIN cohort c ON t.customer_id = c.customer_id),
+md AS (SELECT customer_id, cohort_month,
+              (CAST(substr(activity_month, 1, 4) AS INT) - CAST(substr(cohort_month, 1, 4) AS INT)) * 12
+              + (CAST(substr(activity_month, 6, 2) AS INT) - CAST(substr(cohort_month, 6, 2) AS INT)) AS months_since_acquisition
+       FROM activity)
+SELECT cohort_month, CAST(months_since_acquisition AS BIGINT) AS months_since_acquisition,
+       COUNT(DISTINCT customer_id) AS active_customers
+FROM md WHERE months_since_acquisition BETWEEN 0 AND 6 GROUP BY cohort_month, months_since_acquisition"""
+_S["s09_top_customers"] = """
+SELECT cu.customer_id, cu.acquisition_channel, cu.subscription_plan,
+       CAST(ROUND(SUM(t.profit), 2) AS DOUBLE) AS lifetime_profit, COUNT(t.transaction_id) AS total_purchases
+FROM fx_customers cu JOIN fx_transactions t ON cu.customer_id = t.customer_id
+GROUP BY cu.customer_id, cu.acquisition_channel, cu.subscription_plan
+ORDER BY lifetime_profit DESC, cu.customer_id LIMIT 10"""
+_S["s10_campaign_ranks"] = """
+SELECT channel, campaign_name, CAST(total_revenue AS DOUBLE) AS total_revenue,
+       ROW_NUMBER() OVER (PARTITION BY channel ORDER BY total_revenue DESC, campaign_name) AS row_num,
+       RANK() OVER (PARTITION BY channel ORDER BY total_revenue DESC) AS rank_num,
+       DENSE_RANK() OVER (PARTITION BY channel ORDER BY total_revenue DESC) AS dense_rank_num
+FROM (SELECT channel, campaign_name, SUM(revenue) AS total_revenue FROM fx_campaigns GROUP BY channel, campaign_name) t"""
+_S["s11_moving_average"] = """
+WITH d AS (SELECT date, SUM(revenue) AS revenue FROM fx_campaigns GROUP BY date)
+SELECT date, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(ROUND(AVG(revenue) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS DOUBLE) AS revenue_7day_moving_avg
+FROM d"""
+_S["s12_running_total"] = """
+WITH d AS (SELECT date, SUM(revenue) AS revenue FROM fx_campaigns GROUP BY date)
+SELECT date, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(ROUND(SUM(revenue) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING), 2) AS DOUBLE) AS cumulative_revenue
+FROM d"""
+_S["s13_mom_growth"] = """
+WITH m AS (SELECT strftime(date, '%Y-%m') AS month, CAST(SUM(revenue) AS DOUBLE) AS revenue FROM fx_campaigns GROUP BY 1)
+SELECT month, revenue, LAG(revenue) OVER (ORDER BY month) AS prior_month_revenue,
+       ROUND((revenue - LAG(revenue) OVER (ORDER BY month)) * 100.0 / NULLIF(LAG(revenue) OVER (ORDER BY month), 0), 1) AS mom_growth_pct
+FROM m"""
+_S["s14_device_rates"] = """
+SELECT device, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       CAST(SUM(conversions) AS BIGINT) AS conversions,
+       ROUND(SUM(clicks) * 100.0 / NULLIF(SUM(impressions), 0), 2) AS ctr_pct,
+       ROUND(SUM(conversions) * 100.0 / NULLIF(SUM(clicks), 0), 2) AS cvr_pct,
+       CASE WHEN SUM(conversions) * 100.0 / NULLIF(SUM(clicks), 0) >= 4 THEN 'Strong Converter'
+            ELSE 'Needs Optimization' END AS device_status
+FROM fx_campaigns GROUP BY device"""
+_S["s15_country_roas"] = """
+SELECT country, CAST(ROUND(SUM(spend), 2) AS DOUBLE) AS total_spend, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS total_revenue,
+       ROUND(CAST(SUM(revenue) AS DOUBLE) / NULLIF(CAST(SUM(spend) AS DOUBLE), 0), 2) AS roas
+FROM fx_campaigns WHERE spend > 0 GROUP BY country HAVING SUM(spend) > 500"""
+_S["s16_power_users"] = """
+SELECT cu.customer_id, cu.acquisition_channel, cu.subscription_plan,
+       COUNT(t.transaction_id) AS purchase_count, CAST(ROUND(SUM(t.amount), 2) AS DOUBLE) AS total_spent
+FROM fx_customers cu JOIN fx_transactions t ON cu.customer_id = t.customer_id
+GROUP BY cu.customer_id, cu.acquisition_channel, cu.subscription_plan HAVING COUNT(t.transaction_id) > 5"""
+_S["s17_refunds_by_category"] = """
+SELECT product_category, COUNT(*) AS total_transactions,
+       CAST(SUM(CASE WHEN refund_flag THEN 1 ELSE 0 END) AS BIGINT) AS refunded_transactions,
+       ROUND(SUM(CASE WHEN refund_flag THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2) AS refund_rate_pct,
+       CAST(ROUND(SUM(CASE WHEN refund_flag THEN profit ELSE 0 END), 2) AS DOUBLE) AS profit_lost_to_refunds
+FROM fx_transactions GROUP BY product_category"""
+_S["s18_discount_bands"] = """
+SELECT CASE WHEN discount = 0 THEN '0% (Full Price)' WHEN discount <= 0.10 THEN '5-10%'
+            WHEN discount <= 0.20 THEN '15-20%' ELSE '30%+' END AS discount_band,
+       COUNT(*) AS transactions, CAST(ROUND(AVG(amount), 2) AS DOUBLE) AS avg_order_value,
+       ROUND(CAST(SUM(profit) AS DOUBLE) / NULLIF(CAST(SUM(amount) AS DOUBLE), 0), 3) AS realized_margin
+FROM fx_transactions WHERE NOT refund_flag GROUP BY 1"""
+_S["s19_variant_comparison"] = """
+SELECT variant, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       CAST(SUM(conversions) AS BIGINT) AS conversions,
+       ROUND(SUM(conversions) * 100.0 / NULLIF(SUM(clicks), 0), 2) AS cvr_pct,
+       CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS revenue,
+       ROUND(CAST(SUM(revenue) AS DOUBLE) / NULLIF(CAST(SUM(spend) AS DOUBLE), 0), 2) AS roas
+FROM fx_ab_test GROUP BY variant"""
+_S["s20_rfm_ntile"] = """
+WITH rfm_base AS (
+  SELECT customer_id, CAST(date_diff('day', MAX(transaction_date), DATE '2025-12-31') AS BIGINT) AS recency_days,
+         COUNT(*) AS frequency, ROUND(SUM(amount), 2) AS monetary
+  FROM fx_transactions WHERE NOT refund_flag GROUP BY customer_id),
+scored AS (
+  SELECT customer_id, recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary, monetary AS m_raw,
+         CAST(NTILE(5) OVER (ORDER BY recency_days DESC, customer_id) AS BIGINT) AS recency_score,
+         CAST(NTILE(5) OVER (ORDER BY frequency ASC, customer_id) AS BIGINT) AS frequency_score,
+         CAST(NTILE(5) OVER (ORDER BY monetary ASC, customer_id) AS BIGINT) AS monetary_score
+  FROM rfm_base)
+SELECT customer_id, recency_days, frequency, monetary, recency_score, frequency_score, monetary_score
+FROM scored ORDER BY m_raw DESC, customer_id LIMIT 25"""
+_S["s21_orphans"] = """
+SELECT t.transaction_id, t.customer_id, t.transaction_date, CAST(t.amount AS DOUBLE) AS amount
+FROM fx_transactions t LEFT JOIN fx_customers cu ON t.customer_id = cu.customer_id
+WHERE cu.customer_id IS NULL"""
+_BODIES.update(_S)

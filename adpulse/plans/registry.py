@@ -250,6 +250,38 @@ def _f10(spark, sf):
     return fi.channel_net_profit_inner(b.campaigns, cp)
 
 
+# ------------------------------------------------------------ SQL corpus (S)
+def _raw(spark, sf, tables):
+    from adpulse.sources.fixtures import BUILDERS
+    return [BUILDERS[t](spark, sf) for t in tables]
+
+
+def _register_corpus():
+    from adpulse.plans import sqlcorpus as S
+    one_c = {"s01_monthly_revenue_spend": S.s01_monthly_revenue_spend, "s03_campaign_roas": S.s03_campaign_roas,
+             "s04_channel_roi": S.s04_channel_roi, "s10_campaign_ranks": S.s10_campaign_ranks,
+             "s11_moving_average": S.s11_moving_average, "s12_running_total": S.s12_running_total,
+             "s13_mom_growth": S.s13_mom_growth, "s14_device_rates": S.s14_device_rates,
+             "s15_country_roas": S.s15_country_roas}
+    for k, fn in one_c.items():
+        QUERIES[k] = (lambda f: lambda spark, sf: f(*_raw(spark, sf, ("campaigns",))))(fn)
+    one_t = {"s02_monthly_profit": S.s02_monthly_profit, "s17_refunds_by_category": S.s17_refunds_by_category,
+             "s18_discount_bands": S.s18_discount_bands, "s20_rfm_ntile": S.s20_rfm_ntile}
+    for k, fn in one_t.items():
+        QUERIES[k] = (lambda f: lambda spark, sf: f(*_raw(spark, sf, ("transactions",))))(fn)
+    cu_t = {"s06_ltv_by_channel": S.s06_ltv_by_channel, "s08_cohort_activity": S.s08_cohort_activity,
+            "s09_top_customers": S.s09_top_customers, "s16_power_users": S.s16_power_users}
+    for k, fn in cu_t.items():
+        QUERIES[k] = (lambda f: lambda spark, sf: f(*_raw(spark, sf, ("customers", "transactions"))))(fn)
+    QUERIES["s05_cac_by_channel"] = lambda spark, sf: S.s05_cac_by_channel(*_raw(spark, sf, ("campaigns", "customers")))
+    QUERIES["s07_ltv_cac"] = lambda spark, sf: S.s07_ltv_cac(*_raw(spark, sf, ("campaigns", "customers", "transactions")))
+    QUERIES["s19_variant_comparison"] = lambda spark, sf: S.s19_variant_comparison(*_raw(spark, sf, ("ab_test",)))
+    QUERIES["s21_orphans"] = lambda spark, sf: S.s21_orphans(*_raw(spark, sf, ("transactions", "customers")))
+
+
+_register_corpus()
+
+
 def normalize_types(df):
     """Output convention: every integral column leaves as BIGINT, every
     floating column as DOUBLE (so result schemas do not depend on which
@@ -270,3 +302,4 @@ def normalize_types(df):
 def exported() -> dict:
     return {name: (lambda fn: lambda spark, sf: normalize_types(fn(spark, sf)))(fn)
             for name, fn in QUERIES.items()}
+
