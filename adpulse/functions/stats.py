@@ -1,0 +1,91 @@
+"""Tail probabilities for test statistics, as vectorised pandas UDFs.
+
+Spark has no ``erf`` or Student-t CDF. These run on already-aggregated rows
+(one per experiment / series), so the Python cost is negligible; the heavy
+lifting (sums, variances) stays in JVM aggregations.
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def normal_sf(z: float) -> float:
+    """P(Z > z) for a standard normal."""
+    return 0.5 * math.erfc(z / math.sqrt(2.0))
+
+
+def _betacf(a: float, b: float, x: float) -> float:
+    """Continued fraction of the incomplete beta function (modified Lentz)."""
+    tiny = 1e-300
+    qab, qap, qam = a + b, a + 1.0, a - 1.0
+    c, d = 1.0, 1.0 - qab * x / qap
+    d = 1.0 / (d if abs(d) > tiny else tiny)
+    h = d
+    for m in range(1, 400):
+        m2 = 2 * m
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = 1.0 + aa / c
+        c = c if abs(c) > tiny else tiny
+        h *= d * c
+        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = 1.0 + aa / c
+        c = c if abs(c) > tiny else tiny
+        de = d * c
+        h *= de
+        if abs(de - 1.0) < 1e-15:
+            break
+    return h
+
+
+def betainc(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta I_x(a, b)."""
+    if x <= 0.0:
+        return 0.0
+    if x >= 1.0:
+        return 1.0
+    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    front = math.exp(lbeta + a * math.log(x) + b * math.log1p(-x))
+    if x < (a + 1.0) / (a + b + 2.0):
+        return front * _betacf(a, b, x) / a
+    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+
+
+def t_sf(t: float, df: float) -> float:
+    """P(T > t) for Student's t with ``df`` (possibly fractional) degrees."""
+    if df <= 0 or math.isnan(t) or math.isnan(df):
+        return float("nan")
+    tail = 0.5 * betainc(df / 2.0, 0.5, df / (df + t * t))
+    return tail if t > 0 else 1.0 - tail
+
+
+def _apply(fn, *cols: pd.Series) -> pd.Series:
+    out = np.full(len(cols[0]), np.nan)
+    for i, vals in enumerate(zip(*cols)):
+        if all(v is not None and not (isinstance(v, float) and math.isnan(v)) for v in vals):
+            out[i] = fn(*[float(v) for v in vals])
+    return pd.Series(out)
+
+
+@F.pandas_udf(T.DoubleType())
+def normal_sf_udf(z: pd.Series) -> pd.Series:
+    return _apply(normal_sf, z)
+
+
+@F.pandas_udf(T.DoubleType())
+def t_sf_udf(t: pd.Series, df: pd.Series) -> pd.Series:
+    return _apply(t_sf, t, df)
+
+
+@F.pandas_udf(T.DoubleType())
+def t_two_sided_udf(t: pd.Series, df: pd.Series) -> pd.Series:
+    return _apply(lambda a, b: min(1.0, 2.0 * t_sf(abs(a), b)), t, df)

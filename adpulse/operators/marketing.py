@@ -130,10 +130,11 @@ def campaign_leaderboard(campaigns: DataFrame, min_spend: float = 100, n: int =
     return t.unionByName(b).withColumn("n_campaigns", n_campaigns)
 
 
-def monthly_revenue(campaigns: DataFrame, params: AnalysisParams = DEFAULTS) -> DataFrame:
-    """M5: revenue per calendar month, zero-filled between the first and last
-    month; a trailing month whose last day is after the data's last date is
-    dropped when ``drop_partial_trailing_month``."""
+def monthly_revenue_exact(campaigns: DataFrame, params: AnalysisParams = DEFAULTS) -> DataFrame:
+    """M5 with revenue kept as an exact DECIMAL: revenue per calendar month,
+    zero-filled between the first and last month; a trailing month whose last
+    day is after the data's last date is dropped when
+    ``drop_partial_trailing_month``."""
     by_month = (campaigns.groupBy(F.trunc("date", "MM").alias("month"))
                 .agg(F.sum("revenue").alias("revenue")))
     bounds = campaigns.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
@@ -146,7 +147,13 @@ def monthly_revenue(campaigns: DataFrame, params: AnalysisParams = DEFAULTS) ->
         F.explode(F.when(end >= start, F.sequence(start, end, F.expr("interval 1 month")))
                   .otherwise(F.array().cast("array<date>"))).alias("month"))
     return (spine.join(by_month, "month", "left")
-            .select("month", r6(F.coalesce(F.col("revenue"), F.lit(0))).alias("revenue")))
+            .select("month", F.coalesce(F.col("revenue"), F.lit(0).cast("decimal(38,4)"))
+                    .cast("decimal(28,4)").alias("revenue")))
+
+
+def monthly_revenue(campaigns: DataFrame, params: AnalysisParams = DEFAULTS) -> DataFrame:
+    """M5: monthly revenue series as DOUBLE."""
+    return monthly_revenue_exact(campaigns, params).select("month", r6("revenue").alias("revenue"))
 
 
 def seasonality(campaigns: DataFrame, params: AnalysisParams = DEFAULTS) -> DataFrame:

@@ -582,3 +582,117 @@ SELECT t.transaction_id, t.customer_id, t.transaction_date, CAST(t.amount AS DOU
 FROM fx_transactions t LEFT JOIN fx_customers cu ON t.customer_id = cu.customer_id
 WHERE cu.customer_id IS NULL"""
 _BODIES.update(_S)
+
+
+# ------------------------------------------------------------------ experiments
+_AB_SUMS = """
+WITH s AS (
+  SELECT 'ab_test' AS experiment,
+         SUM(clicks) FILTER (WHERE variant = 'A') AS na, SUM(clicks) FILTER (WHERE variant = 'B') AS nb,
+         SUM(conversions) FILTER (WHERE variant = 'A') AS ca, SUM(conversions) FILTER (WHERE variant = 'B') AS cb,
+         SUM(revenue) FILTER (WHERE variant = 'B') AS rb, SUM(spend) FILTER (WHERE variant = 'A') AS sa
+  FROM ab),
+d AS (
+  SELECT variant, conversions::DOUBLE / clicks AS r FROM ab WHERE clicks <> 0),
+m AS (
+  SELECT COUNT(*) FILTER (WHERE variant = 'A') AS n_a, COUNT(*) FILTER (WHERE variant = 'B') AS n_b,
+         AVG(r) FILTER (WHERE variant = 'A') AS mean_a, AVG(r) FILTER (WHERE variant = 'B') AS mean_b,
+         VAR_SAMP(r) FILTER (WHERE variant = 'A') AS var_a, VAR_SAMP(r) FILTER (WHERE variant = 'B') AS var_b
+  FROM d),
+x AS (
+  SELECT s.*, m.*, ca::DOUBLE / na AS pa, cb::DOUBLE / nb AS pb, (ca + cb)::DOUBLE / (na + nb) AS pool,
+         var_a / n_a AS va, var_b / n_b AS vb, sa::DOUBLE / NULLIF(na::DOUBLE, 0) AS cpc_a
+  FROM s, m)
+"""
+
+_BODIES["e1_variant_summary"] = """
+SELECT 'ab_test' AS experiment, variant, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       CAST(SUM(conversions) AS BIGINT) AS conversions, CAST(SUM(revenue) AS DOUBLE) AS revenue, CAST(SUM(spend) AS DOUBLE) AS spend,
+       CAST(SUM(conversions) AS DOUBLE) / NULLIF(CAST(SUM(clicks) AS DOUBLE), 0) AS cvr,
+       CAST(SUM(revenue) AS DOUBLE) / NULLIF(CAST(SUM(spend) AS DOUBLE), 0) AS roas
+FROM ab GROUP BY variant"""
+
+_BODIES["e2_ab_statistics"] = _AB_SUMS + """
+SELECT experiment, CASE WHEN na > 0 AND nb > 0 THEN 'ok' ELSE 'insufficient_data' END AS status,
+       ROUND(pa, 6) AS cvr_a, ROUND(pb, 6) AS cvr_b, ROUND((pb - pa) / pa, 6) AS lift_pct,
+       ROUND((pb - pa) / sqrt(pool * (1.0 - pool) * (1.0 / nb + 1.0 / na)), 6) AS z_stat,
+       ROUND((pb - pa) - 1.959963984540054 * sqrt(pb * (1.0 - pb) / nb + pa * (1.0 - pa) / na), 6) AS ci_low,
+       ROUND((pb - pa) + 1.959963984540054 * sqrt(pb * (1.0 - pb) / nb + pa * (1.0 - pa) / na), 6) AS ci_high,
+       (pb - pa) - 1.959963984540054 * sqrt(pb * (1.0 - pb) / nb + pa * (1.0 - pa) / na) > 0 AS ci_excludes_zero,
+       ROUND(CASE WHEN n_a >= 2 AND n_b >= 2 THEN (mean_b - mean_a) / sqrt(va + vb) END, 6) AS t_stat,
+       ROUND(CASE WHEN n_a >= 2 AND n_b >= 2 THEN (va + vb) * (va + vb) / (va * va / (n_a - 1) + vb * vb / (n_b - 1)) END, 6) AS welch_df,
+       CAST(LEAST(COALESCE(n_a, 0), COALESCE(n_b, 0)) AS BIGINT) AS n_days,
+       cpc_a IS NOT NULL AND cpc_a <> 0 AS projection_available,
+       CAST(ca AS DOUBLE) AS current_conversions,
+       ROUND(sa::DOUBLE / cpc_a * pb, 6) AS projected_conversions,
+       ROUND(sa::DOUBLE / cpc_a * pb - ca, 6) AS incremental_conversions,
+       ROUND((sa::DOUBLE / cpc_a * pb - ca) * (rb::DOUBLE / NULLIF(cb::DOUBLE, 0)), 6) AS incremental_revenue
+FROM x"""
+
+# ------------------------------------------------------------------ forecast (closed-form methods)
+_SERIES = """
+WITH b AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM cc),
+e AS (SELECT CAST(date_trunc('month', lo) AS DATE) AS s,
+             CAST(CASE WHEN hi < last_day(hi) THEN date_trunc('month', hi) - INTERVAL 1 MONTH
+                       ELSE date_trunc('month', hi) END AS DATE) AS e FROM b WHERE lo IS NOT NULL),
+spine AS (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM e),
+bm AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, SUM(revenue) AS rev FROM cc GROUP BY 1),
+ser AS (SELECT spine.month, CAST(COALESCE(bm.rev, 0) AS DECIMAL(28,4)) AS y,
+               CAST(ROW_NUMBER() OVER (ORDER BY spine.month) - 1 AS BIGINT) AS idx, COUNT(*) OVER () AS n
+        FROM spine LEFT JOIN bm ON spine.month = bm.month)
+"""
+
+
+def _fit(src: str, name: str) -> str:
+    return f"""
+{name}_s AS (SELECT COUNT(*) AS k, SUM(idx) AS sx, SUM(idx * idx) AS sxx, SUM(y) AS sy, SUM(idx * y) AS sxy,
+                    SUM(CAST(y AS DOUBLE) * CAST(y AS DOUBLE)) AS syy FROM {src}),
+{name} AS (SELECT *, CAST(k * sxy - sx * sy AS DOUBLE) / NULLIF(CAST(k * sxx - sx * sx AS DOUBLE), 0) AS slope FROM {name}_s),
+{name}_f AS (SELECT *, (CAST(sy AS DOUBLE) - slope * CAST(sx AS DOUBLE)) / CAST(k AS DOUBLE) AS intercept FROM {name})"""
+
+
+_BACKTEST = _SERIES + f""",
+train AS (SELECT * FROM ser WHERE n >= 6 AND idx < n - 3),
+test AS (SELECT idx, CAST(y AS DOUBLE) AS actual FROM ser WHERE n >= 6 AND idx >= n - 3),
+ma AS (SELECT CAST(SUM(y) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS level FROM train
+       WHERE idx > (SELECT MAX(idx) FROM train) - 3),
+{_fit('train', 'lt')},
+preds AS (
+  SELECT 'moving_average' AS method, 0 AS method_order, t.idx, t.actual, (SELECT level FROM ma) AS pred FROM test t
+  UNION ALL
+  SELECT 'linear_trend', 1, t.idx, t.actual, f.slope * CAST(t.idx AS DOUBLE) + f.intercept FROM test t, lt_f f WHERE f.k >= 3),
+err AS (SELECT method, method_order, sqrt(AVG(power(actual - pred, 2))) AS rmse, AVG(abs(actual - pred)) AS mae
+        FROM preds GROUP BY method, method_order),
+ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY rmse, method_order) AS rank FROM err)
+"""
+
+_BODIES["t5_backtest_closed_form"] = _BACKTEST + """
+SELECT 'campaign_revenue' AS series, method,
+       CASE method WHEN 'moving_average' THEN 'Moving Average' ELSE 'Linear Trend' END AS label,
+       CAST(method_order AS BIGINT) AS method_order, 'ok' AS status, ROUND(rmse, 6) AS rmse, ROUND(mae, 6) AS mae,
+       CAST(rank AS BIGINT) AS rank, CAST(3 AS BIGINT) AS test_months
+FROM ranked"""
+
+_BODIES["t6_trend"] = _SERIES + f""",
+{_fit('ser', 'whole')}
+SELECT 'campaign_revenue' AS series, CAST(k AS BIGINT) AS n_months, ROUND(slope, 6) AS slope_per_month,
+       ROUND(intercept, 6) AS intercept,
+       ROUND(CAST(k * sxy - sx * sy AS DOUBLE) * CAST(k * sxy - sx * sy AS DOUBLE)
+             / (CAST(k * sxx - sx * sx AS DOUBLE) * (CAST(k AS DOUBLE) * syy - CAST(sy AS DOUBLE) * CAST(sy AS DOUBLE))), 6) AS r_squared,
+       ROUND(CASE WHEN slope < 0 AND intercept > 0 THEN -intercept / slope - CAST(k AS DOUBLE) END, 6) AS months_until_zero
+FROM whole_f WHERE k >= 3"""
+
+_BODIES["t7_forecast_closed_form"] = _BACKTEST + f""",
+{_fit('ser', 'whole')},
+win AS (SELECT method FROM ranked WHERE rank = 1),
+last AS (SELECT MAX(month) AS lm, MAX(n) AS n FROM ser),
+steps AS (SELECT unnest(range(1, 4)) AS step),
+ma_full AS (SELECT CAST(SUM(y) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS level FROM ser WHERE idx > (SELECT MAX(idx) FROM ser) - 3),
+fc AS (
+  SELECT st.step, CAST(l.lm + st.step * INTERVAL 1 MONTH AS DATE) AS month,
+         CASE WHEN (SELECT method FROM win) = 'moving_average' THEN (SELECT level FROM ma_full)
+              ELSE f.slope * CAST(l.n + st.step - 1 AS DOUBLE) + f.intercept END AS pred
+  FROM steps st, last l, whole_f f)
+SELECT 'campaign_revenue' AS series, (SELECT method FROM win) AS method, CAST(step AS BIGINT) AS step, month,
+       ROUND(pred, 6) AS forecast_revenue, ROUND(SUM(pred) OVER (), 6) AS total
+FROM fc"""

@@ -282,6 +282,76 @@ def _register_corpus():
 _register_corpus()
 
 
+# ------------------------------------------------------------ experiments (E)
+@register("e1_variant_summary")
+def _e1(spark, sf):
+    from adpulse.operators.experiments import variant_summary
+    return variant_summary(_b(spark, sf, ("ab_test",)).ab_test)
+
+
+@register("e2_ab_statistics")
+def _e2(spark, sf):
+    from adpulse.operators.experiments import ab_test
+    b = _b(spark, sf, ("ab_test",))
+    return ab_test(b.ab_test, b.params, with_p_values=False)
+
+
+@register("e3_ab_test")
+def _e3(spark, sf):
+    from adpulse.operators.experiments import ab_test
+    b = _b(spark, sf, ("ab_test",))
+    return ab_test(b.ab_test, b.params)
+
+
+# ------------------------------------------------------------ forecast (T)
+def _series(spark, sf):
+    from adpulse.operators.forecast import monthly_series
+    b = _b(spark, sf, _C)
+    return b, monthly_series(b.campaigns, b.params)
+
+
+@register("t5_backtest_closed_form")
+def _t5c(spark, sf):
+    from adpulse.operators.forecast import backtest
+    b, s = _series(spark, sf)
+    return backtest(s, b.params.replace(forecast_methods=("moving_average", "linear_trend")))
+
+
+@register("t5_backtest")
+def _t5(spark, sf):
+    from adpulse.operators.forecast import backtest
+    b, s = _series(spark, sf)
+    return backtest(s, b.params)
+
+
+@register("t6_trend")
+def _t6(spark, sf):
+    from adpulse.operators.forecast import trend_diagnostics
+    b, s = _series(spark, sf)
+    return trend_diagnostics(s, with_p_value=False)
+
+
+@register("t6_trend_p_value")
+def _t6p(spark, sf):
+    from adpulse.operators.forecast import trend_diagnostics
+    b, s = _series(spark, sf)
+    return trend_diagnostics(s)
+
+
+@register("t7_forecast_closed_form")
+def _t7c(spark, sf):
+    from adpulse.operators.forecast import select_and_forecast
+    b, s = _series(spark, sf)
+    return select_and_forecast(s, b.params.replace(forecast_methods=("moving_average", "linear_trend")))
+
+
+@register("t7_forecast")
+def _t7(spark, sf):
+    from adpulse.operators.forecast import select_and_forecast
+    b, s = _series(spark, sf)
+    return select_and_forecast(s, b.params)
+
+
 def normalize_types(df):
     """Output convention: every integral column leaves as BIGINT, every
     floating column as DOUBLE (so result schemas do not depend on which
