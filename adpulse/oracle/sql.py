@@ -696,3 +696,135 @@ fc AS (
 SELECT 'campaign_revenue' AS series, (SELECT method FROM win) AS method, CAST(step AS BIGINT) AS step, month,
        ROUND(pred, 6) AS forecast_revenue, ROUND(SUM(pred) OVER (), 6) AS total
 FROM fc"""
+
+
+# ------------------------------------------------------------------ coverage
+_BODIES["a5_as_of_channel_kpis"] = (
+    f"SELECT channel, {_SUMS}, {_kpis()} FROM cc WHERE date <= DATE '1998-12-31' AND channel IS NOT NULL GROUP BY channel")
+
+_SPANS = """
+WITH spans AS (
+  SELECT 'campaigns' AS t, COUNT(*) AS n, MIN(date) AS lo, MAX(date) AS hi FROM cc
+  UNION ALL SELECT 'customers', COUNT(*), MIN(acquisition_date), MAX(acquisition_date) FROM cu
+  UNION ALL SELECT 'transactions', COUNT(*), MIN(transaction_date), MAX(transaction_date) FROM tx
+  UNION ALL SELECT 'ab_test', COUNT(*), MIN(date), MAX(date) FROM ab),
+m AS (SELECT COALESCE(MAX(CASE WHEN n > 0 THEN (year(hi) - year(lo)) * 12 + month(hi) - month(lo) + 1 END), 0) AS months FROM spans)
+"""
+_BODIES["a6_max_date"] = _SPANS + "SELECT MAX(hi) AS max_date FROM spans"
+_BODIES["a7_months_of_history"] = _SPANS + "SELECT CAST(months AS BIGINT) AS months_of_history FROM m"
+_BODIES["a8_capabilities"] = _SPANS + """,
+c AS (SELECT SUM(n) FILTER (WHERE t = 'campaigns') AS nc, SUM(n) FILTER (WHERE t = 'customers') AS ncu,
+             SUM(n) FILTER (WHERE t = 'transactions') AS nt, SUM(n) FILTER (WHERE t = 'ab_test') AS nab,
+             (SELECT months FROM m) AS months,
+             (SELECT COUNT(DISTINCT channel) FROM cc WHERE spend > 0) AS paid FROM spans)
+SELECT nc > 0 AS overview, nc > 0 AS marketing, nc > 0 AND months >= 6 AS forecast,
+       nc > 0 AND ncu > 0 AS acquisition_cost, ncu > 0 AND nt > 0 AS customer_value, nt > 0 AS rfm,
+       ncu > 0 AND nt > 0 AS cohorts, nc > 0 AND ncu > 0 AND nt > 0 AS profitability,
+       nc > 0 AND ncu > 0 AND nt > 0 AND paid >= 4 AS reallocation, nab > 0 AS experiments,
+       ncu > 0 AND nt > 0 AND ncu >= 500 AND months >= 6 AS churn_ml
+FROM c"""
+_BODIES["a9_table_profile"] = """
+SELECT 'campaigns' AS table_name, COUNT(*) AS rows, CAST(13 AS BIGINT) AS columns, MIN(date) AS min_date, MAX(date) AS max_date FROM fx_campaigns
+UNION ALL SELECT 'customers', COUNT(*), 8, MIN(acquisition_date), MAX(acquisition_date) FROM fx_customers
+UNION ALL SELECT 'transactions', COUNT(*), 8, MIN(transaction_date), MAX(transaction_date) FROM fx_transactions
+UNION ALL SELECT 'ab_test', COUNT(*), 7, MIN(date), MAX(date) FROM fx_ab_test"""
+
+
+def _null_profile() -> str:
+    cols = {
+        "campaigns": "campaign_id campaign_name channel objective device country audience date spend impressions clicks conversions revenue",
+        "customers": "customer_id acquisition_channel acquisition_date age_group city country subscription_plan first_purchase_value",
+        "transactions": "transaction_id customer_id transaction_date product_category amount discount profit refund_flag",
+        "ab_test": "variant date impressions clicks conversions revenue spend",
+    }
+    parts = []
+    for t, cs in cols.items():
+        for c in cs.split():
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count FROM fx_{t}")
+    return "\nUNION ALL ".join(parts)
+
+
+_BODIES["a10_null_profile"] = _null_profile()
+
+# ------------------------------------------------------------------ snapshot / replay
+_BODIES["r1_snapshot_status"] = """
+WITH mon AS (SELECT COUNT(*) AS months FROM (
+        SELECT DISTINCT CAST(date_trunc('month', date) AS DATE) FROM cc) x),
+b AS (SELECT MIN(date) lo, MAX(date) hi FROM cc),
+mm AS (SELECT (year(CASE WHEN hi < last_day(hi) THEN hi - INTERVAL 1 MONTH ELSE hi END) * 12
+             + month(CASE WHEN hi < last_day(hi) THEN hi - INTERVAL 1 MONTH ELSE hi END))
+             - (year(lo) * 12 + month(lo)) + 1 AS months FROM b),
+g AS (SELECT (SELECT COUNT(*) FROM cc) AS nc, (SELECT COUNT(*) FROM cu) AS ncu, (SELECT COUNT(*) FROM tx) AS nt,
+             (SELECT COUNT(*) FROM ab) AS nab, GREATEST((SELECT months FROM mm), 0) AS months,
+             (SELECT COUNT(DISTINCT customer_id) FROM tx WHERE NOT refund_flag) AS rfm_n,
+             (SELECT COALESCE(SUM(clicks) FILTER (WHERE variant = 'A'), 0) FROM ab) AS ca,
+             (SELECT COALESCE(SUM(clicks) FILTER (WHERE variant = 'B'), 0) FROM ab) AS cb,
+             (SELECT COUNT(*) FROM (SELECT year(acquisition_date) * 12 + month(acquisition_date) AS m, COUNT(*) AS k
+                                    FROM cu GROUP BY 1) z WHERE k >= 20) AS big_cohorts)
+SELECT CAST(1 AS BIGINT) AS module_order, 'marketing' AS module,
+       CASE WHEN nc = 0 THEN 'unavailable' WHEN months < 1 THEN 'insufficient_data' ELSE 'ok' END AS status,
+       CASE WHEN nc = 0 THEN 'marketing requires campaigns' WHEN months < 1 THEN 'seasonality needs at least 1 complete month' END AS reason FROM g
+UNION ALL SELECT 2, 'customers',
+       CASE WHEN ncu = 0 OR nt = 0 THEN 'unavailable' WHEN rfm_n < 20 OR big_cohorts < 1 THEN 'insufficient_data' ELSE 'ok' END,
+       CASE WHEN ncu = 0 OR nt = 0 THEN 'customers requires customers, transactions'
+            WHEN rfm_n < 20 THEN format('rfm needs 20 purchasing customers; has {}', rfm_n)
+            WHEN big_cohorts < 1 THEN 'cohorts need a cohort of at least 20 customers' END FROM g
+UNION ALL SELECT 3, 'finance',
+       CASE WHEN nc = 0 OR ncu = 0 OR nt = 0 THEN 'unavailable' ELSE 'ok' END,
+       CASE WHEN nc = 0 OR ncu = 0 OR nt = 0 THEN 'finance requires campaigns, customers, transactions' END FROM g
+UNION ALL SELECT 4, 'experiments',
+       CASE WHEN nab = 0 THEN 'unavailable' WHEN ca <= 0 OR cb <= 0 THEN 'insufficient_data' ELSE 'ok' END,
+       CASE WHEN nab = 0 THEN 'experiments requires ab_test' WHEN ca <= 0 OR cb <= 0 THEN 'ab_test needs clicks in both variants A and B' END FROM g
+UNION ALL SELECT 5, 'forecast',
+       CASE WHEN nc = 0 THEN 'unavailable' WHEN months < 6 THEN 'insufficient_data' ELSE 'ok' END,
+       CASE WHEN nc = 0 THEN 'forecast requires campaigns' WHEN months < 6 THEN format('forecast needs 6 months; has {}', months) END FROM g"""
+
+_CURSORS = """
+WITH bnd AS (
+  SELECT LEAST((SELECT MIN(date) FROM cc), (SELECT MIN(acquisition_date) FROM cu), (SELECT MIN(transaction_date) FROM tx)) AS s,
+         GREATEST((SELECT MAX(date) FROM cc), (SELECT MAX(acquisition_date) FROM cu), (SELECT MAX(transaction_date) FROM tx),
+                  (SELECT MAX(date) FROM ab)) AS e),
+ticks AS (SELECT GREATEST(1, CAST(ceil(date_diff('day', s, e) / 7.0) AS BIGINT)) AS total FROM bnd),
+cur AS (SELECT CAST(k AS BIGINT) AS tick, LEAST(CAST(s + CAST(k * 7 AS INTEGER) AS DATE), e) AS cursor
+        FROM bnd, ticks, range(0, total + 1) r(k))
+"""
+
+_BODIES["r2_replay_series"] = _CURSORS + """,
+c AS (SELECT cur.tick, SUM(revenue) AS revenue, SUM(spend) AS spend, SUM(impressions) AS impressions,
+             SUM(clicks) AS clicks, SUM(conversions) AS conversions
+      FROM cur JOIN cc ON cc.date <= cur.cursor GROUP BY cur.tick),
+t AS (SELECT cur.tick, COUNT(*) AS purchases, SUM(profit) AS gross_profit
+      FROM cur JOIN tx ON tx.transaction_date <= cur.cursor AND NOT tx.refund_flag GROUP BY cur.tick),
+k AS (SELECT cur.tick, COUNT(*) AS customers FROM cur JOIN cu ON cu.acquisition_date <= cur.cursor GROUP BY cur.tick)
+SELECT cur.tick, cur.cursor, CAST(COALESCE(c.revenue, 0) AS DOUBLE) AS revenue, CAST(COALESCE(c.spend, 0) AS DOUBLE) AS spend,
+       CAST(COALESCE(c.impressions, 0) AS BIGINT) AS impressions, CAST(COALESCE(c.clicks, 0) AS BIGINT) AS clicks,
+       CAST(COALESCE(c.conversions, 0) AS BIGINT) AS conversions, CAST(COALESCE(t.purchases, 0) AS BIGINT) AS purchases,
+       CAST(COALESCE(t.gross_profit, 0) AS DOUBLE) AS gross_profit, CAST(COALESCE(k.customers, 0) AS BIGINT) AS customers,
+       CAST(COALESCE(c.revenue, 0) AS DOUBLE) / NULLIF(CAST(COALESCE(c.spend, 0) AS DOUBLE), 0) AS roas
+FROM cur LEFT JOIN c ON cur.tick = c.tick LEFT JOIN t ON cur.tick = t.tick LEFT JOIN k ON cur.tick = k.tick"""
+
+_BODIES["r3_replay_repeat_customers"] = _CURSORS + """,
+p AS (SELECT customer_id, transaction_date AS d FROM tx WHERE NOT refund_flag AND customer_id IS NOT NULL),
+x AS (SELECT cur.tick, customer_id, COUNT(*) AS n FROM cur JOIN p ON p.d <= cur.cursor GROUP BY cur.tick, customer_id),
+y AS (SELECT tick, COUNT(*) AS transacting, COUNT(*) FILTER (WHERE n > 1) AS repeaters FROM x GROUP BY tick)
+SELECT cur.tick, cur.cursor, CAST(COALESCE(y.transacting, 0) AS BIGINT) AS transacting_customers,
+       CAST(COALESCE(y.repeaters, 0) AS BIGINT) AS repeat_customers,
+       COALESCE(CAST(y.repeaters AS DOUBLE) / NULLIF(CAST(y.transacting AS DOUBLE), 0), 0.0) AS repeat_rate
+FROM cur LEFT JOIN y ON cur.tick = y.tick"""
+
+# ------------------------------------------------------------------ streaming (batch equivalents)
+_BODIES["r4_stream_channel_kpis"] = _BODIES["m3_by_channel"]
+_BODIES["r5_stream_weekly_revenue"] = """
+WITH w AS (
+  SELECT TIMESTAMP '1970-01-01' + INTERVAL (CAST(floor(epoch(CAST(date AS TIMESTAMP)) / 604800) AS BIGINT) * 7) DAY AS window_start,
+         revenue FROM cc),
+g AS (SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, CAST(SUM(revenue) AS DOUBLE) AS revenue,
+             COUNT(*) AS rows FROM w GROUP BY window_start)
+SELECT * FROM g WHERE window_end <= (SELECT CAST(MAX(date) AS TIMESTAMP) FROM cc) - INTERVAL 7 DAY"""
+_BODIES["r6_stream_dedup"] = "SELECT DISTINCT * FROM fx_campaigns"
+_BODIES["r7_stream_enrich"] = """
+SELECT t.transaction_id, t.customer_id, t.transaction_date, CAST(t.amount AS DOUBLE) AS amount,
+       c.acquisition_channel, c.subscription_plan,
+       CASE WHEN t.customer_id IS NULL THEN 'missing_customer_id' WHEN c.acquisition_channel IS NULL THEN 'orphan' ELSE 'ok' END AS status
+FROM fx_transactions t LEFT JOIN fx_customers c ON t.customer_id = c.customer_id"""

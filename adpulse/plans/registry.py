@@ -352,6 +352,97 @@ def _t7(spark, sf):
     return select_and_forecast(s, b.params)
 
 
+# ------------------------------------------------------------ coverage (A)
+def _tables(spark, sf, raw=False):
+    b = _b(spark, sf)
+    if raw:
+        return b, dict(b.raw)
+    return b, b.tables
+
+
+@register("a5_as_of_channel_kpis")
+def _a5(spark, sf):
+    """Channel KPIs on the slice visible at a cursor (filter pushed into the
+    derivation of every table)."""
+    return mk.groupby_kpis(_b(spark, sf, _C).as_of("1998-12-31").campaigns, "channel")
+
+
+@register("a6_max_date")
+def _a6(spark, sf):
+    from adpulse.operators.coverage import max_date
+    return max_date(_tables(spark, sf)[1])
+
+
+@register("a7_months_of_history")
+def _a7(spark, sf):
+    from adpulse.operators.coverage import months_of_history
+    return months_of_history(_tables(spark, sf)[1])
+
+
+@register("a8_capabilities")
+def _a8(spark, sf):
+    from adpulse.operators.coverage import capabilities
+    b, t = _tables(spark, sf)
+    return capabilities(t, b.params)
+
+
+@register("a9_table_profile")
+def _a9(spark, sf):
+    from adpulse.operators.coverage import table_profile
+    return table_profile(_tables(spark, sf, raw=True)[1])
+
+
+@register("a10_null_profile")
+def _a10(spark, sf):
+    from adpulse.operators.coverage import null_profile
+    return null_profile(_tables(spark, sf, raw=True)[1])
+
+
+# ------------------------------------------------------------ snapshot / replay / streaming (R)
+@register("r1_snapshot_status")
+def _r1(spark, sf):
+    from adpulse.plans.snapshot import snapshot_status
+    b = _b(spark, sf)
+    return snapshot_status(b, b.params)
+
+
+@register("r2_replay_series")
+def _r2(spark, sf):
+    from adpulse.plans.snapshot import replay_series
+    return replay_series(_b(spark, sf))
+
+
+@register("r3_replay_repeat_customers")
+def _r3(spark, sf):
+    from adpulse.plans.snapshot import replay_repeat_customers
+    return replay_repeat_customers(_b(spark, sf))
+
+
+@register("r4_stream_channel_kpis")
+def _r4(spark, sf):
+    from adpulse.streaming.jobs import stream_channel_kpis
+    return stream_channel_kpis(_b(spark, sf, _C).campaigns)
+
+
+@register("r5_stream_weekly_revenue")
+def _r5(spark, sf):
+    from adpulse.streaming.jobs import stream_weekly_revenue
+    return stream_weekly_revenue(_b(spark, sf, _C).campaigns)
+
+
+@register("r6_stream_dedup")
+def _r6(spark, sf):
+    from adpulse.streaming.jobs import stream_dedup
+    return stream_dedup(_raw(spark, sf, ("campaigns",))[0])
+
+
+@register("r7_stream_enrich")
+def _r7(spark, sf):
+    from adpulse.streaming.jobs import stream_enrich
+    t, c = _raw(spark, sf, ("transactions", "customers"))
+    return stream_enrich(t, c)
+
+
 def normalize_types(df):
     """Output convention: every integral column leaves as BIGINT, every
     floating column as DOUBLE (so result schemas do not depend on which
