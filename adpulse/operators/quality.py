@@ -106,15 +106,6 @@ def _predicates(params: AnalysisParams) -> dict:
     }
 
 
-@dataclass
-class AuditResult:
-    report: DataFrame        # one row per applicable rule
-    rows: DataFrame          # table, rows_before, rows_after, rows_removed
-    clean: dict              # name -> clean DataFrame
-    quarantine: DataFrame    # rule_key, table, row_json of removed rows
-    examples: DataFrame      # rule_key, example_rank, row_json (<= 20 per rule)
-
-
 def _dedup_with_copies(campaigns: DataFrame) -> DataFrame:
     """Full-row distinct that keeps the number of copies (one shuffle).
     The copies column lets one aggregation count raw rows and duplicates."""
@@ -122,95 +113,179 @@ def _dedup_with_copies(campaigns: DataFrame) -> DataFrame:
     return campaigns.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
 
 
+class _Lazy(dict):
+    """A dict whose values are built on first access."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def get(self, key, default=None):
+        if key not in self._builders:
+            return default
+        if not dict.__contains__(self, key):
+            dict.__setitem__(self, key, self._builders[key]())
+        return dict.__getitem__(self, key)
+
+    __getitem__ = get
+
+    def keys(self):
+        return self._builders.keys()
+
+    def items(self):
+        return [(k, self.get(k)) for k in self._builders]
+
+    def __contains__(self, key):
+        return key in self._builders
+
+    def __iter__(self):
+        return iter(self._builders)
+
+
+class AuditResult:
+    """Audit outputs, each planned on first access (building every report,
+    quarantine and example plan up front costs thousands of driver round
+    trips that most callers never need):
+
+    * ``clean``: name -> clean DataFrame
+    * ``report``: one row per applicable rule
+    * ``rows``: table_name, rows_before, rows_after, rows_removed
+    * ``quarantine``: rule_key, table_name, row_json of removed rows
+    * ``examples``: rule_key, table_name, example_rank, row_json (<= 20 per rule)
+    """
+
+    def __init__(self, raw: dict, params: AnalysisParams = DEFAULTS):
+        self.present = {k: v for k, v in raw.items() if v is not None}
+        self.spark: SparkSession = next(iter(self.present.values())).sparkSession
+        self.params = params
+        self.preds = _predicates(params)
+        self._memo: dict = {}
+        self.clean = _Lazy({n: (lambda n=n: self._clean(n)) for n in self.present})
+
+    def _once(self, key, fn):
+        if key not in self._memo:
+            self._memo[key] = fn()
+        return self._memo[key]
+
+    # -- campaigns: de-dup immediately, then every check in one aggregation
+    def _dedup(self):
+        return self._once("dd", lambda: _dedup_with_copies(self.present["campaigns"]))
+
+    def _campaign_bad(self):
+        p = self.preds
+        return F.coalesce(p["negative_spend"] | p["negative_revenue"], F.lit(False))
+
+    # -- transactions: orphans are decided on the distinct id set (partial
+    # aggregation collapses a hot customer to one row per task); the few
+    # orphan ids are then broadcast behind a size check.
+    def _orphan_ids(self):
+        def build():
+            t = self.present["transactions"]
+            ids = (t.filter(F.col("customer_id").isNotNull())
+                   .groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n")))
+            if "customers" in self.present:
+                known = self.present["customers"].select("customer_id").distinct()
+                return ids.join(known, "customer_id", "left_anti").persist()
+            return ids.persist()  # no customers table: every identified row is an orphan
+        return self._once("orphan_ids", build)
+
+    def _identified(self):
+        return self.present["transactions"].filter(F.col("customer_id").isNotNull())
+
+    def _orphans(self):
+        return self._once("orphans", lambda: filter_by_keys(
+            self._identified(), self._orphan_ids().select("customer_id"), "customer_id", "left_semi"))
+
+    def _clean(self, name):
+        if name == "campaigns":
+            kept = self._dedup().drop("_copies").filter(~self._campaign_bad())
+            return kept.withColumn("conversions", F.when(F.col("conversions") > F.col("clicks"), F.col("clicks"))
+                                   .otherwise(F.col("conversions")))
+        if name == "transactions":
+            return filter_by_keys(self._identified(), self._orphan_ids().select("customer_id"),
+                                  "customer_id", "left_anti")
+        return self.present[name]
+
+    def _stats(self):
+        def build():
+            p, stats = self.preds, {}
+            if "campaigns" in self.present:
+                ck = [r.key for r in RULES if r.table == "campaigns" and r.key != "duplicate_rows"]
+                stats["campaigns"] = self._dedup().agg(
+                    F.sum("_copies").alias("rows_before"), F.count(F.lit(1)).alias("n_dedup"),
+                    *[F.count_if(p[k]).alias(k) for k in ck],
+                    F.count_if(self._campaign_bad()).alias("n_dropped"))
+            if "customers" in self.present:
+                stats["customers"] = self.present["customers"].agg(
+                    F.count(F.lit(1)).alias("rows_before"), F.count_if(p["missing_age_group"]).alias("missing_age_group"))
+            if "transactions" in self.present:
+                n_orphans = self._orphan_ids().agg(
+                    F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_transactions"))
+                base = self.present["transactions"].agg(
+                    F.count(F.lit(1)).alias("rows_before"),
+                    F.count_if(p["missing_customer_id"]).alias("missing_customer_id"),
+                    F.count_if(F.coalesce(p["profit_exceeds_amount"], F.lit(False))).alias("profit_exceeds_amount"))
+                stats["transactions"] = base.select("*", n_orphans.scalar().alias("orphan_transactions"))
+            if "ab_test" in self.present:
+                stats["ab_test"] = self.present["ab_test"].agg(F.count(F.lit(1)).alias("rows_before"))
+            return _report(self.spark, stats)
+        return self._once("stats", build)
+
+    @property
+    def report(self) -> DataFrame:
+        return self._stats()[0]
+
+    @property
+    def rows(self) -> DataFrame:
+        return self._stats()[1]
+
+    @property
+    def quarantine(self) -> DataFrame:
+        def build():
+            parts = []
+            if "campaigns" in self.present:
+                dedup = self._dedup().drop("_copies")
+                parts.append(dedup.filter(self._campaign_bad()).select(
+                    F.when(self.preds["negative_spend"], "negative_spend").otherwise("negative_revenue").alias("rule_key"),
+                    F.lit("campaigns").alias("table_name"), F.to_json(F.struct(*dedup.columns)).alias("row_json")))
+            if "transactions" in self.present:
+                t = self.present["transactions"]
+                parts.append(t.filter(F.col("customer_id").isNull()).select(
+                    F.lit("missing_customer_id").alias("rule_key"), F.lit("transactions").alias("table_name"),
+                    F.to_json(F.struct(*t.columns)).alias("row_json")))
+                parts.append(self._orphans().select(
+                    F.lit("orphan_transactions").alias("rule_key"), F.lit("transactions").alias("table_name"),
+                    F.to_json(F.struct(*t.columns)).alias("row_json")))
+            return _union_all(self.spark, parts, "rule_key string, table_name string, row_json string")
+        return self._once("quarantine", build)
+
+    @property
+    def examples(self) -> DataFrame:
+        def build():
+            p, parts = self.preds, []
+            if "campaigns" in self.present:
+                c = self.present["campaigns"]
+                dup_rows = c.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+                parts.append(("duplicate_rows", "campaigns", dup_rows))
+                dedup = self._dedup().drop("_copies")
+                for k in [r.key for r in RULES if r.table == "campaigns" and r.key != "duplicate_rows"]:
+                    parts.append((k, "campaigns", dedup.filter(F.coalesce(p[k], F.lit(False)))))
+            if "customers" in self.present:
+                cu = self.present["customers"]
+                parts.append(("missing_age_group", "customers", cu.filter(p["missing_age_group"])))
+            if "transactions" in self.present:
+                t = self.present["transactions"]
+                parts.append(("missing_customer_id", "transactions", t.filter(p["missing_customer_id"])))
+                parts.append(("profit_exceeds_amount", "transactions",
+                              t.filter(F.coalesce(p["profit_exceeds_amount"], F.lit(False)))))
+                parts.append(("orphan_transactions", "transactions", self._orphans()))
+            return _examples(self.spark, parts)
+        return self._once("examples", build)
+
+
 def audit(raw: dict, params: AnalysisParams = DEFAULTS) -> AuditResult:
-    present = {k: v for k, v in raw.items() if v is not None}
-    spark: SparkSession = next(iter(present.values())).sparkSession
-    preds = _predicates(params)
-    count_rows = []  # (rule_key, issue_count column-expr source df, denominator)
-    clean: dict = {}
-    quarantine_parts = []
-    example_parts = []
-    stats = {}  # table -> one-row DataFrame of counts
-
-    # --- campaigns: de-dup immediately, then all checks in one aggregation
-    if "campaigns" in present:
-        c = present["campaigns"]
-        dd = _dedup_with_copies(c)
-        ck = [r.key for r in RULES if r.table == "campaigns" and r.key != "duplicate_rows"]
-        stats["campaigns"] = dd.agg(
-            F.sum("_copies").alias("rows_before"),
-            F.count(F.lit(1)).alias("n_dedup"),
-            *[F.count_if(preds[k]).alias(k) for k in ck],
-            F.count_if(preds["negative_spend"] | preds["negative_revenue"]).alias("n_dropped"),
-        )
-        dedup = dd.drop("_copies")
-        bad = preds["negative_spend"] | preds["negative_revenue"]
-        kept = dedup.filter(~F.coalesce(bad, F.lit(False)))
-        clean["campaigns"] = kept.withColumn(
-            "conversions",
-            F.when(F.col("conversions") > F.col("clicks"), F.col("clicks")).otherwise(F.col("conversions")))
-        quarantine_parts.append(
-            dedup.filter(F.coalesce(bad, F.lit(False))).select(
-                F.when(preds["negative_spend"], "negative_spend").otherwise("negative_revenue").alias("rule_key"),
-                F.lit("campaigns").alias("table_name"),
-                F.to_json(F.struct(*dedup.columns)).alias("row_json")))
-        dup_rows = c.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        example_parts.append(("duplicate_rows", "campaigns", dup_rows.drop("_n")))
-        for k in ck:
-            example_parts.append((k, "campaigns", dedup.filter(F.coalesce(preds[k], F.lit(False)))))
-
-    # --- customers: nothing removed
-    if "customers" in present:
-        cu = present["customers"]
-        stats["customers"] = cu.agg(
-            F.count(F.lit(1)).alias("rows_before"),
-            F.count_if(preds["missing_age_group"]).alias("missing_age_group"))
-        clean["customers"] = cu
-        example_parts.append(("missing_age_group", "customers", cu.filter(preds["missing_age_group"])))
-
-    # --- transactions: null ids and orphans dropped. Orphans are decided on
-    # the distinct id set (partial aggregation collapses a hot customer to one
-    # row per task) and the few orphan ids are then broadcast, size-checked.
-    if "transactions" in present:
-        t = present["transactions"]
-        ids = (t.filter(F.col("customer_id").isNotNull())
-               .groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n")))
-        if "customers" in present:
-            known = present["customers"].select("customer_id").distinct()
-            orphan_ids = ids.join(known, "customer_id", "left_anti")
-        else:
-            orphan_ids = ids  # no customers table: every identified row is an orphan
-        orphan_ids = orphan_ids.persist()
-        n_orphans = orphan_ids.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_transactions"))
-        base = t.agg(F.count(F.lit(1)).alias("rows_before"),
-                     F.count_if(preds["missing_customer_id"]).alias("missing_customer_id"),
-                     F.count_if(F.coalesce(preds["profit_exceeds_amount"], F.lit(False))).alias("profit_exceeds_amount"))
-        stats["transactions"] = base.select("*", n_orphans.scalar().alias("orphan_transactions"))
-        identified = t.filter(F.col("customer_id").isNotNull())
-        okeys = orphan_ids.select("customer_id")
-        clean["transactions"] = filter_by_keys(identified, okeys, "customer_id", "left_anti")
-        orphans = filter_by_keys(identified, okeys, "customer_id", "left_semi")
-        quarantine_parts.append(
-            t.filter(F.col("customer_id").isNull()).select(
-                F.lit("missing_customer_id").alias("rule_key"), F.lit("transactions").alias("table_name"),
-                F.to_json(F.struct(*t.columns)).alias("row_json")))
-        quarantine_parts.append(orphans.select(
-            F.lit("orphan_transactions").alias("rule_key"), F.lit("transactions").alias("table_name"),
-            F.to_json(F.struct(*t.columns)).alias("row_json")))
-        example_parts.append(("missing_customer_id", "transactions", t.filter(preds["missing_customer_id"])))
-        example_parts.append(("profit_exceeds_amount", "transactions",
-                              t.filter(F.coalesce(preds["profit_exceeds_amount"], F.lit(False)))))
-        example_parts.append(("orphan_transactions", "transactions", orphans))
-
-    if "ab_test" in present:
-        ab = present["ab_test"]
-        stats["ab_test"] = ab.agg(F.count(F.lit(1)).alias("rows_before"))
-        clean["ab_test"] = ab
-
-    report, rows = _report(spark, stats)
-    quarantine = _union_all(spark, quarantine_parts, "rule_key string, table_name string, row_json string")
-    examples = _examples(spark, example_parts)
-    return AuditResult(report=report, rows=rows, clean=clean, quarantine=quarantine, examples=examples)
+    """Q-1 .. Q-14: the audit of the present tables (outputs planned lazily)."""
+    return AuditResult(raw, params)
 
 
 def _union_all(spark, parts, schema: str) -> DataFrame:
@@ -267,20 +342,16 @@ def _report(spark: SparkSession, stats: dict):
 
 def _examples(spark: SparkSession, parts) -> DataFrame:
     """Q-13: the first 20 flagged rows per rule in the declared key order.
-    Each is a distributed top-k (TakeOrderedAndProject), never a full sort."""
-    out = []
+    Each is a distributed top-k (TakeOrderedAndProject), never a full sort;
+    the rank window then runs over at most 20 rows."""
+    res = []
     for key, table, df in parts:
         order = [F.col(c).asc_nulls_first() for c in EXAMPLE_ORDER[table]]
         top = df.orderBy(*order).limit(MAX_EXAMPLES)
-        out.append(top.select(F.lit(key).alias("rule_key"), F.lit(table).alias("table_name"),
-                              F.to_json(F.struct(*df.columns)).alias("row_json"),
-                              *[F.col(c).cast("string").alias(f"_o{i}") for i, c in enumerate(EXAMPLE_ORDER[table])]))
-    res = []
-    for o in out:
-        ocols = [c for c in o.columns if c.startswith("_o")]
-        w = Window.partitionBy("rule_key").orderBy(*ocols)
-        # window over at most 20 rows per rule
-        res.append(o.select("rule_key", "table_name", F.row_number().over(w).alias("example_rank"), "row_json"))
+        w = Window.orderBy(*order)
+        res.append(top.select(F.lit(key).alias("rule_key"), F.lit(table).alias("table_name"),
+                              F.row_number().over(w).alias("example_rank"),
+                              F.to_json(F.struct(*df.columns)).alias("row_json")))
     return _union_all(spark, res, "rule_key string, table_name string, example_rank int, row_json string")
 
 
