@@ -129,6 +129,9 @@ class _Lazy(dict):
 
     __getitem__ = get
 
+    def __setitem__(self, key, value):
+        dict.__setitem__(self, key, value)
+
     def keys(self):
         return self._builders.keys()
 

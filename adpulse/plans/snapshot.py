@@ -168,3 +168,60 @@ def snapshot_status(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
                              status.alias("status"), reason.alias("reason")))
     spark = bundle.raw[next(iter(present))].sparkSession
     return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def materialize(bundle, level=None):
+    """Persist the bundle's clean tables once (MEMORY_AND_DISK) and count
+    them, like the reference's load-and-clean at process start. Later module
+    plans scan the persisted blocks; a lost executor's blocks are recomputed
+    from lineage. Returns the row counts (one small job per table)."""
+    from pyspark import StorageLevel
+    level = level or StorageLevel.MEMORY_AND_DISK
+    counts = {}
+    for name in ("campaigns", "customers", "transactions", "ab_test"):
+        if bundle.raw.get(name) is None:
+            continue
+        df = bundle.audit.clean[name].persist(level)
+        bundle.audit.clean[name] = df
+        counts[name] = df.count()
+    return counts
+
+
+def build_snapshot(bundle, params: AnalysisParams = DEFAULTS) -> dict:
+    """Every module of the dashboard at the bundle's cursor, as named
+    DataFrames. All outputs are bounded (channels, segments, cohorts x
+    months, horizon months, one row per KPI); per-customer tables stay
+    inside the plans."""
+    from adpulse.operators import customers as cu
+    from adpulse.operators import finance as fi
+    from adpulse.operators import marketing as mk
+    from adpulse.operators.experiments import ab_test
+    from adpulse.operators.forecast import monthly_series, select_and_forecast, trend_diagnostics
+    out = {"status": snapshot_status(bundle, params), "quality_report": bundle.audit.report,
+           "quality_rows": bundle.audit.rows}
+    c, cs, t = bundle.campaigns, bundle.customers, bundle.transactions
+    if c is not None:
+        out.update({"funnel": mk.funnel(c), "stages": mk.funnel_stages(c),
+                    "by_dimension": mk.all_dimension_kpis(c), "leaderboard": mk.campaign_leaderboard(c),
+                    "seasonality": mk.seasonality(c, params)})
+        series = monthly_series(c, params).checkpoint(eager=True)  # months only: cut the lineage once
+        out["forecast"] = select_and_forecast(series, params)
+        out["trend"] = trend_diagnostics(series)
+    if cs is not None and t is not None:
+        rfm = cu.rfm_table(t, None, params, check=False)
+        act = cu.cohort_activity(t, cs, params).persist()
+        counts = cu.cohort_counts(act, cs, params)
+        out.update({"segments": cu.segment_summary(rfm), "cohorts": counts,
+                    "cohort_means": cu.cohort_means(cu.cohort_counts(act, cs, params, rounded=False)),
+                    "retention_by_channel": cu.retention_by_channel(act, cs, params),
+                    "value_by_plan": cu.value_by_plan(t, cs, params)})
+    if c is not None and cs is not None and t is not None:
+        cp = fi.customers_with_profit(cs, t, params).persist()
+        table = fi.profit_table(c, cs, cp)
+        out.update({"kpis": fi.headline_kpis(c, cs, t, params), "profitability": fi.profitability(c, cs, cp),
+                    "cac_ltv": fi.cac_ltv_by_channel(c, cs, cp, params),
+                    "reallocation": fi.reallocation_summary(table, params),
+                    "reallocation_plan": fi.reallocation_plan(table, params)})
+    if bundle.ab_test is not None:
+        out["experiments"] = ab_test(bundle.ab_test, params)
+    return out
