@@ -23,16 +23,23 @@ PLANS = ("Free", "Basic", "Premium", "Enterprise")  # custkey % 4
 N_CAMPAIGNS = 42
 
 
-def _pick(key, labels) -> F.Column:
-    """CASE key WHEN 0 THEN labels[0] ... ELSE labels[-1]."""
-    expr = F.when(key == 0, F.lit(labels[0]))
-    for i, lab in enumerate(labels[1:-1], start=1):
-        expr = expr.when(key == i, F.lit(lab))
-    return expr.otherwise(F.lit(labels[-1]))
+def _pick(key_sql: str, labels) -> F.Column:
+    """CASE key WHEN 0 THEN labels[0] ... ELSE labels[-1], as one SQL
+    expression (one driver round trip instead of one per branch)."""
+    whens = " ".join(f"WHEN {i} THEN '{lab}'" for i, lab in enumerate(labels[:-1]))
+    return F.expr(f"CASE {key_sql} {whens} ELSE '{labels[-1]}' END")
+
+
+_READERS: dict = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet reader, memoised per session and path (DataFrames are
+    immutable; this only saves repeated file listing and footer reads)."""
+    key = (id(spark), f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(key[1])
+    return _READERS[key]
 
 
 def _dec(c, p, s):
@@ -56,13 +63,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(bal < 7500, "35-44").otherwise("45-54"))
     return j.select(
         key.alias("customer_id"),
-        _pick(key % 7, CHANNELS).alias("acquisition_channel"),
+        _pick("c_custkey % 7", CHANNELS).alias("acquisition_channel"),
         F.coalesce(F.col("first_order"), F.lit("1995-01-01 00:00:00").cast("timestamp_ntz"))
          .cast("date").alias("acquisition_date"),
         age.alias("age_group"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("country"),
-        _pick(key % 4, PLANS).alias("subscription_plan"),
+        _pick("c_custkey % 4", PLANS).alias("subscription_plan"),
         F.abs(bal).cast("decimal(18,2)").alias("first_purchase_value"),
     )
 
@@ -98,36 +105,37 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = _dec("l_extendedprice", 10, 2)
     # campaign x day grain: at most 42 x days rows whatever the input size;
     # partial aggregation collapses each map task's rows before the shuffle.
+    # (Literal widths keep the products within 18 digits: exact, and on the
+    # fast long-backed decimal path.)
     base = (li.groupBy((F.col("l_suppkey") % N_CAMPAIGNS).alias("cid"),
                        F.col("l_shipdate").cast("date").alias("date"))
             .agg((F.sum("l_quantity") * 100).cast("bigint").alias("impressions"),
                  F.sum("l_quantity").cast("bigint").alias("clicks"),
                  F.count(F.lit(1)).alias("conversions"),
-                 F.sum(price * _dec("l_tax", 4, 2) * F.lit(10)).alias("spend"),
-                 F.sum(price * (F.lit(1) - _dec("l_discount", 4, 2))).alias("revenue")))
-    cid, d = F.col("cid"), F.col("date")
-    day_hash = F.year(d) * 372 + F.month(d) * 31 + F.dayofmonth(d)
-    spend = (F.when(cid % 7 == 6, F.lit(0).cast("decimal(28,4)"))
-             .when((cid * 31 + day_hash) % 701 == 0, (-F.col("spend")).cast("decimal(28,4)"))
-             .otherwise(F.col("spend").cast("decimal(28,4)")))
-    conv = F.when((cid * 17 + day_hash) % 499 == 0, F.col("clicks") + 7).otherwise(F.col("conversions"))
+                 F.sum(price * _dec("l_tax", 4, 2) * F.lit(10).cast("decimal(2,0)")).alias("spend"),
+                 F.sum(price * (F.lit(1).cast("decimal(1,0)") - _dec("l_discount", 4, 2))).alias("revenue")))
+    day_hash = "(year(date) * 372 + month(date) * 31 + day(date))"
     b = base.select(
-        F.concat(F.lit("CMP-"), (F.lit(1000) + cid).cast("string")).alias("campaign_id"),
-        F.concat(F.lit("Campaign_"), cid.cast("string")).alias("campaign_name"),
-        _pick(cid % 7, CHANNELS).alias("channel"),
-        _pick(cid % 3, OBJECTIVES).alias("objective"),
-        _pick((cid + 1) % 3, DEVICES).alias("device"),
-        _pick(cid % 5, COUNTRIES).alias("country"),
-        _pick(cid % 4, AUDIENCES).alias("audience"),
-        d.alias("date"),
-        spend.alias("spend"),
+        F.expr("concat('CMP-', CAST(1000 + cid AS STRING))").alias("campaign_id"),
+        F.expr("concat('Campaign_', CAST(cid AS STRING))").alias("campaign_name"),
+        _pick("cid % 7", CHANNELS).alias("channel"),
+        _pick("cid % 3", OBJECTIVES).alias("objective"),
+        _pick("(cid + 1) % 3", DEVICES).alias("device"),
+        _pick("cid % 5", COUNTRIES).alias("country"),
+        _pick("cid % 4", AUDIENCES).alias("audience"),
+        F.col("date"),
+        F.expr(f"CASE WHEN cid % 7 = 6 THEN CAST(0 AS DECIMAL(28,4)) "
+               f"WHEN (cid * 31 + {day_hash}) % 701 = 0 THEN CAST(-spend AS DECIMAL(28,4)) "
+               f"ELSE CAST(spend AS DECIMAL(28,4)) END").alias("spend"),
         F.col("impressions"), F.col("clicks"),
-        conv.alias("conversions"),
+        F.expr(f"CASE WHEN (cid * 17 + {day_hash}) % 499 = 0 THEN clicks + 7 ELSE conversions END")
+        .alias("conversions"),
         F.col("revenue").cast("decimal(28,4)").alias("revenue"),
+        # seeded fault: campaign CMP-1005 (cid 5) is double-loaded for every January
+        F.expr("CASE WHEN cid = 5 AND month(date) = 1 THEN 2 ELSE 1 END").alias("_copies"),
     )
-    # seeded fault: campaign CMP-1005 is double-loaded for every January
-    dup = b.filter((F.col("campaign_id") == "CMP-1005") & (F.month("date") == 1))
-    return b.unionAll(dup)
+    # the extra copies come from one pass (explode), not a second aggregation
+    return b.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
 
 
 def ab_test(spark: SparkSession, sf_dir: str) -> DataFrame:
