@@ -27,16 +27,26 @@ MIN_ARIMA_POINTS = 8
 
 
 def monthly_series(campaigns: DataFrame, params: AnalysisParams = DEFAULTS,
-                   series: str = "campaign_revenue") -> DataFrame:
+                   series: str = "campaign_revenue", cut_lineage: bool = True) -> DataFrame:
     """Monthly revenue (zero-filled, partial trailing month dropped) as
     (series, month, y DECIMAL, idx 0..n-1, n). The index window runs per
-    series over at most a calendar's worth of months."""
+    series over at most a calendar's worth of months.
+
+    The backtest and the refit read this series in many branches; with
+    ``cut_lineage`` it is computed once and checkpointed (reliably, to
+    ``spark.checkpoint.dir``; it is one row per month) so no branch
+    re-derives the campaigns."""
     from adpulse.operators.marketing import monthly_revenue_exact
+    from adpulse.session import ensure_checkpoint_dir
     m = monthly_revenue_exact(campaigns, params).withColumn("series", F.lit(series))
     w = Window.partitionBy("series").orderBy("month")
-    return (m.select("series", "month", F.col("revenue").alias("y"),
-                     (F.row_number().over(w) - 1).alias("idx"))
-            .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("series"))))
+    out = (m.select("series", "month", F.col("revenue").alias("y"),
+                    (F.row_number().over(w) - 1).alias("idx"))
+           .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("series"))))
+    if cut_lineage:
+        ensure_checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def _linear_fit(points: DataFrame) -> DataFrame:

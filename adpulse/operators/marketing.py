@@ -135,9 +135,11 @@ def monthly_revenue_exact(campaigns: DataFrame, params: AnalysisParams = DEFAULT
     zero-filled between the first and last month; a trailing month whose last
     day is after the data's last date is dropped when
     ``drop_partial_trailing_month``."""
+    # one pass over the campaigns: the span bounds come from the per-month
+    # aggregate (a few hundred rows), not from a second scan
     by_month = (campaigns.groupBy(F.trunc("date", "MM").alias("month"))
-                .agg(F.sum("revenue").alias("revenue")))
-    bounds = campaigns.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+                .agg(F.sum("revenue").alias("revenue"), F.min("date").alias("_lo"), F.max("date").alias("_hi")))
+    bounds = by_month.agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
     last_month = F.trunc(F.col("hi"), "MM")
     end = (F.when(F.col("hi") < F.last_day("hi"), F.add_months(last_month, -1)).otherwise(last_month)
            if params.drop_partial_trailing_month else last_month)
@@ -146,7 +148,7 @@ def monthly_revenue_exact(campaigns: DataFrame, params: AnalysisParams = DEFAULT
     spine = bounds.filter(F.col("lo").isNotNull()).select(
         F.explode(F.when(end >= start, F.sequence(start, end, F.expr("interval 1 month")))
                   .otherwise(F.array().cast("array<date>"))).alias("month"))
-    return (spine.join(by_month, "month", "left")
+    return (spine.join(by_month.select("month", "revenue"), "month", "left")
             .select("month", F.coalesce(F.col("revenue"), F.lit(0).cast("decimal(38,4)"))
                     .cast("decimal(28,4)").alias("revenue")))
 

@@ -204,7 +204,7 @@ def build_snapshot(bundle, params: AnalysisParams = DEFAULTS) -> dict:
         out.update({"funnel": mk.funnel(c), "stages": mk.funnel_stages(c),
                     "by_dimension": mk.all_dimension_kpis(c), "leaderboard": mk.campaign_leaderboard(c),
                     "seasonality": mk.seasonality(c, params)})
-        series = monthly_series(c, params).checkpoint(eager=True)  # months only: cut the lineage once
+        series = monthly_series(c, params)  # months only, checkpointed once
         out["forecast"] = select_and_forecast(series, params)
         out["trend"] = trend_diagnostics(series)
     if cs is not None and t is not None:
