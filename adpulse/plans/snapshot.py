@@ -1,11 +1,12 @@
 """Point-in-time snapshot status and replay (R1 .. R3, R8).
 
-The replay re-aim: instead of recomputing a snapshot per wall-clock tick, one
-job assigns every row to the first tick whose cursor covers it
-(tick = ceil((date - start) / 7), clamped to the last tick), aggregates per
-tick, and takes running sums over the tick spine. The spine has
-ceil(span / 7) + 1 rows (bounded by the calendar), so its window is tiny;
-no row is ever paired with more than one cursor.
+The replay re-aim: instead of recomputing a snapshot per wall-clock tick,
+every table is first reduced to one row per day (one scan each), each day is
+assigned to the first tick whose cursor covers it
+(tick = ceil((date - start) / 7), clamped to the last tick), and the ticks get
+running sums. The spine has ceil(span / 7) + 1 rows (bounded by the
+calendar), so its window is tiny; no row is ever paired with more than one
+cursor.
 """
 
 from __future__ import annotations
@@ -20,56 +21,66 @@ from adpulse.params import DEFAULTS, AnalysisParams
 DAYS_PER_TICK = 7
 
 
-def replay_bounds(bundle) -> DataFrame:
-    """One row: start (earliest campaign/customer/transaction date), end
-    (latest date of any table) and the number of ticks."""
-    lows = [bundle.campaigns.select(F.min("date").alias("d")),
-            bundle.customers.select(F.min("acquisition_date").alias("d")),
-            bundle.transactions.select(F.min("transaction_date").alias("d"))]
-    highs = [bundle.campaigns.select(F.max("date").alias("d")),
-             bundle.customers.select(F.max("acquisition_date").alias("d")),
-             bundle.transactions.select(F.max("transaction_date").alias("d"))]
+def _daily(bundle) -> dict:
+    """Every table aggregated to its date once (one scan each). The results
+    have at most one row per calendar day, so they are cached and all replay
+    arithmetic runs on them."""
+    c = (bundle.campaigns.groupBy("date")
+         .agg(F.sum("revenue").alias("revenue"), F.sum("spend").alias("spend"),
+              F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
+              F.sum("conversions").alias("conversions")))
+    p = ~F.col("refund_flag")
+    t = (bundle.transactions.groupBy(F.col("transaction_date").alias("date"))
+         .agg(F.count_if(p).alias("purchases"), F.sum(F.when(p, F.col("profit"))).alias("gross_profit")))
+    cu = bundle.customers.groupBy(F.col("acquisition_date").alias("date")).agg(F.count(F.lit(1)).alias("customers"))
+    out = {"campaigns": c.cache(), "transactions": t.cache(), "customers": cu.cache()}
     if bundle.raw.get("ab_test") is not None:
-        highs.append(bundle.ab_test.select(F.max("date").alias("d")))
-    lo, hi = lows[0], highs[0]
-    for x in lows[1:]:
-        lo = lo.unionByName(x)
-    for x in highs[1:]:
-        hi = hi.unionByName(x)
-    start, end = lo.select(F.min("d")).scalar(), hi.select(F.max("d")).scalar()
-    one = bundle.campaigns.sparkSession.range(1)
-    return one.select(start.alias("start"), end.alias("end")).select(
-        "start", "end",
-        F.greatest(F.lit(1), F.ceil(F.datediff("end", "start") / DAYS_PER_TICK)).alias("total_ticks"))
+        out["ab_test"] = bundle.ab_test.select("date").distinct().cache()
+    return out
+
 
+def replay_bounds(daily: dict):
+    """(start, end, total_ticks) as Python values from the daily tables:
+    start = earliest campaign/customer/transaction date, end = latest date of
+    any table. One small job over calendar-sized inputs; a bounded result."""
+    parts = [df.select(F.lit(n).alias("t"), "date") for n, df in daily.items()]
+    u = parts[0]
+    for x in parts[1:]:
+        u = u.unionByName(x)
+    row = u.agg(F.min(F.when(F.col("t") != "ab_test", F.col("date"))).alias("s"), F.max("date").alias("e")).first()
+    start, end = row["s"], row["e"]
+    total = max(1, -(-(end - start).days // DAYS_PER_TICK))
+    return start, end, total
 
-def _tick_of(d: Column, start: Column, total: Column) -> Column:
-    k = F.ceil(F.datediff(d, start) / DAYS_PER_TICK)
-    return F.least(F.greatest(k, F.lit(0)), total)
 
+def _tick_of(d: Column, start, total: int) -> Column:
+    k = F.ceil(F.datediff(d, F.lit(start)) / DAYS_PER_TICK)
+    return F.least(F.greatest(k, F.lit(0)), F.lit(total))
 
-def _spine(bounds: DataFrame) -> DataFrame:
+
+def _spine(spark, start, end, total: int) -> DataFrame:
     """Ticks 0..total_ticks; the last one is the clamped end (holding)."""
-    return bounds.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("total_ticks").cast("bigint")))
-                         .alias("tick"), "start", "end").select(
-        "tick", F.least(F.date_add("start", (F.col("tick") * DAYS_PER_TICK).cast("int")), F.col("end"))
-        .alias("cursor"))
+    return spark.range(0, total + 1).select(
+        F.col("id").alias("tick"),
+        F.least(F.date_add(F.lit(start), (F.col("id") * DAYS_PER_TICK).cast("int")), F.lit(end)).alias("cursor"))
 
 
 def replay_series(bundle) -> DataFrame:
-    """R2: additive KPIs as of every replay cursor, in one job."""
-    b = replay_bounds(bundle)
-    start, total = b.select("start").scalar(), b.select("total_ticks").scalar()
-    c = (bundle.campaigns.groupBy(_tick_of(F.col("date"), start, total).alias("tick"))
-         .agg(F.sum("revenue").alias("revenue"), F.sum("spend").alias("spend"),
-              F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
-              F.sum("conversions").alias("conversions")))
-    t = (bundle.transactions.filter(~F.col("refund_flag"))
-         .groupBy(_tick_of(F.col("transaction_date"), start, total).alias("tick"))
-         .agg(F.count(F.lit(1)).alias("purchases"), F.sum("profit").alias("gross_profit")))
-    cu = (bundle.customers.groupBy(_tick_of(F.col("acquisition_date"), start, total).alias("tick"))
-          .agg(F.count(F.lit(1)).alias("customers")))
-    s = _spine(b).join(c, "tick", "left").join(t, "tick", "left").join(cu, "tick", "left")
+    """R2: additive KPIs as of every replay cursor. Rows are reduced to days,
+    each day is assigned to the first tick whose cursor covers it, and the
+    ticks get running sums."""
+    daily = _daily(bundle)
+    start, end, total = replay_bounds(daily)
+    spark = bundle.campaigns.sparkSession
+
+    def per_tick(df, cols):
+        return df.groupBy(_tick_of(F.col("date"), start, total).alias("tick")).agg(
+            *[F.sum(c).alias(c) for c in cols])
+
+    c = per_tick(daily["campaigns"], ["revenue", "spend", "impressions", "clicks", "conversions"])
+    t = per_tick(daily["transactions"], ["purchases", "gross_profit"])
+    cu = per_tick(daily["customers"], ["customers"])
+    s = _spine(spark, start, end, total).join(c, "tick", "left").join(t, "tick", "left").join(cu, "tick", "left")
     w = Window.orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)  # over the tick spine only
     run = lambda col: F.sum(F.coalesce(F.col(col), F.lit(0))).over(w)
     out = s.select("tick", "cursor",
@@ -88,8 +99,8 @@ def replay_repeat_customers(bundle) -> DataFrame:
     customers (>1 purchase) and the repeat rate as of each cursor. Each
     customer contributes its first and second purchase dates, found over its
     distinct purchase days (bounded by the calendar), then counted per tick."""
-    b = replay_bounds(bundle)
-    start, total = b.select("start").scalar(), b.select("total_ticks").scalar()
+    start, end, total = replay_bounds(_daily(bundle))
+    spark = bundle.transactions.sparkSession
     days = (bundle.transactions.filter(~F.col("refund_flag") & F.col("customer_id").isNotNull())
             .groupBy("customer_id", "transaction_date").agg(F.count(F.lit(1)).alias("n")))
     w = Window.partitionBy("customer_id").orderBy("transaction_date")
@@ -99,7 +110,7 @@ def replay_repeat_customers(bundle) -> DataFrame:
     firsts = per.groupBy(_tick_of(F.col("first"), start, total).alias("tick")).agg(F.count(F.lit(1)).alias("f"))
     seconds = (per.filter(F.col("second").isNotNull())
                .groupBy(_tick_of(F.col("second"), start, total).alias("tick")).agg(F.count(F.lit(1)).alias("s")))
-    s = _spine(b).join(firsts, "tick", "left").join(seconds, "tick", "left")
+    s = _spine(spark, start, end, total).join(firsts, "tick", "left").join(seconds, "tick", "left")
     wr = Window.orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
     out = s.select("tick", "cursor",
                    F.sum(F.coalesce("f", F.lit(0))).over(wr).cast("bigint").alias("transacting_customers"),

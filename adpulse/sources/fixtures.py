@@ -48,6 +48,8 @@ def spread(df: DataFrame) -> DataFrame:
     Large inputs already arrive in many splits and are returned unchanged,
     so no extra shuffle is added at scale. Only planning is inspected (no job)."""
     spark = df.sparkSession
+    if spark.conf.get("adpulse.spreadSmallScans", "false") != "true":
+        return df
     want = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
