@@ -121,64 +121,69 @@ def replay_repeat_customers(bundle) -> DataFrame:
 
 def snapshot_status(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
     """One row per module with status ok / unavailable /
-    insufficient_data and the reason, decided from counts (one scalar
-    subquery each) rather than from failures inside plans."""
+    insufficient_data and the reason, decided from counts rather than from
+    failures inside plans. Each table contributes one one-row aggregation
+    (collected: a bounded result); the status rows are built from them."""
     from adpulse.operators.customers import cohort_activity, cohort_counts
-    from adpulse.operators.marketing import monthly_revenue
     present = {n for n, df in bundle.raw.items() if df is not None}
-
-    def cnt(df):
-        return df.select(F.count(F.lit(1))).scalar()
-
-    zero = F.lit(0).cast("bigint")
-    n = {t: (cnt(getattr(bundle, t)) if t in present else zero)
-         for t in ("campaigns", "customers", "transactions", "ab_test")}
-    have_c = "campaigns" in present
-    have_ct = {"customers", "transactions"} <= present
-    months = cnt(monthly_revenue(bundle.campaigns, params)) if have_c else zero
-    rfm_n = (bundle.transactions.filter(~F.col("refund_flag")).select(F.countDistinct("customer_id")).scalar()
-             if "transactions" in present else zero)
-    cohorts = (cnt(cohort_counts(cohort_activity(bundle.transactions, bundle.customers, params),
-                                 bundle.customers, params)) if have_ct else zero)
+    g = {"campaigns": 0, "customers": 0, "transactions": 0, "ab_test": 0,
+         "months": 0, "rfm_n": 0, "cohorts": 0, "clicks_a": 0, "clicks_b": 0}
+    if "campaigns" in present:
+        r = bundle.campaigns.agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"),
+                                 F.max("date").alias("hi")).first()
+        g["campaigns"] = r["n"]
+        if r["n"]:
+            # complete months of the zero-filled series (trailing partial month dropped)
+            import calendar
+            lo, hi = r["lo"], r["hi"]
+            end_y, end_m = hi.year, hi.month
+            if params.drop_partial_trailing_month and hi.day < calendar.monthrange(hi.year, hi.month)[1]:
+                end_y, end_m = (end_y, end_m - 1) if end_m > 1 else (end_y - 1, 12)
+            g["months"] = max(0, (end_y * 12 + end_m) - (lo.year * 12 + lo.month) + 1)
+    if "customers" in present:
+        g["customers"] = bundle.customers.count()
+    if "transactions" in present:
+        r = bundle.transactions.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.countDistinct(F.when(~F.col("refund_flag"), F.col("customer_id"))).alias("rfm_n")).first()
+        g["transactions"], g["rfm_n"] = r["n"], r["rfm_n"]
+    if {"customers", "transactions"} <= present and g["customers"] and g["transactions"]:
+        counts = cohort_counts(cohort_activity(bundle.transactions, bundle.customers, params),
+                               bundle.customers, params)
+        g["cohorts"] = counts.limit(1).count()
     if "ab_test" in present:
-        ab = bundle.ab_test
-        clicks_a = ab.select(F.coalesce(F.sum(F.when(F.col("variant") == "A", F.col("clicks"))), F.lit(0))).scalar()
-        clicks_b = ab.select(F.coalesce(F.sum(F.when(F.col("variant") == "B", F.col("clicks"))), F.lit(0))).scalar()
-    else:
-        clicks_a = clicks_b = zero
-
-    def need(*tables):
-        e = F.lit(True)
-        for t in tables:
-            e = e & (n[t] > 0)
-        return e
-
-    def missing_reason(module, tables):
-        return F.lit(f"{module} requires {', '.join(tables)}")
+        v = F.col("variant")
+        r = bundle.ab_test.agg(F.count(F.lit(1)).alias("n"),
+                               F.sum(F.when(v == "A", F.col("clicks"))).alias("a"),
+                               F.sum(F.when(v == "B", F.col("clicks"))).alias("b")).first()
+        g["ab_test"], g["clicks_a"], g["clicks_b"] = r["n"], r["a"] or 0, r["b"] or 0
 
     mods = [
-        ("marketing", ("campaigns",), months < 1, F.lit("seasonality needs at least 1 complete month")),
+        ("marketing", ("campaigns",), g["months"] < 1, "seasonality needs at least 1 complete month"),
         ("customers", ("customers", "transactions"),
-         (rfm_n < params.min_rfm_customers) | (cohorts < 1),
-         F.when(rfm_n < params.min_rfm_customers,
-                F.format_string(f"rfm needs {params.min_rfm_customers} purchasing customers; has %d", rfm_n))
-          .otherwise(F.lit(f"cohorts need a cohort of at least {params.cohort_min_size} customers"))),
-        ("finance", ("campaigns", "customers", "transactions"), n["customers"] < 1,
-         F.lit("kpis needs at least 1 customer")),
-        ("experiments", ("ab_test",), (clicks_a <= 0) | (clicks_b <= 0),
-         F.lit("ab_test needs clicks in both variants A and B")),
-        ("forecast", ("campaigns",), months < params.holdout_months + 3,
-         F.format_string(f"forecast needs {params.holdout_months + 3} months; has %d", months)),
+         g["rfm_n"] < params.min_rfm_customers or g["cohorts"] < 1,
+         (f"rfm needs {params.min_rfm_customers} purchasing customers; has {g['rfm_n']}"
+          if g["rfm_n"] < params.min_rfm_customers
+          else f"cohorts need a cohort of at least {params.cohort_min_size} customers")),
+        ("finance", ("campaigns", "customers", "transactions"), g["customers"] < 1,
+         "kpis needs at least 1 customer"),
+        ("experiments", ("ab_test",), g["clicks_a"] <= 0 or g["clicks_b"] <= 0,
+         "ab_test needs clicks in both variants A and B"),
+        ("forecast", ("campaigns",), g["months"] < params.holdout_months + 3,
+         f"forecast needs {params.holdout_months + 3} months; has {g['months']}"),
     ]
     rows = []
     for i, (m, tables, insufficient, why) in enumerate(mods):
-        avail = need(*tables) if set(tables) <= present else F.lit(False)
-        status = F.when(~avail, "unavailable").when(insufficient, "insufficient_data").otherwise("ok")
-        reason = F.when(~avail, missing_reason(m, tables)).when(insufficient, why)
-        rows.append(F.struct(F.lit(i + 1).cast("bigint").alias("module_order"), F.lit(m).alias("module"),
-                             status.alias("status"), reason.alias("reason")))
+        avail = all(t in present and g[t] > 0 for t in tables)
+        if not avail:
+            status, reason = "unavailable", f"{m} requires {', '.join(tables)}"
+        elif insufficient:
+            status, reason = "insufficient_data", why
+        else:
+            status, reason = "ok", None
+        rows.append((i + 1, m, status, reason))
     spark = bundle.raw[next(iter(present))].sparkSession
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    return spark.createDataFrame(rows, "module_order bigint, module string, status string, reason string")
 
 
 def materialize(bundle, level=None):
