@@ -817,11 +817,11 @@ FROM cur LEFT JOIN y ON cur.tick = y.tick"""
 _BODIES["r4_stream_channel_kpis"] = _BODIES["m3_by_channel"]
 _BODIES["r5_stream_weekly_revenue"] = """
 WITH w AS (
-  SELECT TIMESTAMP '1970-01-01' + INTERVAL (CAST(floor(epoch(CAST(date AS TIMESTAMP)) / 604800) AS BIGINT) * 7) DAY AS window_start,
+  SELECT CAST(DATE '1970-01-01' + INTERVAL (CAST(floor(date_diff('day', DATE '1970-01-01', date) / 7) AS BIGINT) * 7) DAY AS DATE) AS window_start,
          revenue FROM cc),
-g AS (SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, CAST(SUM(revenue) AS DOUBLE) AS revenue,
+g AS (SELECT window_start, CAST(window_start + INTERVAL 7 DAY AS DATE) AS window_end, CAST(SUM(revenue) AS DOUBLE) AS revenue,
              COUNT(*) AS rows FROM w GROUP BY window_start)
-SELECT * FROM g WHERE window_end <= (SELECT CAST(MAX(date) AS TIMESTAMP) FROM cc) - INTERVAL 7 DAY"""
+SELECT * FROM g WHERE window_end <= (SELECT MAX(date) FROM cc) - INTERVAL 7 DAY"""
 _BODIES["r6_stream_dedup"] = "SELECT DISTINCT * FROM fx_campaigns"
 _BODIES["r7_stream_enrich"] = """
 SELECT t.transaction_id, t.customer_id, t.transaction_date, CAST(t.amount AS DOUBLE) AS amount,

@@ -76,13 +76,15 @@ def stream_weekly_revenue(campaigns: DataFrame, delay: str = "7 days", files: in
     an earlier micro-batch are dropped as late, by design."""
     spark = campaigns.sparkSession
     wd = _workdir(spark, "weekly_revenue")
-    staged = campaigns.select(F.col("date").cast("timestamp").alias("ts"), "revenue")
+    # UTC-midnight instants from the day number: independent of the session time zone
+    staged = campaigns.select(F.timestamp_seconds(F.unix_date("date").cast("bigint") * 86400).alias("ts"), "revenue")
     staged.repartitionByRange(files, "ts").write.mode("overwrite").parquet(f"{wd}/src")
     src = spark.readStream.schema(staged.schema).parquet(f"{wd}/src")
     agg = (src.withWatermark("ts", delay)
            .groupBy(F.window("ts", "7 days"))
            .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("rows")))
-    flat = agg.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+    day = lambda c: F.date_from_unix_date((F.unix_seconds(c) / 86400).cast("int"))
+    flat = agg.select(day(F.col("window.start")).alias("window_start"), day(F.col("window.end")).alias("window_end"),
                       "revenue", "rows")
     q = (flat.writeStream.outputMode("append").format("parquet").option("path", f"{wd}/out")
          .option("checkpointLocation", f"{wd}/ckpt").trigger(availableNow=True).start())
@@ -96,7 +98,7 @@ def stream_dedup(campaigns_raw: DataFrame, delay: str = "30 days", files: int =
     (campaign_id, date)."""
     spark = campaigns_raw.sparkSession
     wd = _workdir(spark, "dedup")
-    staged = campaigns_raw.withColumn("ts", F.col("date").cast("timestamp"))
+    staged = campaigns_raw.withColumn("ts", F.timestamp_seconds(F.unix_date("date").cast("bigint") * 86400))
     stage(staged, f"{wd}/src", files)
     src = spark.readStream.schema(staged.schema).parquet(f"{wd}/src")
     d = src.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["campaign_id", "date"])
