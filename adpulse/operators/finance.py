@@ -202,9 +202,11 @@ def headline_kpis(campaigns: DataFrame, customers: DataFrame, transactions: Data
     camp = campaigns.agg(F.sum("revenue").alias("rev"), F.sum("spend").alias("spend"),
                          F.sum("conversions").alias("conv"), F.sum("clicks").alias("clicks"))
     per = p.groupBy("customer_id").agg(F.sum("profit").alias("pp"), F.count(F.lit(1)).alias("np"))
+    # one-row aggregates, cached so the scalar subqueries below read each of
+    # them once instead of re-running the per-customer aggregation
     pc = per.agg(F.sum("pp").alias("gross"), F.count(F.lit(1)).alias("n_tx_customers"),
-                 F.avg("pp").alias("mean_pp"), F.count_if(F.col("np") > 1).alias("repeaters"))
-    n_cust = customers.select(F.count(F.lit(1))).scalar()
+                 F.avg("pp").alias("mean_pp"), F.count_if(F.col("np") > 1).alias("repeaters")).cache()
+    n_cust = customers.agg(F.count(F.lit(1)).alias("n")).cache().select("n").scalar()
     row = camp.select(
         dbl("rev").alias("rev"), dbl("spend").alias("spend"),
         dbl("conv").alias("conv"), dbl("clicks").alias("clicks"),

@@ -18,6 +18,10 @@ def con():
     return duck(SF)
 
 
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+               "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
@@ -27,6 +31,11 @@ def test_query_matches_oracle(spark, con, name):
         return
     ok, msg = compare(pdf, con.execute(ORACLE[name]).fetchdf())
     assert ok, msg
+    # same column types as the oracle, not only the same values
+    spark_types = {f.name: _DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute("DESCRIBE " + ORACLE[name]).fetchall()}
+    assert spark_types == duck_types
 
 
 def test_entry_smoke(spark):
