@@ -222,6 +222,7 @@ def headline_kpis(campaigns: DataFrame, customers: DataFrame, transactions: Data
         ltv = F.col("mean_pp")
         ltv_basis = F.format_string("%s customers who transacted", F.format_number(F.col("n_tx"), 0))
     cac = safe_div("spend", "n_cust")
+    # KPI names, order and basis texts of the scorecard.
     items = [
         ("total_revenue", F.col("rev"), F.lit("campaign-attributed")),
         ("total_spend", F.col("spend"), F.lit("campaign media spend")),
