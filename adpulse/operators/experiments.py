@@ -65,6 +65,9 @@ def ab_test(ab: DataFrame, params: AnalysisParams = DEFAULTS, experiment_col: st
     the difference, Welch t-test on daily cvr, significance and the rollout
     projection. ``status`` is 'insufficient_data' unless both variants have
     clicks."""
+    if with_p_values:
+        from adpulse.session import ship_package
+        ship_package(ab.sparkSession)
     s = _stats(ab, experiment_col)
     ca, cb = dbl("conversions_a"), dbl("conversions_b")
     na, nb = dbl("clicks_a"), dbl("clicks_b")

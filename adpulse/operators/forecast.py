@@ -134,6 +134,8 @@ def _predictions(train: DataFrame, method: str, steps_col: DataFrame, params: An
                         F.explode(F.sequence(F.col("start"), F.col("start") + F.col("steps") - 1)).alias("idx"))
         return x.select("series", "idx", (F.col("slope") * dbl("idx") + F.col("intercept")).alias("pred"))
     if method == "arima":
+        from adpulse.session import ship_package
+        ship_package(train.sparkSession)
         t = train.join(steps_col.select("series", "steps"), "series")
         return (t.select("series", "idx", dbl("y").alias("y"), "steps").groupBy("series")
                 .applyInPandas(_arima_group("steps"), "series string, idx bigint, pred double"))
@@ -186,6 +188,8 @@ def trend_diagnostics(series: DataFrame, with_p_value: bool = True) -> DataFrame
                      r2.alias("_r2"), k.alias("_k"))
     if not with_p_value:
         return out.drop("_r2", "_k")
+    from adpulse.session import ship_package
+    ship_package(series.sparkSession)
     tstat = F.try_divide(F.sqrt(F.col("_r2")) * F.sqrt(F.col("_k") - 2), F.sqrt(F.lit(1.0) - F.col("_r2")))
     p = t_two_sided_udf(tstat, F.col("_k") - 2)
     return (out.withColumn("p_value", p)

@@ -460,7 +460,13 @@ def normalize_types(df):
     return df.select(*cols)
 
 
+def _run(fn, spark, sf):
+    from adpulse.session import ensure_checkpoint_dir, ship_package
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return normalize_types(fn(spark, sf))
+
+
 def exported() -> dict:
-    return {name: (lambda fn: lambda spark, sf: normalize_types(fn(spark, sf)))(fn)
-            for name, fn in QUERIES.items()}
+    return {name: (lambda fn: lambda spark, sf: _run(fn, spark, sf))(fn) for name, fn in QUERIES.items()}
 
