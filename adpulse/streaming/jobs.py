@@ -117,6 +117,11 @@ def stream_enrich(transactions_raw: DataFrame, customers: DataFrame, files: int
     stage(transactions_raw, f"{wd}/src", files)
     src = spark.readStream.schema(transactions_raw.schema).parquet(f"{wd}/src")
     dim = customers.select("customer_id", "acquisition_channel", "subscription_plan")
+    # the static side joins every micro-batch: broadcast it only when a count
+    # proves it small, otherwise each batch uses a shuffle join
+    from adpulse.operators.joins import BROADCAST_MAX_ROWS
+    if dim.count() <= BROADCAST_MAX_ROWS:
+        dim = F.broadcast(dim)
     j = src.join(dim, "customer_id", "left_outer")
     status = (F.when(F.col("customer_id").isNull(), "missing_customer_id")
               .when(F.col("acquisition_channel").isNull(), "orphan").otherwise("ok"))
