@@ -344,18 +344,22 @@ def _report(spark: SparkSession, stats: dict):
 
 
 def _examples(spark: SparkSession, parts) -> DataFrame:
-    """Q-13: the first 20 flagged rows per rule in the declared key order.
-    Each is a distributed top-k (TakeOrderedAndProject), never a full sort;
-    the rank window then runs over at most 20 rows."""
+    """Q-13: the first 20 flagged rows per rule in the declared key order
+    (then every other column, so the order is total and identical rows give
+    identical output). Each is a distributed top-k (TakeOrderedAndProject),
+    never a full sort; the rank window then runs over at most 20 rows."""
     res = []
     for key, table, df in parts:
-        order = [F.col(c).asc_nulls_first() for c in EXAMPLE_ORDER[table]]
+        keys = EXAMPLE_ORDER[table]
+        order = [F.col(c).asc_nulls_first() for c in keys + [c for c in df.columns if c not in keys]]
         top = df.orderBy(*order).limit(MAX_EXAMPLES)
         w = Window.orderBy(*order)
         res.append(top.select(F.lit(key).alias("rule_key"), F.lit(table).alias("table_name"),
                               F.row_number().over(w).alias("example_rank"),
+                              F.concat_ws("|", *[F.col(c).cast("string") for c in keys]).alias("example_key"),
                               F.to_json(F.struct(*df.columns)).alias("row_json")))
-    return _union_all(spark, res, "rule_key string, table_name string, example_rank int, row_json string")
+    return _union_all(spark, res, "rule_key string, table_name string, example_rank int, example_key string, "
+                                  "row_json string")
 
 
 def flagged_summary(report: DataFrame) -> DataFrame:

@@ -828,3 +828,50 @@ SELECT t.transaction_id, t.customer_id, t.transaction_date, CAST(t.amount AS DOU
        c.acquisition_channel, c.subscription_plan,
        CASE WHEN t.customer_id IS NULL THEN 'missing_customer_id' WHEN c.acquisition_channel IS NULL THEN 'orphan' ELSE 'ok' END AS status
 FROM fx_transactions t LEFT JOIN fx_customers c ON t.customer_id = c.customer_id"""
+
+
+# ------------------------------------------------------------------ audit example keys (Q-13)
+_CAMP_COLS = "campaign_id, date, campaign_name, channel, objective, device, country, audience, spend, impressions, clicks, conversions, revenue"
+_TX_COLS = "transaction_id, customer_id, transaction_date, product_category, amount, discount, profit, refund_flag"
+
+
+def _top20(rule: str, table: str, src: str, order: str, key: str) -> str:
+    return f"""SELECT '{rule}' AS rule_key, '{table}' AS table_name,
+       ROW_NUMBER() OVER (ORDER BY {order}) AS example_rank, {key} AS example_key
+FROM (SELECT * FROM {src} ORDER BY {order} LIMIT 20) x"""
+
+
+def _nf(cols: str) -> str:
+    return ", ".join(f"{c} ASC NULLS FIRST" for c in cols.split(", "))
+
+
+_D = "(SELECT DISTINCT * FROM fx_campaigns)"
+_CK = "concat_ws('|', campaign_id, CAST(date AS VARCHAR))"
+_TK = "concat_ws('|', CAST(transaction_id AS VARCHAR), CAST(customer_id AS VARCHAR))"
+_ex = [
+    _top20("duplicate_rows", "campaigns",
+           "(SELECT * EXCLUDE (n) FROM (SELECT *, COUNT(*) AS n FROM fx_campaigns GROUP BY ALL) WHERE n > 1)",
+           _nf(_CAMP_COLS), _CK),
+    _top20("out_of_range_dates", "campaigns",
+           f"(SELECT * FROM {_D} WHERE date IS NULL OR date < DATE '1990-01-01' OR date > current_date)", _nf(_CAMP_COLS), _CK),
+    _top20("negative_spend", "campaigns", f"(SELECT * FROM {_D} WHERE spend < 0)", _nf(_CAMP_COLS), _CK),
+    _top20("negative_revenue", "campaigns", f"(SELECT * FROM {_D} WHERE revenue < 0)", _nf(_CAMP_COLS), _CK),
+    _top20("conversions_exceed_clicks", "campaigns", f"(SELECT * FROM {_D} WHERE conversions > clicks)", _nf(_CAMP_COLS), _CK),
+    _top20("impossible_ctr", "campaigns",
+           f"(SELECT * FROM {_D} WHERE COALESCE(clicks::DOUBLE / NULLIF(impressions, 0) NOT BETWEEN 0 AND 1, FALSE))",
+           _nf(_CAMP_COLS), _CK),
+    _top20("impossible_cvr", "campaigns",
+           f"(SELECT * FROM {_D} WHERE COALESCE(conversions::DOUBLE / NULLIF(clicks, 0) NOT BETWEEN 0 AND 1, FALSE))",
+           _nf(_CAMP_COLS), _CK),
+    _top20("missing_age_group", "customers", "(SELECT * FROM fx_customers WHERE age_group IS NULL)",
+           _nf("customer_id, acquisition_channel, acquisition_date, age_group, city, country, subscription_plan, first_purchase_value"),
+           "CAST(customer_id AS VARCHAR)"),
+    _top20("missing_customer_id", "transactions", "(SELECT * FROM fx_transactions WHERE customer_id IS NULL)",
+           _nf(_TX_COLS), _TK),
+    _top20("profit_exceeds_amount", "transactions", "(SELECT * FROM fx_transactions WHERE profit > amount)",
+           _nf(_TX_COLS), _TK),
+    _top20("orphan_transactions", "transactions",
+           "(SELECT * FROM fx_transactions WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM fx_customers))",
+           _nf(_TX_COLS), _TK),
+]
+_BODIES["q_example_keys"] = "\nUNION ALL\n".join(f"SELECT * FROM ({q})" for q in _ex)

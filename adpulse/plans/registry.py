@@ -75,6 +75,12 @@ def _q_examples(spark, sf):
     return _b(spark, sf).audit.examples
 
 
+@register("q_example_keys")
+def _q_example_keys(spark, sf):
+    """Q-13 at key level (rule, rank, identifying key): checkable by SQL."""
+    return _b(spark, sf).audit.examples.drop("row_json")
+
+
 # ------------------------------------------------------------ marketing (M)
 for _dim in mk.GROUPABLE:
     QUERIES[f"m3_by_{_dim}"] = (lambda d: lambda spark, sf: mk.groupby_kpis(
