@@ -36,10 +36,13 @@ _READERS: dict = {}
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet reader, memoised per session and path (DataFrames are
     immutable; this only saves repeated file listing and footer reads)."""
-    key = (id(spark), f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(key[1])
-    return _READERS[key]
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    hit = _READERS.get(key)
+    if hit is None or hit[0] is not spark:   # the entry holds its session, so ids cannot be recycled
+        hit = (spark, spark.read.parquet(path))
+        _READERS[key] = hit
+    return hit[1]
 
 
 def spread(df: DataFrame) -> DataFrame:
