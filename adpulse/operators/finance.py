@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adpulse.errors import InsufficientData
 from adpulse.functions.kpis import contribution_margin, dbl, r6, roas, roi, round6, safe_div
 from adpulse.operators.customers import purchases
 from adpulse.params import DEFAULTS, AnalysisParams

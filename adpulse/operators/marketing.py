@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adpulse.functions.kpis import cpa, cpc, ctr, cvr, dbl, r6, roas, round6, safe_div
+from adpulse.functions.kpis import cpa, cpc, ctr, cvr, r6, roas, round6, safe_div
 from adpulse.params import DEFAULTS, AnalysisParams
 
 # Dimensions that may be grouped by; anything else is rejected.

@@ -1,7 +1,6 @@
 """Replay cursors: every module either returns tables or a status row (never
 an exception), no KPI is NaN, and the slice at the last date equals the
 unsliced result (convergence)."""
-import datetime as dt
 import math
 
 import pytest
