@@ -203,41 +203,78 @@ def materialize(bundle, level=None):
     return counts
 
 
-def build_snapshot(bundle, params: AnalysisParams = DEFAULTS) -> dict:
+def build_snapshot(bundle, params: AnalysisParams = DEFAULTS, parallel: int = 1) -> dict:
     """Every module of the dashboard at the bundle's cursor, as named
     DataFrames. All outputs are bounded (channels, segments, cohorts x
     months, horizon months, one row per KPI); per-customer tables stay
-    inside the plans."""
+    inside the plans. The modules are independent, so with ``parallel > 1``
+    they are planned from several driver threads (their eager steps, such as
+    the rank checkpoints, then run as concurrent Spark jobs)."""
     from adpulse.operators import customers as cu
     from adpulse.operators import finance as fi
     from adpulse.operators import marketing as mk
     from adpulse.operators.experiments import ab_test
     from adpulse.operators.forecast import monthly_series, select_and_forecast, trend_diagnostics
-    out = {"status": snapshot_status(bundle, params), "quality_report": bundle.audit.report,
-           "quality_rows": bundle.audit.rows}
     c, cs, t = bundle.campaigns, bundle.customers, bundle.transactions
-    if c is not None:
-        out.update({"funnel": mk.funnel(c), "stages": mk.funnel_stages(c),
-                    "by_dimension": mk.all_dimension_kpis(c), "leaderboard": mk.campaign_leaderboard(c),
-                    "seasonality": mk.seasonality(c, params)})
+
+    def status():
+        return {"status": snapshot_status(bundle, params), "quality_report": bundle.audit.report,
+                "quality_rows": bundle.audit.rows}
+
+    def marketing():
+        return {"funnel": mk.funnel(c), "stages": mk.funnel_stages(c),
+                "by_dimension": mk.all_dimension_kpis(c), "leaderboard": mk.campaign_leaderboard(c),
+                "seasonality": mk.seasonality(c, params)}
+
+    def forecast():
         series = monthly_series(c, params)  # months only, checkpointed once
-        out["forecast"] = select_and_forecast(series, params)
-        out["trend"] = trend_diagnostics(series)
-    if cs is not None and t is not None:
+        return {"forecast": select_and_forecast(series, params), "trend": trend_diagnostics(series)}
+
+    def customers():
         rfm = cu.rfm_table(t, None, params, check=False)
         act = cu.cohort_activity(t, cs, params).persist()
-        counts = cu.cohort_counts(act, cs, params)
-        out.update({"segments": cu.segment_summary(rfm), "cohorts": counts,
-                    "cohort_means": cu.cohort_means(cu.cohort_counts(act, cs, params, rounded=False)),
-                    "retention_by_channel": cu.retention_by_channel(act, cs, params),
-                    "value_by_plan": cu.value_by_plan(t, cs, params)})
-    if c is not None and cs is not None and t is not None:
+        return {"segments": cu.segment_summary(rfm), "cohorts": cu.cohort_counts(act, cs, params),
+                "cohort_means": cu.cohort_means(cu.cohort_counts(act, cs, params, rounded=False)),
+                "retention_by_channel": cu.retention_by_channel(act, cs, params),
+                "value_by_plan": cu.value_by_plan(t, cs, params)}
+
+    def finance():
         cp = fi.customers_with_profit(cs, t, params).persist()
         table = fi.profit_table(c, cs, cp)
-        out.update({"kpis": fi.headline_kpis(c, cs, t, params), "profitability": fi.profitability(c, cs, cp),
-                    "cac_ltv": fi.cac_ltv_by_channel(c, cs, cp, params),
-                    "reallocation": fi.reallocation_summary(table, params),
-                    "reallocation_plan": fi.reallocation_plan(table, params)})
+        return {"kpis": fi.headline_kpis(c, cs, t, params), "profitability": fi.profitability(c, cs, cp),
+                "cac_ltv": fi.cac_ltv_by_channel(c, cs, cp, params),
+                "reallocation": fi.reallocation_summary(table, params),
+                "reallocation_plan": fi.reallocation_plan(table, params)}
+
+    def experiments():
+        return {"experiments": ab_test(bundle.ab_test, params)}
+
+    builders = [status]
+    if c is not None:
+        builders += [marketing, forecast]
+    if cs is not None and t is not None:
+        builders.append(customers)
+    if c is not None and cs is not None and t is not None:
+        builders.append(finance)
     if bundle.ab_test is not None:
-        out["experiments"] = ab_test(bundle.ab_test, params)
+        builders.append(experiments)
+    out: dict = {}
+    if parallel > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            for part in pool.map(lambda f: f(), builders):
+                out.update(part)
+    else:
+        for f in builders:
+            out.update(f())
     return out
+
+
+def collect_snapshot(snapshot: dict, parallel: int = 8) -> dict:
+    """Materialise the (bounded) snapshot tables. The modules are independent
+    jobs, so they are submitted from several driver threads and Spark runs
+    them concurrently instead of one after another."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {name: pool.submit(df.collect) for name, df in snapshot.items()}
+        return {name: f.result() for name, f in futures.items()}

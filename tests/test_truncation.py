@@ -45,3 +45,10 @@ def test_slice_at_end_converges_to_static(spark, bundle):
     k1 = [tuple(r) for r in fi.headline_kpis(bundle.campaigns, bundle.customers, bundle.transactions).collect()]
     k2 = [tuple(r) for r in fi.headline_kpis(sliced.campaigns, sliced.customers, sliced.transactions).collect()]
     assert k1 == k2
+
+
+def test_parallel_snapshot_equals_sequential(spark, bundle):
+    from adpulse.plans.snapshot import build_snapshot, collect_snapshot
+    seq = {k: sorted(map(str, df.collect())) for k, df in build_snapshot(bundle, bundle.params).items()}
+    par = collect_snapshot(build_snapshot(bundle, bundle.params, parallel=4), parallel=4)
+    assert {k: sorted(map(str, v)) for k, v in par.items()} == seq
