@@ -43,20 +43,19 @@ def variant_summary(ab: DataFrame, experiment_col: str | None = None) -> DataFra
 
 
 def _stats(ab: DataFrame, experiment_col: str | None) -> DataFrame:
-    a = _with_experiment(ab, experiment_col)
+    """Per experiment, in ONE aggregation: variant sums and the moments of
+    the daily conversion rate (days without clicks have no rate; count, avg
+    and var_samp skip those NULLs)."""
+    a = _with_experiment(ab, experiment_col).withColumn("r", safe_div("conversions", "clicks"))
     is_a, is_b = F.col("variant") == CONTROL, F.col("variant") == TREATMENT
-    sums = a.groupBy("experiment").agg(
+    return a.groupBy("experiment").agg(
         *[F.sum(F.when(v, F.col(c))).alias(f"{c}_{s}")
           for s, v in (("a", is_a), ("b", is_b))
-          for c in ("clicks", "conversions", "revenue", "spend")])
-    # per-day conversion rates; days without clicks have no rate and are dropped
-    daily = a.select("experiment", "variant", safe_div("conversions", "clicks").alias("r"))
-    mom = daily.filter(F.col("r").isNotNull()).groupBy("experiment").agg(
+          for c in ("clicks", "conversions", "revenue", "spend")],
         *[e for s, v in (("a", is_a), ("b", is_b)) for e in (
             F.count(F.when(v, F.col("r"))).alias(f"n_{s}"),
             F.avg(F.when(v, F.col("r"))).alias(f"mean_{s}"),
             F.var_samp(F.when(v, F.col("r"))).alias(f"var_{s}"))])
-    return sums.join(mom, "experiment", "left")
 
 
 def ab_test(ab: DataFrame, params: AnalysisParams = DEFAULTS, experiment_col: str | None = None,
