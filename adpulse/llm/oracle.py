@@ -51,3 +51,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_removed_lines, n_lost_chars
 FROM f
 """
+
+ORACLE["op10_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (
+  SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+            THEN max(page_id) OVER (PARTITION BY payload_digest) END AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN last > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last > page_id THEN last END AS refers_to
+FROM m
+"""

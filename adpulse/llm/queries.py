@@ -25,6 +25,25 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "n_removed_lines", "n_lost_chars")
 
 
+@_query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.sharding import feistel_shards
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    out = feistel_shards(docs, ["doc_id", "text_crc32", "size"], 40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.warc import archive, read_archive
+    manifest, folder = archive(spark, read_table(spark, sf_dir, "pages"))
+    return read_archive(manifest.repartition(max(1, spark.sparkContext.defaultParallelism)), folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
