@@ -44,6 +44,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(manifest.repartition(max(1, spark.sparkContext.defaultParallelism)), folder)
 
 
+@_query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.simhash import simhash_classes
+    out = simhash_classes(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
