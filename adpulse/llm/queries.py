@@ -51,6 +51,22 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm import sketch as S
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = S.with_next(S.add_sketch(docs, F.col("text"), "sketch"), "doc_id", ["text", "sketch"])
+    docs = docs.withColumn("edited", S.edited(F.col("text"), F.col("next_text")))
+    docs = S.add_sketch(docs, F.col("edited"), "edited_sketch")
+    return docs.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        S.sketch_text(F.col("sketch")).alias("fingerprint"),
+        S.sketch_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        S.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        S.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
