@@ -67,6 +67,13 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
+@_query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.packing import pack, with_crc
+    return with_crc(pack(read_table(spark, sf_dir, "documents"))).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
