@@ -47,60 +47,92 @@ HOT = 200
 FOUND = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def plan_records(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int = 1000) -> DataFrame:
-    """Pages with ``digest``, ``record_type`` and ``refers_to``.
+def page_rows(pages: DataFrame, id_col: str, payload_col: str) -> DataFrame:
+    """Pages as ``(id, payload, payload_bytes, digest)``; payloads are hashed where they lie."""
+    payload = F.coalesce(F.col(payload_col), F.lit(""))
+    return (pages.select(F.col(id_col).cast("long").alias("id"), payload.alias("payload"))
+            .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+            .withColumn("digest", F.sha1(F.encode("payload", "UTF-8"))))
+
 
-    Payloads are hashed where they lie. Only ids and digests are grouped; the
-    payload itself is joined by its unique id and never dealt by its digest, so
-    a payload that fills a third of the table stays spread over all tasks.
+def revisits(rows: DataFrame, min_bytes: int = 1000) -> DataFrame:
+    """``(id, digest, refers_to)`` of the records that only name another.
+
+    Only ids and digests are grouped and joined, never payloads, and a digest
+    that fills much of the table is joined apart, without a shuffle.
     """
-    rows = (pages.select(F.col(id_col).cast("long").alias("id"),
-                         F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-            .withColumn("digest", F.sha1(F.encode("payload", "UTF-8"))))
-    big = rows.where(F.octet_length("payload") >= min_bytes).select("id", "digest")
+    big = rows.where(F.col("payload_bytes") >= min_bytes).select("id", "digest")
     groups = (big.groupBy("digest").agg(F.max("id").alias("refers_to"), F.count("*").alias("copies"))
               .where("copies > 1 AND refers_to IS NOT NULL"))
     total = rows.count()
     # At most HOT digests can each hold a HOT-th of all rows: a proven bound for the broadcast.
-    hot_digests = groups.where(F.col("copies") * HOT > total)
-    hot = big.join(F.broadcast(hot_digests), "digest")
+    hot = big.join(F.broadcast(groups.where(F.col("copies") * HOT > total)), "digest")
     rest = big.join(groups.where(F.col("copies") * HOT <= total), "digest")
-    refs = (hot.unionByName(rest).where("id IS NULL OR id < refers_to")
+    return (hot.unionByName(rest).where("id IS NULL OR id < refers_to")
             .groupBy("id", "digest").agg(F.max("refers_to").alias("refers_to")))
-    r, x = rows.alias("r"), refs.alias("x")
-    return (r.join(x, F.col("r.id").eqNullSafe(F.col("x.id")) & (F.col("r.digest") == F.col("x.digest")), "left")
-            .select("r.id", "payload", "r.digest",
-                    F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("record_type"),
-                    "refers_to"))
 
 
+def frames(rows: DataFrame, dictionary: bytes) -> DataFrame:
+    """Every page's whole response record as one compressed frame, in place of its payload."""
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        zc = _compressor(dictionary)
+        for b in batches:
+            b["frame"] = [zc.compress(record("response", _int(i), None, p.encode(), d, n))
+                          for i, p, d, n in zip(b["id"], b["payload"], b["digest"], b["payload_bytes"])]
+            yield b[["id", "payload_bytes", "digest", "frame"]].astype({"id": "Int64"})
+
+    return rows.mapInPandas(run, "id long, payload_bytes long, digest string, frame binary")
+
+
+def plan_records(compressed: DataFrame, refs: DataFrame) -> DataFrame:
+    """The frames with ``refers_to`` where a record is a revisit; joined by the
+    unique id, so that equal payloads stay spread over all tasks."""
+    r, x = compressed.alias("r"), refs.alias("x")
+    return r.join(x, F.col("r.id").eqNullSafe(F.col("x.id")) & (F.col("r.digest") == F.col("x.digest")),
+                  "left").select("r.id", "r.payload_bytes", "r.digest", "r.frame", "x.refers_to")
+
 
+def train_dictionary(rows: DataFrame) -> bytes:
+    """A dictionary from a bounded sample of records; empty if there is too little to learn from.
 
-def train_dictionary(pages: DataFrame, id_col: str, payload_col: str) -> bytes:
-    """A dictionary from a bounded sample of records; empty if there is too little to learn from."""
+    The sample's id hashes are found first, as bare numbers, so that no task
+    sends payloads that are then dropped.
+    """
     import zstandard
 
-    sample = [r[0].encode() for r in pages
-              .select(F.xxhash64(F.col(id_col)).alias("h"),
-                      F.substring(F.coalesce(F.col(payload_col), F.lit("")), 1, SAMPLE_BYTES).alias("p"))
-              .where("p != ''").orderBy("h", "p").limit(SAMPLE_ROWS).select("p").collect()]
-    heads = [record("response", i, None, p, hashlib.sha1(p).hexdigest()) for i, p in enumerate(sample)]
+    some = rows.where("payload != ''").withColumn("h", F.xxhash64("id", "digest"))
+    least = [r[0] for r in some.select("h").orderBy("h").limit(SAMPLE_ROWS).collect()]
+    if not least:
+        return b""
+    sample = sorted(r[0].encode() for r in some.where(F.col("h") <= least[-1])
+                    .select(F.substring("payload", 1, SAMPLE_BYTES)).limit(2 * SAMPLE_ROWS).collect())
+    whole = [record("response", i, None, p, hashlib.sha1(p).hexdigest(), len(p)) for i, p in enumerate(sample)]
     try:
-        return zstandard.train_dictionary(DICT_BYTES, heads, threads=1).as_bytes()
+        return zstandard.train_dictionary(DICT_BYTES, whole, threads=1).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
-def record(kind: str, rid: int | None, refers_to: int | None, payload: bytes, digest: str) -> bytes:
-    """One WARC record. A revisit holds no payload, only its digest and length."""
-    body = payload if kind == "response" else b""
+def _int(x) -> int | None:
+    return None if pd.isna(x) else int(x)
+
+
+def _compressor(dictionary: bytes):
+    import zstandard
+
+    zd = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+    return zstandard.ZstdCompressor(level=3, dict_data=zd, write_checksum=True)
+
+
+def record(kind: str, rid: int | None, refers_to: int | None, payload: bytes, digest: str, size: int) -> bytes:
+    """One WARC record of a payload of ``size`` bytes. A revisit holds no payload, only digest and size."""
     lines = [HEAD, f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if rid is None else rid}>",
-             f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(payload)}"]
+             f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}"]
     if kind == "revisit":
         lines += [f"WARC-Refers-To: <urn:page:{refers_to}>",
                   "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    lines += ["Content-Type: text/html", f"Content-Length: {len(body)}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    lines += ["Content-Type: text/html", f"Content-Length: {len(payload)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
@@ -129,8 +161,6 @@ class _File:
         self.name = f"{uuid.uuid4().hex}.warc.zst"
         self.out = self.fs.open_output_stream(f"{base}/{self.name}")
         self.size = self.records = 0
-        zd = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        self.zc = zstandard.ZstdCompressor(level=3, dict_data=zd, write_checksum=True)
         if dictionary:
             frame = zstandard.ZstdCompressor(level=3).compress(dictionary)
             self._put(struct.pack("<II", DICT_MAGIC, len(frame)) + frame)
@@ -139,8 +169,8 @@ class _File:
         self.out.write(data)
         self.size += len(data)
 
-    def add(self, raw: bytes) -> None:
-        self._put(self.zc.compress(raw))
+    def add(self, frame: bytes) -> None:
+        self._put(frame)
         self.records += 1
 
     def close(self) -> tuple[str, int, int]:
@@ -154,13 +184,13 @@ def write_archive(records: DataFrame, folder: str, dictionary: bytes, file_bytes
     The manifest is a lazy table: store it, do not evaluate it twice.
     """
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, done = None, []
+        out, done, zc = None, [], _compressor(dictionary)
         for batch in batches:
             for row in batch.itertuples(index=False):
                 out = out or _File(folder, dictionary)
-                rid = None if pd.isna(row.id) else int(row.id)
-                ref = None if pd.isna(row.refers_to) else int(row.refers_to)
-                out.add(record(row.record_type, rid, ref, row.payload.encode(), row.digest))
+                ref = _int(row.refers_to)
+                out.add(row.frame if ref is None else zc.compress(
+                    record("revisit", _int(row.id), ref, b"", row.digest, row.payload_bytes)))
                 if out.size >= file_bytes:
                     done.append(out.close())
                     out = None
@@ -168,8 +198,7 @@ def write_archive(records: DataFrame, folder: str, dictionary: bytes, file_bytes
             done.append(out.close())
         yield pd.DataFrame(done, columns=["name", "records", "size"])
 
-    return records.select("id", "payload", "digest", "record_type", "refers_to").mapInPandas(
-        write, "name string, records long, size long")
+    return records.mapInPandas(write, "name string, records long, size long")
 
 
 def read_file(stream) -> Iterator[bytes]:
@@ -233,7 +262,8 @@ def archive(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", payl
     folder = folder or f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     fs, base = _filesystem(folder)
     fs.create_dir(base, recursive=True)
-    dictionary = train_dictionary(pages, id_col, payload_col)
-    manifest = write_archive(plan_records(pages, id_col, payload_col, min_bytes), folder, dictionary)
-    manifest.write.parquet(f"{folder}/manifest")
+    rows = page_rows(pages, id_col, payload_col)
+    dictionary = train_dictionary(rows)
+    planned = plan_records(frames(rows, dictionary), revisits(rows, min_bytes))
+    write_archive(planned, folder, dictionary).write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest"), folder
