@@ -74,6 +74,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@_query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.substring_dedup import remove_repeats
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = remove_repeats(docs)
+    return out.select("doc_id", "n_bytes",
+                      (F.col("n_bytes") - F.octet_length("kept_bytes")).alias("n_removed"),
+                      (F.size("spans") / 2).cast("long").alias("n_spans"),
+                      F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
