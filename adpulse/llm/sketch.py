@@ -104,11 +104,12 @@ def with_next(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
                   key == F.col("_nx_top"), F.array(F.struct(F.col("_nx_bucket").alias("b"), F.lit(0).alias("ghost")),
                                                    F.struct(F.col("_nx_to").alias("b"), F.lit(1).alias("ghost")))
               ).otherwise(F.array(F.struct(F.col("_nx_bucket").alias("b"), F.lit(0).alias("ghost")))))))
-    w = Window.partitionBy("_nx_copy.b").orderBy("_nx_copy.ghost", F.col(id_col).desc(), columns[0])
-    for c in columns:
-        tagged = tagged.withColumn(f"next_{c}", F.lead(c).over(w))
-    return (tagged.where("_nx_copy.ghost = 0")
-            .drop("_nx_bucket", "_nx_top", "_nx_to", "_nx_copy"))
+    tagged = tagged.withColumn("_nx_b", F.col("_nx_copy.b")).withColumn("_nx_ghost", F.col("_nx_copy.ghost"))
+    w = Window.partitionBy("_nx_b").orderBy("_nx_ghost", F.col(id_col).desc(), columns[0])
+    # one select, so that one window and one exchange serve every column
+    tagged = tagged.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
+    return (tagged.where("_nx_ghost = 0")
+            .drop("_nx_bucket", "_nx_top", "_nx_to", "_nx_copy", "_nx_b", "_nx_ghost"))
 
 
 def _cuts_below(key: Column, cuts: list[int]) -> Column:
