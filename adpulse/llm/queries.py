@@ -90,8 +90,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adpulse.llm.pii import KINDS, find_pii, span_list
     found = find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
-        "doc_id", *[F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-                    for k in KINDS],
+        "doc_id", *[F.expr(f"size(filter(base_spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(span_list(F.col("base_spans")), 256).alias("base_sha256"),
         span_list(F.col("spans")).alias("spans"))
 
