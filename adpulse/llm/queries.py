@@ -95,6 +95,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         span_list(F.col("spans")).alias("spans"))
 
 
+@_query
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.lm import held_out, score
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, held_out(F.col("doc_id")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
