@@ -4,7 +4,7 @@ A byte goes when it is covered by a string of ``length`` bytes that also starts
 in a document with a smaller id. Strings must meet wherever they occur, so they
 are dealt by content: each string belongs to its *minimizer*, the least of the
 hashes of its ``GRAM``-byte substrings, and neighbouring strings of a document
-with one minimizer form a *stretch* of at most ``2 * length - GRAM`` bytes.
+with one minimizer form a *stretch*, mostly of under ``2 * length`` bytes.
 
 1. Documents are dealt into blocks. A block sends the distinct minimizers of
    its strings to their shards, which answer which of them occur in more than
@@ -42,11 +42,13 @@ from pyspark.sql import types as T
 from adpulse.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 50
-GRAM = 25
+GRAM = 20
 BLOCK_BYTES = 8 << 20
 #: Mean minimizers in one packet from a block to a shard, at least.
 PACKET = 256
 HOT_BLOCKS = 4096
+#: Strings in one stretch at most, in lengths of a string.
+MOST = 4
 #: Bytes hashed at a time, and bytes of one suffix array.
 PIECE = 1 << 20
 SA_BYTES = 4 << 20
@@ -94,7 +96,12 @@ def stretches(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarr
         ms.append(m[new])
         starts.append(new + at)
     m, start = np.concatenate(ms), np.concatenate(starts)
-    return m, start, np.diff(np.append(start, places))
+    strings = np.diff(np.append(start, places))
+    # text of a short period has one minimizer throughout: cut it up
+    parts = -(-strings // (MOST * length))
+    step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    start = np.repeat(start, parts) + step * (MOST * length)
+    return np.repeat(m, parts), start, np.diff(np.append(start, places))
 
 
 class _Block:
@@ -120,12 +127,23 @@ def _clean(pdf: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
     return [bytes(t) for t in pdf["_sd_text"]], pdf["_sd_id"].to_numpy(np.int64)
 
 
+def _low40(m: np.ndarray) -> bytes:
+    return m.astype("<u8").view("u1").reshape(-1, 8)[:, :5].tobytes()
+
+
+def _from40(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
 def _ask(length: int, gram: int, bits: int):
     """Step 1 in a block: its distinct minimizers, one packet per shard."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         b = _Block(*_clean(pdf), length, gram)
         cuts = np.searchsorted(_shard_of(b.unique, bits), np.arange((1 << bits) + 1))
-        rows = [(int(pdf["_sd_block"].iloc[0]), s, b.unique[x:y].astype("<u8").tobytes(),
+        # 40 bits do within a shard: a chance equality only makes strings candidates
+        rows = [(int(pdf["_sd_block"].iloc[0]), s, _low40(b.unique[x:y]),
                  np.packbits(b.many[x:y]).tobytes())
                 for s, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
         return pd.DataFrame(rows, columns=["block", "shard", "ms", "many"])
@@ -135,7 +153,7 @@ def _ask(length: int, gram: int, bits: int):
 def _answer(hot_blocks: int):
     """Step 1 in a shard: per packet, which minimizers are shared, which are hot."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ms = [np.frombuffer(x, "<u8") for x in pdf["ms"]]
+        ms = [_from40(x) for x in pdf["ms"]]
         many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(m)) for x, m in zip(pdf["many"], ms)]
         everything = np.concatenate(ms)
         unique, inverse, counts = np.unique(everything, return_inverse=True, return_counts=True)
@@ -174,7 +192,7 @@ def _send(length: int, gram: int, bits: int):
         if not len(docs) or not len(answers):
             return pd.DataFrame(columns=cols)
         texts, ids = _clean(docs)
-        rids = docs["_sd_rid"].to_numpy(np.int64)
+        number = np.unique(docs["_sd_rid"].to_numpy(np.int64), return_inverse=True)[1]
         b = _Block(texts, ids, length, gram)
         state = np.frombuffer(b"".join(answers.sort_values("shard")["state"]), np.uint8)
         state = state[np.searchsorted(b.unique, b.m)] if len(b.m) else state[:0]
@@ -198,8 +216,8 @@ def _send(length: int, gram: int, bits: int):
             if y > x:
                 size = strings[x:y] + length - 1
                 rows.append((block, s, _pack(
-                    m[x:y].astype("<u8"), ids[doc[x:y]].astype("<i8"), rids[doc[x:y]].astype("<i8"),
-                    start[x:y].astype("<i4"), size.astype("<i4"),
+                    m[x:y].astype("<u8"), ids[doc[x:y]].astype("<i8"), number[doc[x:y]].astype("<u4"),
+                    start[x:y].astype("<i4"), size.astype("<u2"),
                     _gather(data, base[doc[x:y]] + start[x:y], size))))
         return pd.DataFrame(rows, columns=cols)
     return run
@@ -252,23 +270,24 @@ def least_ids(m: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarra
 def _decide(length: int):
     """Step 2 in a shard: byte ranges to remove, one packet per block."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(x, "<u8", "<i8", "<i8", "<i4", "<i4", "u1") for x in pdf["data"]]
+        parts = [_unpack(x, "<u8", "<i8", "<u4", "<i4", "<u2", "u1") for x in pdf["data"]]
         blocks = np.repeat(pdf["block"].to_numpy(), [len(p[0]) for p in parts])
-        m, ids, rids, start, size, data = (np.concatenate([p[i] for p in parts]) for i in range(6))
+        m, ids, number, start, size, data = (np.concatenate([p[i] for p in parts]) for i in range(6))
         del parts
         size = size.astype(np.int64)
         begin = np.cumsum(size) - size
-        # equal stretches, by minimizer, size and two hashes of their first and last bytes
+        # equal stretches, by minimizer and two hashes of all bytes and the size
         padded = np.append(data, np.zeros(8, np.uint8))
         h = size.astype(np.uint64)
         g = m.copy()
         for j in range(0, int(size.max()), 8):
-            at = np.minimum(begin + j, begin + size - 8)
+            live = np.flatnonzero(size > j)
+            at = np.minimum(begin[live] + j, begin[live] + size[live] - 8)
             word = padded[at[:, None] + np.arange(8)].view("<u8").ravel()
-            h = (h ^ word) * _MULT[4]
-            h ^= h >> np.uint64(31)
-            g = (g + word) * _MULT[1]
-            g ^= g >> np.uint64(27)
+            x = (h[live] ^ word) * _MULT[4]
+            h[live] = x ^ (x >> np.uint64(31))
+            x = (g[live] + word) * _MULT[1]
+            g[live] = x ^ (x >> np.uint64(27))
         order = np.lexsort((g, h, m))
         new = np.append(True, (m[order][1:] != m[order][:-1]) | (h[order][1:] != h[order][:-1])
                         | (g[order][1:] != g[order][:-1]))
@@ -293,7 +312,7 @@ def _decide(length: int):
         order = np.argsort(blocks[row], kind="stable")
         row, a, b = row[order], a[order], b[order]
         cuts = np.flatnonzero(np.append(True, blocks[row][1:] != blocks[row][:-1])) if len(row) else []
-        rows = [(int(blocks[row[x]]), _pack(rids[row[x:y]].astype("<i8"), (start[row[x:y]] + a[x:y]).astype("<i4"),
+        rows = [(int(blocks[row[x]]), _pack(number[row[x:y]].astype("<u4"), (start[row[x:y]] + a[x:y]).astype("<i4"),
                                             (start[row[x:y]] + b[x:y]).astype("<i4")))
                 for x, y in zip(cuts, np.append(cuts[1:], len(row)))]
         return pd.DataFrame(rows, columns=["block", "ranges"])
@@ -309,26 +328,29 @@ def _union(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _cut():
-    """Step 3 in a block: every document's removed runs."""
+    """Step 3 in a block: every document's removed runs. Documents go by the
+    rank of their row hash in the block, as they did when stretches were sent."""
     def run(docs: pd.DataFrame, ranges: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
-            return pd.DataFrame(columns=["_sd_rid", "n_bytes", "spans", "kept_bytes"])
-        parts = [_unpack(x, "<i8", "<i4", "<i4") for x in ranges["ranges"]]
+            return pd.DataFrame(columns=[*docs.columns.drop(["_sd_text", "_sd_block", "_sd_rid", "_sd_id"]),
+                                         "n_bytes", "spans", "kept_bytes"])
+        parts = [_unpack(x, "<u4", "<i4", "<i4") for x in ranges["ranges"]]
         rid, a, b = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(3))
         order = np.argsort(rid, kind="stable")
         rid, a, b = rid[order], a[order].astype(np.int64), b[order].astype(np.int64)
         rows = []
-        for r, text in zip(docs["_sd_rid"], docs["_sd_text"]):
+        numbers = np.unique(docs["_sd_rid"].to_numpy(np.int64), return_inverse=True)[1]
+        for r, text in zip(numbers, docs["_sd_text"]):
             x, y = np.searchsorted(rid, r), np.searchsorted(rid, r, side="right")
             runs = _union(a[x:y], b[x:y]) if y > x else []
             kept, at = [], 0
             for s, e in runs:
                 kept.append(text[at:s])
                 at = e
-            rows.append((r, len(text), [v for s in runs for v in s], b"".join([*kept, text[at:]])))
-        out = pd.DataFrame(rows, columns=["_sd_rid", "n_bytes", "spans", "kept_bytes"])
-        return pd.concat([docs.drop(columns=["_sd_text", "_sd_block", "_sd_rid", "_sd_id"]).reset_index(drop=True),
-                          out.drop(columns="_sd_rid")], axis=1)
+            rows.append((len(text), [v for s in runs for v in s], b"".join([*kept, text[at:]])))
+        out = pd.DataFrame(rows, columns=["n_bytes", "spans", "kept_bytes"])
+        own = docs.drop(columns=["_sd_text", "_sd_block", "_sd_rid", "_sd_id"]).reset_index(drop=True)
+        return pd.concat([own, out], axis=1)
     return run
 
 

@@ -146,12 +146,29 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     n = len(t)
     before = np.full(n, n, dtype=np.int64)
     before[sa[1:]] = sa[:-1]
+    # as many symbols as fit are packed into one word and compared together
+    bits = max(1, int(t.max(initial=0)).bit_length())
+    per = max(1, 62 // bits)
+    padded = np.append(t, np.zeros(per, dtype=t.dtype)).astype(np.int64)
+    words = np.zeros(n + 1, dtype=np.int64)
+    for j in range(per):
+        words = (words << bits) | padded[j:j + n + 1]
     out = np.zeros(n, dtype=np.int64)
     live = np.flatnonzero(before < n)
-    for k in range(most):
+    for k in range(0, most, per):
         live = live[(live + k < n) & (before[live] + k < n)]
-        live = live[t[live + k] == t[before[live] + k]]
+        a, b = live + k, before[live] + k
+        diff = words[a] ^ words[b]
+        unequal = diff != 0
+        high = np.frexp(diff[unequal].astype(np.float64))[1]  # bits up to the first difference
+        # rounding up to a power of two may hide the last symbol before it: look again
+        same = np.maximum(per - 1 - (high - 1) // bits, 0)
+        u, v = a[unequal], b[unequal]
+        wrong = (same < per - 1) & (padded[u + np.minimum(same, per - 1)] == padded[v + np.minimum(same, per - 1)])
+        same[wrong] += 1
+        out[live[unequal]] += np.minimum(np.minimum(same, n - u), n - v)
+        live = live[~unequal]
+        out[live] += np.minimum(np.minimum(per, n - a[~unequal]), n - b[~unequal])
         if not len(live):
             break
-        out[live] += 1
-    return out
+    return np.minimum(out, most)
