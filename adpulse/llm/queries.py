@@ -102,6 +102,14 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, held_out(F.col("doc_id")))
 
 
+@_query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.sentencepiece_sampling import sample_segmentations
+    out = sample_segmentations(read_table(spark, sf_dir, "documents"), k=2)
+    return out.select("doc_id", "sample", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+                      F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "inclusion", "decoded")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
