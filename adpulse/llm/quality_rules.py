@@ -140,3 +140,15 @@ def quality_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
           .withColumn("kept", ~F.col("base_failed")
                       & (F.col("n_lost_chars") * 100 <= F.col("word_chars") * MAX_LOST_PCT)))
     return df.drop(*[c for c in df.columns if c.startswith("_qr_")])
+
+
+def clean_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents that are kept, with ``clean_text``; the other columns as they were.
+
+    The verdict is taken by exploding an array of one or no texts: a plain
+    filter would be pushed below the counts it depends on, each of which would
+    then be worked out again for every place that mentions it.
+    """
+    judged = quality_rules(docs, text_col)
+    texts = F.when(F.col("kept"), F.array("clean_text")).otherwise(F.array().cast("array<string>"))
+    return judged.select(*docs.columns, F.explode(texts).alias("clean_text"))

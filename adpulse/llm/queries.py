@@ -111,7 +111,8 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    import corpus_pipeline
+    return {**QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -75,12 +75,15 @@ class Vocabulary:
         self.logp = np.full(n, logp.min() - 2)  # byte pieces
         for (_, i), w in zip(order, logp):
             self.logp[i] = w
+        #: By length: the sorted hashes of all pieces' beginnings, and the piece that ends there (-1: none).
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for size in sorted({len(p) for p, _ in plain}):
-            some = [(int(_hash(np.array([[ord(c) for c in p]], np.uint64))[0]), i) for p, i in plain if len(p) == size]
-            some.sort()
-            self.by_length[size] = (np.array([h for h, _ in some], np.uint64), np.array([i for _, i in some]))
-
+        whole = {p: i for p, i in plain}
+        for size in range(1, max(map(len, whole)) + 1):
+            starts = sorted({p[:size] for p in whole if len(p) >= size})
+            codes = np.frombuffer("".join(starts).encode("utf-32-le"), "<u4").reshape(-1, size)
+            keys = _hash(codes.astype(np.uint64))
+            order = np.argsort(keys)
+            self.by_length[size] = keys[order], np.array([whole.get(starts[j], -1) for j in order])
         spelled = [self.bytes.get(i, b"") for i in range(n)]
         self.size = np.array([len(b) for b in spelled])
         self.at = np.cumsum(self.size) - self.size
@@ -127,20 +130,21 @@ class Lattice:
         covered = np.zeros(n, dtype=bool)
         live = place
         c = codes.astype(np.uint64) + np.uint64(1)
-        for size in range(1, max(vocab.by_length) + 1):
+        for size in vocab.by_length:
             live = live[live + size <= end[live]]
             if not len(live):
                 break
             h[live] = h[live] * _P + c[live + size - 1]
-            if size in vocab.by_length:
-                keys, pieces = vocab.by_length[size]
-                at = np.minimum(np.searchsorted(keys, h[live]), len(keys) - 1)
-                hit = keys[at] == h[live]
-                src.append(live[hit])
-                dst.append(live[hit] + size)
-                ids.append(pieces[at[hit]])
-                if size == 1:
-                    covered[live[hit]] = True
+            keys, pieces = vocab.by_length[size]
+            at = np.minimum(np.searchsorted(keys, h[live]), len(keys) - 1)
+            known = keys[at] == h[live]
+            live, piece = live[known], pieces[at[known]]
+            hit = piece >= 0
+            src.append(live[hit])
+            dst.append(live[hit] + size)
+            ids.append(piece[hit])
+            if size == 1:
+                covered[live[hit]] = True
         bare = np.flatnonzero(~covered)  # characters that are no piece: one arc of bytes
         spelled = [chr(x).encode("utf-8", "replace") for x in codes[bare]]
         src.append(bare)

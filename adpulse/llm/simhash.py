@@ -130,7 +130,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_bits: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: id, ``keep`` columns, ``fp`` and ``component_id``."""
+    """One row per document: id, ``keep`` columns, ``fp``, ``class_fp``
+    (one fingerprint of the class, the same for all of it) and ``component_id``."""
     spark = docs.sparkSession
     prints = checkpointed(fingerprints(docs, [id_col, *keep], text_col, shingle))
     first = checkpointed(prints.groupBy("fp").agg(F.min(id_col).alias("first")))
@@ -138,5 +139,5 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = first.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "label", F.coalesce("label", "fp"))
     ids = of.groupBy("label").agg(F.min("first").alias("component_id"))
-    classes = checkpointed(of.join(ids, "label").select("fp", "component_id"))
+    classes = checkpointed(of.join(ids, "label").select("fp", F.col("label").alias("class_fp"), "component_id"))
     return prints.join(classes, "fp")

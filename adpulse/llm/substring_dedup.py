@@ -327,7 +327,21 @@ def _union(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(a[opens].tolist(), b[np.append(opens[1:], len(a)) - 1].tolist()))
 
 
-def _cut():
+def _whole_chars(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs widened to whole UTF-8 characters."""
+    out: list[tuple[int, int]] = []
+    for a, b in runs:
+        while a > 0 and text[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(text) and text[b] & 0xC0 == 0x80:
+            b += 1
+        if out and a <= out[-1][1]:
+            a, b = out[-1][0], max(b, out.pop()[1])
+        out.append((a, b))
+    return out
+
+
+def _cut(whole_chars: bool):
     """Step 3 in a block: every document's removed runs. Documents go by the
     rank of their row hash in the block, as they did when stretches were sent."""
     def run(docs: pd.DataFrame, ranges: pd.DataFrame) -> pd.DataFrame:
@@ -343,6 +357,7 @@ def _cut():
         for r, text in zip(numbers, docs["_sd_text"]):
             x, y = np.searchsorted(rid, r), np.searchsorted(rid, r, side="right")
             runs = _union(a[x:y], b[x:y]) if y > x else []
+            runs = _whole_chars(text, runs) if whole_chars else runs
             kept, at = [], 0
             for s, e in runs:
                 kept.append(text[at:s])
@@ -355,9 +370,11 @@ def _cut():
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   gram: int = GRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+                   gram: int = GRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS,
+                   whole_chars: bool = False) -> DataFrame:
     """The other columns of ``docs`` with ``n_bytes``, ``spans`` (starts and ends
-    of removed runs, flat) and ``kept_bytes``. Names starting with ``_sd_`` are
+    of removed runs, flat) and ``kept_bytes``; with ``whole_chars`` a character
+    that loses a byte goes whole, so that the rest is UTF-8. Names starting with ``_sd_`` are
     reserved; a column of the same name as a result is replaced by it."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
     n_blocks = max(1, -(-total // block_bytes))
@@ -380,4 +397,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = sent.repartition(shards, "shard").groupBy("shard").applyInPandas(
         _decide(length), "block int, ranges binary")
     schema = docs.select(*rest).schema.add("n_bytes", "long").add("spans", T.ArrayType(T.IntegerType())).add("kept_bytes", "binary")
-    return blocked.groupBy("_sd_block").cogroup(ranges.groupBy("block")).applyInPandas(_cut(), schema)
+    return blocked.groupBy("_sd_block").cogroup(ranges.groupBy("block")).applyInPandas(_cut(whole_chars), schema)
