@@ -296,10 +296,16 @@ def fit(docs: DataFrame, text_col: str = "text") -> dict[str, np.ndarray]:
     text = F.col(text_col)
     marked = text.rlike("[0-9@]")
     at = F.greatest(F.regexp_instr(text, F.lit("[0-9@]")) - 2000, F.lit(1))
-    found = docs.where(text.isNotNull()).select(
-        F.xxhash64(text_col).alias("h"), marked.alias("m"), F.substring(text, at, F.lit(8000)).alias("t"))
-    some = [r for m in (True, False) for r in
-            sorted(found.where(F.col("m") == m).orderBy("h", "t").limit(TRAIN_DOCS // (1 if m else 8)).select("t").collect())]
+    found = docs.where(text.isNotNull()).select(F.xxhash64(text_col).alias("h"), marked.alias("m"), text_col)
+    some = []
+    for m in (True, False):
+        # bare hashes first, so that no task sends texts that are then dropped
+        n = TRAIN_DOCS // (1 if m else 8)
+        of = found.where(F.col("m") == m)
+        least = [r[0] for r in of.select("h").orderBy("h").limit(n).collect()]
+        if least:
+            some += sorted(of.where(F.col("h") <= least[-1]).select(F.substring(text, at, F.lit(8000)))
+                           .distinct().limit(n).collect())
     return train(training_windows([r[0] for r in some]))
 
 
