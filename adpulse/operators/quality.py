@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from adpulse.functions.kpis import ctr, cvr
-from adpulse.operators.joins import filter_by_keys
 from adpulse.params import DEFAULTS, AnalysisParams
 
 MAX_EXAMPLES = 20
@@ -178,26 +177,19 @@ class AuditResult:
         p = self.preds
         return F.coalesce(p["negative_spend"] | p["negative_revenue"], F.lit(False))
 
-    # -- transactions: orphans are decided on the distinct id set (partial
-    # aggregation collapses a hot customer to one row per task); the few
-    # orphan ids are then broadcast behind a size check.
-    def _orphan_ids(self):
-        def build():
-            t = self.present["transactions"]
-            ids = (t.filter(F.col("customer_id").isNotNull())
-                   .groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n")))
-            if "customers" in self.present:
-                known = self.present["customers"].select("customer_id").distinct()
-                return ids.join(known, "customer_id", "left_anti").persist()
-            return ids.persist()  # no customers table: every identified row is an orphan
-        return self._once("orphan_ids", build)
+    # -- transactions: semi and anti joins against the distinct customer ids.
+    # Either keeps whole rows of the left side, so adaptive execution may split
+    # a hot customer; nothing is counted before the plan runs.
+    def _known(self):
+        return self.present["customers"].select("customer_id").distinct()
 
     def _identified(self):
         return self.present["transactions"].filter(F.col("customer_id").isNotNull())
 
     def _orphans(self):
-        return self._once("orphans", lambda: filter_by_keys(
-            self._identified(), self._orphan_ids().select("customer_id"), "customer_id", "left_semi"))
+        if "customers" not in self.present:  # every identified row is an orphan
+            return self._identified()
+        return self._identified().join(self._known(), "customer_id", "left_anti")
 
     def _clean(self, name):
         if name == "campaigns":
@@ -205,8 +197,9 @@ class AuditResult:
             return kept.withColumn("conversions", F.when(F.col("conversions") > F.col("clicks"), F.col("clicks"))
                                    .otherwise(F.col("conversions")))
         if name == "transactions":
-            return filter_by_keys(self._identified(), self._orphan_ids().select("customer_id"),
-                                  "customer_id", "left_anti")
+            if "customers" not in self.present:
+                return self._identified().filter(F.lit(False))
+            return self._identified().join(self._known(), "customer_id", "left_semi")
         return self.present[name]
 
     def _stats(self):
@@ -222,13 +215,23 @@ class AuditResult:
                 stats["customers"] = self.present["customers"].agg(
                     F.count(F.lit(1)).alias("rows_before"), F.count_if(p["missing_age_group"]).alias("missing_age_group"))
             if "transactions" in self.present:
-                n_orphans = self._orphan_ids().agg(
-                    F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_transactions"))
-                base = self.present["transactions"].agg(
-                    F.count(F.lit(1)).alias("rows_before"),
-                    F.count_if(p["missing_customer_id"]).alias("missing_customer_id"),
-                    F.count_if(F.coalesce(p["profit_exceeds_amount"], F.lit(False))).alias("profit_exceeds_amount"))
-                stats["transactions"] = base.select("*", n_orphans.scalar().alias("orphan_transactions"))
+                # one pass: counts per customer (a hot one collapses in its tasks), then the known flag
+                per = self.present["transactions"].groupBy("customer_id").agg(
+                    F.count(F.lit(1)).alias("_n"),
+                    F.count_if(F.coalesce(p["profit_exceeds_amount"], F.lit(False))).alias("_pe"))
+                if "customers" in self.present:
+                    per = per.join(self._known().withColumn("_known", F.lit(True)), "customer_id", "left")
+                else:
+                    per = per.withColumn("_known", F.lit(None).cast("boolean"))
+
+                def total(cond, of="_n"):
+                    return F.coalesce(F.sum(F.when(cond, F.col(of))), F.lit(0)).cast("bigint")
+
+                no_id = F.col("customer_id").isNull()
+                stats["transactions"] = per.agg(
+                    total(F.lit(True)).alias("rows_before"), total(no_id).alias("missing_customer_id"),
+                    total(F.lit(True), "_pe").alias("profit_exceeds_amount"),
+                    total(~no_id & F.col("_known").isNull()).alias("orphan_transactions"))
             if "ab_test" in self.present:
                 stats["ab_test"] = self.present["ab_test"].agg(F.count(F.lit(1)).alias("rows_before"))
             return _report(self.spark, stats)
@@ -247,7 +250,13 @@ class AuditResult:
         def build():
             parts = []
             if "campaigns" in self.present:
-                dedup = self._dedup().drop("_copies")
+                copies = self._dedup()
+                dedup = copies.drop("_copies")
+                # every removed copy of a row is a quarantined row
+                parts.append(copies.filter("_copies > 1").withColumn(
+                    "_again", F.explode(F.sequence(F.lit(2), F.col("_copies").cast("int")))).select(
+                    F.lit("duplicate_rows").alias("rule_key"), F.lit("campaigns").alias("table_name"),
+                    F.to_json(F.struct(*dedup.columns)).alias("row_json")))
                 parts.append(dedup.filter(self._campaign_bad()).select(
                     F.when(self.preds["negative_spend"], "negative_spend").otherwise("negative_revenue").alias("rule_key"),
                     F.lit("campaigns").alias("table_name"), F.to_json(F.struct(*dedup.columns)).alias("row_json")))

@@ -19,25 +19,24 @@ fx_customers AS (
   FROM customer c
   LEFT JOIN (SELECT o_custkey, MIN(o_orderdate) AS first_order FROM orders GROUP BY o_custkey) f ON c.c_custkey = f.o_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE c.c_custkey % 50 <> 7
 ),
 fx_transactions AS (
   SELECT l.l_orderkey * 10 + l.l_linenumber AS transaction_id,
-         CASE WHEN l.l_orderkey % 997 = 0 THEN NULL ELSE o.o_custkey END AS customer_id,
+         CASE WHEN l.l_orderkey % 997 = 0 THEN NULL WHEN o.o_custkey % 50 = 7 THEN o.o_custkey + 1000000000000
+              WHEN o.o_custkey % 10 = 0 THEN o.o_custkey - 1 ELSE o.o_custkey END AS customer_id,
          CAST(o.o_orderdate AS DATE) AS transaction_date, p.p_type AS product_category,
          CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount, l.l_discount AS discount,
          CAST(CASE WHEN l.l_returnflag = 'R' THEN CAST(-0.12 AS DECIMAL(4,2)) ELSE CAST(18 + p.p_size AS DECIMAL(4,0)) * CAST(0.01 AS DECIMAL(4,2)) END
               * CAST(l.l_extendedprice AS DECIMAL(10,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(18,6)) AS profit,
          l.l_returnflag = 'R' AS refund_flag
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE o.o_custkey % 10 <> 0
 ),
 fx_campaigns_base AS (
-  SELECT l_suppkey % 42 AS cid, CAST(l_shipdate AS DATE) AS date,
+  SELECT l_suppkey AS cid, CAST(l_shipdate AS DATE) AS date,
          CAST(SUM(l_quantity) * 100 AS BIGINT) AS impressions, CAST(SUM(l_quantity) AS BIGINT) AS clicks, COUNT(*) AS conversions,
          SUM(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_tax AS DECIMAL(4,2)) * 10) AS spend,
          SUM(CAST(l_extendedprice AS DECIMAL(10,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS revenue
-  FROM lineitem GROUP BY l_suppkey % 42, CAST(l_shipdate AS DATE)
+  FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)
 ),
 fx_campaigns AS (
   WITH b AS (

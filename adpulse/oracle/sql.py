@@ -79,6 +79,8 @@ _BODIES["q_quarantine_counts"] = """
 SELECT rule_key, table_name, COUNT(*) AS rows_quarantined FROM (
   SELECT CASE WHEN spend < 0 THEN 'negative_spend' ELSE 'negative_revenue' END AS rule_key, 'campaigns' AS table_name
   FROM (SELECT DISTINCT * FROM fx_campaigns) WHERE spend < 0 OR revenue < 0
+  UNION ALL SELECT 'duplicate_rows', 'campaigns'
+  FROM (SELECT unnest(range(1, n)) FROM (SELECT *, COUNT(*) AS n FROM fx_campaigns GROUP BY ALL) WHERE n > 1)
   UNION ALL SELECT 'missing_customer_id', 'transactions' FROM fx_transactions WHERE customer_id IS NULL
   UNION ALL SELECT 'orphan_transactions', 'transactions' FROM fx_transactions
   WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM fx_customers)
@@ -821,7 +823,7 @@ WITH w AS (
          revenue FROM cc),
 g AS (SELECT window_start, CAST(window_start + INTERVAL 7 DAY AS DATE) AS window_end, CAST(SUM(revenue) AS DOUBLE) AS revenue,
              COUNT(*) AS rows FROM w GROUP BY window_start)
-SELECT * FROM g WHERE window_end <= (SELECT MAX(date) FROM cc) - INTERVAL 7 DAY"""
+SELECT * FROM g"""
 _BODIES["r6_stream_dedup"] = "SELECT DISTINCT * FROM fx_campaigns"
 _BODIES["r7_stream_enrich"] = """
 SELECT t.transaction_id, t.customer_id, t.transaction_date, CAST(t.amount AS DOUBLE) AS amount,

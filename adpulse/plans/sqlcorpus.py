@@ -13,7 +13,6 @@ from pyspark.sql.window import Window
 
 from adpulse.functions.kpis import (dbl, device_status, discount_band, ltv_cac_tier,
                                     roas_tier, roi_tier, safe_div)
-from adpulse.operators.joins import filter_by_keys
 from adpulse.operators.ranking import ntile_of_rank
 
 
@@ -259,11 +258,9 @@ def s20_rfm_ntile(t: DataFrame, reference_date: str = "2025-12-31", n: int = 25,
 
 def s21_orphans(t: DataFrame, cu: DataFrame) -> DataFrame:
     """Transactions whose customer_id has no customer, NULL ids included.
-    Orphan ids come from the distinct id set (no hot key), then a
-    size-checked broadcast semi-join picks their rows."""
-    ids = t.filter(F.col("customer_id").isNotNull()).select("customer_id").distinct()
-    orphan_ids = ids.join(cu.select("customer_id"), "customer_id", "left_anti")
+    One anti join; whole left rows, so adaptive execution may split a hot id."""
     cols = ["transaction_id", "customer_id", "transaction_date", dbl("amount").alias("amount")]
     nulls = t.filter(F.col("customer_id").isNull()).select(*cols)
-    known = filter_by_keys(t.filter(F.col("customer_id").isNotNull()), orphan_ids, "customer_id", "left_semi")
+    known = t.filter(F.col("customer_id").isNotNull()).join(
+        cu.select("customer_id").distinct(), "customer_id", "left_anti")
     return nulls.unionByName(known.select(*cols))

@@ -13,7 +13,6 @@ import tempfile
 from pyspark.sql import SparkSession
 
 _LOCAL_DEFAULTS = {
-    "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,11 +27,21 @@ _LOCAL_DEFAULTS = {
 }
 
 
+def _is_set(key: str) -> bool:
+    """Whether ``spark-submit``, its arguments or a running JVM already name the key."""
+    from pyspark import SparkConf, SparkContext
+    if SparkContext._gateway is not None:
+        return SparkConf().contains(key)
+    given = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    return key in given or (key == "spark.driver.memory" and "--driver-memory" in given)
+
+
 def get_session(master: str | None = None, app: str = "adpulse", **conf) -> SparkSession:
+    """A session with the caller's settings; defaults only fill what nobody has set."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**_LOCAL_DEFAULTS, **conf}.items():
+    for k, v in {**{k: v for k, v in _LOCAL_DEFAULTS.items() if not _is_set(k)}, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -42,9 +51,9 @@ def get_session(master: str | None = None, app: str = "adpulse", **conf) -> Spar
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a scratch one only
-    when none is configured (local runs and tests). A cluster names a shared
-    folder in ``spark.checkpoint.dir``; that setting is always respected."""
+    """Return the session's checkpoint directory. A cluster names a shared
+    folder in ``spark.checkpoint.dir``; only a ``local[...]`` session, which is
+    a single machine, may go without and gets a scratch folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -52,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="adpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -20,7 +20,7 @@ DEVICES = ("Mobile", "Desktop", "Tablet")  # (cid + 1) % 3
 COUNTRIES = ("United States", "United Kingdom", "India", "Canada", "Australia")  # cid % 5
 AUDIENCES = ("New", "Returning", "Retargeting", "Lookalike")  # cid % 4
 PLANS = ("Free", "Basic", "Premium", "Enterprise")  # custkey % 4
-N_CAMPAIGNS = 42
+ORPHAN_OFFSET = 1_000_000_000_000
 
 
 def _pick(key_sql: str, labels) -> F.Column:
@@ -45,20 +45,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return hit[1]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that yields fewer splits than the session's
-    parallelism (e.g. a file written as one row group) before per-row work.
-    Large inputs already arrive in many splits and are returned unchanged,
-    so no extra shuffle is added at scale. Only planning is inspected (no job)."""
-    spark = df.sparkSession
-    if spark.conf.get("adpulse.spreadSmallScans", "false") != "true":
-        return df
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def _dec(c, p, s):
     return F.col(c).cast(f"decimal({p},{s})") if isinstance(c, str) else c.cast(f"decimal({p},{s})")
 
@@ -70,8 +56,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = F.broadcast(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
     first = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
     key = F.col("c_custkey")
-    j = (c.filter(key % 50 != 7)
-         .join(first, key == F.col("o_custkey"), "left")
+    j = (c.join(first, key == F.col("o_custkey"), "left")
          .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
          .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
     bal = F.col("c_acctbal")
@@ -92,11 +77,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_returnflag"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_returnflag")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    j = (li.join(o.filter(F.col("o_custkey") % 10 != 0), F.col("l_orderkey") == F.col("o_orderkey"))
+    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(p, F.col("l_partkey") == F.col("p_partkey")))
     refund = F.col("l_returnflag") == "R"
     margin = F.when(refund, F.lit(-0.12).cast("decimal(4,2)")).otherwise(
@@ -105,8 +90,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
               * (F.lit(1) - _dec("l_discount", 4, 2))).cast("decimal(18,6)")
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
+        # seeded faults, no row lost: no id; an id that no customer has; a
+        # neighbour buys instead, which leaves customers who never bought
         F.when(F.col("l_orderkey") % 997 == 0, F.lit(None).cast("bigint"))
-         .otherwise(F.col("o_custkey")).alias("customer_id"),
+         .when(F.col("o_custkey") % 50 == 7, F.col("o_custkey") + ORPHAN_OFFSET)
+         .when(F.col("o_custkey") % 10 == 0, F.col("o_custkey") - 1)
+         .otherwise(F.col("o_custkey")).cast("bigint").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         F.col("p_type").alias("product_category"),
         _dec("l_extendedprice", 18, 2).alias("amount"),
@@ -117,14 +106,14 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_tax", "l_discount"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_tax", "l_discount")
     price = _dec("l_extendedprice", 10, 2)
-    # campaign x day grain: at most 42 x days rows whatever the input size;
-    # partial aggregation collapses each map task's rows before the shuffle.
+    # campaign x day grain, a campaign for every supplier, so the table grows
+    # with the input; partial aggregation collapses each task's rows first.
     # (Literal widths keep the products within 18 digits: exact, and on the
     # fast long-backed decimal path.)
-    base = (li.groupBy((F.col("l_suppkey") % N_CAMPAIGNS).alias("cid"),
+    base = (li.groupBy(F.col("l_suppkey").alias("cid"),
                        F.col("l_shipdate").cast("date").alias("date"))
             .agg((F.sum("l_quantity") * 100).cast("bigint").alias("impressions"),
                  F.sum("l_quantity").cast("bigint").alias("clicks"),

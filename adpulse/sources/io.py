@@ -66,6 +66,10 @@ def load_from_paths(spark: SparkSession, data_dir: str, params: AnalysisParams =
     return Bundle(raw=raw, params=params)
 
 
+#: Tasks that may write one month of a table.
+WRITERS_PER_MONTH = 32
+
+
 def write_store(tables: dict, out_dir: str, register_views: bool = True) -> dict:
     """A3: write each table as Parquet partitioned by the month of its date
     column and expose it as a temp view. Returns name -> path."""
@@ -75,7 +79,8 @@ def write_store(tables: dict, out_dir: str, register_views: bool = True) -> dict
             continue
         path = f"{out_dir.rstrip('/')}/{name}"
         (df.withColumn("month", F.date_format(DATE_COLUMN[name], "yyyy-MM"))
-         .repartition("month").write.mode("overwrite").partitionBy("month").parquet(path))
+         # a month is split over tasks by a hash of the row, so that a large one isn't one task
+         .repartition("month", F.pmod(F.xxhash64(*df.columns), F.lit(WRITERS_PER_MONTH))).write.mode("overwrite").partitionBy("month").parquet(path))
         paths[name] = path
         if register_views:
             df.sparkSession.read.parquet(path).drop("month").createOrReplaceTempView(name)

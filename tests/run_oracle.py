@@ -15,7 +15,7 @@ import __spark_entry__ as E  # noqa: E402
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
-    spark = get_session("local[8]")
+    spark = get_session("local[8]", **{"spark.sql.shuffle.partitions": "8"})
     con = duck(sf)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0
