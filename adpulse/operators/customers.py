@@ -206,7 +206,8 @@ def retention_by_channel(activity: DataFrame, customers: DataFrame,
     """Active customers per (channel, month) over all customers the
     channel acquired."""
     sizes = customers.groupBy("acquisition_channel").agg(F.count(F.lit(1)).alias("cohort_size"))
-    out = (activity.filter(F.col("months_since_acquisition") <= params.channel_retention_max_months)
+    out = (activity.filter((F.col("months_since_acquisition") <= params.channel_retention_max_months)
+                           & F.col("acquisition_channel").isNotNull())
            .groupBy("acquisition_channel", "months_since_acquisition")
            .agg(F.count(F.lit(1)).alias("active_customers")))
     return (out.join(sizes, "acquisition_channel", "left")

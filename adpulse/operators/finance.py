@@ -32,12 +32,13 @@ def customers_with_profit(customers: DataFrame, transactions: DataFrame,
 
 
 def _spend_revenue(campaigns: DataFrame) -> DataFrame:
-    return (campaigns.groupBy("channel")
+    return (campaigns.filter(F.col("channel").isNotNull()).groupBy("channel")
             .agg(F.sum("spend").alias("spend"), F.sum("revenue").alias("revenue")))
 
 
 def _new_customers(customers: DataFrame) -> DataFrame:
-    return (customers.groupBy(F.col("acquisition_channel").alias("channel"))
+    return (customers.filter(F.col("acquisition_channel").isNotNull())
+            .groupBy(F.col("acquisition_channel").alias("channel"))
             .agg(F.count(F.lit(1)).alias("new_customers")))
 
 

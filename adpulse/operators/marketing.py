@@ -101,8 +101,10 @@ def all_dimension_kpis(campaigns: DataFrame) -> DataFrame:
 
 
 def campaign_performance(campaigns: DataFrame, min_spend: float = 100) -> DataFrame:
-    """Per-campaign totals over campaign-days with spend > min_spend."""
-    df = campaigns.filter(F.col("spend") > F.lit(min_spend))
+    """Per-campaign totals over campaign-days with spend > min_spend. Rows that
+    lack a group key are left out, as in every engine operator."""
+    df = campaigns.filter(F.col("spend") > F.lit(min_spend)).dropna(
+        subset=["campaign_id", "campaign_name", "channel"])
     return (df.groupBy("campaign_id", "campaign_name", "channel")
             .agg(F.sum("spend").alias("spend"), F.sum("revenue").alias("revenue"),
                  F.sum("conversions").alias("conversions"))
@@ -135,22 +137,20 @@ def monthly_revenue_exact(campaigns: DataFrame, params: AnalysisParams = DEFAULT
     zero-filled between the first and last month; a trailing month whose last
     day is after the data's last date is dropped when
     ``drop_partial_trailing_month``."""
-    # one pass over the campaigns: the span bounds come from the per-month
-    # aggregate (a few hundred rows), not from a second scan
-    by_month = (campaigns.groupBy(F.trunc("date", "MM").alias("month"))
-                .agg(F.sum("revenue").alias("revenue"), F.min("date").alias("_lo"), F.max("date").alias("_hi")))
-    bounds = by_month.agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
-    last_month = F.trunc(F.col("hi"), "MM")
-    end = (F.when(F.col("hi") < F.last_day("hi"), F.add_months(last_month, -1)).otherwise(last_month)
-           if params.drop_partial_trailing_month else last_month)
-    # the month spine has one row per calendar month of the data span
-    start = F.trunc("lo", "MM")
-    spine = bounds.filter(F.col("lo").isNotNull()).select(
-        F.explode(F.when(end >= start, F.sequence(start, end, F.expr("interval 1 month")))
-                  .otherwise(F.array().cast("array<date>"))).alias("month"))
-    return (spine.join(by_month.select("month", "revenue"), "month", "left")
-            .select("month", F.coalesce(F.col("revenue"), F.lit(0).cast("decimal(38,4)"))
-                    .cast("decimal(28,4)").alias("revenue")))
+    # one scan: all that follows runs over one row per calendar month. Each
+    # month is spread up to the next one that has rows.
+    by_month = (campaigns.filter(F.col("date").isNotNull()).groupBy(F.trunc("date", "MM").alias("month"))
+                .agg(F.sum("revenue").alias("revenue"), F.max("date").alias("_hi")))
+    all_months = Window.partitionBy(F.lit(0))
+    rows = by_month.select(
+        "month", "revenue", F.max("_hi").over(all_months).alias("hi"),
+        F.coalesce(F.add_months(F.lead("month").over(all_months.orderBy("month")), -1), "month").alias("_until"))
+    out = rows.withColumn("_m", F.explode(F.sequence("month", "_until", F.expr("interval 1 month"))))
+    if params.drop_partial_trailing_month:
+        out = out.filter((F.col("hi") == F.last_day("hi")) | (F.col("_m") < F.trunc("hi", "MM")))
+    return out.select(F.col("_m").alias("month"),
+                      F.when(F.col("_m") == F.col("month"), F.coalesce(F.col("revenue"), F.lit(0)))
+                      .otherwise(F.lit(0)).cast("decimal(28,4)").alias("revenue"))
 
 
 def monthly_revenue(campaigns: DataFrame, params: AnalysisParams = DEFAULTS) -> DataFrame:
@@ -171,12 +171,12 @@ def seasonality(campaigns: DataFrame, params: AnalysisParams = DEFAULTS) -> Data
 
 def daily_revenue(campaigns: DataFrame) -> DataFrame:
     """M7: revenue per day (no zero fill)."""
-    return campaigns.groupBy("date").agg(r6(F.sum("revenue")).alias("revenue"))
+    return campaigns.filter(F.col("date").isNotNull()).groupBy("date").agg(r6(F.sum("revenue")).alias("revenue"))
 
 
 def channel_mix(campaigns: DataFrame) -> DataFrame:
     """M8: spend and revenue by channel."""
-    return (campaigns.groupBy("channel")
+    return (campaigns.filter(F.col("channel").isNotNull()).groupBy("channel")
             .agg(r6(F.sum("spend")).alias("spend"), r6(F.sum("revenue")).alias("revenue"))
             .orderBy(F.col("spend").desc(), "channel"))
 

@@ -223,3 +223,21 @@ def test_as_of_slices_every_table(spark):
     assert b.campaigns.count() == 1
     # the audit still describes the source, not the slice
     assert {r.table_name: r.rows_before for r in b.audit.rows.collect()}["campaigns"] == 2
+
+
+def test_null_group_keys_are_left_out(spark):
+    import datetime as dt
+
+    from adpulse.operators import marketing as mk
+    from adpulse.operators.finance import _new_customers, _spend_revenue
+    day = dt.date(2024, 1, 1)
+    rows = [camp("C1", "Email", day, 500, 100, 10, 1, 50), camp("C2", None, day, 500, 100, 10, 1, 50),
+            camp("C3", "Email", None, 500, 100, 10, 1, 50), camp(None, "Email", day, 500, 100, 10, 1, 50)]
+    c = spark.createDataFrame(rows, CAMP_SCHEMA)
+    assert [r.channel for r in mk.channel_mix(c).collect()] == ["Email"]
+    assert [r.date for r in mk.daily_revenue(c).collect()] == [day]
+    assert {r.campaign_id for r in mk.campaign_performance(c).collect()} == {"C1", "C3"}
+    assert [r.channel for r in _spend_revenue(c).collect()] == ["Email"]
+    cu = spark.createDataFrame([("Email",), (None,)], "acquisition_channel string")
+    assert [(r.channel, r.new_customers) for r in _new_customers(cu).collect()] == [("Email", 1)]
+    assert [r.month for r in mk.monthly_revenue(c).collect()] in ([], [dt.date(2024, 1, 1)])
