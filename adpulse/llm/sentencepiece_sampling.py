@@ -29,8 +29,10 @@ texts get equal samples; a null key counts as zero; other columns pass through.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -170,12 +172,14 @@ class Lattice:
             first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
             beta[s[first]] = np.logaddexp.reduceat(weight[arcs] + to, first)
         to = np.where(dst == end[src], 0.0, beta[np.minimum(dst, n)])
-        self.logp = np.minimum(weight + to - beta[src], 0.0)  # of an arc, given its node
+        logp = np.minimum(weight + to - beta[src], 0.0)  # of an arc, given its node
+        # a node's likeliest arcs come first, so that few are looked at to draw one
+        order = np.lexsort((-logp, src))
+        src, dst, ids, self.logp = src[order], dst[order], ids[order], logp[order]
         first = np.searchsorted(src, np.arange(n + 1))
         run = np.cumsum(np.exp(self.logp))
-        before = np.append(0.0, run)[first[src]]
-        self.ladder = src + np.minimum(run - before, 1.0)
-        self.ladder[first[1:] - 1] = place + 1.0
+        self.upto = run - np.append(0.0, run)[first[src]]
+        self.upto[first[1:] - 1] = 1.0
         self.src, self.dst, self.ids, self.first = src, dst, ids, first
         self.start, self.end, self.word = ends - sizes, ends, word
         # pieces of every arc, end to end
@@ -221,7 +225,11 @@ def _follow(lat: Lattice, word: np.ndarray, node: np.ndarray, key: np.ndarray, p
     while len(occ):
         at = node[occ]
         u = noise(key[occ], path[occ], place[occ] + at - start[occ], 1)
-        arc = np.clip(np.searchsorted(lat.ladder, at + u), lat.first[at], lat.first[at + 1] - 1)
+        arc = lat.first[at]
+        miss = np.flatnonzero(u > lat.upto[arc])
+        while len(miss):
+            arc[miss] += 1
+            miss = miss[u[miss] > lat.upto[arc[miss]]]
         who.append(occ)
         arcs.append(arc)
         node[occ] = lat.dst[arc]
@@ -262,8 +270,9 @@ def _siblings(lat: Lattice, path: _Path, key: np.uint64, since: int, most: int)
 def sample(texts: list[str], keys: np.ndarray, vocab: Vocabulary, k: int = K, seed: int = SEED) -> list[list[tuple]]:
     """For each text its segmentations: (ids, log probability, perturbed score, inclusion score)."""
     split = [units(t) if t else [] for t in texts]
-    number: dict[str, int] = {}
-    flat = np.fromiter((number.setdefault(w, len(number)) for ws in split for w in ws), np.int64)
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    flat = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64)
     keys = noise(keys.astype(np.uint64), np.zeros(len(keys)), np.full(len(keys), seed), 3).view(np.uint64)
     if not number:
         return [[(np.zeros(0, np.int64), 0.0, 0.0, 1.0)] for _ in texts]
