@@ -139,7 +139,7 @@ def _predictions(train: DataFrame, method: str, steps_col: DataFrame, params: An
         t = train.join(steps_col.select("series", "steps"), "series")
         return (t.select("series", "idx", dbl("y").alias("y"), "steps").groupBy("series")
                 .applyInPandas(_arima_group("steps"), "series string, idx bigint, pred double"))
-    raise ValueError(f"unknown forecast method {method!r}")
+    raise ValueError(f"there is no forecast method named {method!r}")
 
 
 def backtest(series: DataFrame, params: AnalysisParams = DEFAULTS) -> DataFrame:

@@ -21,7 +21,7 @@ _SUMS = ("impressions", "clicks", "conversions", "spend", "revenue")
 
 def check_dimension(by: str) -> str:
     if by not in GROUPABLE:
-        raise ValueError(f"cannot group by {by!r}; expected one of {GROUPABLE}")
+        raise ValueError(f"{by!r} is no dimension to group by; there are {', '.join(GROUPABLE)}")
     return by
 
 
