@@ -143,12 +143,15 @@ def quality_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that are kept, with ``clean_text``; the other columns as they were.
+    """The documents that are kept, with ``clean_text``; the other columns as they
+    were, also where they share a name with a count.
 
     The verdict is taken by exploding an array of one or no texts: a plain
     filter would be pushed below the counts it depends on, each of which would
     then be worked out again for every place that mentions it.
     """
-    judged = quality_rules(docs, text_col)
+    own = docs.select(F.struct(*docs.columns).alias("_cd_own"), F.col(text_col).alias("_cd_text"))
+    judged = quality_rules(own, "_cd_text")
     texts = F.when(F.col("kept"), F.array("clean_text")).otherwise(F.array().cast("array<string>"))
-    return judged.select(*docs.columns, F.explode(texts).alias("clean_text"))
+    rest = [F.col(f"_cd_own.`{c}`") for c in docs.columns if c != "clean_text"]
+    return judged.select(*rest, F.explode(texts).alias("clean_text"))

@@ -37,6 +37,9 @@ def test_quality_rules_base_counts(docs, rows, empty):
     assert set(clean) - {None} == {d for d, r in by.items() if r.kept} - {None}
     assert any("All rights" in (r.text or "") and "All rights" not in clean[d] for d, r in by.items() if d in clean)
     assert not any("na | na" in t for t in clean.values())
+    clash = docs.withColumn("n_words", F.lit("own")).withColumn("clean_text", F.lit(0)).withColumn("kept", F.lit(7))
+    one = clean_documents(clash).where("doc_id = 4").first()
+    assert (one.n_words, one.kept) == ("own", 7) and one.clean_text == clean[4]
 
 
 def test_quality_rules_long_text_path(docs, monkeypatch):
