@@ -9,17 +9,20 @@ with one minimizer form a *stretch*, mostly of under ``2 * length`` bytes.
 1. Documents are dealt into blocks. A block sends the distinct minimizers of
    its strings to their shards, which answer which of them occur in more than
    one document.
-2. Blocks send the stretches of those minimizers to shards. A shard groups
-   equal stretches (a hot passage is one entry per block and then one per
-   shard) and sorts what differs under one minimizer by a suffix array, built
-   by induced sorting (:mod:`adpulse.llm.suffix_array`); permuted common
-   prefixes of ``length`` or more show equal strings, and the smallest id among
-   them is compared with every occurrence.
-3. Byte ranges return to their blocks, where each document is cut.
+2. Blocks merge their equal stretches of those minimizers. Every occurrence but
+   those of the smallest id goes whole, which the block settles alone; one of
+   the smallest id is sent to a shard, so that a hot passage is one entry per
+   block however often it occurs. A shard groups equal stretches and sorts what
+   differs under one minimizer by a suffix array, built by induced sorting
+   (:mod:`adpulse.llm.suffix_array`); permuted common prefixes of ``length`` or
+   more show equal strings, and the smallest id among them is compared with the
+   id of every entry.
+3. Runs of removed strings return to their blocks, which apply them to the other
+   occurrences of that id and cut each document.
 
 Minimizers seen in many blocks (``HOT_BLOCKS``) deal their strings one by one,
 by the hash of the whole string, so that no shard receives all the contexts of
-a very frequent passage.
+a very frequent passage; equal strings are merged in the block as well.
 
 Defined results: a null or empty text has no bytes and loses none; a text
 shorter than ``length`` loses none; strings don't cross documents; rows of one
@@ -185,8 +188,46 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)]
 
 
+def _kinds(m: np.ndarray, begin: np.ndarray, size: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Numbers of equal stretches, rising with the minimizer: told apart by it,
+    the size and two hashes of all bytes."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    h = size.astype(np.uint64)
+    g = m.copy()
+    for j in range(0, int(size.max(initial=0)), 8):
+        live = np.flatnonzero(size > j)
+        at = np.minimum(begin[live] + j, begin[live] + size[live] - 8)
+        word = padded[at[:, None] + np.arange(8)].view("<u8").ravel()
+        x = (h[live] ^ word) * _MULT[4]
+        h[live] = x ^ (x >> np.uint64(31))
+        x = (g[live] + word) * _MULT[1]
+        g[live] = x ^ (x >> np.uint64(27))
+    order = np.lexsort((g, h, m))
+    m, h, g = m[order], h[order], g[order]
+    kind = np.empty(len(m), np.int64)
+    kind[order] = np.cumsum(np.append(False, (m[1:] != m[:-1]) | (h[1:] != h[:-1]) | (g[1:] != g[:-1]))[:len(m)])
+    return kind
+
+
+def _merge(m: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray,
+           data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch the first of the smallest id among its equals, and
+    whether its own id is larger than that one's."""
+    first = np.arange(len(m))
+    inverse, counts = np.unique(m, return_inverse=True, return_counts=True)[1:]
+    todo = np.flatnonzero(counts[inverse] > 1)  # one of its minimizer has no equal
+    kind = _kinds(m[todo], begin[todo], size[todo], data)
+    order = todo[np.lexsort((ids[todo], kind))]
+    kind = np.sort(kind)
+    heads = np.flatnonzero(np.append(True, kind[1:] != kind[:-1])[:len(kind)])
+    first[order] = np.repeat(order[heads], np.diff(np.append(heads, len(kind))))
+    return first, ids > ids[first]
+
+
 def _send(length: int, gram: int, bits: int):
-    """Step 2 in a block: its shared stretches, one packet per shard."""
+    """Step 2 in a block: its distinct shared stretches, one packet per shard, and a
+    packet for itself, under a negative shard: what it settles alone and which
+    occurrences follow the one that is sent."""
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         cols = ["block", "shard", "data"]
         if not len(docs) or not len(answers):
@@ -200,18 +241,37 @@ def _send(length: int, gram: int, bits: int):
         m, doc, start, strings, hot = b.m[keep], b.doc[keep], b.start[keep], b.strings[keep], state[keep] > 1
         base = np.cumsum([0, *map(len, texts)])
         data = np.frombuffer(b"".join(texts), np.uint8)
+        gone, same = [], []  # places of removed strings; occurrences and those they follow
+
+        def merged(m, doc, start, strings):
+            first, larger = _merge(m, ids[doc], base[doc] + start, strings + length - 1, data)
+            at = _place(number[doc], start)
+            gone.append((at[larger], strings[larger]))
+            others = np.flatnonzero(~larger & (at != at[first]))
+            same.append((at[first[others]], strings[others], at[others]))
+            return first == np.arange(len(m))
+
+        keep = merged(m, doc, start, strings)
+        m, doc, start, strings, hot = m[keep], doc[keep], start[keep], strings[keep], hot[keep]
         if hot.any():  # strings of their own, dealt by their whole content
             n = strings[hot]
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             hd, hs = np.repeat(doc[hot], n), np.repeat(start[hot], n) + step
             whole = np.array([struct.unpack("<Q", hashlib.blake2b(texts[d][s:s + length], digest_size=8).digest())[0]
                               for d, s in zip(hd, hs)], dtype=np.uint64)
+            keep = merged(whole, hd, hs, np.ones(len(hd), np.int64))
+            whole, hd, hs = whole[keep], hd[keep], hs[keep]
             m, doc = np.append(m[~hot], whole), np.append(doc[~hot], hd)
             start, strings = np.append(start[~hot], hs), np.append(strings[~hot], np.ones(len(hd), np.int64))
         order = np.argsort(m, kind="stable")
         m, doc, start, strings = m[order], doc[order], start[order], strings[order]
         cuts = np.searchsorted(_shard_of(m, bits), np.arange((1 << bits) + 1))
         block, rows = int(docs["_sd_block"].iloc[0]), []
+        strings_same = same[1] if len(same) > 1 else [np.zeros(0, np.int64)] * 3
+        at, n = (np.concatenate(x) for x in zip(*gone))
+        at, end = _runs(at, at + n)
+        if len(at) or any(len(x[0]) for x in same):
+            rows.append((block, -1 - block, _pack(*_packable(at, end), *(x.astype("<i8") for x in (*strings_same, *same[0])))))
         for s, (x, y) in enumerate(zip(cuts, cuts[1:])):
             if y > x:
                 size = strings[x:y] + length - 1
@@ -268,35 +328,24 @@ def least_ids(m: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarra
 
 
 def _decide(length: int):
-    """Step 2 in a shard: byte ranges to remove, one packet per block."""
+    """Step 2 in a shard: runs of removed strings, one packet per block. What a
+    block sends itself passes through."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["shard"].iloc[0] < 0:
+            return pd.DataFrame({"block": pdf["block"], "ranges": None, "own": pdf["data"]})
         parts = [_unpack(x, "<u8", "<i8", "<u4", "<i4", "<u2", "u1") for x in pdf["data"]]
         blocks = np.repeat(pdf["block"].to_numpy(), [len(p[0]) for p in parts])
         m, ids, number, start, size, data = (np.concatenate([p[i] for p in parts]) for i in range(6))
         del parts
         size = size.astype(np.int64)
         begin = np.cumsum(size) - size
-        # equal stretches, by minimizer and two hashes of all bytes and the size
-        padded = np.append(data, np.zeros(8, np.uint8))
-        h = size.astype(np.uint64)
-        g = m.copy()
-        for j in range(0, int(size.max()), 8):
-            live = np.flatnonzero(size > j)
-            at = np.minimum(begin[live] + j, begin[live] + size[live] - 8)
-            word = padded[at[:, None] + np.arange(8)].view("<u8").ravel()
-            x = (h[live] ^ word) * _MULT[4]
-            h[live] = x ^ (x >> np.uint64(31))
-            x = (g[live] + word) * _MULT[1]
-            g[live] = x ^ (x >> np.uint64(27))
-        order = np.lexsort((g, h, m))
-        new = np.append(True, (m[order][1:] != m[order][:-1]) | (h[order][1:] != h[order][:-1])
-                        | (g[order][1:] != g[order][:-1]))
-        kind = np.empty(len(m), np.int64)
-        kind[order] = np.cumsum(new) - 1
+        kind = _kinds(m, begin, size, data)
+        order = np.argsort(kind, kind="stable")
+        new = np.append(True, kind[order][1:] != kind[order][:-1])
         one = order[new]  # a representative of each distinct stretch
         low = np.minimum.reduceat(ids[order], np.flatnonzero(new))
         least = least_ids(m[one], low, begin[one], size[one], data, length)
-        # occurrences against the least ids of their strings
+        # entries against the least ids of their strings
         strings = size[one] - length + 1
         base = np.cumsum(strings) - strings
         worst = np.minimum.reduceat(least, base)  # the smallest of a stretch
@@ -305,20 +354,49 @@ def _decide(length: int):
         step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
         gone = least[np.repeat(base[kind[hit]], k) + step] < np.repeat(ids[hit], k)
         row = np.repeat(hit, k)
-        # runs of removed strings within one occurrence
+        # runs of removed strings within one entry
         opens = gone & np.append(True, (row[1:] != row[:-1]) | ~gone[:-1])
         closes = gone & np.append((row[1:] != row[:-1]) | ~gone[1:], True)
-        row, a, b = row[opens], step[opens], step[closes] + length
+        row, a, b = row[opens], step[opens], step[closes] + 1
         order = np.argsort(blocks[row], kind="stable")
         row, a, b = row[order], a[order], b[order]
         cuts = np.flatnonzero(np.append(True, blocks[row][1:] != blocks[row][:-1])) if len(row) else []
         rows = [(int(blocks[row[x]]), _pack(number[row[x:y]].astype("<u4"), (start[row[x:y]] + a[x:y]).astype("<i4"),
-                                            (start[row[x:y]] + b[x:y]).astype("<i4")))
+                                            (start[row[x:y]] + b[x:y]).astype("<i4")), None)
                 for x, y in zip(cuts, np.append(cuts[1:], len(row)))]
-        return pd.DataFrame(rows, columns=["block", "ranges"])
+        return pd.DataFrame(rows, columns=["block", "ranges", "own"])
     return run
 
 
+def _place(number: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places of a block's documents, in one line."""
+    return (number.astype(np.int64) << 32) + at
+
+
+def _packable(at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low = 0xFFFFFFFF
+    return (at >> 32).astype("<u4"), (at & low).astype("<i4"), (end & low).astype("<i4")
+
+
+def _runs(at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal runs of places in ``[at, end)``, in order."""
+    order = np.argsort(at, kind="stable")
+    at, end = at[order], np.maximum.accumulate(end[order])
+    opens = np.append(True, at[1:] > end[:-1])[:len(at)]
+    return at[opens], end[np.append(opens[1:], True)[:len(at)]]
+
+
+def _follow(at: np.ndarray, end: np.ndarray, of: np.ndarray, n: np.ndarray,
+            to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs with what lies in ``[of, of + n)`` repeated from ``to`` on."""
+    first = np.searchsorted(end, of, side="right")
+    k = np.maximum(np.searchsorted(at, of + n) - first, 0)
+    which = np.arange(k.sum()) + np.repeat(first - (np.cumsum(k) - k), k)
+    of, n, to = np.repeat(of, k), np.repeat(n, k), np.repeat(to, k)
+    return _runs(np.append(at, np.maximum(at[which], of) - of + to),
+                 np.append(end, np.minimum(end[which], of + n) - of + to))
+
+
 def _union(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs covered by the ranges ``[a, b)``."""
     order = np.argsort(a, kind="stable")
@@ -341,17 +419,31 @@ def _whole_chars(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, in
     return out
 
 
-def _cut(whole_chars: bool):
+def _removed(ranges: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of removed strings in a block, from the shards and from itself."""
+    parts = [_unpack(x, "<u4", "<i4", "<i4") for x in ranges["ranges"] if x is not None]
+    same = []
+    for x in ranges["own"]:
+        if x is not None:
+            own = _unpack(x, "<u4", "<i4", "<i4", *["<i8"] * 6)
+            parts.append(own[:3])
+            same = [own[i:i + 3] for i in range(3, len(own), 3)]
+    number, a, b = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(3))
+    at, end = _runs(_place(number, a), _place(number, b))
+    for s in same:  # strings before the stretches that hold them
+        at, end = _follow(at, end, *s)
+    return at, end
+
+
+def _cut(length: int, whole_chars: bool):
     """Step 3 in a block: every document's removed runs. Documents go by the
     rank of their row hash in the block, as they did when stretches were sent."""
     def run(docs: pd.DataFrame, ranges: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame(columns=[*docs.columns.drop(["_sd_text", "_sd_block", "_sd_rid", "_sd_id"]),
                                          "n_bytes", "spans", "kept_bytes"])
-        parts = [_unpack(x, "<u4", "<i4", "<i4") for x in ranges["ranges"]]
-        rid, a, b = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(3))
-        order = np.argsort(rid, kind="stable")
-        rid, a, b = rid[order], a[order].astype(np.int64), b[order].astype(np.int64)
+        rid, a, b = (x.astype(np.int64) for x in _packable(*_removed(ranges)))
+        b += length - 1
         rows = []
         numbers = np.unique(docs["_sd_rid"].to_numpy(np.int64), return_inverse=True)[1]
         for r, text in zip(numbers, docs["_sd_text"]):
@@ -395,6 +487,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = blocked.groupBy("_sd_block").cogroup(answers.groupBy("block")).applyInPandas(
         _send(length, gram, bits), "block int, shard int, data binary")
     ranges = sent.repartition(shards, "shard").groupBy("shard").applyInPandas(
-        _decide(length), "block int, ranges binary")
+        _decide(length), "block int, ranges binary, own binary")
     schema = docs.select(*rest).schema.add("n_bytes", "long").add("spans", T.ArrayType(T.IntegerType())).add("kept_bytes", "binary")
-    return blocked.groupBy("_sd_block").cogroup(ranges.groupBy("block")).applyInPandas(_cut(whole_chars), schema)
+    return blocked.groupBy("_sd_block").cogroup(ranges.groupBy("block")).applyInPandas(_cut(length, whole_chars), schema)

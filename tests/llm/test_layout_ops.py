@@ -161,6 +161,34 @@ def test_repeated_strings(docs, rows, empty, block, hot):
     assert remove_repeats(empty).count() == 0
 
 
+def test_hot_passage_is_one_entry_per_block():
+    import pandas as pd
+    from adpulse.llm import substring_dedup as S
+    text = bytes(np.random.default_rng(4).integers(97, 123, 3000).astype("u1"))
+    docs = pd.DataFrame({"_sd_text": [text] * 200, "_sd_rid": range(200), "_sd_id": range(200), "_sd_block": 0})
+    block = S._Block([text], np.zeros(1, np.int64), S.LENGTH, S.GRAM)
+    for state in (1, 2):  # shared, hot
+        answers = pd.DataFrame({"block": [0], "shard": [0], "state": [bytes([state]) * len(block.unique)]})
+        sent = S._send(S.LENGTH, S.GRAM, 0)(docs, answers)
+        entries = sum(len(S._unpack(x, "<u8")[0]) for x in sent[sent["shard"] >= 0]["data"])
+        assert entries == (len(block.m) if state == 1 else len(text) - S.LENGTH + 1)
+
+
+@pytest.mark.parametrize("block,hot", [(1 << 20, 4096), (4000, 2), (1 << 20, 0)])
+def test_repeats_of_a_hot_text(spark, block, hot):
+    """Copies in one block, within one document and under one id, of texts whose parts differ."""
+    from adpulse.llm.substring_dedup import remove_repeats
+    r = np.random.default_rng(5)
+    a, b, c = ("".join(map(chr, r.integers(97, 123, n))) for n in (700, 160, 90))
+    rows = [(i, a) for i in range(60, 10, -1)] + [(5, b + c + b), (5, c + b), (5, c + b), (3, c), (70, a + b + a), (70, a[:300] + c + c)]
+    rows += [(70, a), (None, a + b), (None, b + c + "tail" + c), (None, None), (2, "x" * 900), (9, "x" * 700 + b), (9, "x" * 700 + b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = remove_repeats(docs, block_bytes=block, hot_blocks=hot).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept_bytes")).cast("int"),
+        (F.size("spans") / 2).cast("int"), F.sha2("kept_bytes", 256)).collect()
+    assert sorted(map(tuple, out), key=str) == sorted(brute_repeats(rows), key=str)
+
+
 def test_suffix_array_and_prefixes():
     from adpulse.llm.suffix_array import MAX_SYMBOLS, common_prefixes, suffix_array
     r = np.random.default_rng(1)
