@@ -5,14 +5,16 @@ leftmost-smaller (LMS) substrings are sorted by one induction, named, and the
 string of names is sorted recursively; from the sorted LMS suffixes a second
 induction yields the whole array. An induction visits the buckets of the first
 symbol in order and moves whole slices of a bucket to their predecessors'
-buckets at once, so its work is linear in the text.
+buckets at once, so its work is linear in the text. Where symbols are many
+(``MAX_SYMBOLS``, mostly names) and so slices short, the same induction moves
+suffixes one by one.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Beyond so many symbols the string of names is sorted by rank doubling.
+#: Beyond so many symbols an induction moves suffixes one by one.
 MAX_SYMBOLS = 2048
 
 
@@ -83,20 +85,31 @@ def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, symbols: int) -
     return sa
 
 
-def _doubling(t: np.ndarray) -> np.ndarray:
-    n, k = len(t), 1
-    rank = t.astype(np.int64)
-    while True:
-        nxt = np.zeros(n, np.int64)
-        nxt[:-k or None] = rank[k:] + 1 if k < n else 0
-        sa = np.lexsort((nxt, rank))
-        a, b = rank[sa], nxt[sa]
-        new = np.cumsum(np.append(0, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        rank = np.empty(n, np.int64)
-        rank[sa] = new
-        if new[-1] == n - 1:
-            return sa
-        k *= 2
+def _induce_each(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, symbols: int) -> np.ndarray:
+    """As :func:`_induce`, suffix by suffix."""
+    n = len(t)
+    sizes = np.bincount(t, minlength=symbols)
+    ends = np.cumsum(sizes)
+    head, tail, last = (ends - sizes).tolist(), ends.tolist(), ends.tolist()
+    sym, small = t.tolist(), smaller.tolist()
+    sa = [0] * n  # 0 has no predecessor and induces nothing
+    for j in lms[::-1].tolist():
+        c = sym[j]
+        tail[c] -= 1
+        sa[tail[c]] = j
+    for i in range(n):
+        j = sa[i] - 1
+        if j >= 0 and not small[j]:
+            c = sym[j]
+            sa[head[c]] = j
+            head[c] += 1
+    for i in range(n - 1, -1, -1):
+        j = sa[i] - 1
+        if j >= 0 and small[j]:
+            c = sym[j]
+            last[c] -= 1
+            sa[last[c]] = j
+    return np.array(sa, dtype=np.int64)
 
 
 def _names(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -126,18 +139,20 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     n, symbols = len(t), int(t.max()) + 1 if len(t) else 1
     if n <= 2:
         return np.arange(n)[::-1].copy()
-    if symbols > MAX_SYMBOLS:
-        return _doubling(t)
+    if symbols > n:  # gaps among the symbols
+        t = np.unique(t, return_inverse=True)[1]
+        symbols = int(t.max()) + 1
+    induce = _induce if symbols <= MAX_SYMBOLS else _induce_each
     smaller = classify(t)
     lms = np.flatnonzero(smaller & np.append(False, ~smaller[:-1]))
-    guess = _induce(t, smaller, lms, symbols)
+    guess = induce(t, smaller, lms, symbols)
     is_lms = np.zeros(n, dtype=bool)
     is_lms[lms] = True
     ordered = guess[is_lms[guess]]
     names = _names(t, smaller, lms, ordered)
     if names.max() + 1 < len(names):
         ordered = lms[suffix_array(names)]
-    return _induce(t, smaller, ordered, symbols)
+    return induce(t, smaller, ordered, symbols)
 
 
 def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:

@@ -205,6 +205,18 @@ def test_suffix_array_and_prefixes():
             assert p[a] == n
 
 
+def test_suffix_array_induces_at_every_alphabet(monkeypatch):
+    """Texts with more names than MAX_SYMBOLS, and gaps among the symbols, need no other sort."""
+    from adpulse.llm import suffix_array as S
+    monkeypatch.setattr(S.np, "lexsort", None)
+    r = np.random.default_rng(2)
+    for high, n in ((5, 4000), (256, 9000), (5000, 4000), (1 << 40, 500)):
+        t = np.append(r.integers(1, high, n), 0)
+        t = np.concatenate([t[:n // 2], t])
+        sa, wide = S.suffix_array(t), t.astype(">i8").tobytes()
+        assert sa.tolist() == sorted(range(len(t)), key=lambda j: wide[8 * j:])
+
+
 def test_warc_round_trip(spark, empty):
     from adpulse.llm import warc as W
     big, r = "<p>" + "x" * 1200, np.random.default_rng(2)
