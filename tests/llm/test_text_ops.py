@@ -164,6 +164,17 @@ def test_pii_gradients_and_spans(docs, rows, empty):
     assert P.find_pii(empty, model).count() == 0
 
 
+def test_ip_parts_of_any_length(spark):
+    from adpulse.llm import pii as P
+    long, zeros = "7" * 5000, "0" * 5000
+    texts = [f"at 1.2.3.{long} or 10.0.0.255", f"{long}.1.2.3", f"{zeros}.0.00.{zeros}255", f"1.2.3.{zeros}256", "1.2.3.256"]
+    want = [[("ip", 5013, 5023)], [], [("ip", 0, 10009)], [], []]
+    assert [[s for s in P.base_spans(t) if s[0] == "ip"] for t in texts] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = P.find_pii(docs, P.init_model()).orderBy("doc_id").collect()
+    assert [[tuple(s) for s in r.base_spans if s.kind == "ip"] for r in found] == want
+
+
 def test_viterbi_is_best_path():
     from itertools import product
 
