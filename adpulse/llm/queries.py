@@ -105,7 +105,7 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adpulse.llm.sentencepiece_sampling import sample_segmentations
-    out = sample_segmentations(read_table(spark, sf_dir, "documents"), k=2)
+    out = sample_segmentations(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "sample", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
                       F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "inclusion", "decoded")
 

@@ -56,6 +56,19 @@ def test_sampling_table(docs, rows, empty):
     assert sample_segmentations(empty).count() == 0
 
 
+def test_sampling_query_has_every_sample(spark, docs, monkeypatch):
+    from adpulse.llm import queries as Q
+    from adpulse.llm.sentencepiece_sampling import K
+    monkeypatch.setattr(Q, "read_table", lambda *a: docs.where("doc_id in (1, 4)"))
+    out = Q.QUERIES["op1_sentencepiece"](spark, "").collect()
+    assert all(r.decoded for r in out) and {(r.doc_id, r.sample) for r in out} == {(d, i) for d in (1, 4) for i in range(K)}
+    ids = {}
+    for r in out:
+        ids.setdefault((r.doc_id, r.ids_crc32, r.log_prob), set()).add(r.sample)
+    assert all(len(x) == 1 for x in ids.values())  # no path twice
+    assert {s for x in ids.values() for s in x} == set(range(K))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
 def test_feistel_is_a_bijection(n):
     from adpulse.llm.sharding import permute
