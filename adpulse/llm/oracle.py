@@ -65,3 +65,40 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN last > page_id THEN last END AS refers_to
 FROM m
 """
+
+ORACLE["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+tok AS (
+  SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+v AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM tok SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+tot AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS total
+  FROM grp g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+full_p AS (
+  SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (t.total + v.v) AS p
+  FROM tot t JOIN v USING (lang) JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+whole AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + v) AS q
+  FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL) JOIN v USING (lang)),
+lead AS (
+  SELECT f.lang, f.source, f.term AS item, (f.p - w.q) * (f.p - w.q) // w.q AS value
+  FROM full_p f JOIN whole w USING (lang, term) WHERE f.n > 0 AND f.p > w.q),
+pair_sum AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM full_p a JOIN full_p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair_sum s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (
+  SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+  UNION ALL BY NAME
+  SELECT *, 'term' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM lead
+  QUALIFY rank <= 200)
+"""
