@@ -51,3 +51,17 @@ def words(text: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and leave every other letter alone."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
+
+
+def free_names(columns: list[str], taken: list[str]) -> dict[str, str]:
+    """New names for ``columns``: one that an operator gives to a result (whatever its
+    case) gets ``_in`` appended until it is free, the others keep theirs."""
+    used = {c.lower() for c in taken}
+    names = {}
+    for c in columns:
+        name = c
+        while name.lower() in used:
+            name += "_in"
+        used.add(name.lower())
+        names[c] = name
+    return names

@@ -110,6 +110,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "inclusion", "decoded")
 
 
+@_query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.alignment import align_tokens
+    return align_tokens(read_table(spark, sf_dir, "documents"), with_groups=False)
+
+
 @_query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adpulse.llm.divergence import source_divergence
