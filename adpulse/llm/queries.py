@@ -116,6 +116,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(read_table(spark, sf_dir, "documents"), with_groups=False)
 
 
+@_query
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adpulse.llm.embedding_dedup import near_duplicate_vectors
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adpulse.llm.divergence import source_divergence

@@ -164,3 +164,89 @@ def test_divergence_probability_of_large_counts(spark):
     n = 3 * 10**17
     df = spark.createDataFrame([(n, 10**18, 5)], "n long, t long, v long").select(_prob("n", "t", "v").alias("p"))
     assert df.first().p == 1 + 10**9 * (n + 1) // (10**18 + 5)
+
+
+# ------------------------------------------------------------ embedding near-duplicates
+def brute_vectors(rows, threshold=0.9):
+    """Links by cosine over all pairs, classes by union; rows are (id, vector)."""
+    ok = [bool(v) and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v in rows]
+    units = [np.array(v, float) / np.abs(np.array(v, float)).max() if g else None for (_, v), g in zip(rows, ok)]
+    units = [u / np.linalg.norm(u) if u is not None else None for u in units]
+    n = len(rows)
+    near = [[j for j in range(n) if j != i and ok[i] and ok[j] and len(units[i]) == len(units[j])
+             and units[i] @ units[j] >= threshold] for i in range(n)]
+    label = list(range(n))
+    for i in range(n):
+        todo = [i]
+        while todo:
+            x = todo.pop()
+            for y in near[x]:
+                if label[y] > label[i]:
+                    label[y] = label[i]
+                    todo.append(y)
+    out = []
+    for i, (key, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(n) if label[j] == label[i] and rows[j][0] is not None]
+        low = min(ids) if ids else None
+        out.append((key, len(near[i]), low, key == low))
+    return out
+
+
+def vector_rows():
+    r = np.random.default_rng(3)
+    base = [r.normal(size=16) for _ in range(60)]
+    rows = list(base)
+    for k, b in enumerate(base[:30]):  # copies at every distance around the threshold, and chains
+        for s in (0.02, 0.1, 0.3, 0.45, 0.5):
+            rows.append(b + s * np.linalg.norm(b) / 4 * r.normal(size=16))
+    rows += [base[0]] * 40 + [base[0] + 0.03 * r.normal(size=16) for _ in range(120)]
+    rows += [base[1] * 1e-200, base[1] * 1e200, -base[2], base[3].astype(np.float32)]
+    rows += [[1.0, 2.0], [2.0, 4.0], [1.0, 2.0, 0.0]] + [[1.0] + [0.0] * 15, [0.9, 0.19 ** 0.5] + [0.0] * 14]
+    rows = [[float(x) for x in v] for v in rows]
+    rows += [None, [], [0.0] * 16, [0.0] * 16, [float("nan")] * 16, [1.0, None] + [0.0] * 14, [float("inf")] * 16, [None] * 16]
+    ids = r.permutation(len(rows)).tolist()
+    rows = list(zip(ids, rows))
+    return rows + [(None, rows[0][1]), (None, [float(x) for x in r.normal(size=16)]), rows[5], rows[5]]
+
+
+@pytest.mark.parametrize("cell,block", [(1000, 1024), (15, 7)])
+def test_vectors_match_brute_force(spark, cell, block):
+    from adpulse.llm.embedding_dedup import near_duplicate_vectors
+    rows = vector_rows()
+    src = spark.createDataFrame([(i, v, 1, "x") for i, v in rows],
+                                "vec_id long, embedding array<double>, n_links int, uid string").repartition(5)
+    out = near_duplicate_vectors(src, keep=("n_links", "uid"), cell=cell, block=block)
+    assert out.columns == ["vec_id", "n_links_in", "uid", "n_links", "component_id", "kept"]
+    got = sorted([(x.vec_id, x.n_links, x.component_id, x.kept) for x in out.collect()], key=str)
+    assert got == sorted(brute_vectors(rows), key=str)
+
+
+def test_vectors_on_both_sides_of_many_planes(spark):
+    """Isotropic vectors in few dimensions: pairs across cells are the rule."""
+    from adpulse.llm.embedding_dedup import near_duplicate_vectors
+    r = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(r.normal(size=(700, 5)))]
+    src = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = near_duplicate_vectors(src, cell=20, block=16).collect()
+    assert sorted((x.vec_id, x.n_links, x.component_id, x.kept) for x in out) == sorted(brute_vectors(rows))
+    fewer = near_duplicate_vectors(src, cell=20, block=16, reach=0.5).collect()
+    assert 0.9 * sum(x.n_links for x in out) <= sum(x.n_links for x in fewer) <= sum(x.n_links for x in out)
+
+
+def test_vectors_of_empty_and_unusable_tables(spark):
+    from adpulse.llm.embedding_dedup import near_duplicate_vectors
+    schema = "vec_id long, embedding array<float>"
+    assert near_duplicate_vectors(spark.createDataFrame([], schema)).count() == 0
+    bad = near_duplicate_vectors(spark.createDataFrame([(1, None), (2, [0.0]), (None, [])], schema)).collect()
+    assert sorted(map(tuple, bad), key=str) == sorted([(1, 0, 1, True), (2, 0, 2, True), (None, 0, None, True)], key=str)
+    one = near_duplicate_vectors(spark.createDataFrame([(4, [1.0, 2.0])], schema)).collect()
+    assert list(map(tuple, one)) == [(4, 0, 4, True)]
+
+
+def test_vectors_query_finds_every_link(spark):
+    from adpulse.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    rows = [(x.vec_id, list(x.embedding) if x.embedding is not None else None)
+            for x in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    out = QUERIES["op12_embedding_dedup"](spark, sf).collect()
+    assert sorted(map(tuple, out)) == sorted(brute_vectors(rows))
