@@ -12,14 +12,16 @@ within that language and every language has columns of its own, however many
 languages there are. The vocabulary of a fit passes through the driver and is
 broadcast, so the terms are dealt by hash into shards of about ``SHARD_TERMS``
 distinct ones, each fitted alone: memory is bounded, and one pass over the texts
-deals the terms of all shards. The vectors' group sums are kept as sparse rows
-(language, source, term, count).
+deals the terms of all shards. Since a fit only asks whether ``min_df`` documents
+have a term, it sees the term in the first ``min_df`` documents of each slice of
+texts; the vectors are of whole documents. Their group sums are kept as sparse
+rows (language, source, term, count).
 
 The sum over all kept terms for a pair of sources is evaluated from the sparse
 rows: ``V`` times the divergence of two absent terms, corrected by one value per
 distinct count of either side, corrected where both sides have the term. Only
-the last part looks at terms, in blocks of rows; no pair of rows leaves a block,
-only one sum per pair of sources. All arithmetic is on integers.
+the last part looks at terms, in blocks of whole terms; no pair of rows leaves a
+block, only one sum per pair of sources. All arithmetic is on integers.
 
 Defined results: null language, source or text reads as ''; a group without terms
 is there, with every count zero; a language without kept terms has the value zero
@@ -38,15 +40,15 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adpulse.llm.common import lower_ascii, shared_dir
+from adpulse.llm.common import checkpointed, shared_dir
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: The same on UTF-8 bytes whose A-Z are lower-cased.
+#: Terms on UTF-8 bytes whose A-Z are lower-cased: every byte of a character beyond ASCII has its top bit set.
 _TERM_BYTES = re.compile(rb"[a-z\x80-\xff]+")
 MIN_DF = 3
 TOP = 200
@@ -58,48 +60,101 @@ SHARD_TERMS = 1_000_000
 BLOCK_ROWS = 200_000
 CELLS = 1 << 21
 #: Bytes of text whose terms are dealt at a time.
-SLICE = 4 << 20
+SLICE = 8 << 20
+#: Smallest hashes from which the distinct terms are estimated.
+SKETCH = 1024
 #: Parts the term from its language; no term holds it.
 MARK = "\x00"
 
 
-def _deal(langs: list[str], sources: list[str], texts: list[bytes], shards: int) -> pa.RecordBatch:
-    """One row per document and shard with the document's terms of that shard."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[str], list[bytes]]]:
+    """Languages, sources and texts, about ``SLICE`` bytes of text at a time."""
+    for b in batches:
+        sizes = np.cumsum([len(t.as_py()) for t in b.column("text")])
+        start = 0
+        while start < b.num_rows:
+            done = sizes[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(sizes, done + SLICE, "right")))
+            part = b.slice(start, stop - start)
+            yield tuple(part.column(c).to_pylist() for c in ("lang", "source", "text"))
+            start = stop
+
+
+def _least_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ``SKETCH`` smallest hashes of the distinct (term, language) pairs of a partition."""
+    from xxhash import xxh64_intdigest
+
+    least = np.zeros(0, np.uint64)
+    for langs, _, texts in _slices(batches):
+        terms: dict[str, set] = {}
+        for lang, text in zip(langs, texts, strict=True):
+            terms.setdefault(lang, set()).update(_TERM_BYTES.findall(text.lower()))
+        for lang, found in terms.items():
+            tail = MARK.encode() + lang.encode("utf-8", "replace")
+            new = np.fromiter((xxh64_intdigest(t + tail) for t in found), np.uint64, len(found))
+            least = np.unique(np.concatenate((least, new)))[:SKETCH]
+    yield pa.RecordBatch.from_arrays([pa.array((least >> np.uint64(1)).astype(np.int64))], names=["h"])
+
+
+def distinct_terms(docs: DataFrame) -> int:
+    """Distinct (term, language) pairs, estimated within a few per cent from the smallest hashes of all."""
+    least = [r.h for r in docs.mapInArrow(_least_hashes, "h long").distinct().orderBy("h").limit(SKETCH).collect()]
+    return len(least) if len(least) < SKETCH else int((SKETCH - 1) * float(1 << 63) / least[-1])
+
+
+def _lists(row: np.ndarray, rows: int, kind: np.ndarray, keys: pa.Array) -> pa.ListArray:
+    """The keys of each of ``rows`` rows; ``row`` is sorted."""
+    ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows))))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys.take(pa.array(kind)))
+
+
+def _deal(langs: list[str], sources: list[str], texts: list[bytes], shards: int, min_df: int) -> pa.RecordBatch:
+    """One row per document and shard: the document's terms of that shard and, of them, those
+    that ``min_df`` earlier documents of the slice don't have already."""
     found = [_TERM_BYTES.findall(t.lower()) for t in texts]
     doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
     coded = pa.array([t for f in found for t in f], pa.binary()).dictionary_encode()
+    del found
     lang_of, lang_names = pd.factorize(np.array(langs, dtype=object))
-    both = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * max(1, len(lang_names)) + lang_of[doc]
-    kinds, kind = np.unique(both, return_inverse=True)
+    kind, kinds = pd.factorize(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(lang_names) + lang_of[doc])
+    term_of, lang_in = kinds // max(1, len(lang_names)), kinds % max(1, len(lang_names))
+    tails = [(MARK + x).encode("utf-8", "replace") for x in lang_names]
     names = coded.dictionary.to_pylist()
-    keys = [names[k // len(lang_names)].decode("utf-8", "replace") + MARK + lang_names[k % len(lang_names)]
-            for k in kinds.tolist()]
-    shard = np.fromiter((crc32(k.encode("utf-8", "replace")) % shards for k in keys), np.int64, len(keys))[kind]
-    at = doc * shards + shard
-    order = np.argsort(at, kind="stable")
-    at = at[order]
-    first = np.flatnonzero(np.diff(at, prepend=-1))
-    rows = at[first]
-    terms = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()),
-                                     pa.array(keys, pa.string()).take(pa.array(kind[order])))
-    take = pa.array(rows // shards)
+    shard_of = np.fromiter((crc32(tails[b], crc32(names[a])) % shards
+                            for a, b in zip(term_of.tolist(), lang_in.tolist(), strict=True)), np.int64, len(kinds))
+    joined = pc.binary_join_element_wise(coded.dictionary.take(pa.array(term_of)),
+                                         pa.array(tails, pa.binary()).take(pa.array(lang_in)), b"")
+    try:
+        keys = joined.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        keys = pa.array([k.decode("utf-8", "replace") for k in joined.to_pylist()], pa.string())
+    if shards <= 1 << 16:
+        shard_of = shard_of.astype(np.uint16)  # sorted in one linear pass
+
+    shard = shard_of[kind]
+    order = np.argsort(shard, kind="stable")  # documents stay in order within a shard
+    at = shard[order].astype(np.int64) * len(texts) + doc[order]
+    row = np.cumsum(np.diff(at, prepend=-1) > 0) - 1
+    rows = at[np.flatnonzero(np.diff(at, prepend=-1))]
+
+    once = pd.unique(doc * max(1, len(kinds)) + kind)
+    few = once[pd.Series(once % max(1, len(kinds))).groupby(once % max(1, len(kinds))).cumcount().to_numpy() < min_df]
+    few_doc, few_kind = few // max(1, len(kinds)), few % max(1, len(kinds))
+    few_at = shard_of[few_kind].astype(np.int64) * len(texts) + few_doc
+    few_order = np.argsort(few_at, kind="stable")
+
+    take = pa.array(rows % max(1, len(texts)))
     return pa.RecordBatch.from_arrays(
         [pa.array(langs, pa.string()).take(take), pa.array(sources, pa.string()).take(take),
-         terms, pa.array((rows % shards).astype(np.int32))], names=["lang", "source", "terms", "shard"])
+         _lists(row, len(rows), kind[order], keys),
+         _lists(np.searchsorted(rows, few_at[few_order]), len(rows), few_kind[few_order], keys),
+         pa.array((rows // max(1, len(texts))).astype(np.int32))], names=["lang", "source", "terms", "fit_terms", "shard"])
 
 
-def _dealer(shards: int):
+def _dealer(shards: int, min_df: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sizes = np.cumsum([len(t.as_py()) for t in b.column("text")])
-            start = 0
-            while start < b.num_rows:
-                done = sizes[start - 1] if start else 0
-                stop = max(start + 1, int(np.searchsorted(sizes, done + SLICE, "right")))
-                part = b.slice(start, stop - start)
-                yield _deal(part.column("lang").to_pylist(), part.column("source").to_pylist(),
-                            part.column("text").to_pylist(), shards)
-                start = stop
+        for langs, sources, texts in _slices(batches):
+            yield _deal(langs, sources, texts, shards, min_df)
     return run
 
 
@@ -108,30 +163,35 @@ def _prob(count: str, total: str, size: str) -> Column:
     return F.expr(f"1 + (cast({count} + 1 as decimal(19,0)) * {UNIT}BD) div cast({total} + {size} as decimal(19,0))")
 
 
+def _probs(counts: np.ndarray, total: int, size: int) -> np.ndarray:
+    """The same for an array of counts, in Python's integers once per distinct count."""
+    each, at = np.unique(counts, return_inverse=True)
+    return np.array([1 + UNIT * (c + 1) // (total + size) for c in each.tolist()], np.int64)[at]
+
+
 def _gap(p: str, q: str) -> Column:
     return F.expr(f"(({p}) - ({q})) * (({p}) - ({q})) div ({q})")
 
 
+def _gaps(p, q):
+    return (p - q) * (p - q) // q
+
+
 def group_counts(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD_TERMS) -> tuple[DataFrame, DataFrame]:
     """``(vocabulary, counts)``: kept terms as (shard, idx, lang, term) and the sparse group
     sums as (shard, idx, lang, source, n), both written to the shared folder."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark).rstrip('/')}/divergence-{uuid.uuid4().hex}"
-    found = docs.select("lang", F.explode(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(f"({TERM})"), F.lit(0)))
-                        .alias("term"))
-    distinct = found.agg(F.approx_count_distinct(F.struct("lang", "term")).alias("n")).first()["n"]
-    shards = max(1, -(-distinct // shard_terms))
-    schema = "lang string, source string, terms array<string>, shard int"
-    (docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(_dealer(shards), schema)
-     .write.partitionBy("shard").parquet(f"{folder}/terms"))
-    columns = "lang string, source string, terms array<string>"
+    docs = docs.withColumn("text", F.col("text").cast("binary"))
+    shards = max(1, -(-distinct_terms(docs) // shard_terms))
+    columns = "lang string, source string, terms array<string>, fit_terms array<string>, shard int"
+    docs.mapInArrow(_dealer(shards, min_df), columns).write.partitionBy("shard").parquet(f"{folder}/terms")
     # three documents of a term that can't occur: a fit without a single kept term raises an error
-    none = spark.range(min_df).select(F.array(F.lit(MARK)).alias("terms"))
-    vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCAB)
+    none = spark.range(min_df).select(F.array(F.lit(MARK)).alias("fit_terms"))
+    vectorizer = CountVectorizer(inputCol="fit_terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCAB)
     for s in range(shards):
-        part = (spark.read.schema(f"{columns}, shard int").parquet(f"{folder}/terms")
-                .where(F.col("shard") == s).select("lang", "source", "terms"))
-        model = vectorizer.fit(part.select("terms").unionByName(none))
+        part = spark.read.schema(columns).parquet(f"{folder}/terms").where(F.col("shard") == s)
+        model = vectorizer.fit(part.select("fit_terms").unionByName(none)).setInputCol("terms")
         model.write().save(f"{folder}/models/{s}")
         (spark.read.parquet(f"{folder}/models/{s}/data").select(F.posexplode("vocabulary").alias("idx", "key"))
          .where(F.col("key") != MARK)
@@ -139,7 +199,7 @@ def group_counts(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD
                  F.expr("substr(key, instr(key, '\\0') + 1)").alias("lang"))
          .write.parquet(f"{folder}/vocabulary/shard={s}"))
         vector = F.unwrap_udt("vector")
-        (model.transform(part)
+        (model.transform(part.select("lang", "source", "terms"))
          .select("lang", "source", F.explode(F.arrays_zip(vector["indices"], vector["values"])).alias("e"))
          .groupBy("lang", "source", F.col("e.indices").alias("idx"))
          .agg(F.sum(F.col("e.values").cast("long")).alias("n"))
@@ -148,30 +208,58 @@ def group_counts(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD
             spark.read.schema("lang string, source string, idx int, n long, shard int").parquet(f"{folder}/counts"))
 
 
-def _shared_terms(rows: pd.DataFrame) -> pd.DataFrame:
-    """Over the terms of one block, per ordered pair of sources that share some: the sum of
-    what both having the term changes against the value of either alone."""
-    source, sources = pd.factorize(rows["source"])
-    term, terms = pd.factorize(rows["shard"].to_numpy(np.int64) << 32 | rows["idx"].to_numpy(np.int64))
-    order = np.argsort(term, kind="stable")
-    term, source, p = term[order], source[order], rows["p"].to_numpy(np.int64)[order]
-    absent = np.zeros(len(sources), np.int64)
-    absent[source] = rows["p0"].to_numpy(np.int64)[order]
-    gap = lambda a, b: (a - b) * (a - b) // b
-    total = np.zeros((len(sources), len(sources)), np.int64)
-    step = max(1, CELLS // len(sources))
-    for lo in range(0, len(terms), step):
-        a, b = np.searchsorted(term, [lo, lo + step])
-        grid = np.zeros((min(step, len(terms) - lo), len(sources)), np.int64)
-        grid[term[a:b] - lo, source[a:b]] = p[a:b]
-        for h in range(len(sources)):
-            own = grid[grid[:, h] > 0]
-            q, q0 = own[:, h:h + 1], absent[h]
-            change = gap(own, q) - gap(own, q0) - gap(absent, q) + gap(absent, q0)
-            total[:, h] += np.where(own > 0, change, 0).sum(axis=0)
-    g, h = np.nonzero(~np.eye(len(sources), dtype=bool))
-    return pd.DataFrame({"lang": rows["lang"].iloc[0], "source": sources.take(g), "item": sources.take(h),
-                         "value": total[g, h]})
+_NO_ROWS = pd.DataFrame({**{c: pd.Series(dtype=object) for c in ("lang", "source", "part", "item")},
+                         **{c: pd.Series(dtype=np.int64) for c in ("shard", "idx", "value")}})
+
+
+def _block(top: int):
+    """Over the terms of one block of a language, whose groups come beside it: per ordered pair of
+    sources that share terms, the sum of what both having a term changes against the value of
+    either alone (part ``pair``); and each group's leading terms (part ``term``), every term with
+    the value of the ``top``-th included, since ties are only ranked by their texts."""
+    def run(rows: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return _NO_ROWS
+        lang, size, all_n = groups["lang"].iloc[0], int(groups["v"].iloc[0]), int(groups["all_n"].iloc[0])
+        source, sources = pd.factorize(rows["source"])
+        term, terms = pd.factorize(rows["shard"].to_numpy(np.int64) << 32 | rows["idx"].to_numpy(np.int64))
+        order = np.argsort(term, kind="stable")
+        term, source, n = term[order], source[order], rows["n"].to_numpy(np.int64)[order]
+        total = groups.set_index("source")["total"].to_dict()
+        absent = np.array([1 + UNIT // (total[s] + size) for s in sources], np.int64)
+        p = np.empty(len(n), np.int64)
+        for g, s in enumerate(sources):
+            p[source == g] = _probs(n[source == g], total[s], size)
+        out = []
+
+        whole = np.zeros(len(terms), np.int64)
+        np.add.at(whole, term, n)
+        q = _probs(whole, all_n, size)[term]
+        for g, s in enumerate(sources):
+            ahead = np.flatnonzero((source == g) & (p > q))
+            value = _gaps(p[ahead], q[ahead])
+            if len(value) > top:
+                best = value >= np.partition(value, len(value) - top)[len(value) - top]
+                ahead, value = ahead[best], value[best]
+            out.append(pd.DataFrame({"source": s, "part": "term", "item": None, "shard": terms[term[ahead]] >> 32,
+                                     "idx": terms[term[ahead]] & 0xFFFFFFFF, "value": value}))
+
+        change = np.zeros((len(sources), len(sources)), np.int64)
+        step = max(1, CELLS // len(sources))
+        for lo in range(0, len(terms), step):
+            a, b = np.searchsorted(term, [lo, lo + step])
+            grid = np.zeros((min(step, len(terms) - lo), len(sources)), np.int64)
+            grid[term[a:b] - lo, source[a:b]] = p[a:b]
+            for h in range(len(sources)):
+                own = grid[grid[:, h] > 0]
+                at, g = np.nonzero(own)
+                x, y = own[at, g], own[at, h]
+                np.add.at(change[:, h], g, _gaps(x, y) - _gaps(x, absent[h]) - _gaps(absent[g], y) + _gaps(absent[g], absent[h]))
+        g, h = np.nonzero(~np.eye(len(sources), dtype=bool))
+        out.append(pd.DataFrame({"source": sources.take(g), "part": "pair", "item": sources.take(h), "shard": 0, "idx": 0,
+                                 "value": change[g, h]}))
+        return pd.concat(out, ignore_index=True).assign(lang=lang).astype(_NO_ROWS.dtypes)[list(_NO_ROWS)]
+    return run
 
 
 def source_divergence(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, shard_terms: int = SHARD_TERMS,
@@ -181,42 +269,44 @@ def source_divergence(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, sha
     docs = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
     vocabulary, counts = group_counts(docs, min_df, shard_terms)
     size = vocabulary.groupBy("lang").agg(F.count("*").alias("v"))
-    groups = (docs.select("lang", "source").distinct()
-              .join(counts.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
-              .join(size, "lang", "left")
-              .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v"))
-              .withColumn("p0", F.when(F.col("v") > 0, _prob("0L", "total", "v")).otherwise(F.lit(1))))
-    rows = counts.join(groups, ["lang", "source"]).withColumn("p", _prob("n", "total", "v"))
-
-    # part "term"
-    whole = counts.groupBy("lang").agg(F.sum("n").alias("all_n")).join(size, "lang")
-    terms = (counts.groupBy("shard", "idx", "lang").agg(F.sum("n").alias("lang_n")).join(whole, "lang")
-             .withColumn("q", _prob("lang_n", "all_n", "v")).join(vocabulary.drop("lang"), ["shard", "idx"])
-             .select("shard", "idx", "q", "term"))
-    lead = (rows.join(terms, ["shard", "idx"]).where("p > q")
-            .select("lang", "source", F.col("term").alias("item"), _gap("p", "q").alias("value")))
+    # how many terms a group has how often: all that a pair's value takes where one side lacks the term
+    kinds = checkpointed(counts.groupBy("lang", "source", "n").agg(F.count("*").alias("k")))
+    totals = kinds.groupBy("lang", "source").agg(F.sum(F.col("n") * F.col("k")).alias("total"))
+    groups = checkpointed(
+        docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(size, "lang", "left")
+        .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v"))
+        .withColumn("p0", F.when(F.col("v") > 0, _prob("0L", "total", "v")).otherwise(F.lit(1))))
+
+    blocks = max(1, -(-(kinds.agg(F.sum("k").alias("n")).first()["n"] or 0) // block_rows))
+    whole = groups.groupBy("lang").agg(F.sum("total").alias("all_n"))
+    beside = (groups.join(whole, "lang").select(F.col("lang").alias("of"), "lang", "source", "total", "v", "all_n",
+                                                F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
+    dealt = counts.withColumn("block", F.pmod(F.xxhash64("shard", "idx"), F.lit(blocks)).cast("int"))
+    found = checkpointed(
+        dealt.groupBy("lang", "block").cogroup(beside.groupBy("of", "block")).applyInPandas(
+            _block(top), "lang string, source string, part string, item string, shard int, idx int, value long"))
+
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    lead = lead.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    leading = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
+    lead = (found.where("part = 'term'").withColumn("least", F.rank().over(leading)).where(F.col("least") <= top)
+            .join(vocabulary.drop("lang"), ["shard", "idx"])
+            .select("lang", "source", F.col("term").alias("item"), "value")
+            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top))
 
-    # part "pair"
     g, h = groups.alias("g"), groups.alias("h")
     other = (F.col("g.lang") == F.col("h.lang")) & (F.col("g.source") != F.col("h.source"))
     named = [F.col("g.lang"), F.col("g.source"), F.col("h.source").alias("item")]
     alone = g.join(h, other).select(*named, (F.col("g.v") * _gap("g.p0", "h.p0")).alias("value"))
-    kinds = rows.groupBy("lang", "source", "n").agg(F.first("p").alias("p"), F.first("p0").alias("p0"),
-                                                    F.count("*").alias("k"))
-    left = kinds.alias("g").join(h, other).select(
+    seen = kinds.join(groups, ["lang", "source"]).withColumn("p", _prob("n", "total", "v")).select(
+        "lang", "source", "p", "p0", "k")
+    left = seen.alias("g").join(h, other).select(
         *named, (F.col("k") * (_gap("g.p", "h.p0") - _gap("g.p0", "h.p0"))).alias("value"))
-    right = g.join(kinds.alias("h"), other).select(
+    right = g.join(seen.alias("h"), other).select(
         *named, (F.col("k") * (_gap("g.p0", "h.p") - _gap("g.p0", "h.p0"))).alias("value"))
-    blocks = max(1, -(-counts.count() // block_rows))
-    shared = (rows.select("lang", "source", "shard", "idx", "p", "p0",
-                          F.pmod(F.xxhash64("shard", "idx"), F.lit(blocks)).alias("block"))
-              .groupBy("lang", "block").applyInPandas(_shared_terms, "lang string, source string, item string, value long"))
-    parts = [x.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")) for x in (left, right, shared)]
+    shared = found.where("part = 'pair'").select("lang", "source", "item", "value")
     pairs = alone
-    for x in parts:
-        pairs = pairs.unionByName(x)
+    for x in (left, right, shared):
+        pairs = pairs.unionByName(x.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")))
     pairs = pairs.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     pairs = pairs.withColumn("rank", F.row_number().over(best))
     order = ["lang", "source", "part", "item", "value", "rank"]

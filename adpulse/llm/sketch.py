@@ -94,22 +94,25 @@ def with_next(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     cuts = [int(c) for c in cuts]
     tagged = df.withColumn("_nx_bucket", _cuts_below(key, cuts))
     tops = [(r[0], r[1]) for r in tagged.groupBy("_nx_bucket").agg(F.max(key)).orderBy("_nx_bucket").collect()]
-    # one row per bucket: its largest id and the bucket above (the lowest for the topmost)
-    order = [b for b, _ in tops]
-    ghosts = spark.createDataFrame(
-        [(b, k, order[(i + 1) % len(order)]) for i, (b, k) in enumerate(tops)],
-        "_nx_bucket int, _nx_top long, _nx_to int")
-    tagged = (tagged.join(F.broadcast(ghosts), "_nx_bucket", "left")
-              .withColumn("_nx_copy", F.explode(F.when(
-                  key == F.col("_nx_top"), F.array(F.struct(F.col("_nx_bucket").alias("b"), F.lit(0).alias("ghost")),
-                                                   F.struct(F.col("_nx_to").alias("b"), F.lit(1).alias("ghost")))
-              ).otherwise(F.array(F.struct(F.col("_nx_bucket").alias("b"), F.lit(0).alias("ghost")))))))
+    # per bucket its largest id and the bucket above (the lowest for the topmost), looked up like the cuts
+    above = dict(zip([b for b, _ in tops], [b for b, _ in tops[1:] + tops[:1]], strict=True))
+    size = tops[-1][0] + 1 if tops else 1
+    top = _lookup({b: k for b, k in tops}, size, F.col("_nx_bucket"))
+    own = F.struct(F.col("_nx_bucket").alias("b"), F.lit(0).alias("ghost"))
+    copy = F.struct(_lookup(above, size, F.col("_nx_bucket")).cast("int").alias("b"), F.lit(1).alias("ghost"))
+    tagged = tagged.withColumn("_nx_copy", F.explode(F.when(key == top, F.array(own, copy)).otherwise(F.array(own))))
     tagged = tagged.withColumn("_nx_b", F.col("_nx_copy.b")).withColumn("_nx_ghost", F.col("_nx_copy.ghost"))
     w = Window.partitionBy("_nx_b").orderBy("_nx_ghost", F.col(id_col).desc(), columns[0])
     # one select, so that one window and one exchange serve every column
     tagged = tagged.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
     return (tagged.where("_nx_ghost = 0")
-            .drop("_nx_bucket", "_nx_top", "_nx_to", "_nx_copy", "_nx_b", "_nx_ghost"))
+            .drop("_nx_bucket", "_nx_copy", "_nx_b", "_nx_ghost"))
+
+
+def _lookup(values: dict[int, int], size: int, at: Column) -> Column:
+    """``values[at]`` from one literal, folded while planning."""
+    text = ",".join(str(values.get(i, 0)) for i in range(size))
+    return F.get(F.split(F.lit(text), ",").cast("array<bigint>"), at)
 
 
 def _cuts_below(key: Column, cuts: list[int]) -> Column:
