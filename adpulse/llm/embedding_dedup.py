@@ -6,8 +6,8 @@ id stays as its representative. Every link is found (``reach`` = 1):
 
 * Equal vectors are one vector with a number of copies.
 * Spark ML's k-means with cosine distance is fitted on a bounded sample
-  (``SAMPLE`` vectors for each cell, the smallest hashes first). Every vector
-  lives in the cell of its nearest centroid ``h``. Two vectors on either side of
+  (about ``SAMPLE`` vectors for each cell, picked by hash). Every vector lives
+  in the cell of its nearest centroid ``h``. Two vectors on either side of
   the plane between two centroids are at an angle of at least the sum of their
   own angles to the plane, so of a linked pair one is within half the threshold's
   angle of it: a vector visits each cell ``c`` with
@@ -50,13 +50,15 @@ from adpulse.llm.common import checkpointed, free_names
 from adpulse.llm.simhash import components
 
 THRESHOLD = 0.9
-CELL = 1000
+CELL = 8000
 MAX_CELLS = 1024
 #: Vectors of the sample for each cell.
-SAMPLE = 40
+SAMPLE = 100
 SEED = 7
 ROUNDS = 10
-BLOCK = 1024
+BLOCK = 8192
+#: Cosines that a task holds at a time.
+STRIP = 1 << 22
 #: Room for rounding in every decision that isn't the cosine itself.
 SLACK = 1e-7
 RESULTS = ["n_links", "component_id", "kept"]
@@ -87,12 +89,16 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(vector, lambda x: x != 0)
 
 
-def fit_cells(vectors: DataFrame, width: int, cells: int) -> np.ndarray:
-    """Unit centroids of at most ``cells`` cells, from the ``SAMPLE * cells`` vectors of the smallest hashes."""
+def fit_cells(vectors: DataFrame, count: int, width: int, cells: int) -> np.ndarray:
+    """Unit centroids of at most ``cells`` cells, from about ``SAMPLE * cells`` of the ``count`` vectors."""
     filled = F.concat("vector", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("vector")))
     largest = F.array_max(F.transform("vector", F.abs))
-    sample = checkpointed(vectors.orderBy("uid").limit(SAMPLE * cells)
+    share = min(1 << 30, -(-(SAMPLE * cells << 30) // count))
+    sample = checkpointed(vectors.where(F.pmod(F.xxhash64("uid"), F.lit(1 << 30)) < share)
                           .select(array_to_vector(F.transform(filled, lambda x: x / largest)).alias("features")))
+    if sample.isEmpty():
+        sample = checkpointed(vectors.limit(1).select(array_to_vector(F.transform(filled, lambda x: x / largest))
+                                                      .alias("features")))
     model = KMeans(k=cells, distanceMeasure="cosine", initMode="k-means||", maxIter=ROUNDS, seed=SEED).fit(sample)
     centres = np.array(model.clusterCenters(), dtype=np.float64)
     return _unit(centres[np.abs(centres).max(axis=1) > 0])
@@ -153,21 +159,28 @@ def _tasks() -> Column:
     return F.flatten(F.filter(F.array(*out), lambda x: x.isNotNull()))
 
 
-def _spanning(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest node connected with each row and each column of ``hit``; nodes are numbers
-    that rows and columns may share."""
-    label_of = np.arange(max(left.max(), right.max()) + 1)
-    row, col = np.nonzero(hit)
-    a, b = left[row], right[col]
+def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The labels, each a node's smallest known companion, after linking the nodes ``a`` with ``b``."""
     while True:
-        low = np.minimum(label_of[a], label_of[b])
-        new = label_of.copy()
-        np.minimum.at(new, label_of[a], low)
-        np.minimum.at(new, label_of[b], low)
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
         new = new[new]
-        if np.array_equal(new, label_of):
-            return label_of
-        label_of = new
+        if np.array_equal(new, label):
+            return label
+        label = new
+
+
+def _visited(visits: list[np.ndarray], cells: np.ndarray) -> np.ndarray:
+    """By row of ``visits`` and by cell of the sorted ``cells``: whether it is among them."""
+    row = np.repeat(np.arange(len(visits)), [len(v) for v in visits])
+    goal = np.concatenate([np.asarray(v, dtype=np.int64) for v in visits])
+    at = np.minimum(np.searchsorted(cells, goal), len(cells) - 1)
+    out = np.zeros((len(visits), len(cells)), dtype=bool)
+    known = cells[at] == goal
+    out[row[known], at[known]] = True
+    return out
 
 
 def _products(threshold: float, width: int):
@@ -179,38 +192,42 @@ def _products(threshold: float, width: int):
         if not is_left.any() or not is_right.any():
             return _NOTHING
         x = _unit(_matrix(pa.array(rows["vector"], pa.list_(pa.float64())), width))
-        hit = x[is_left] @ x[is_right].T >= threshold
-        sizes = rows["vector"].map(len).to_numpy()
-        if (sizes != sizes[0]).any():
-            hit &= sizes[is_left][:, None] == sizes[is_right]
-        if a == b and lo == hi:
-            np.fill_diagonal(hit, False)
+        sizes, w = rows["vector"].map(len).to_numpy(), rows["w"].to_numpy()
+        left, right = np.flatnonzero(is_left), np.flatnonzero(is_right)
+        counted = None
         if b in (RING_VISIT, FAR_VISIT):
             # a visitor whose home the member visits too is met there as well: count it in the smaller cell
-            home = rows["home"].to_numpy()[is_right]
+            home = rows["home"].to_numpy()[right]
             there, spot = np.unique(home, return_inverse=True)
-            visits = rows["visits"][is_left].tolist()
-            member = np.repeat(np.arange(len(visits)), [len(v) for v in visits])
-            goal = np.concatenate([np.asarray(v, dtype=np.int64) for v in visits]) if len(member) else np.zeros(0, np.int64)
-            at = np.searchsorted(there, goal)
-            known = at < len(there)
-            known[known] = there[at[known]] == goal[known]
-            both = np.zeros((len(visits), len(there)), dtype=bool)
-            both[member[known], at[known]] = True
-            hit &= ~(both[:, spot] & (home < cell))
-        if not hit.any():
-            return _NOTHING
-        w = rows["w"].to_numpy()
-        left_links = hit @ w[is_right]
-        right_links = np.zeros(hit.shape[1], np.int64) if a == b and lo == hi else hit.T @ w[is_left]
+            counted = ~_visited(rows["visits"][is_left].tolist(), there) | (there > cell)
         names, node = np.unique(rows["node"].to_numpy(dtype=str), return_inverse=True)
-        label = _spanning(hit, node[is_left], node[is_right])
+        label = np.arange(len(names))
+        left_links, right_links = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+        step = max(1, STRIP // len(right))
+        for at in range(0, len(left), step):
+            part = left[at:at + step]
+            hit = x[part] @ x[right].T >= threshold
+            if (sizes != sizes[0]).any():
+                hit &= sizes[part][:, None] == sizes[right]
+            if a == b and lo == hi:
+                hit[np.arange(len(part)), at + np.arange(len(part))] = False
+            if counted is not None:
+                hit &= counted[at:at + step][:, spot]
+            i, j = np.nonzero(hit)
+            if not len(i):
+                continue
+            np.add.at(left_links, at + i, w[right[j]])
+            if a != b or lo != hi:
+                np.add.at(right_links, j, w[part[i]])
+            label = _merge(label, node[part[i]], node[right[j]])
+        if not left_links.any():
+            return _NOTHING
         found = pd.DataFrame({"uid": np.concatenate([rows["uid"][is_left], rows["uid"][is_right]]),
                               "n": np.concatenate([left_links, right_links]).astype(np.int64),
-                              "node": np.concatenate([node[is_left], node[is_right]])})
+                              "node": np.concatenate([node[left], node[right]])})
         found = found[found["n"] > 0]
         return pd.DataFrame({"uid": found["uid"], "n": found["n"], "a": names[label[found["node"]]].astype(object),
-                             "b": names[found["node"]].astype(object)})
+                             "b": names[found["node"].to_numpy()].astype(object)})
     return run
 
 
@@ -223,7 +240,7 @@ def _links(vectors: DataFrame, count: int, width: int, usual: int, threshold: fl
     """``(numbers, edges, nodes)``: links per vector ``uid, n`` in rows to be summed, edges ``a, b``
     between nodes, and every vector's node: its core's smallest uid, or its own."""
     angle = float(np.arccos(threshold))
-    centres = fit_cells(vectors, width, int(min(MAX_CELLS, max(2, count // cell))))
+    centres = fit_cells(vectors, count, width, int(min(MAX_CELLS, max(2, count // cell))))
     assigned = checkpointed(vectors.select("uid", "vector", "w")
                             .mapInArrow(_assign(centres, usual, angle, reach), _ASSIGNED))
     # at most MAX_CELLS rows, as the other broadcast below

@@ -209,7 +209,7 @@ def vector_rows():
     return rows + [(None, rows[0][1]), (None, [float(x) for x in r.normal(size=16)]), rows[5], rows[5]]
 
 
-@pytest.mark.parametrize("cell,block", [(1000, 1024), (15, 7)])
+@pytest.mark.parametrize("cell,block", [(8000, 8192), (15, 7)])
 def test_vectors_match_brute_force(spark, cell, block):
     from adpulse.llm.embedding_dedup import near_duplicate_vectors
     rows = vector_rows()
