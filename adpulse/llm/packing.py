@@ -26,6 +26,7 @@ gives no windows. The window number is unique and grows with the stream.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections import deque
@@ -57,6 +58,7 @@ class Tokenizer:
     one of the two, whose ids are remembered. The unknown pieces of a text are
     encoded in one call: only a piece's first token starts with its space or
     line feed. Texts with two white-space characters in a row are encoded whole.
+    The file's added tokens are found in a text before anything else and part it.
     """
 
     def __init__(self, name: str = "byte_bpe_50k"):
@@ -67,12 +69,16 @@ class Tokenizer:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                      special_tokens={})
+        with open(public_tokenizers.path(f"{name}.json"), encoding="utf-8") as f:
+            self.added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.parts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         ends = (".", "!", "?", "。", "！", "？", "\n")
         #: By id: whether the token can end a sentence.
-        self.ends = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        n = max(*ranks.values(), *self.added.values()) + 1
+        self.ends = np.zeros(n, dtype=bool)
         for piece, i in ranks.items():
             self.ends[i] = piece.decode("utf-8", "ignore").endswith(ends)
-        n = max(ranks.values()) + 1
         self.starts = {c: np.zeros(n, dtype=bool) for c in " \n"}
         for piece, i in ranks.items():
             if piece[:1] in (b" ", b"\n"):
@@ -96,6 +102,12 @@ class Tokenizer:
         return np.asarray(self.bpe.encode_ordinary(text), dtype="<u4")
 
     def encode(self, text: str) -> np.ndarray:
+        if self.parts and self.parts.search(text):
+            return np.concatenate([np.array([self.added[x]], dtype="<u4") if x in self.added else self._plain(x)
+                                   for x in self.parts.split(text) if x])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> np.ndarray:
         if _ODD_SPACE.search(text):
             return self._whole(text)
         first, *rest = text.replace("\n", " \n").split(" ")

@@ -99,12 +99,15 @@ def test_tokens_equal_the_library():
 
     from adpulse.llm.packing import tokenizer
     lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    lib.encode_special_tokens = True
     r = random.Random(5)
     chars = list(" \n  \n\tabcdeéßñ中文字.,!?'sdt0123456789#$%<|>_-  \x85😀\x00\x1c\r")
     for i in range(4000):
-        t = "".join(r.choice(chars) for _ in range(r.randint(0, 40))) + ("<|endoftext|>x" if i % 7 == 0 else "")
+        t = "".join(r.choice(chars) for _ in range(r.randint(0, 40)))
+        if i % 7 == 0:  # the added token, first, last, twice or inside
+            t = r.choice(["{0}<|endoftext|>x", "<|endoftext|>{0}", "{0}<|endoftext|>", "{0} <|endoftext|><|endoftext|> {0}"]).format(t)
         assert tokenizer().encode(t).tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+    assert tokenizer().encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    assert len(tokenizer().ends) == 50257
 
 
 def test_cuts_are_optimal():
