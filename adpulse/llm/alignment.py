@@ -4,8 +4,8 @@
 over the text (it adds that space itself). Both id lists cut the same bytes. The
 cumulative ends of either list go into a dictionary from end to index; the
 intersection of the two key sets, sorted, holds every place where both end, and
-consecutive places slice both lists into groups. In a slice, the tokens that end
-where the slice does are linked, A by B.
+consecutive places slice both lists into groups. In a slice only the last tokens
+end together and are linked: every entry has at least one byte.
 
 A single space between two other characters is such a place in any text: neither
 vocabulary has an entry with white space after its first character's. So a text
@@ -30,12 +30,12 @@ column with the name of a result comes out with ``_in`` appended.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +46,13 @@ from pyspark.sql import types as T
 
 from adpulse.llm.common import free_names, shared_dir
 
-A_FILE = "byte_bpe_50k.json"
+#: The vocabulary of byte_bpe_50k.json as ranks.
+A_FILE = "byte_bpe_50k.tiktoken"
 B_FILE = "piece_bpe_32k.model"
 BLOCK = 8 << 20
 CACHE_PIECES = 250_000
+#: Pieces encoded in one call.
+TOGETHER = 2000
 CACHE_CHARS = 64
 #: A pair of ids as one number: A's id above, B's in the low bits.
 B_BITS = 20
@@ -58,30 +61,16 @@ RESULTS = [*COUNTS, "n_best", "count_sum", "groups", "groups_sha256"]
 
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r"\s\s")
+_PLAIN = re.compile(r"[^\s▁]+")
 
 
-def align(a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[int, int, int, int]]:
-    """Groups ``(a_from, a_to, b_from, b_to)`` between the places where both end;
-    sizes are the tokens' bytes. What follows the last such place is in no group."""
-    a_ends = {end: i for i, end in enumerate(accumulate(a_sizes), 1)}
-    b_ends = {end: i for i, end in enumerate(accumulate(b_sizes), 1)}
-    groups, a, b = [], 0, 0
-    for end in sorted(a_ends.keys() & b_ends.keys()):
-        groups.append((a, a_ends[end], b, b_ends[end]))
-        a, b = a_ends[end], b_ends[end]
-    return groups
-
-
-def links(group: tuple[int, int, int, int], a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[int, int]]:
-    """Index pairs of the group's tokens that end together: the last of either list, and
-    those before that only tokens without bytes follow."""
-    a0, a, b0, b = group
-    a_tail, b_tail = a - 1, b - 1
-    while a_tail > a0 and not a_sizes[a_tail]:
-        a_tail -= 1
-    while b_tail > b0 and not b_sizes[b_tail]:
-        b_tail -= 1
-    return [(i, j) for i in range(a_tail, a) for j in range(b_tail, b)]
+def align(a_ends: Sequence[int], b_ends: Sequence[int]) -> tuple[list[int], list[int]]:
+    """How many tokens of A and of B lie up to each place where both end, given the tokens'
+    ends; what follows the last such place is in no group."""
+    a_at = dict(zip(a_ends, range(1, len(a_ends) + 1)))
+    b_at = dict(zip(b_ends, range(1, len(b_ends) + 1)))
+    common = sorted(a_at.keys() & b_at.keys())
+    return list(map(a_at.__getitem__, common)), list(map(b_at.__getitem__, common))
 
 
 def pieces(text: str) -> list[str]:
@@ -91,52 +80,92 @@ def pieces(text: str) -> list[str]:
     return text.split(" ")
 
 
-def _byte_of_letter() -> dict[str, int]:
-    """Byte-level BPE's letters: printable Latin-1 bytes stand for themselves, the
-    others, in order, for the letters from U+0100."""
-    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
-    other = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
+#: A piece whose bytes differ.
+_UNLIKE = (bytes(8 * len(COUNTS)), None, b"")
 
 
 class TokenPair:
-    """Both tokenizers, with the alignment of pieces seen before."""
+    """Both tokenizers, with the alignment of pieces seen before.
+
+    Pieces without white space (and U+2581) are encoded many at a time, joined by
+    single spaces: a piece begins where a token begins with one. The others are
+    encoded one by one.
+    """
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, pattern: str):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        with open(a_path, "rb") as f:
+            ranks = {base64.b64decode(x): int(y) for x, y in map(bytes.split, f)}
+        self.a = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        letters = _byte_of_letter()
-        self.a_bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode()
-                        for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for piece, i in ranks.items():
+            self.a_bytes[i] = piece
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.vocab_size())))]
         if any(b" " in t.lstrip(b" ") for t in self.b_bytes):
             raise ValueError("the model has pieces that go on after a space")
+        self.sizes = [np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes)]
+        self.opens = [np.array([t[:1] == b" " for t in x]) for x in (self.a_bytes, self.b_bytes)]
+        #: Every id before each sign that may follow it.
+        self.words = [f"{i}{sign}" for i in range(max(len(self.a_bytes), len(self.b_bytes))) for sign in (",", "|", ";", "")]
         self.known: dict[str, tuple] = {}
 
-    def piece(self, text: str, a: list[int], b: list[int]) -> tuple:
-        """``(n_a, n_b, n_groups, n_links, group string, links)`` of a piece, or () where bytes differ."""
-        whole = b" " + text.encode()
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-            return ()
-        a_sizes, b_sizes = list(map(len, a_parts)), list(map(len, b_parts))
-        groups = align(a_sizes, b_sizes)
-        linked = [a[i] << B_BITS | b[j] for g in groups for i, j in links(g, a_sizes, b_sizes)]
-        shown = ";".join([f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}" for i, j, k, m in groups])
-        return len(a), len(b), len(groups), len(linked), shown, linked
+    def _encoded(self, texts: list[str], plain: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of A and of B, and where each piece's ids end."""
+        if plain:
+            ids = [np.array(self.a.encode_ordinary(" " + " ".join(texts)), np.int64),
+                   np.array(self.b.encode(" ".join(texts), num_threads=1), np.int64)]
+            ends = [np.append(np.flatnonzero(o[x])[1:], len(x)) for o, x in zip(self.opens, ids, strict=True)]
+            if all(len(e) == len(texts) for e in ends):
+                return ids, ends
+        each = [[self.a.encode_ordinary(" " + t) for t in texts], [self.b.encode(t, num_threads=1) for t in texts]]
+        return ([np.array([i for x in lists for i in x], np.int64) for lists in each],
+                [np.cumsum([len(x) for x in lists], dtype=np.int64) for lists in each])
+
+    def _aligned(self, texts: list[str], plain: bool) -> list[tuple[bytes, str | None, bytes]]:
+        """Of each piece its counts (``COUNTS`` as longs), group string and links (longs); where bytes
+        differ, zeros, None and no links."""
+        (a, b), stops = self._encoded(texts, plain)
+        whole = "".join([" " + t for t in texts]).encode()
+        if (b"".join(map(self.a_bytes.__getitem__, a.tolist())) != whole
+                or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != whole):
+            if len(texts) == 1:
+                return [_UNLIKE]
+            half = len(texts) // 2
+            return self._aligned(texts[:half], plain) + self._aligned(texts[half:], plain)
+        # all pieces' bytes follow one another in both lists, and every piece ends in both
+        to = [np.array(x, np.int64) for x in align(*[np.cumsum(s[x]).tolist() for s, x in zip(self.sizes, (a, b), strict=True)])]
+        # A's and B's ids group by group: an id moves by what the other list has before it, and the sign
+        # that follows it says whether its list goes on in the group, or the group, or the piece ends
+        shown = np.empty(len(a) + len(b), np.int64)
+        group = [np.repeat(np.arange(len(t)), np.diff(t, prepend=0)) for t in to]
+        signs = [np.zeros(len(x), np.int64) for x in (a, b)]
+        signs[0][to[0] - 1], signs[1][to[1] - 1], signs[1][stops[1] - 1] = 1, 2, 3
+        shown[np.arange(len(a)) + np.concatenate(([0], to[1]))[group[0]]] = a * 4 + signs[0]
+        shown[np.arange(len(b)) + to[0][group[1]]] = b * 4 + signs[1]
+        words = list(map(self.words.__getitem__, shown.tolist()))
+        # no token is without bytes: in a group only the last of either list end together
+        linked = (a[to[0] - 1] << B_BITS | b[to[1] - 1]).tobytes()
+        groups = np.searchsorted(to[0], stops[0], "right")
+        counts = np.diff(np.stack([*stops, groups, groups], axis=1), axis=0, prepend=0).tobytes()
+        at = (stops[0] + stops[1]).tolist()
+        size, links = 8 * len(COUNTS), (8 * groups).tolist()
+        return [(counts[size * i:size * i + size], "".join(words[w0:w1]), linked[l0:l1])
+                for i, (w0, w1, l0, l1) in enumerate(zip([0, *at], at, [0, *links], links))]
 
     def learn(self, texts: list[str]) -> list[tuple]:
         """The pieces' alignments, from memory where they are known."""
         new = [t for t in texts if t not in self.known]
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1) if new else []
-        found = {t: self.piece(t, x, y) for t, x, y in zip(new, a, b, strict=True)}
-        out = [found.get(t) if t in found else self.known[t] for t in texts]
+        easy = {t for t in new if _PLAIN.fullmatch(t)}
+        found: dict[str, tuple] = {}
+        for plain, some in ((True, list(easy)), (False, [t for t in new if t not in easy])):
+            for at in range(0, len(some), TOGETHER):
+                part = some[at:at + TOGETHER]
+                found.update(zip(part, self._aligned(part, plain), strict=True))
+        out = [found[t] if t in found else self.known[t] for t in texts]
         if len(self.known) + len(found) > CACHE_PIECES:
             self.known.clear()
         self.known.update((t, e) for t, e in found.items() if len(t) <= CACHE_CHARS)
@@ -144,8 +173,8 @@ class TokenPair:
 
 
 @lru_cache(maxsize=1)
-def token_pair(a_path: str, b_path: str) -> TokenPair:
-    return TokenPair(a_path, b_path)
+def token_pair(a_path: str, b_path: str, pattern: str) -> TokenPair:
+    return TokenPair(a_path, b_path, pattern)
 
 
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -160,32 +189,31 @@ def _ends(sizes) -> np.ndarray:
 def encode_block(texts: list[bytes | None], pair: TokenPair, with_groups: bool) -> tuple[list, dict]:
     """Per document ``(piece numbers, group string or its digest)``, and the block's table:
     counts per piece, links per piece, distinct links and how often the block has them."""
-    local: dict[str, int] = {}
-    entries: list[tuple] = []
-    docs = []
+    cuts = []
     for raw in texts:
-        ids, shown = [], ""
         try:
             text = (raw or b"").decode()
         except UnicodeDecodeError:
             text = ""
-        if text:
-            cut = pieces(text)
-            new = list(set(cut).difference(local))
-            for t, e in zip(new, pair.learn(new), strict=True):
-                local[t] = len(entries)
-                entries.append(e)
-            ids = list(map(local.__getitem__, cut))
-            if all(map(entries.__getitem__, ids)):
-                shown = ";".join([entries[i][4] for i in ids])
-            else:
-                ids = []
-        if shown and not with_groups:
-            shown = hashlib.sha256(shown.encode()).hexdigest()
-        docs.append((np.array(ids, dtype="<i4"), shown))
-    sizes = np.array([e[:4] if e else (0, 0, 0, 0) for e in entries], dtype=np.int64).reshape(-1, 4)
+        cuts.append(pieces(text) if text else [])
+    names = list(set().union(*cuts))
+    entries = pair.learn(names)
+    local = dict(zip(names, range(len(names)), strict=True))
+    shown_of = [e[1] for e in entries]
+    docs = []
+    for cut in cuts:
+        ids = list(map(local.__getitem__, cut))
+        shown = list(map(shown_of.__getitem__, ids))
+        if None in shown:
+            ids, shown = [], []
+        groups = ";".join(shown)
+        if groups and not with_groups:
+            groups = hashlib.sha256(groups.encode()).hexdigest()
+        docs.append((np.array(ids, dtype="<i4"), groups))
+    del cuts, local, names
+    sizes = np.frombuffer(b"".join([e[0] for e in entries]), np.int64).reshape(-1, len(COUNTS))
     ends = _ends(sizes[:, 3])
-    codes = np.fromiter((c for e in entries if e for c in e[5]), np.int64, int(ends[-1]))
+    codes = np.frombuffer(b"".join([e[2] for e in entries]), np.int64)
     used = np.bincount(np.concatenate([d[0] for d in docs]) if docs else [], minlength=len(entries)).astype(np.int64)
     pairs, link = np.unique(codes, return_inverse=True)
     counts = np.zeros(len(pairs), np.int64)
@@ -198,9 +226,9 @@ _PACKED = {"_al_block": "long", **{f"_al_{c}": "long" for c in COUNTS}, "_al_gro
            "_al_ends": "binary", "_al_links": "binary"}
 
 
-def _encoder(keep: list[str], a_path: str, b_path: str, with_groups: bool, block: int):
+def _encoder(keep: list[str], files: tuple[str, str, str], with_groups: bool, block: int):
     def pack(part: pa.RecordBatch, number: int) -> pa.RecordBatch:
-        docs, table = encode_block(part.column("_al_text").to_pylist(), token_pair(a_path, b_path), with_groups)
+        docs, table = encode_block(part.column("_al_text").to_pylist(), token_pair(*files), with_groups)
         n = len(docs)
         ends = _ends([len(d[0]) for d in docs])
         flat = np.concatenate([d[0] for d in docs])
@@ -227,7 +255,6 @@ def _encoder(keep: list[str], a_path: str, b_path: str, with_groups: bool, block
                 yield pack(b.slice(start, stop - start), number)
                 number += 1
                 start = stop
-        token_pair.cache_clear()
     return run
 
 
@@ -252,14 +279,15 @@ def _judge(keep: list[str]):
 
 
 def align_tokens(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
-                 a_path: str | None = None, b_path: str | None = None, with_groups: bool = True,
-                 block: int = BLOCK) -> DataFrame:
+                 a_path: str | None = None, b_path: str | None = None, pattern: str | None = None,
+                 with_groups: bool = True, block: int = BLOCK) -> DataFrame:
     """One row per document: ``keep``, ``n_a, n_b, n_groups, n_links, n_best, count_sum`` and
     ``groups`` (``a1,a2|b1;a3|b2`` in ids) or, without ``with_groups``, ``groups_sha256`` alone."""
     import public_tokenizers
     spark = docs.sparkSession
     a_path = a_path or public_tokenizers.path(A_FILE)
     b_path = b_path or public_tokenizers.path(B_FILE)
+    pattern = pattern or public_tokenizers.PATTERN
     names = free_names(list(keep), RESULTS)
     src = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.col(text_col).cast("binary").alias("_al_text"))
     kept = list(names.values())
@@ -268,7 +296,7 @@ def align_tokens(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col:
     packed_schema = T.StructType([*own,
                                   *[T.StructField(n, T.DataType.fromDDL(kind)) for n, kind in _PACKED.items()]])
     folder = f"{shared_dir(spark).rstrip('/')}/alignment-{uuid.uuid4().hex}"
-    (src.mapInArrow(_encoder(kept, a_path, b_path, with_groups, block), packed_schema)
+    (src.mapInArrow(_encoder(kept, (a_path, b_path, pattern), with_groups, block), packed_schema)
      .write.parquet(folder))
     packed = spark.read.schema(packed_schema).parquet(folder)
 

@@ -32,7 +32,6 @@ A long that overflows raises an error (counts up to 9 * 10^18 don't).
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
 from zlib import crc32
@@ -48,8 +47,10 @@ from pyspark.sql.window import Window
 
 from adpulse.llm.common import checkpointed, shared_dir
 
-#: Terms on UTF-8 bytes whose A-Z are lower-cased: every byte of a character beyond ASCII has its top bit set.
-_TERM_BYTES = re.compile(rb"[a-z\x80-\xff]+")
+#: UTF-8 bytes as terms have them: A-Z lower-cased, what parts terms a space. Every byte of a character
+#: beyond ASCII has its top bit set.
+_LETTERS = bytes(b if b >= 0x80 or chr(b).islower() else ord(chr(b).lower()) if chr(b).isupper() else 0x20
+                 for b in range(256))
 MIN_DF = 3
 TOP = 200
 UNIT = 1_000_000_000
@@ -60,13 +61,23 @@ SHARD_TERMS = 1_000_000
 BLOCK_ROWS = 200_000
 CELLS = 1 << 21
 #: Bytes of text whose terms are dealt at a time.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Smallest hashes from which the distinct terms are estimated.
 SKETCH = 1024
 #: Parts the term from its language; no term holds it.
 MARK = "\x00"
 
 
+def _terms(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The terms of the texts, one after another, and the text that each is from."""
+    # seen as strings, which the split asks for without looking at more than ASCII
+    split = pc.ascii_split_whitespace(pa.array([t.translate(_LETTERS) for t in texts], pa.binary()).view(pa.string()))
+    found = split.flatten().view(pa.binary())
+    some = pc.greater(pc.binary_length(found), 0)
+    text = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    return found.filter(some).dictionary_encode(), text[some.to_numpy(zero_copy_only=False)]
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[str], list[bytes]]]:
     """Languages, sources and texts, about ``SLICE`` bytes of text at a time."""
     for b in batches:
@@ -86,10 +97,8 @@ def _least_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     least = np.zeros(0, np.uint64)
     for langs, _, texts in _slices(batches):
-        terms: dict[str, set] = {}
-        for lang, text in zip(langs, texts, strict=True):
-            terms.setdefault(lang, set()).update(_TERM_BYTES.findall(text.lower()))
-        for lang, found in terms.items():
+        for lang in set(langs):
+            found = _terms([t for x, t in zip(langs, texts, strict=True) if x == lang])[0].dictionary.to_pylist()
             tail = MARK.encode() + lang.encode("utf-8", "replace")
             new = np.fromiter((xxh64_intdigest(t + tail) for t in found), np.uint64, len(found))
             least = np.unique(np.concatenate((least, new)))[:SKETCH]
@@ -111,10 +120,7 @@ def _lists(row: np.ndarray, rows: int, kind: np.ndarray, keys: pa.Array) -> pa.L
 def _deal(langs: list[str], sources: list[str], texts: list[bytes], shards: int, min_df: int) -> pa.RecordBatch:
     """One row per document and shard: the document's terms of that shard and, of them, those
     that ``min_df`` earlier documents of the slice don't have already."""
-    found = [_TERM_BYTES.findall(t.lower()) for t in texts]
-    doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    coded = pa.array([t for f in found for t in f], pa.binary()).dictionary_encode()
-    del found
+    coded, doc = _terms(texts)
     lang_of, lang_names = pd.factorize(np.array(langs, dtype=object))
     kind, kinds = pd.factorize(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(lang_names) + lang_of[doc])
     term_of, lang_in = kinds // max(1, len(lang_names)), kinds % max(1, len(lang_names))
