@@ -31,6 +31,7 @@ column with the name of a result comes out with ``_in`` appended.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import uuid
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adpulse.llm.common import free_names, shared_dir
+from adpulse.llm.common import free_names, released_after, released_pair, shared_dir
 
 #: The vocabulary of byte_bpe_50k.json as ranks.
 A_FILE = "byte_bpe_50k.tiktoken"
@@ -252,7 +253,12 @@ def _encoder(keep: list[str], files: tuple[str, str, str], with_groups: bool, bl
             while start < b.num_rows:
                 done = sizes[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(sizes, done + block, "right")))
-                yield pack(b.slice(start, stop - start), number)
+                gc.disable()  # hundreds of thousands of small objects, none in a cycle
+                try:
+                    out = pack(b.slice(start, stop - start), number)
+                finally:
+                    gc.enable()
+                yield out
                 number += 1
                 start = stop
     return run
@@ -296,7 +302,7 @@ def align_tokens(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col:
     packed_schema = T.StructType([*own,
                                   *[T.StructField(n, T.DataType.fromDDL(kind)) for n, kind in _PACKED.items()]])
     folder = f"{shared_dir(spark).rstrip('/')}/alignment-{uuid.uuid4().hex}"
-    (src.mapInArrow(_encoder(kept, (a_path, b_path, pattern), with_groups, block), packed_schema)
+    (src.mapInArrow(released_after(_encoder(kept, (a_path, b_path, pattern), with_groups, block)), packed_schema)
      .write.parquet(folder))
     packed = spark.read.schema(packed_schema).parquet(folder)
 
@@ -314,5 +320,5 @@ def align_tokens(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col:
     for c in [*COUNTS, "n_best", "count_sum"]:
         out_schema = out_schema.add(c, "long")
     return (packed.groupBy("_al_block").cogroup(answers.groupBy("block"))
-            .applyInArrow(_judge(kept), out_schema.add("_al_groups", "string"))
+            .applyInArrow(released_pair(_judge(kept)), out_schema.add("_al_groups", "string"))
             .withColumnRenamed("_al_groups", shown))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +54,47 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+def release_memory() -> None:
+    """Gives the memory that a Python worker holds but no longer uses back to the machine:
+    a worker stays for later tasks, beside those of other stages."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def released(function):
+    """``function`` of one group, after which the worker's free memory is given back."""
+    def run(rows):
+        try:
+            return function(rows)
+        finally:
+            release_memory()
+    return run
+
+
+def released_pair(function):
+    """The same for a function of two groups."""
+    def run(left, right):
+        try:
+            return function(left, right)
+        finally:
+            release_memory()
+    return run
+
+
+def released_after(function):
+    """The same for a generator over a partition's batches."""
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+    return run
+
+
 def free_names(columns: list[str], taken: list[str]) -> dict[str, str]:
     """New names for ``columns``: one that an operator gives to a result (whatever its
     case) gets ``_in`` appended until it is free, the others keep theirs."""

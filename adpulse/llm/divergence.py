@@ -64,6 +64,9 @@ CELLS = 1 << 21
 SLICE = 4 << 20
 #: Smallest hashes from which the distinct terms are estimated.
 SKETCH = 1024
+#: Entries of vectors that a task holds before it adds them up, and rows it returns at a time.
+HELD = 1 << 22
+ROWS_OUT = 1 << 17
 #: Parts the term from its language; no term holds it.
 MARK = "\x00"
 
@@ -164,6 +167,36 @@ def _dealer(shards: int, min_df: int):
     return run
 
 
+def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a partition's sparse vectors by language and source, as sparse rows."""
+    groups: dict[tuple[str, str], int] = {}
+    key, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, totals, held = [key], [total], 0
+
+    def added_up() -> tuple[np.ndarray, np.ndarray]:
+        each, at = np.unique(np.concatenate(keys), return_inverse=True)
+        return each, np.bincount(at, np.concatenate(totals), len(each)).astype(np.int64)  # exact below 2^53
+
+    for b in batches:
+        of = [groups.setdefault(g, len(groups)) for g in zip(b.column("lang").to_pylist(), b.column("source").to_pylist())]
+        indices, values = b.column("indices"), b.column("values")
+        group = np.repeat(np.array(of, np.int64), np.diff(indices.offsets.to_numpy()))
+        keys.append(group << 32 | indices.flatten().to_numpy().astype(np.int64))
+        totals.append(values.flatten().to_numpy().astype(np.int64))
+        held += len(group)
+        if held >= HELD:
+            key, total = added_up()
+            keys, totals, held = [key], [total], 0
+    key, total = added_up()
+    names = list(groups)
+    for lo in range(0, len(key), ROWS_OUT):
+        k = key[lo:lo + ROWS_OUT]
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array([g[i] for g in names], pa.string()).take(pa.array(k >> 32)) for i in range(2)],
+             pa.array((k & 0xFFFFFFFF).astype(np.int32)), pa.array(total[lo:lo + ROWS_OUT])],
+            names=["lang", "source", "idx", "n"])
+
+
 def _prob(count: str, total: str, size: str) -> Column:
     """``1 + floor(10^9 (count + 1) / (total + size))``, exact for counts beyond 10^9."""
     return F.expr(f"1 + (cast({count} + 1 as decimal(19,0)) * {UNIT}BD) div cast({total} + {size} as decimal(19,0))")
@@ -206,9 +239,9 @@ def group_counts(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD
          .write.parquet(f"{folder}/vocabulary/shard={s}"))
         vector = F.unwrap_udt("vector")
         (model.transform(part.select("lang", "source", "terms"))
-         .select("lang", "source", F.explode(F.arrays_zip(vector["indices"], vector["values"])).alias("e"))
-         .groupBy("lang", "source", F.col("e.indices").alias("idx"))
-         .agg(F.sum(F.col("e.values").cast("long")).alias("n"))
+         .select("lang", "source", vector["indices"].alias("indices"), vector["values"].alias("values"))
+         .mapInArrow(_group_sums, "lang string, source string, idx int, n long")
+         .groupBy("lang", "source", "idx").agg(F.sum("n").alias("n"))
          .write.parquet(f"{folder}/counts/shard={s}"))
     return (spark.read.schema("idx int, term string, lang string, shard int").parquet(f"{folder}/vocabulary"),
             spark.read.schema("lang string, source string, idx int, n long, shard int").parquet(f"{folder}/counts"))

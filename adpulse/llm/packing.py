@@ -39,6 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adpulse.llm.common import released_after
+
 MAX_LEN = 1024
 END_ID = 0
 BLOCK = 1 << 18
@@ -230,7 +232,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_le
             yield flush(schema, keys, ids, tok.ends, window)[0]
 
     kind = dict(docs.dtypes)[id_col]
-    return ranged.mapInArrow(run, f"`{id_col}` {kind}, {PIECES}")
+    return ranged.mapInArrow(released_after(run), f"`{id_col}` {kind}, {PIECES}")
 
 
 def with_crc(pieces: DataFrame) -> DataFrame:

@@ -52,6 +52,11 @@ TRAIN_DOCS, TRAIN_WINDOWS, EPOCHS, BATCH = 400, 1500, 10, 96
 RUN = 512
 
 
+_NAME = re.compile(r"[A-Za-z0-9._%+-]+")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_DIGITS = re.compile(r"[0-9]+")
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -80,24 +85,37 @@ def passes(kind: str, s: str) -> bool:
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by kind, then start; failing matches are dropped, not retried."""
-    has_digit = any(c in text for c in "0123456789")
-    out = []
-    for kind in KINDS:
-        if "@" in text if kind == "email" else "+" in text if kind == "phone" else has_digit:
-            if kind == "email":
-                found = _emails(text)
-            else:
-                found = PATTERNS[kind].finditer(text)
-            out += [(kind, m.start(), m.end()) for m in found if kind == "email" or passes(kind, m.group())]
-    return out
-
-
-def _emails(text: str) -> Iterator[re.Match]:
-    """The leftmost matches, sought only in runs of address characters that hold an @,
-    which keeps a long run without one from being scanned again from each place."""
-    for run in re.finditer(r"[A-Za-z0-9._%+@-]+", text):
-        if "@" in run.group():
-            yield from PATTERNS["email"].finditer(text, run.start(), run.end())
+    found = {"email": _emails(text) if "@" in text else (),
+             "ip": _dotted(text) if "." in text else (),
+             "card": (m.span() for m in PATTERNS["card"].finditer(text)),
+             "phone": (m.span() for m in PATTERNS["phone"].finditer(text)) if "+" in text else ()}
+    return [(kind, a, b) for kind in KINDS for a, b in found[kind] if kind == "email" or passes(kind, text[a:b])]
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """The leftmost matches of the email pattern, judged from each @ outwards: the name is the run of
+    its characters that ends there, as far as no match has taken it, so no character is scanned again
+    for every place where a match could begin."""
+    done = 0
+    for name in _NAME.finditer(text):
+        domain = _DOMAIN.match(text, name.end())
+        if domain and max(name.start(), done) < name.end():
+            yield max(name.start(), done), domain.end()
+            done = domain.end()
+
+
+def _dotted(text: str) -> Iterator[tuple[int, int]]:
+    """The leftmost matches of the ip pattern: four runs of digits with one dot between each and the
+    next. A match takes whole runs, so each run is looked at a few times at most."""
+    runs = [m.span() for m in _DIGITS.finditer(text)]
+    i = 0
+    while i + 3 < len(runs):
+        four = runs[i:i + 4]
+        if all(b[0] == a[1] + 1 and text[a[1]] == "." for a, b in zip(four, four[1:])):
+            yield four[0][0], four[3][1]
+            i += 4
+        else:
+            i += 1
 
 
 # --- network ---------------------------------------------------------------

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import checkpointed
+from adpulse.llm.common import checkpointed, released_after
 
 SEED = 42
 SEGMENTS = 2
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text_col: str = "text", shing
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "fp"])
 
     schema = src.select(*keep).schema.add("fp", "long")
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(released_after(run), schema)
 
 
 def _ball(bits: int, radius: int) -> list[int]:

@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adpulse.llm.common import released, released_pair
 from adpulse.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 50
@@ -481,12 +482,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.pmod(rid, F.lit(n_blocks)).cast("int").alias("_sd_block")).repartition(n_blocks, "_sd_block")
     shards = 1 << bits
     asked = blocked.groupBy("_sd_block").applyInPandas(
-        _ask(length, gram, bits), "block int, shard int, ms binary, many binary")
+        released(_ask(length, gram, bits)), "block int, shard int, ms binary, many binary")
     answers = asked.repartition(shards, "shard").groupBy("shard").applyInPandas(
-        _answer(hot_blocks), "block int, shard int, state binary")
+        released(_answer(hot_blocks)), "block int, shard int, state binary")
     sent = blocked.groupBy("_sd_block").cogroup(answers.groupBy("block")).applyInPandas(
-        _send(length, gram, bits), "block int, shard int, data binary")
+        released_pair(_send(length, gram, bits)), "block int, shard int, data binary")
     ranges = sent.repartition(shards, "shard").groupBy("shard").applyInPandas(
-        _decide(length), "block int, ranges binary, own binary")
+        released(_decide(length)), "block int, ranges binary, own binary")
     schema = docs.select(*rest).schema.add("n_bytes", "long").add("spans", T.ArrayType(T.IntegerType())).add("kept_bytes", "binary")
-    return blocked.groupBy("_sd_block").cogroup(ranges.groupBy("block")).applyInPandas(_cut(length, whole_chars), schema)
+    return blocked.groupBy("_sd_block").cogroup(ranges.groupBy("block")).applyInPandas(released_pair(_cut(length, whole_chars)), schema)

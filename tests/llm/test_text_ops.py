@@ -225,3 +225,24 @@ def test_lm_scores(docs, rows, empty, block):
            lm.score(docs.drop("score"), lm.held_out(F.col("doc_id")), block_bytes=block).select(cols).collect()]
     assert sorted(got, key=str) == sorted(brute_scores(rows, lm.MASS), key=str)
     assert lm.score(empty, lm.held_out(F.col("doc_id"))).count() == 0
+
+
+def test_base_patterns_are_linear_and_leftmost():
+    import random
+    import re
+    import time
+
+    from adpulse.llm import pii as P
+    plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    r = random.Random(2)
+    for chars in ("a@.-_b1", "12.. ", "0123456789 -+.@", "+1 ().-9@a."):
+        for _ in range(1500):
+            t = "".join(r.choice(chars) for _ in range(r.randint(0, 40)))
+            want = [(k, m.start(), m.end()) for k in P.KINDS for m in re.finditer(plain[k], t) if P.passes(k, m.group())]
+            assert P.base_spans(t) == want, t
+    for t in ("1" * 1_000_000, "1." * 500_000, "a@" + "b-" * 500_000, "a" * 1_000_000 + "@", "a@b" * 300_000, "+" * 500_000,
+              "1 " * 500_000, "+1" + "(" * 500_000):
+        began = time.process_time()
+        P.base_spans(t)
+        assert time.process_time() - began < 3, t[:10]
