@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from adpulse.errors import InsufficientData
 from adpulse.functions.kpis import first_match, month_ordinal, r6, round6, safe_div
-from adpulse.operators.ranking import global_rank, quantile_bin_of_rank
+from adpulse.operators.selection import kth_keys, order_digits, past
 from adpulse.params import DEFAULTS, FALLTHROUGH_SEGMENT, AnalysisParams
 
 
@@ -67,30 +67,57 @@ def segment_expr(r: Column, f: Column, params: AnalysisParams = DEFAULTS) -> Col
     return first_match(rules, FALLTHROUGH_SEGMENT)
 
 
+def bin_ends(n: int, bins: int) -> list[int]:
+    """The last rank of each bin but the topmost when ``n`` ranks are cut into
+    ``bins`` of equal frequency: rank r is in bin max(1, ceil((r - 1) bins / (n - 1)))."""
+    return [1 + k * (n - 1) // bins for k in range(1, bins)]
+
+
+def score_bounds(base: DataFrame, bins: int, needed: int = 0) -> tuple[dict[str, list[tuple]], list[Column]]:
+    """C4: per scored column the keys that end its bins, and the digits of the ids
+    that break ties. The passes share one stored copy of the customers, released here."""
+    ids = order_digits(base, "customer_id")
+    keys = base.select(*[d.alias(f"{c}{i}") for c in ("frequency", "monetary") for i, d in enumerate(order_digits(base, c))],
+                       *[d.alias(f"id{i}") for i, d in enumerate(ids)]).persist()
+    try:
+        n = keys.count()
+        if n < needed:
+            raise InsufficientData("rfm", f"{needed} purchasing customers", str(n))
+        found = {}
+        for c in ("frequency", "monetary"):
+            digits = [x for x in keys.columns if x.startswith(c)] + [x for x in keys.columns if x.startswith("id")]
+            ends = kth_keys(keys, digits, [(0, k, r) for k, r in enumerate(bin_ends(n, bins))] if n else [], width=1 << 16)
+            found[c] = [ends[q] for q in sorted(ends)]
+        return found, ids
+    finally:
+        keys.unpersist()
+
+
+def score_by_bounds(digits: list[Column], bounds: list[tuple]) -> Column:
+    """1 + the number of bin ends below the key."""
+    score = F.lit(1)
+    for b in bounds:
+        score = score + past(digits, b).cast("int")
+    return score.cast("int")
+
+
 def rfm_table(transactions: DataFrame, customers: DataFrame | None = None,
               params: AnalysisParams = DEFAULTS, as_of=None, check: bool = True) -> DataFrame:
     """Scores, segment and (left-joined) channel and plan per customer.
 
     R: quantile bins of recency (most recent = highest score), fewer bins when
     edges coincide. F and M: bins of the rank of frequency / monetary with ties
-    broken by customer_id, computed by the distributed global rank.
+    broken by customer_id. A bin ends at the k-th (value, id), found by narrowing
+    histograms; a score counts the ends below the customer, so nothing is sorted.
     """
     B = params.rfm_bins
-    base = rfm_base(transactions, params, as_of).persist()
-    n = base.select(F.count(F.lit(1))).scalar()
-    if check:
-        have = base.count()
-        if have < params.min_rfm_customers:
-            raise InsufficientData("rfm", f"{params.min_rfm_customers} purchasing customers", str(have))
+    base = rfm_base(transactions, params, as_of)
+    bounds, ids = score_bounds(base, B, params.min_rfm_customers if check else 0)
     edges = quantile_edges(base, "recency_days", B)
     r_bins = F.greatest(F.size(edges) - 1, F.lit(1))
-    scored = base.withColumn("R_score", (r_bins + 1 - bin_by_edges(F.col("recency_days"), edges, B)).cast("int"))
-    scored = global_rank(scored, [F.col("frequency"), F.col("customer_id")], "_rf")
-    scored = global_rank(scored, [F.col("monetary"), F.col("customer_id")], "_rm")
-    scored = (scored
-              .withColumn("F_score", quantile_bin_of_rank(F.col("_rf"), n, B))
-              .withColumn("M_score", quantile_bin_of_rank(F.col("_rm"), n, B))
-              .drop("_rf", "_rm"))
+    scored = (base.withColumn("R_score", (r_bins + 1 - bin_by_edges(F.col("recency_days"), edges, B)).cast("int"))
+              .withColumn("F_score", score_by_bounds([*order_digits(base, "frequency"), *ids], bounds["frequency"]))
+              .withColumn("M_score", score_by_bounds([*order_digits(base, "monetary"), *ids], bounds["monetary"])))
     out = scored.select(
         "customer_id", "last_purchase", F.col("frequency").cast("bigint").alias("frequency"),
         r6("monetary").alias("monetary"), F.col("recency_days").cast("int").alias("recency_days"),

@@ -3,8 +3,8 @@
 Everything is grouped by an experiment key, so a table holding thousands of
 experiments is one Spark job: per-(experiment, variant) sums and per-day
 conversion-rate moments in two aggregations, pivoted by conditional
-aggregation to one row per experiment. Only the final tail probabilities use
-Python (a pandas UDF over one row per experiment).
+aggregation to one row per experiment. Tail probabilities are Column
+expressions over that row.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adpulse.functions.kpis import dbl, r6, round6, safe_div
-from adpulse.functions.stats import normal_sf_udf, t_sf_udf
+from adpulse.functions.tails import normal_sf, student_sf
 from adpulse.params import DEFAULTS, AnalysisParams
 
 CONTROL, TREATMENT = "A", "B"
@@ -64,9 +64,6 @@ def ab_test(ab: DataFrame, params: AnalysisParams = DEFAULTS, experiment_col: st
     the difference, Welch t-test on daily cvr, significance and the rollout
     projection. ``status`` is 'insufficient_data' unless both variants have
     clicks."""
-    if with_p_values:
-        from adpulse.session import ship_package
-        ship_package(ab.sparkSession)
     s = _stats(ab, experiment_col)
     ca, cb = dbl("conversions_a"), dbl("conversions_b")
     na, nb = dbl("clicks_a"), dbl("clicks_b")
@@ -108,8 +105,8 @@ def ab_test(ab: DataFrame, params: AnalysisParams = DEFAULTS, experiment_col: st
     )
     if not with_p_values:
         return out.drop("_z", "_t", "_df")
-    p_t = t_sf_udf(F.col("_t"), F.col("_df"))
-    return (out.withColumn("p_value_z", round6(normal_sf_udf(F.col("_z"))))
+    p_t = student_sf(F.col("_t"), F.col("_df"))
+    return (out.withColumn("p_value_z", round6(normal_sf(F.col("_z"))))
             .withColumn("p_value_t", p_t)
             .withColumn("alpha", F.lit(params.alpha))
             .withColumn("significant", F.coalesce(F.col("p_value_t") < F.lit(params.alpha), F.lit(False)))

@@ -77,8 +77,8 @@ def profit_table(campaigns: DataFrame, customers: DataFrame, cust_profit: DataFr
     join of campaign channels and acquisition channels. Net profit is computed
     before zero-filling, so a channel missing on either side gets 0."""
     sr = _spend_revenue(campaigns)
-    gp = cust_profit.groupBy(F.col("acquisition_channel").alias("channel")).agg(
-        F.sum("lifetime_profit").alias("gross"))
+    gp = (cust_profit.filter(F.col("acquisition_channel").isNotNull())
+          .groupBy(F.col("acquisition_channel").alias("channel")).agg(F.sum("lifetime_profit").alias("gross")))
     nc = _new_customers(customers)
     j = sr.join(gp, "channel", "full_outer").join(nc, "channel", "left")
     net = F.coalesce(dbl("gross") - dbl("spend"), F.lit(0.0))

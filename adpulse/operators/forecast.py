@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from adpulse.functions.kpis import dbl, round6
-from adpulse.functions.stats import t_two_sided_udf
+from adpulse.functions.tails import student_two_sided
 from adpulse.params import DEFAULTS, AnalysisParams
 
 # Method labels and minimum history per method.
 METHOD_LABELS = {"moving_average": "Moving Average", "linear_trend": "Linear Trend",
                  "arima": "ARIMA(1,1,1)"}
 MIN_TREND_POINTS = 3
+# Fixed value: what a report says beside a trend that may be noise.
+TREND_CAVEAT = ("The fitted trend is not statistically distinguishable from zero; "
+                "treat the projection as a level estimate, not a direction.")
 MIN_ARIMA_POINTS = 8
 
 
@@ -188,12 +191,11 @@ def trend_diagnostics(series: DataFrame, with_p_value: bool = True) -> DataFrame
                      r2.alias("_r2"), k.alias("_k"))
     if not with_p_value:
         return out.drop("_r2", "_k")
-    from adpulse.session import ship_package
-    ship_package(series.sparkSession)
     tstat = F.try_divide(F.sqrt(F.col("_r2")) * F.sqrt(F.col("_k") - 2), F.sqrt(F.lit(1.0) - F.col("_r2")))
-    p = t_two_sided_udf(tstat, F.col("_k") - 2)
+    p = student_two_sided(tstat, F.col("_k") - 2)
     return (out.withColumn("p_value", p)
             .withColumn("significant", F.coalesce(F.col("p_value") < 0.05, F.lit(False)))
+            .withColumn("caveat", F.when(F.col("p_value") >= 0.05, F.lit(TREND_CAVEAT)))
             .withColumn("p_value", round6("p_value")).drop("_r2", "_k"))
 
 

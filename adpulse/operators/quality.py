@@ -153,7 +153,8 @@ class AuditResult:
     * ``report``: one row per applicable rule
     * ``rows``: table_name, rows_before, rows_after, rows_removed
     * ``quarantine``: rule_key, table_name, row_json of removed rows
-    * ``examples``: rule_key, table_name, example_rank, row_json (<= 20 per rule)
+    * ``examples``: rule_key, table_name, example_rank, example_key, row_json and the
+      tables' columns (<= 20 rows per rule; columns of other tables are NULL)
     """
 
     def __init__(self, raw: dict, params: AnalysisParams = DEFAULTS):
@@ -276,21 +277,19 @@ class AuditResult:
         def build():
             p, parts = self.preds, []
             if "campaigns" in self.present:
-                c = self.present["campaigns"]
-                dup_rows = c.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-                parts.append(("duplicate_rows", "campaigns", dup_rows))
-                dedup = self._dedup().drop("_copies")
-                for k in [r.key for r in RULES if r.table == "campaigns" and r.key != "duplicate_rows"]:
-                    parts.append((k, "campaigns", dedup.filter(F.coalesce(p[k], F.lit(False)))))
+                checks = {r.key: p[r.key] for r in RULES if r.table == "campaigns" and r.key != "duplicate_rows"}
+                tagged = _tagged(self._dedup(), {"duplicate_rows": F.col("_copies") > 1, **checks}).drop("_copies")
+                parts.append(("campaigns", tagged))
             if "customers" in self.present:
-                cu = self.present["customers"]
-                parts.append(("missing_age_group", "customers", cu.filter(p["missing_age_group"])))
+                parts.append(("customers", _tagged(self.present["customers"], {"missing_age_group": p["missing_age_group"]})))
             if "transactions" in self.present:
-                t = self.present["transactions"]
-                parts.append(("missing_customer_id", "transactions", t.filter(p["missing_customer_id"])))
-                parts.append(("profit_exceeds_amount", "transactions",
-                              t.filter(F.coalesce(p["profit_exceeds_amount"], F.lit(False)))))
-                parts.append(("orphan_transactions", "transactions", self._orphans()))
+                t, known = self.present["transactions"], F.lit(None).cast("boolean")
+                if "customers" in self.present:
+                    t = t.join(self._known().withColumn("_known", F.lit(True)), "customer_id", "left").select(*t.columns, "_known")
+                    known = F.col("_known")
+                parts.append(("transactions", _tagged(t, {
+                    "missing_customer_id": p["missing_customer_id"], "profit_exceeds_amount": p["profit_exceeds_amount"],
+                    "orphan_transactions": F.col("customer_id").isNotNull() & known.isNull()}).drop("_known")))
             return _examples(self.spark, parts)
         return self._once("examples", build)
 
@@ -352,23 +351,36 @@ def _report(spark: SparkSession, stats: dict):
     return report, rows
 
 
+def _tagged(df: DataFrame, checks: dict) -> DataFrame:
+    """One row per broken rule (``rule_key``) of every row that breaks any."""
+    broken = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in checks.items()]),
+                      lambda k: k.isNotNull())
+    return (df.withColumn("_broken", broken).filter(F.size("_broken") > 0)
+            .withColumn("rule_key", F.explode("_broken")).drop("_broken"))
+
+
 def _examples(spark: SparkSession, parts) -> DataFrame:
     """Q-13: the first 20 flagged rows per rule in the declared key order
     (then every other column, so the order is total and identical rows give
-    identical output). Each is a distributed top-k (TakeOrderedAndProject),
-    never a full sort; the rank window then runs over at most 20 rows."""
+    identical output), with the table's own columns and as JSON. A table is read
+    once for all its rules; the window's limit keeps 20 rows per rule in each
+    task before anything is shuffled."""
     res = []
-    for key, table, df in parts:
-        keys = EXAMPLE_ORDER[table]
-        order = [F.col(c).asc_nulls_first() for c in keys + [c for c in df.columns if c not in keys]]
-        top = df.orderBy(*order).limit(MAX_EXAMPLES)
-        w = Window.orderBy(*order)
-        res.append(top.select(F.lit(key).alias("rule_key"), F.lit(table).alias("table_name"),
-                              F.row_number().over(w).alias("example_rank"),
+    for table, df in parts:
+        keys, columns = EXAMPLE_ORDER[table], [c for c in df.columns if c != "rule_key"]
+        order = [F.col(c).asc_nulls_first() for c in keys + [c for c in columns if c not in keys]]
+        w = Window.partitionBy("rule_key").orderBy(*order)
+        top = df.withColumn("example_rank", F.row_number().over(w)).filter(F.col("example_rank") <= MAX_EXAMPLES)
+        res.append(top.select("rule_key", F.lit(table).alias("table_name"), "example_rank",
                               F.concat_ws("|", *[F.col(c).cast("string") for c in keys]).alias("example_key"),
-                              F.to_json(F.struct(*df.columns)).alias("row_json")))
-    return _union_all(spark, res, "rule_key string, table_name string, example_rank int, example_key string, "
-                                  "row_json string")
+                              F.to_json(F.struct(*columns)).alias("row_json"), *columns))
+    if not res:
+        return spark.createDataFrame([], "rule_key string, table_name string, example_rank int, example_key string, "
+                                         "row_json string")
+    out = res[0]
+    for r in res[1:]:
+        out = out.unionByName(r, allowMissingColumns=True)
+    return out
 
 
 def flagged_summary(report: DataFrame) -> DataFrame:

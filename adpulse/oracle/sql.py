@@ -21,15 +21,53 @@ def _div(a: str, b: str) -> str:
 
 
 # ------------------------------------------------------------------ audit
-def _rule_values() -> str:
-    from adpulse.operators.quality import RULES
-    def q(s):
-        return "'" + s.replace("'", "''") + "'"
-    rows = ",\n    ".join(
-        f"({i + 1}, {q(r.key)}, {q(r.check)}, {q(r.table)}, {q(r.severity)}, {q(r.why)}, {q(r.handling)}, {q(r.remedy)})"
-        for i, r in enumerate(RULES))
-    return f"(VALUES\n    {rows}) AS m(rule_order, key, check_name, table_name, severity, why_it_matters, production_handling, remedy)"
-
+# The rules as a report shows them.
+_RULE_VALUES = """(VALUES
+  (1, 'missing_customer_id', 'Missing customer_id', 'transactions', 'warning',
+   'A transaction without a customer_id cannot be joined to acquisition channel or demographics.',
+   'Quarantine the row; alert the checkout/event-tracking pipeline owner.',
+   'drop_rows'),
+  (2, 'missing_age_group', 'Missing age_group', 'customers', 'info',
+   'Breaks demographic segmentation for the affected rows only.',
+   'Keep the row; exclude from age-based cuts; backfill via profile-completion nudge.',
+   'none'),
+  (3, 'duplicate_rows', 'Duplicate rows', 'campaigns', 'error',
+   'Double-loaded rows double-count spend and revenue, distorting every downstream KPI.',
+   'De-duplicate on (campaign_id, date); alert ETL owner if it recurs.',
+   'drop_duplicates'),
+  (4, 'out_of_range_dates', 'Invalid/out-of-range dates', 'campaigns', 'warning',
+   'Out-of-range dates corrupt time-series trends and seasonality analysis.',
+   'Reject at ingestion; quarantine for source investigation.',
+   'none'),
+  (5, 'negative_spend', 'Negative spend', 'campaigns', 'error',
+   'Silently deflates total spend and inflates ROAS/ROI if left in.',
+   'Route to finance for classification; exclude from KPI calcs until resolved.',
+   'drop_rows'),
+  (6, 'negative_revenue', 'Negative revenue', 'campaigns', 'error',
+   'Revenue should never be negative at the campaign-day grain.',
+   'Quarantine and investigate at source; exclude from KPI calcs until resolved.',
+   'drop_rows'),
+  (7, 'profit_exceeds_amount', 'Profit > transaction amount', 'transactions', 'error',
+   'Profit should never exceed gross order amount; signals a broken margin calculation.',
+   'Halt the margin-calc job; re-run after fixing the formula before finance reporting.',
+   'none'),
+  (8, 'orphan_transactions', 'Orphan transactions', 'transactions', 'error',
+   'A transaction not tied to a valid customer is invisible to all customer-level analysis.',
+   'Quarantine; check for a late-arriving customer dimension load.',
+   'drop_rows'),
+  (9, 'conversions_exceed_clicks', 'Conversions > clicks', 'campaigns', 'error',
+   'Logically impossible; signals a tracking/attribution double-count.',
+   'Flag to tracking team; cap conversions at clicks for reporting until fixed at source.',
+   'cap_column'),
+  (10, 'impossible_ctr', 'Impossible CTR (outside 0-100%)', 'campaigns', 'error',
+   'CTR is a bounded rate; an out-of-range value signals a logging/units bug.',
+   'Quarantine; audit impression/click logging for scale mismatches.',
+   'none'),
+  (11, 'impossible_cvr', 'Impossible CVR (outside 0-100%)', 'campaigns', 'error',
+   'Same rationale as CTR — CVR must be a valid rate.',
+   'Quarantine; audit the conversion-tracking pipeline.',
+   'none')
+) AS m(rule_order, key, check_name, table_name, severity, why_it_matters, production_handling, remedy)"""
 
 _AUDIT_COUNTS = """
 WITH d AS (SELECT DISTINCT * FROM fx_campaigns),
@@ -56,7 +94,7 @@ SELECT CAST(m.rule_order AS BIGINT) AS rule_order, m.key, m.check_name, m.table_
        CAST(n.issue_count AS BIGINT) AS issue_count,
        CASE WHEN n.denom > 0 THEN ROUND(n.issue_count * 100.0 / n.denom, 4) ELSE 0.0 END AS pct_of_rows,
        m.why_it_matters, m.production_handling, m.remedy
-FROM n JOIN {_rule_values()} ON n.key = m.key
+FROM n JOIN {_RULE_VALUES} ON n.key = m.key
 """
 
 _BODIES["q_flagged"] = _AUDIT_COUNTS + """
@@ -631,6 +669,33 @@ SELECT experiment, CASE WHEN na > 0 AND nb > 0 THEN 'ok' ELSE 'insufficient_data
        ROUND((sa::DOUBLE / cpc_a * pb - ca) * (rb::DOUBLE / NULLIF(cb::DOUBLE, 0)), 6) AS incremental_revenue
 FROM x"""
 
+# Tails by numeric integration: Simpson's rule over 20,000 intervals from 0 to the statistic.
+def _area(density: str, upper: str) -> str:
+    return f"""(SELECT {upper} / 60000.0 * SUM(CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * {density})
+                FROM (SELECT i, {upper} * i / 20000.0 AS u FROM range(0, 20001) r(i)))"""
+
+
+def _normal_tail(z: str) -> str:
+    return f"0.5 - {_area('exp(-u * u / 2) / sqrt(2 * pi())', z)}"
+
+
+def _t_tail(t: str, df: str) -> str:
+    scale = f"exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt({df} * pi())"
+    return f"0.5 - {scale} * {_area(f'power(1 + u * u / {df}, -({df} + 1) / 2)', t)}"
+
+
+_BODIES["e3_ab_test"] = f"""
+WITH stats AS (SELECT * FROM ({_BODIES["e2_ab_statistics"]})),
+raw AS ({_AB_SUMS}
+  SELECT (pb - pa) / sqrt(pool * (1.0 - pool) * (1.0 / nb + 1.0 / na)) AS z,
+         CASE WHEN n_a >= 2 AND n_b >= 2 THEN (mean_b - mean_a) / sqrt(va + vb) END AS t,
+         CASE WHEN n_a >= 2 AND n_b >= 2 THEN (va + vb) * (va + vb) / (va * va / (n_a - 1) + vb * vb / (n_b - 1)) END AS df
+  FROM x),
+p AS (SELECT {_normal_tail('raw.z')} AS pz, {_t_tail('raw.t', 'raw.df')} AS pt FROM raw)
+SELECT stats.*, ROUND(pz, 6) AS p_value_z, ROUND(pt, 6) AS p_value_t, CAST(0.05 AS DOUBLE) AS alpha,
+       COALESCE(pt < 0.05, FALSE) AS significant
+FROM stats, p"""
+
 # ------------------------------------------------------------------ forecast (closed-form methods)
 _SERIES = """
 WITH b AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM cc),
@@ -684,6 +749,19 @@ SELECT 'campaign_revenue' AS series, CAST(k AS BIGINT) AS n_months, ROUND(slope,
        ROUND(CASE WHEN slope < 0 AND intercept > 0 THEN -intercept / slope - CAST(k AS DOUBLE) END, 6) AS months_until_zero
 FROM whole_f WHERE k >= 3"""
 
+_BODIES["t6_trend_p_value"] = f"""
+WITH plain AS (SELECT * FROM ({_BODIES["t6_trend"]})),
+r AS ({_SERIES},
+{_fit('ser', 'whole')}
+  SELECT k, CAST(k * sxy - sx * sy AS DOUBLE) * CAST(k * sxy - sx * sy AS DOUBLE)
+            / (CAST(k * sxx - sx * sx AS DOUBLE) * (CAST(k AS DOUBLE) * syy - CAST(sy AS DOUBLE) * CAST(sy AS DOUBLE))) AS r2
+  FROM whole_f WHERE k >= 3),
+raw AS (SELECT sqrt(r2) * sqrt(k - 2.0) / sqrt(1.0 - r2) AS t, k - 2.0 AS df FROM r),
+p AS (SELECT 2 * ({_t_tail('raw.t', 'raw.df')}) AS p FROM raw)
+SELECT plain.*, ROUND(p, 6) AS p_value, p < 0.05 AS significant,
+       CASE WHEN p >= 0.05 THEN 'The fitted trend is not statistically distinguishable from zero; treat the projection as a level estimate, not a direction.' END AS caveat
+FROM plain, p"""
+
 _BODIES["t7_forecast_closed_form"] = _BACKTEST + f""",
 {_fit('ser', 'whole')},
 win AS (SELECT method FROM ranked WHERE rank = 1),
@@ -700,6 +778,67 @@ SELECT 'campaign_revenue' AS series, (SELECT method FROM win) AS method, CAST(st
 FROM fc"""
 
 
+# ------------------------------------------------------------------ many series, rolling origins
+_MANY = """
+WITH b AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM cc),
+spine AS (
+  SELECT CAST(unnest(generate_series(CAST(date_trunc('month', lo) AS TIMESTAMP), CAST(CASE WHEN hi < last_day(hi)
+    THEN date_trunc('month', hi) - INTERVAL 1 MONTH ELSE date_trunc('month', hi) END AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month
+  FROM b WHERE lo IS NOT NULL),
+pts AS (
+  SELECT 'total' AS kind, 'all' AS series, date, revenue FROM cc
+  UNION ALL SELECT 'channel', channel, date, revenue FROM cc WHERE channel IS NOT NULL
+  UNION ALL SELECT 'country', country, date, revenue FROM cc WHERE country IS NOT NULL
+  UNION ALL SELECT 'campaign', campaign_id, date, revenue FROM cc WHERE campaign_id IS NOT NULL),
+bm AS (SELECT kind, series, CAST(date_trunc('month', date) AS DATE) AS month, SUM(revenue) AS rev FROM pts GROUP BY ALL),
+ser AS (
+  SELECT k.kind, k.series, spine.month, CAST(COALESCE(bm.rev, 0) AS DECIMAL(28,4)) AS y,
+         CAST(ROW_NUMBER() OVER (PARTITION BY k.kind, k.series ORDER BY spine.month) - 1 AS BIGINT) AS idx,
+         COUNT(*) OVER (PARTITION BY k.kind, k.series) AS n
+  FROM (SELECT DISTINCT kind, series FROM bm) k CROSS JOIN spine
+  LEFT JOIN bm ON bm.kind = k.kind AND bm.series = k.series AND bm.month = spine.month),
+fit AS (
+  SELECT o.kind, o.series, o.idx::HUGEINT AS k, o.n, SUM(t.idx)::HUGEINT AS sx, SUM(t.idx * t.idx)::HUGEINT AS sxx,
+         SUM(t.u)::HUGEINT AS sy, SUM(t.idx * t.u)::HUGEINT AS sxy,
+         SUM(t.u) FILTER (t.idx >= o.idx - 3)::HUGEINT AS level, COUNT(*) FILTER (t.idx >= o.idx - 3)::HUGEINT AS months
+  FROM (SELECT kind, series, idx, n FROM ser UNION ALL SELECT DISTINCT kind, series, n, n FROM ser) o
+  JOIN (SELECT *, CAST(y * 10000 AS HUGEINT) AS u FROM ser) t ON t.kind = o.kind AND t.series = o.series AND t.idx < o.idx
+  WHERE o.idx >= 3 GROUP BY o.kind, o.series, o.idx, o.n),
+lines AS (SELECT *, k * sxx - sx * sx AS spread, k * sxy - sx * sy AS rise,
+                 sign(level) * ((200 * abs(level) + months) // (2 * months)) AS ma FROM fit),
+at_x AS (
+  SELECT l.*, s.step, l.k + s.step - 1 AS x, l.rise * ((l.k + s.step - 1) * l.k - l.sx) + l.sy * l.spread AS num
+  FROM lines l CROSS JOIN (SELECT unnest(range(1, 4)) AS step) s),
+preds AS (
+  SELECT kind, series, k, n, step, x, ma::BIGINT AS ma, (sign(num) * ((200 * abs(num) + spread * k) // (2 * spread * k)))::BIGINT AS lt FROM at_x),
+bt AS (
+  SELECT p.kind, p.series, p.k::BIGINT AS train_months, p.step, t.month, CAST(t.y * 1000000 AS BIGINT) AS actual, p.ma, p.lt
+  FROM preds p JOIN ser t ON t.kind = p.kind AND t.series = p.series AND t.idx = p.x WHERE p.k <= p.n - 3),
+err AS (
+  SELECT kind, series, 'moving_average' AS method, 0 AS mo, train_months, (actual - ma)::HUGEINT AS e FROM bt
+  UNION ALL SELECT kind, series, 'linear_trend', 1, train_months, (actual - lt)::HUGEINT FROM bt),
+score AS (
+  SELECT kind, series, method, mo, COUNT(DISTINCT train_months) AS origins, COUNT(*) AS points,
+         SUM(e * e) AS squares, SUM(abs(e)) AS absolute FROM err GROUP BY kind, series, method, mo),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY kind, series ORDER BY squares, mo) AS rank FROM score)
+"""
+_BODIES["t5_rolling_backtest"] = _MANY + """
+SELECT kind, series, train_months, step, month, actual / 1e6 AS actual, ma / 1e6 AS moving_average, lt / 1e6 AS linear_trend FROM bt"""
+_BODIES["t5_rolling_ranking"] = _MANY + """
+SELECT kind, series, method, origins, ROUND(sqrt(squares::DOUBLE / points) / 1e6, 6) AS rmse,
+       ROUND(absolute::DOUBLE / points / 1e6, 6) AS mae, rank FROM ranked"""
+_BODIES["t7_rolling_forecast"] = _MANY + """,
+f AS (
+  SELECT p.kind, p.series, r.method, p.step, p.n, (SELECT MAX(month) FROM spine) AS last,
+         CASE WHEN r.method = 'moving_average' THEN p.ma ELSE p.lt END AS pred
+  FROM preds p JOIN ranked r ON r.kind = p.kind AND r.series = p.series AND r.rank = 1 WHERE p.k = p.n)
+SELECT kind, series, method, CASE method WHEN 'moving_average' THEN 'Moving Average' ELSE 'Linear Trend' END AS label,
+       CAST(step AS BIGINT) AS step, CAST(last + step * INTERVAL 1 MONTH AS DATE) AS month, pred / 1e6 AS forecast_revenue,
+       SUM(pred) OVER (PARTITION BY kind, series)::DOUBLE / 1e6 AS total,
+       SUM(sign(pred) * ((abs(pred) + 5000) // 10000)) OVER (PARTITION BY kind, series)::DOUBLE / 100 AS total_of_rounded_months,
+       n AS history_months, last AS last_actual_month
+FROM f"""
+
 # ------------------------------------------------------------------ coverage
 _BODIES["a5_as_of_channel_kpis"] = (
     f"SELECT channel, {_SUMS}, {_kpis()} FROM cc WHERE date <= DATE '1998-12-31' AND channel IS NOT NULL GROUP BY channel")
@@ -815,6 +954,53 @@ SELECT cur.tick, cur.cursor, CAST(COALESCE(y.transacting, 0) AS BIGINT) AS trans
        COALESCE(CAST(y.repeaters AS DOUBLE) / NULLIF(CAST(y.transacting AS DOUBLE), 0), 0.0) AS repeat_rate
 FROM cur LEFT JOIN y ON cur.tick = y.tick"""
 
+_BODIES["r3_replay_segments"] = _CURSORS + """,
+per AS (
+  SELECT cur.tick, cur.cursor, tx.customer_id, COUNT(tx.transaction_id) AS frequency, SUM(tx.amount) AS monetary,
+         MAX(tx.transaction_date) AS last_purchase
+  FROM cur JOIN tx ON tx.transaction_date <= cur.cursor AND NOT tx.refund_flag
+  GROUP BY cur.tick, cur.cursor, tx.customer_id),
+st AS (SELECT *, CAST(date_diff('day', last_purchase, cursor) AS BIGINT) AS recency FROM per),
+enough AS (SELECT tick, COUNT(*) AS n,
+             list_sort(list_distinct(quantile_cont(recency, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS e
+           FROM st GROUP BY tick HAVING COUNT(*) >= 20),
+rk AS (
+  SELECT st.*, x.n, x.e, ROW_NUMBER() OVER (PARTITION BY st.tick ORDER BY frequency, customer_id) AS rf
+  FROM st JOIN enough x ON st.tick = x.tick),
+sc AS (
+  SELECT *, GREATEST(len(e) - 1, 1) - len(list_filter(e[2:len(e) - 1], lambda v: recency > v)) AS r,
+         CASE WHEN rf = 1 THEN 1 ELSE ((rf - 1) * 5 + n - 2) // (n - 1) END AS f
+  FROM rk),
+seg AS (
+  SELECT *, CASE
+    WHEN r BETWEEN 4 AND 5 AND f BETWEEN 4 AND 5 THEN 'Champions'
+    WHEN r BETWEEN 3 AND 5 AND f BETWEEN 3 AND 5 THEN 'Loyal Customers'
+    WHEN r BETWEEN 4 AND 5 AND f BETWEEN 1 AND 2 THEN 'Potential Loyalists'
+    WHEN r BETWEEN 1 AND 2 AND f BETWEEN 3 AND 5 THEN 'At Risk'
+    WHEN r BETWEEN 1 AND 2 AND f BETWEEN 1 AND 2 THEN 'Lost Customers'
+    ELSE 'Needs Attention' END AS segment FROM sc)
+SELECT tick, cursor, segment, COUNT(*) AS customers, ROUND(AVG(recency), 6) AS avg_recency_days,
+       ROUND(AVG(frequency), 6) AS avg_frequency, ROUND(CAST(SUM(monetary) AS DOUBLE) / COUNT(*), 6) AS avg_monetary,
+       COUNT(*)::DOUBLE / ANY_VALUE(n) AS pct_of_base
+FROM seg GROUP BY tick, cursor, segment"""
+
+_BODIES["r3_replay_cohorts"] = _CURSORS + """,
+known AS (
+  SELECT customer_id, acquisition_date AS a, year(acquisition_date) * 12 + month(acquisition_date) - 1 AS cm
+  FROM cu WHERE acquisition_date IS NOT NULL),
+act AS (
+  SELECT k.customer_id, k.cm, k.a, t.transaction_date AS d,
+         year(t.transaction_date) * 12 + month(t.transaction_date) - 1 - k.cm AS k
+  FROM tx t JOIN known k ON t.customer_id = k.customer_id WHERE NOT t.refund_flag),
+n AS (
+  SELECT cur.tick, cur.cursor, act.cm, act.k, COUNT(DISTINCT customer_id) AS active
+  FROM cur JOIN act ON act.d <= cur.cursor AND act.a <= cur.cursor WHERE act.k BETWEEN 0 AND 11 GROUP BY ALL),
+sz AS (SELECT cur.tick, known.cm, COUNT(*) AS size FROM cur JOIN known ON known.a <= cur.cursor GROUP BY ALL)
+SELECT n.tick, n.cursor, make_date(CAST(n.cm // 12 AS BIGINT), CAST(n.cm % 12 + 1 AS BIGINT), 1) AS cohort,
+       CAST(n.k AS BIGINT) AS months_since_acquisition, n.active AS active_customers, sz.size AS cohort_size,
+       n.active::DOUBLE / sz.size AS retention_pct
+FROM n JOIN sz ON n.tick = sz.tick AND n.cm = sz.cm WHERE sz.size >= 20"""
+
 # ------------------------------------------------------------------ streaming (batch equivalents)
 _BODIES["r4_stream_channel_kpis"] = _BODIES["m3_by_channel"]
 _BODIES["r5_stream_weekly_revenue"] = """
@@ -828,7 +1014,7 @@ _BODIES["r6_stream_dedup"] = "SELECT DISTINCT * FROM fx_campaigns"
 _BODIES["r7_stream_enrich"] = """
 SELECT t.transaction_id, t.customer_id, t.transaction_date, CAST(t.amount AS DOUBLE) AS amount,
        c.acquisition_channel, c.subscription_plan,
-       CASE WHEN t.customer_id IS NULL THEN 'missing_customer_id' WHEN c.acquisition_channel IS NULL THEN 'orphan' ELSE 'ok' END AS status
+       CASE WHEN t.customer_id IS NULL THEN 'missing_customer_id' WHEN c.customer_id IS NULL THEN 'orphan' ELSE 'ok' END AS status
 FROM fx_transactions t LEFT JOIN fx_customers c ON t.customer_id = c.customer_id"""
 
 
@@ -839,7 +1025,7 @@ _TX_COLS = "transaction_id, customer_id, transaction_date, product_category, amo
 
 def _top20(rule: str, table: str, src: str, order: str, key: str) -> str:
     return f"""SELECT '{rule}' AS rule_key, '{table}' AS table_name,
-       ROW_NUMBER() OVER (ORDER BY {order}) AS example_rank, {key} AS example_key
+       ROW_NUMBER() OVER (ORDER BY {order}) AS example_rank, {key} AS example_key, x.*
 FROM (SELECT * FROM {src} ORDER BY {order} LIMIT 20) x"""
 
 
@@ -876,4 +1062,8 @@ _ex = [
            "(SELECT * FROM fx_transactions WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM fx_customers))",
            _nf(_TX_COLS), _TK),
 ]
-_BODIES["q_example_keys"] = "\nUNION ALL\n".join(f"SELECT * FROM ({q})" for q in _ex)
+_BODIES["q_example_keys"] = "\nUNION ALL\n".join(
+    f"SELECT rule_key, table_name, example_rank, example_key FROM ({q})" for q in _ex)
+_MONEY = "spend, revenue, first_purchase_value, amount, discount, profit".split(", ")
+_BODIES["q_examples"] = ("SELECT * REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _MONEY) + ") FROM (\n"
+                         + "\nUNION ALL BY NAME\n".join(f"SELECT * FROM ({q})" for q in _ex) + ")")

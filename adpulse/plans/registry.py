@@ -72,13 +72,16 @@ def _q_quarantine(spark, sf):
 
 @register("q_examples")
 def _q_examples(spark, sf):
-    return _b(spark, sf).audit.examples
+    """Q-13 with the rows' own columns (money as DOUBLE)."""
+    from adpulse.functions.kpis import dbl
+    out = _b(spark, sf).audit.examples.drop("row_json")
+    return out.select(*[dbl(c).alias(c) if t.startswith("decimal") else c for c, t in out.dtypes])
 
 
 @register("q_example_keys")
 def _q_example_keys(spark, sf):
     """Q-13 at key level (rule, rank, identifying key): checkable by SQL."""
-    return _b(spark, sf).audit.examples.drop("row_json")
+    return _b(spark, sf).audit.examples.select("rule_key", "table_name", "example_rank", "example_key")
 
 
 # ------------------------------------------------------------ marketing (M)
@@ -358,6 +361,32 @@ def _t7(spark, sf):
     return select_and_forecast(s, b.params)
 
 
+def _many_series(spark, sf):
+    from adpulse.operators.rolling import revenue_series
+    return revenue_series(_b(spark, sf, _C).campaigns)
+
+
+@register("t5_rolling_backtest")
+def _t5r(spark, sf):
+    from pyspark.sql import functions as F
+    from adpulse.operators.rolling import UNIT, rolling_backtest
+    out = rolling_backtest(_many_series(spark, sf))
+    return out.withColumns({c: F.col(c) / UNIT for c in ("actual", "moving_average", "linear_trend")})
+
+
+@register("t5_rolling_ranking")
+def _t5k(spark, sf):
+    from adpulse.operators.rolling import rolling_backtest, rolling_ranking
+    return rolling_ranking(rolling_backtest(_many_series(spark, sf)))
+
+
+@register("t7_rolling_forecast")
+def _t7r(spark, sf):
+    from adpulse.operators.rolling import rolling_backtest, rolling_forecast, rolling_ranking
+    series = _many_series(spark, sf)
+    return rolling_forecast(series, rolling_ranking(rolling_backtest(series)))
+
+
 # ------------------------------------------------------------ coverage (A)
 def _tables(spark, sf, raw=False):
     b = _b(spark, sf)
@@ -424,29 +453,42 @@ def _r3(spark, sf):
     return replay_repeat_customers(_b(spark, sf))
 
 
+@register("r3_replay_segments")
+def _r3s(spark, sf):
+    from adpulse.plans.replay import replay_segments
+    return replay_segments(_b(spark, sf))
+
+
+@register("r3_replay_cohorts")
+def _r3c(spark, sf):
+    from adpulse.plans.replay import replay_cohorts
+    return replay_cohorts(_b(spark, sf))
+
+
 @register("r4_stream_channel_kpis")
 def _r4(spark, sf):
     from adpulse.streaming.jobs import stream_channel_kpis
-    return stream_channel_kpis(_b(spark, sf, _C).campaigns)
+    return stream_channel_kpis(spark, sf)
 
 
 @register("r5_stream_weekly_revenue")
 def _r5(spark, sf):
     from adpulse.streaming.jobs import stream_weekly_revenue
-    return stream_weekly_revenue(_b(spark, sf, _C).campaigns)
+    return stream_weekly_revenue(spark, sf)
 
 
 @register("r6_stream_dedup")
 def _r6(spark, sf):
     from adpulse.streaming.jobs import stream_dedup
-    return stream_dedup(_raw(spark, sf, ("campaigns",))[0])
+    return stream_dedup(spark, sf)
 
 
 @register("r7_stream_enrich")
 def _r7(spark, sf):
     from adpulse.streaming.jobs import stream_enrich
-    t, c = _raw(spark, sf, ("transactions", "customers"))
-    return stream_enrich(t, c)
+    from adpulse.sources.fixtures import customers, stream_table, transactions
+    return stream_enrich(transactions(spark, sf, stream_table(spark, sf, "lineitem")),
+                         customers(spark, sf, stream_table(spark, sf, "customer")))
 
 
 def normalize_types(df):

@@ -49,8 +49,19 @@ def _dec(c, p, s):
     return F.col(c).cast(f"decimal({p},{s})") if isinstance(c, str) else c.cast(f"decimal({p},{s})")
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """The same parquet as a file stream (a single file or a folder of files)."""
+    reader = spark.readStream.schema(read_table(spark, sf_dir, name).schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    # a pattern, since a stream's path may not be one file
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
+
+
+def customers(spark: SparkSession, sf_dir: str, customer: DataFrame | None = None) -> DataFrame:
+    """``customer`` stands in for the parquet table, e.g. as a stream."""
+    customer = customer if customer is not None else read_table(spark, sf_dir, "customer")
+    c = customer.select("c_custkey", "c_nationkey", "c_acctbal")
     o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
     n = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
     r = F.broadcast(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
@@ -76,8 +87,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
+def transactions(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """``lineitem`` stands in for the parquet table, e.g. as a stream."""
+    lineitem = lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")
+    li = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_returnflag")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
@@ -105,16 +118,21 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_tax", "l_discount")
+def campaigns(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None,
+              event_time: str | None = None) -> DataFrame:
+    """``lineitem`` stands in for the parquet table, e.g. as a stream; ``event_time`` names its column
+    with a watermark, one value per shipping day, which then comes along."""
+    lineitem = lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")
+    time = [F.col(event_time)] if event_time else []
+    li = lineitem.select(
+        "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_tax", "l_discount", *time)
     price = _dec("l_extendedprice", 10, 2)
     # campaign x day grain, a campaign for every supplier, so the table grows
     # with the input; partial aggregation collapses each task's rows first.
     # (Literal widths keep the products within 18 digits: exact, and on the
     # fast long-backed decimal path.)
     base = (li.groupBy(F.col("l_suppkey").alias("cid"),
-                       F.col("l_shipdate").cast("date").alias("date"))
+                       F.col("l_shipdate").cast("date").alias("date"), *time)
             .agg((F.sum("l_quantity") * 100).cast("bigint").alias("impressions"),
                  F.sum("l_quantity").cast("bigint").alias("clicks"),
                  F.count(F.lit(1)).alias("conversions"),
@@ -139,6 +157,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("revenue").cast("decimal(28,4)").alias("revenue"),
         # seeded fault: campaign CMP-1005 (cid 5) is double-loaded for every January
         F.expr("CASE WHEN cid = 5 AND month(date) = 1 THEN 2 ELSE 1 END").alias("_copies"),
+        *time,
     )
     # the extra copies come from one pass (explode), not a second aggregation
     return b.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")

@@ -1,23 +1,25 @@
 """Structured Streaming jobs (R4 .. R7).
 
-Sources are file streams: the engine table is staged as parquet under the
-session's shared checkpoint folder (``spark.checkpoint.dir``), read with
-``readStream`` and an explicit schema, and drained with
-``trigger(availableNow=True)``. Sinks are parquet folders (append) or a
-``foreachBatch`` overwrite for complete-mode aggregates; each job checkpoints
-its offsets and state in the same shared folder, so a restarted job resumes
-instead of recomputing. Callers get the sink read back as a DataFrame.
+Sources are file streams over the given parquet tables themselves; the engine's
+columns are derived inside the stream, nothing is staged. Sinks are parquet
+folders; each job keeps its offsets and state in the session's shared checkpoint
+folder (``spark.checkpoint.dir``), so a restarted job resumes instead of
+recomputing. A job drains what its sources hold (``availableNow``), then closes
+them with one row whose time lies beyond all others: the watermark passes every
+open day, window and wait, their state leaves, and the sink is complete. Callers
+get the sink read back as a DataFrame.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adpulse.functions.kpis import cpa, cpc, ctr, cvr, dbl, roas
 from adpulse.session import ensure_checkpoint_dir
+from adpulse.sources.fixtures import campaigns, stream_table
 
 
 def _workdir(spark: SparkSession, name: str) -> str:
@@ -25,108 +27,168 @@ def _workdir(spark: SparkSession, name: str) -> str:
     return f"{base}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def stage(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
-    """Write ``df`` as the parquet files a file stream will pick up."""
-    (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(path)
-    return df
+#: The time of the row that ends a drained stream.
+CLOSING = "5000-01-01 00:00:00"
+#: How far rows may be behind the newest one: by default no row of the tables is late.
+DELAY = "36500 days"
 
 
-def _drain(query) -> None:
-    query.awaitTermination()
-    exc = query.exception()
-    if exc is not None:
-        raise RuntimeError(str(exc))
+def _closing(spark: SparkSession, like: DataFrame, time_col: str, path: str, rows: int) -> None:
+    """Add to ``path`` no row, or one whose time lies beyond all others and whose other columns are NULL."""
+    cols = [F.lit(CLOSING).cast("timestamp").alias(f.name) if f.name == time_col else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in like.schema.fields]
+    spark.range(rows).select(*cols).write.mode("append").parquet(path)
 
 
-def stream_channel_kpis(campaigns: DataFrame, files: int = 8) -> DataFrame:
-    """Running channel totals from a file stream (complete mode); the
-    final state equals the batch channel KPIs."""
-    spark = campaigns.sparkSession
+def _midnight(day: str) -> Column:
+    """UTC-midnight instant of a day, independent of the session time zone."""
+    return F.timestamp_seconds(F.unix_date(F.col(day).cast("date")).cast("bigint") * 86400)
+
+
+class ClosedStream:
+    """A stream with a closing row to come: ``df`` has ``time_col`` under a watermark."""
+
+    def __init__(self, stream: DataFrame, time_col: str, delay: str, folder: str):
+        spark = stream.sparkSession
+        self.shape, self.time_col, self.folder = stream, time_col, folder
+        _closing(spark, stream, time_col, folder, 0)
+        self.df = stream.union(spark.readStream.schema(stream.schema).parquet(folder)).withWatermark(time_col, delay)
+
+    def close(self) -> None:
+        _closing(self.shape.sparkSession, self.shape, self.time_col, self.folder, 1)
+
+
+def _drain(start, streams: list[ClosedStream]) -> None:
+    """Run ``start()`` over what the sources hold, close them, and run it again from its checkpoint."""
+    for closed in (False, True):
+        if closed:
+            for s in streams:
+                s.close()
+        query = start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+
+
+def _to_parquet(df: DataFrame, wd: str):
+    return lambda: (df.writeStream.outputMode("append").format("parquet").option("path", f"{wd}/out")
+                    .option("checkpointLocation", f"{wd}/ckpt").trigger(availableNow=True).start())
+
+
+def campaign_stream(spark: SparkSession, sf_dir: str, wd: str, delay: str = DELAY,
+                    files_per_batch: int | None = None) -> tuple[DataFrame, ClosedStream]:
+    """Raw campaign-days (with double-loaded copies) as a stream over ``lineitem``: a day is summed in
+    the state until the watermark passes it and leaves once, in append mode, with its time ``at``."""
+    lines = stream_table(spark, sf_dir, "lineitem", files_per_batch).withColumn("at", _midnight("l_shipdate"))
+    closed = ClosedStream(lines, "at", delay, f"{wd}/close")
+    # on the time itself: any other filter would be moved before the watermark and hide the closing row from it
+    return campaigns(spark, sf_dir, closed.df.filter(F.col("at") < F.lit(CLOSING).cast("timestamp")), "at"), closed
+
+
+def clean_stream(raw: DataFrame) -> DataFrame:
+    """The audit's clean campaigns (one of equal rows, nothing negative, conversions capped) as a stream."""
+    bad = F.coalesce((F.col("spend") < 0) | (F.col("revenue") < 0), F.lit(False))
+    return raw.dropDuplicates(raw.columns).filter(~bad).withColumn(
+        "conversions", F.when(F.col("conversions") > F.col("clicks"), F.col("clicks")).otherwise(F.col("conversions")))
+
+
+def stream_channel_kpis(spark: SparkSession, sf_dir: str, **source) -> DataFrame:
+    """Channel totals per week, appended as weeks close; their sums are the channel KPIs, equal
+    to the batch once the stream is drained."""
     wd = _workdir(spark, "channel_kpis")
-    stage(campaigns, f"{wd}/src", files)
-    src = spark.readStream.schema(campaigns.schema).option("maxFilesPerTrigger", 2).parquet(f"{wd}/src")
-    agg = src.groupBy("channel").agg(
-        F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
-        F.sum("conversions").alias("conversions"), F.sum("spend").alias("spend"),
-        F.sum("revenue").alias("revenue"))
-    out = f"{wd}/out"
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)  # complete mode: the whole state
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", f"{wd}/ckpt").trigger(availableNow=True).start())
-    _drain(q)
-    r = spark.read.parquet(out)
-    return r.select("channel", F.col("impressions").cast("bigint").alias("impressions"),
-                    F.col("clicks").cast("bigint").alias("clicks"),
-                    F.col("conversions").cast("bigint").alias("conversions"),
+    raw, closed = campaign_stream(spark, sf_dir, wd, **source)
+    weekly = (clean_stream(raw).filter(F.col("channel").isNotNull()).groupBy(F.window("at", "7 days"), "channel")
+              .agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "conversions", "spend", "revenue")]))
+    _drain(_to_parquet(weekly.withColumn("week", F.col("window.start")).drop("window"), wd), [closed])
+    r = spark.read.parquet(f"{wd}/out").groupBy("channel").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("impressions", "clicks", "conversions")],
+        *[F.sum(c).alias(c) for c in ("spend", "revenue")])
+    return r.select("channel", "impressions", "clicks", "conversions",
                     dbl("spend").alias("spend"), dbl("revenue").alias("revenue"),
                     ctr("clicks", "impressions").alias("ctr"), cvr("conversions", "clicks").alias("cvr"),
                     cpc("spend", "clicks").alias("cpc"), cpa("spend", "conversions").alias("cpa"),
                     roas("revenue", "spend").alias("roas"))
 
 
-def stream_weekly_revenue(campaigns: DataFrame, files: int = 8, per_trigger: int = 2) -> DataFrame:
-    """7-day tumbling revenue windows, update mode. Every micro-batch
-    writes the windows it changed under its own number, and the newest version
-    of a window counts: rows may come in any order, none is late and the open
-    windows at the end are in the result. State is one row per calendar week."""
-    spark = campaigns.sparkSession
-    wd = _workdir(spark, "weekly_revenue")
-    # UTC-midnight instants from the day number: independent of the session time zone
-    staged = campaigns.select(F.timestamp_seconds(F.unix_date("date").cast("bigint") * 86400).alias("ts"), "revenue")
-    stage(staged, f"{wd}/src", files)
-    src = spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", per_trigger).parquet(f"{wd}/src")
-    agg = (src.groupBy(F.window("ts", "7 days"))
-           .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("rows")))
+def weekly_changes(rows: DataFrame, wd: str, lateness: str):
+    """Per micro-batch one row per 7-day window with what the batch adds to it, appended under the
+    batch's number (written over when a batch is repeated). A window that ended more than ``lateness``
+    before the newest row of earlier batches is closed: what is added to it then goes to the late side,
+    ``late=true``. No window is held in any state and none is rewritten; readers add both sides up."""
     day = lambda c: F.date_from_unix_date((F.unix_seconds(c) / 86400).cast("int"))
-    flat = agg.select(day(F.col("window.start")).alias("window_start"), day(F.col("window.end")).alias("window_end"),
-                      dbl("revenue").alias("revenue"), F.col("rows").cast("bigint").alias("rows"))
+    spark = rows.sparkSession
+    # the folder has a batch from the beginning, so that readers find a schema
+    schema = "window_start date, window_end date, revenue decimal(38,4), rows bigint, newest timestamp, late boolean, epoch bigint"
 
     def write(batch: DataFrame, epoch: int) -> None:
-        # overwritten when a batch is repeated after a failure
-        batch.write.mode("overwrite").parquet(f"{wd}/out/epoch={epoch}")
-
-    q = (flat.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", f"{wd}/ckpt").trigger(availableNow=True).start())
-    _drain(q)
-    versions = spark.read.schema(flat.schema.add("epoch", "long")).parquet(f"{wd}/out")
-    return (versions.groupBy("window_start", "window_end")
-            .agg(F.max_by(F.struct("revenue", "rows"), "epoch").alias("v"))
-            .select("window_start", "window_end", "v.revenue", "v.rows"))
-
-
-def stream_dedup(campaigns_raw: DataFrame, files: int = 8, per_trigger: int = 2) -> DataFrame:
-    """Drop double-loaded campaign rows, in whatever order and batch they
-    come. The state holds a key per distinct row of the campaign x day grain,
-    a bounded key space, so there is no watermark and no row is late."""
-    spark = campaigns_raw.sparkSession
+        newest = None
+        if epoch:
+            seen = spark.read.schema(schema).parquet(f"{wd}/out").filter(F.col("epoch") < epoch)
+            newest = seen.agg(F.max("newest")).first()[0]  # a row per window and batch
+        ended = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {lateness}") if newest is not None else F.lit(None)
+        change = (batch.groupBy(F.window("at", "7 days").alias("w"))
+                  .agg(F.sum("revenue").cast("decimal(38,4)").alias("revenue"), F.count(F.lit(1)).alias("rows"), F.max("at").alias("newest")))
+        (change.select(day(F.col("w.start")).alias("window_start"), day(F.col("w.end")).alias("window_end"), "revenue", "rows",
+                       "newest", F.coalesce(F.col("w.end") <= ended, F.lit(False)).alias("late"))
+         .write.mode("overwrite").partitionBy("late").parquet(f"{wd}/out/epoch={epoch}"))
+
+    return schema, lambda: (rows.writeStream.outputMode("append").foreachBatch(write)
+                            .option("checkpointLocation", f"{wd}/ckpt").trigger(availableNow=True).start())
+
+
+def stream_weekly_revenue(spark: SparkSession, sf_dir: str, lateness: str = "28 days", **source) -> DataFrame:
+    """7-day tumbling revenue windows of the clean campaigns, from the changes of each batch;
+    late rows are added on reading."""
+    wd = _workdir(spark, "weekly_revenue")
+    raw, closed = campaign_stream(spark, sf_dir, wd, **source)
+    schema, start = weekly_changes(clean_stream(raw).select("at", "revenue"), wd, lateness)
+    _drain(start, [closed])
+    return weekly_totals(spark, wd, schema)
+
+
+def weekly_totals(spark: SparkSession, wd: str, schema: str) -> DataFrame:
+    return (spark.read.schema(schema).parquet(f"{wd}/out").groupBy("window_start", "window_end")
+            .agg(dbl(F.sum("revenue")).alias("revenue"), F.sum("rows").alias("rows")))
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str, **source) -> DataFrame:
+    """Drop double-loaded campaign rows. A row's key stays in the state until the watermark
+    passes its day, so copies may come in any batch until then."""
     wd = _workdir(spark, "dedup")
-    stage(campaigns_raw, f"{wd}/src", files)
-    src = spark.readStream.schema(campaigns_raw.schema).option("maxFilesPerTrigger", per_trigger).parquet(f"{wd}/src")
-    q = (src.dropDuplicates(campaigns_raw.columns).writeStream.outputMode("append").format("parquet")
-         .option("path", f"{wd}/out")
-         .option("checkpointLocation", f"{wd}/ckpt").trigger(availableNow=True).start())
-    _drain(q)
-    return spark.read.schema(campaigns_raw.schema).parquet(f"{wd}/out")
-
-
-def stream_enrich(transactions_raw: DataFrame, customers: DataFrame, files: int = 8) -> DataFrame:
-    """Stream-static enrichment of transactions with the customer
-    dimension; rows without a customer are routed to quarantine statuses
-    (missing id / orphan) instead of being dropped."""
-    spark = transactions_raw.sparkSession
+    raw, closed = campaign_stream(spark, sf_dir, wd, **source)
+    out = raw.dropDuplicates(raw.columns).drop("at")
+    _drain(_to_parquet(out, wd), [closed])
+    return spark.read.schema(out.schema).parquet(f"{wd}/out")
+
+
+def stream_enrich(transactions: DataFrame, customers: DataFrame, wait: str = DELAY, delay: str = DELAY) -> DataFrame:
+    """Two streams, transactions and the customers they name, joined in whatever order they come.
+
+    A transaction whose customer is known, or comes within ``wait`` of it, leaves
+    with the customer's channel and plan; until then it is in quarantine, in the
+    state of a stream-stream left outer join. When the watermark (``delay`` behind
+    the earlier stream) passes its time and ``wait``, it leaves as an orphan, and so
+    do customers that no transaction can name any more leave the state. Transactions
+    without an id are marked at once. Of customers with the same id the first counts;
+    a known customer without a channel is known. Both streams are drained, then closed
+    by a row that moves the watermark beyond every wait."""
+    spark = transactions.sparkSession
     wd = _workdir(spark, "enrich")
-    stage(transactions_raw, f"{wd}/src", files)
-    src = spark.readStream.schema(transactions_raw.schema).parquet(f"{wd}/src")
-    dim = customers.select("customer_id", "acquisition_channel", "subscription_plan")
-    j = src.join(dim, "customer_id", "left_outer")
-    status = (F.when(F.col("customer_id").isNull(), "missing_customer_id")
-              .when(F.col("acquisition_channel").isNull(), "orphan").otherwise("ok"))
-    out = j.select("transaction_id", "customer_id", "transaction_date", dbl("amount").alias("amount"),
-                   "acquisition_channel", "subscription_plan", status.alias("status"))
-    q = (out.writeStream.outputMode("append").format("parquet").option("path", f"{wd}/out")
-         .option("checkpointLocation", f"{wd}/ckpt").trigger(availableNow=True).start())
-    _drain(q)
+    t = ClosedStream(transactions.select("transaction_id", "customer_id", "transaction_date", dbl("amount").alias("amount"),
+                                         _midnight("transaction_date").alias("t_time")), "t_time", delay, f"{wd}/close/tx")
+    c = ClosedStream(customers.select(F.col("customer_id").alias("c_id"), "acquisition_channel", "subscription_plan",
+                                      _midnight("acquisition_date").alias("c_time")), "c_time", delay, f"{wd}/close/cu")
+    tx, cu = t.df, c.df
+    end = F.lit(CLOSING).cast("timestamp")
+    # every filter keeps the closing row, which the watermarks behind it must see; its NULL id joins nothing
+    known = cu.filter(F.col("c_id").isNotNull() | (F.col("c_time") >= end)).dropDuplicates(["c_id"])
+    joined = tx.filter(F.col("customer_id").isNotNull() | (F.col("t_time") >= end)).join(
+        known, F.expr(f"customer_id = c_id AND c_time <= t_time + INTERVAL {wait} AND c_time >= t_time - INTERVAL {wait}"),
+        "left_outer").withColumn("status", F.when(F.col("c_id").isNull(), "orphan").otherwise("ok"))
+    nameless = tx.filter(F.col("customer_id").isNull() & (F.col("t_time") < end)).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in known.schema.fields], F.lit("missing_customer_id").alias("status"))
+    out = joined.unionByName(nameless).select("transaction_id", "customer_id", "transaction_date", "amount",
+                                              "acquisition_channel", "subscription_plan", "status")
+
+    _drain(_to_parquet(out, wd), [t, c])
     return spark.read.schema(out.schema).parquet(f"{wd}/out")

@@ -58,3 +58,31 @@ def test_json_lines_null_for_undefined(spark):
     c = spark.createDataFrame([camp("C1", "Organic", dt.date(2024, 1, 1), 0, 100, 0, 0, 5)], CAMP_SCHEMA)
     doc = json.loads(to_json_lines(groupby_kpis(c, "channel")).first().json)
     assert doc["roas"] is None and doc["cvr"] is None and doc["channel"] == "Organic"
+
+
+def test_saved_tables_prune_months_and_join_in_place(spark, tmpdir_path):
+    import datetime as dt
+
+    import __spark_entry__ as E
+    from adpulse.operators.finance import customers_with_profit
+    from adpulse.plans.registry import _b
+    from adpulse.sources.io import open_tables, save_tables
+    clean = _b(spark, E.SMOKE_DIR).tables
+    names = save_tables(clean, os.path.join(tmpdir_path, "saved"), "saved_here", buckets=4, rows_per_file=200)
+    cursor = dt.date(1995, 6, 15)
+    saved = open_tables(spark, names).as_of(cursor)
+    want = _b(spark, E.SMOKE_DIR).as_of(cursor)
+    for t in ("transactions", "customers", "campaigns"):
+        a, b = getattr(saved, t), getattr(want, t)
+        assert sorted(a.columns) == sorted(b.columns) and a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = customers_with_profit(saved.customers, saved.transactions)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "Join" in plan
+    scans = [line for line in plan.split("\n") if "PartitionFilters" in line]
+    assert scans and all("month" in s.split("PartitionFilters")[1].split("]")[0] for s in scans)
+    same = customers_with_profit(want.customers, want.transactions)
+    assert out.exceptAll(same.select(*out.columns)).count() == 0
