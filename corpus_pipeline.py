@@ -33,6 +33,22 @@ def _with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
     return out.select(*columns)
 
 
+def _aside(docs: DataFrame, taken: tuple[str, ...]) -> tuple[DataFrame, list]:
+    """``docs`` with columns that an operator names its results like put under other names, and the
+    columns that bring them back, the text and its length left out."""
+    names = {c: f"_pl_{i}" if c.lower() in taken else c for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), [
+        F.col(f"`{n}`").alias(c) for c, n in names.items() if c not in ("text", "n_chars")]
+
+
+def _with_new_text(out: DataFrame, text, own: list, columns: list[str]) -> DataFrame:
+    """An operator's rows as documents again: own columns, the new text and its length."""
+    out = out.select(*own, text.alias("text"))
+    if "n_chars" in columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*[f"`{c}`" for c in columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the rules keep, without the lines that failed."""
     return _with_text(clean_documents(docs), F.col("clean_text"), docs.columns)
@@ -56,14 +72,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the 50-byte strings that start in one with a smaller id."""
     ship_package(spark)
-    cut = remove_repeats(docs, whole_chars=True)
-    return _with_text(cut, F.col("kept_bytes").cast("string"), docs.columns)
+    aside, own = _aside(docs, ("spans", "n_bytes", "kept_bytes"))
+    return _with_new_text(remove_repeats(aside, whole_chars=True), F.col("kept_bytes").cast("string"), own, docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced by its kind."""
     ship_package(spark)
-    return _with_text(mask(spark, docs), F.col("text"), docs.columns)
+    aside, own = _aside(docs, ("spans", "base_spans"))
+    return _with_new_text(mask(spark, aside), F.col("text"), own, docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
