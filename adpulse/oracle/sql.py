@@ -9,6 +9,8 @@ rounded to 6 places.
 from adpulse.oracle.fixtures_sql import with_fixtures
 
 _BODIES: dict = {}
+#: Fixed value: the fingerprint of the default parameters.
+PARAMS_HASH = "9513f227a46ffb15"
 
 
 def _r6(x: str) -> str:
@@ -1067,3 +1069,42 @@ _BODIES["q_example_keys"] = "\nUNION ALL\n".join(
 _MONEY = "spend, revenue, first_purchase_value, amount, discount, profit".split(", ")
 _BODIES["q_examples"] = ("SELECT * REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _MONEY) + ") FROM (\n"
                          + "\nUNION ALL BY NAME\n".join(f"SELECT * FROM ({q})" for q in _ex) + ")")
+
+
+# ------------------------------------------------------------------ snapshot header and modules
+def _header() -> str:
+    rows = ", ".join(f"(SELECT MAX({c}) FROM r WHERE table_name = '{t}') AS {t}_{c}"
+                     for t in ("campaigns", "customers", "transactions", "ab_test") for c in ("rows_before", "rows_after"))
+    can = ("overview marketing forecast acquisition_cost customer_value rfm cohorts profitability reallocation "
+           "experiments churn_ml").split()
+    return (f"WITH r AS (SELECT * FROM ({_BODIES['q_rows']})), can AS (SELECT * FROM ({_BODIES['a8_capabilities']}))\n"
+            f"SELECT (SELECT max_date FROM ({_BODIES['a6_max_date']})) AS as_of, '{PARAMS_HASH}' AS params_hash, "
+            f"(SELECT months_of_history FROM ({_BODIES['a7_months_of_history']})) AS months_of_history, {rows}, "
+            + ", ".join(f"{c} AS can_{c}" for c in can) + " FROM can")
+
+
+def _melt(module: str, output: str, query: str, keys: str, metrics: str) -> str:
+    pairs = ", ".join(f"{{'metric': '{m}', 'value': CAST({m} AS DOUBLE)}}" for m in metrics.split())
+    key = f"concat_ws('|', {keys})" if keys else "''"
+    return (f"SELECT '{module}' AS module, '{output}' AS output, key, p.metric AS metric, p.value AS value FROM "
+            f"(SELECT {key} AS key, unnest([{pairs}]) AS p FROM ({_BODIES[query]}))")
+
+
+_KPI = "impressions clicks conversions spend revenue ctr cvr cpc cpa roas"
+_BODIES["r1_snapshot_header"] = _header()
+_BODIES["r1_snapshot_modules"] = "SELECT m.*, s.status FROM (\n" + "\nUNION ALL\n".join([
+    _melt("marketing", "by_channel", "m3_by_channel", "channel", _KPI),
+    _melt("marketing", "seasonality", "m6_seasonality", "", "peak_revenue mean_revenue months_used"),
+    _melt("forecast", "months", "t7_forecast_closed_form", "method, step", "forecast_revenue total"),
+    _melt("forecast", "trend", "t6_trend", "", "n_months slope_per_month intercept r_squared months_until_zero"),
+    _melt("customers", "segments", "c8_segment_summary", "segment",
+          "customers avg_recency_days avg_frequency avg_monetary pct_of_base"),
+    _melt("customers", "cohort_means", "c12_cohort_means", "", "mean_month_0 mean_month_1 month_0_to_1_drop n_cohorts"),
+    _melt("customers", "value_by_plan", "c15_value_by_plan", "subscription_plan", "customers avg_purchases avg_lifetime_profit"),
+    _melt("finance", "kpis", "f7_headline_kpis", "kpi", "value"),
+    _melt("finance", "profitability", "f4_profitability", "channel", "campaign_revenue marketing_spend customer_gross_profit net_profit revenue_rank profit_rank "
+          "rank_shift contribution_margin profit_per_customer roi"),
+    _melt("experiments", "ab_test", "e2_ab_statistics", "experiment",
+          "cvr_a cvr_b lift_pct z_stat ci_low ci_high t_stat welch_df n_days current_conversions projected_conversions "
+          "incremental_conversions incremental_revenue"),
+]) + f"\n) m JOIN (SELECT * FROM ({_BODIES['r1_snapshot_status']})) s ON s.module = m.module AND s.status = 'ok'"

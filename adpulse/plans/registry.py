@@ -441,6 +441,18 @@ def _r1(spark, sf):
     return snapshot_status(b, b.params)
 
 
+@register("r1_snapshot_header")
+def _r1h(spark, sf):
+    from adpulse.plans.snapshot import snapshot_header
+    return snapshot_header(_b(spark, sf))
+
+
+@register("r1_snapshot_modules")
+def _r1m(spark, sf):
+    from adpulse.plans.snapshot import snapshot_modules
+    return snapshot_modules(_b(spark, sf))
+
+
 @register("r2_replay_series")
 def _r2(spark, sf):
     from adpulse.plans.snapshot import replay_series

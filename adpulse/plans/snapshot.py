@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adpulse.functions.kpis import dbl, safe_div
+from adpulse.functions.kpis import dbl, month_ordinal, safe_div
 from adpulse.params import DEFAULTS, AnalysisParams
 
 DAYS_PER_TICK = 7
@@ -119,71 +119,131 @@ def replay_repeat_customers(bundle) -> DataFrame:
                                                     F.lit(0.0)))
 
 
-def snapshot_status(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
-    """One row per module with status ok / unavailable /
-    insufficient_data and the reason, decided from counts rather than from
-    failures inside plans. Each table contributes one one-row aggregation
-    (collected: a bounded result); the status rows are built from them."""
+def _gates(bundle, params: AnalysisParams) -> dict[str, Column]:
+    """What decides whether a module can run, as scalar subqueries: rows per table, complete months,
+    purchasing customers, cohorts of sufficient size, clicks per variant; 0 for an absent table."""
     from adpulse.operators.customers import cohort_activity, cohort_counts
+    names = ("campaigns", "months", "customers", "transactions", "rfm_n", "cohorts", "ab_test", "clicks_a", "clicks_b")
+    g = dict.fromkeys(names, F.lit(0).cast("bigint"))
     present = {n for n, df in bundle.raw.items() if df is not None}
-    g = {"campaigns": 0, "customers": 0, "transactions": 0, "ab_test": 0,
-         "months": 0, "rfm_n": 0, "cohorts": 0, "clicks_a": 0, "clicks_b": 0}
+
+    def fill(df: DataFrame, **aggregates: Column) -> None:
+        row = df.agg(F.struct(*[c.cast("bigint").alias(n) for n, c in aggregates.items()]).alias("r")).scalar()
+        g.update((n, F.coalesce(row[n], F.lit(0))) for n in aggregates)
+
     if "campaigns" in present:
-        r = bundle.campaigns.agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("lo"),
-                                 F.max("date").alias("hi")).first()
-        g["campaigns"] = r["n"]
-        if r["n"]:
-            # complete months of the zero-filled series (trailing partial month dropped)
-            import calendar
-            lo, hi = r["lo"], r["hi"]
-            end_y, end_m = hi.year, hi.month
-            if params.drop_partial_trailing_month and hi.day < calendar.monthrange(hi.year, hi.month)[1]:
-                end_y, end_m = (end_y, end_m - 1) if end_m > 1 else (end_y - 1, 12)
-            g["months"] = max(0, (end_y * 12 + end_m) - (lo.year * 12 + lo.month) + 1)
+        last = F.max("date")
+        end = F.trunc(last, "MM")
+        if params.drop_partial_trailing_month:
+            end = F.when(last < F.last_day(last), F.add_months(end, -1)).otherwise(end)
+        fill(bundle.campaigns, campaigns=F.count(F.lit(1)),
+             months=F.greatest(month_ordinal(end) - month_ordinal(F.min("date")) + 1, F.lit(0)))
     if "customers" in present:
-        g["customers"] = bundle.customers.count()
+        fill(bundle.customers, customers=F.count(F.lit(1)))
     if "transactions" in present:
-        r = bundle.transactions.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.countDistinct(F.when(~F.col("refund_flag"), F.col("customer_id"))).alias("rfm_n")).first()
-        g["transactions"], g["rfm_n"] = r["n"], r["rfm_n"]
-    if {"customers", "transactions"} <= present and g["customers"] and g["transactions"]:
-        counts = cohort_counts(cohort_activity(bundle.transactions, bundle.customers, params),
-                               bundle.customers, params)
-        g["cohorts"] = counts.limit(1).count()
+        fill(bundle.transactions, transactions=F.count(F.lit(1)),
+             rfm_n=F.countDistinct(F.when(~F.col("refund_flag"), F.col("customer_id"))))
+    if {"customers", "transactions"} <= present:
+        fill(cohort_counts(cohort_activity(bundle.transactions, bundle.customers, params), bundle.customers, params),
+             cohorts=F.countDistinct("cohort"))
     if "ab_test" in present:
-        v = F.col("variant")
-        r = bundle.ab_test.agg(F.count(F.lit(1)).alias("n"),
-                               F.sum(F.when(v == "A", F.col("clicks"))).alias("a"),
-                               F.sum(F.when(v == "B", F.col("clicks"))).alias("b")).first()
-        g["ab_test"], g["clicks_a"], g["clicks_b"] = r["n"], r["a"] or 0, r["b"] or 0
+        clicks = lambda v: F.sum(F.when(F.col("variant") == v, F.col("clicks")))
+        fill(bundle.ab_test, ab_test=F.count(F.lit(1)), clicks_a=clicks("A"), clicks_b=clicks("B"))
+    return g
 
+
+def snapshot_status(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
+    """One row per module with status ok / unavailable /
+    insufficient_data and the reason, decided from counts rather than from
+    failures inside plans. One lazy plan: the counts are scalar subqueries."""
+    spark = next(df for df in bundle.raw.values() if df is not None).sparkSession
+    names = _gates(bundle, params)
+    gates = spark.range(1).select(*[c.alias(n) for n, c in names.items()])
+    g = {n: F.col(n) for n in names}
+    need = params.holdout_months + 3
+    few_buyers = g["rfm_n"] < params.min_rfm_customers
     mods = [
-        ("marketing", ("campaigns",), g["months"] < 1, "seasonality needs at least 1 complete month"),
-        ("customers", ("customers", "transactions"),
-         g["rfm_n"] < params.min_rfm_customers or g["cohorts"] < 1,
-         (f"rfm needs {params.min_rfm_customers} purchasing customers; has {g['rfm_n']}"
-          if g["rfm_n"] < params.min_rfm_customers
-          else f"cohorts need a cohort of at least {params.cohort_min_size} customers")),
-        ("finance", ("campaigns", "customers", "transactions"), g["customers"] < 1,
-         "kpis needs at least 1 customer"),
-        ("experiments", ("ab_test",), g["clicks_a"] <= 0 or g["clicks_b"] <= 0,
-         "ab_test needs clicks in both variants A and B"),
-        ("forecast", ("campaigns",), g["months"] < params.holdout_months + 3,
-         f"forecast needs {params.holdout_months + 3} months; has {g['months']}"),
+        ("marketing", ("campaigns",), g["months"] < 1, F.lit("seasonality needs at least 1 complete month")),
+        ("customers", ("customers", "transactions"), few_buyers | (g["cohorts"] < 1),
+         F.when(few_buyers, F.concat(F.lit(f"rfm needs {params.min_rfm_customers} purchasing customers; has "), g["rfm_n"].cast("string")))
+         .otherwise(F.lit(f"cohorts need a cohort of at least {params.cohort_min_size} customers"))),
+        ("finance", ("campaigns", "customers", "transactions"), g["customers"] < 1, F.lit("kpis needs at least 1 customer")),
+        ("experiments", ("ab_test",), (g["clicks_a"] <= 0) | (g["clicks_b"] <= 0),
+         F.lit("ab_test needs clicks in both variants A and B")),
+        ("forecast", ("campaigns",), g["months"] < need,
+         F.concat(F.lit(f"forecast needs {need} months; has "), g["months"].cast("string"))),
     ]
     rows = []
-    for i, (m, tables, insufficient, why) in enumerate(mods):
-        avail = all(t in present and g[t] > 0 for t in tables)
-        if not avail:
-            status, reason = "unavailable", f"{m} requires {', '.join(tables)}"
-        elif insufficient:
-            status, reason = "insufficient_data", why
-        else:
-            status, reason = "ok", None
-        rows.append((i + 1, m, status, reason))
-    spark = bundle.raw[next(iter(present))].sparkSession
-    return spark.createDataFrame(rows, "module_order bigint, module string, status string, reason string")
+    for i, (m, tables, insufficient, why) in enumerate(mods, 1):
+        missing = F.lit(False)
+        for t in tables:
+            missing = missing | (g[t] <= 0)
+        rows.append(F.struct(
+            F.lit(i).cast("bigint").alias("module_order"), F.lit(m).alias("module"),
+            F.when(missing, "unavailable").when(insufficient, "insufficient_data").otherwise("ok").alias("status"),
+            F.when(missing, F.lit(f"{m} requires {', '.join(tables)}")).when(insufficient, why).alias("reason")))
+    return gates.select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+
+
+def snapshot_header(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
+    """The snapshot's own row: cursor, parameters' fingerprint, history, raw and clean rows per
+    table, and what the data allow."""
+    from adpulse.operators.coverage import capabilities, max_date, months_of_history
+    counts = bundle.audit.rows
+    wide = counts.agg(*[F.max(F.when(F.col("table_name") == t, F.col(c))).alias(f"{t}_{c}")
+                        for t in bundle.tables for c in ("rows_before", "rows_after")])
+    last = max_date(bundle.tables)
+    months = months_of_history(bundle.tables)
+    can = capabilities(bundle.tables, params)
+    return wide.select(
+        (F.lit(bundle.cursor) if bundle.cursor else last.select(F.max(last.columns[0])).scalar()).alias("as_of"),
+        F.lit(params.fingerprint()).alias("params_hash"),
+        months.select(F.max(months.columns[0])).scalar().cast("bigint").alias("months_of_history"), *wide.columns,
+        *[can.select(F.max(c)).scalar().alias(f"can_{c}") for c in can.columns])
+
+
+def _melted(df: DataFrame, module: str, output: str, keys: tuple[str, ...]) -> DataFrame:
+    """A module's table as one row per key and number."""
+    numeric = [f.name for f in df.schema.fields if f.name not in keys and f.dataType.typeName() in (
+        "integer", "long", "double", "float", "decimal")]
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), dbl(c).alias("value")) for c in numeric])
+    return df.select(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"), F.explode(pairs).alias("p")).select(
+        F.lit(module).alias("module"), F.lit(output).alias("output"), "key", "p.metric", "p.value")
+
+
+def snapshot_modules(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
+    """The numbers of every module that can run, one row per (module, output, key, metric), with
+    the closed-form forecast methods."""
+    from adpulse.operators import customers as cu
+    from adpulse.operators import finance as fi
+    from adpulse.operators import marketing as mk
+    from adpulse.operators.experiments import ab_test
+    from adpulse.operators.forecast import monthly_series, select_and_forecast, trend_diagnostics
+    c, cs, t = bundle.campaigns, bundle.customers, bundle.transactions
+    parts = []
+    if c is not None:
+        series = monthly_series(c, params)
+        closed = params.replace(forecast_methods=("moving_average", "linear_trend"))
+        parts += [_melted(mk.groupby_kpis(c, "channel"), "marketing", "by_channel", ("channel",)),
+                  _melted(mk.seasonality(c, params), "marketing", "seasonality", ()),
+                  _melted(select_and_forecast(series, closed), "forecast", "months", ("method", "step")),
+                  _melted(trend_diagnostics(series, with_p_value=False), "forecast", "trend", ())]
+    if cs is not None and t is not None:
+        counts = cu.cohort_counts(cu.cohort_activity(t, cs, params), cs, params, rounded=False)
+        parts += [_melted(cu.segment_summary(cu.rfm_table(t, None, params, check=False)), "customers", "segments", ("segment",)),
+                  _melted(cu.cohort_means(counts), "customers", "cohort_means", ()),
+                  _melted(cu.value_by_plan(t, cs, params), "customers", "value_by_plan", ("subscription_plan",))]
+    if c is not None and cs is not None and t is not None:
+        profit = fi.customers_with_profit(cs, t, params)
+        parts += [_melted(fi.headline_kpis(c, cs, t, params).drop("kpi_order"), "finance", "kpis", ("kpi",)),
+                  _melted(fi.profitability(c, cs, profit), "finance", "profitability", ("channel",))]
+    if bundle.ab_test is not None:
+        parts.append(_melted(ab_test(bundle.ab_test, params, with_p_values=False), "experiments", "ab_test", ("experiment",)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    # five rows
+    return out.join(F.broadcast(snapshot_status(bundle, params).where("status = 'ok'").select("module", "status")), "module")
 
 
 def materialize(bundle, level=None):
