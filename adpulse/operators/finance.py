@@ -253,6 +253,28 @@ def top_channels(profit_table: DataFrame) -> DataFrame:
     ).withColumn("rankings_disagree", F.col("top_by_revenue") != F.col("top_by_profit"))
 
 
+def report_reallocation(profit_table: DataFrame, params: AnalysisParams = DEFAULTS) -> DataFrame:
+    """the printed report's reallocation. Unlike F5 it always takes the configured
+    channels, however few, and its ROI is the zero-filled net profit over spend, so a
+    channel missing on one side has ROI 0. One row; empty without such channels."""
+    el = profit_table.filter(F.col("channel").isin(list(params.elastic_paid_channels))).withColumn(
+        "roi", safe_div("net_profit", "marketing_spend"))
+    everyone = Window.partitionBy(F.lit(1))  # the configured channels
+    order = Window.orderBy(F.col("roi").desc_nulls_last(), "channel")
+    el = el.withColumn("pos", F.row_number().over(order)).withColumn("n", F.count(F.lit(1)).over(everyone))
+    top, bottom = F.col("pos") <= params.n_recipients, F.col("pos") > F.col("n") - params.n_donors
+    moved = F.when(bottom, F.col("marketing_spend") * F.lit(params.shift_pct))
+    el = (el.withColumn("shift", F.sum(moved).over(everyone))
+          .withColumn("share", F.try_divide(F.col("roi"), F.sum(F.when(top, F.col("roi"))).over(everyone)) * F.col("shift")))
+    roas_ = safe_div("campaign_revenue", "marketing_spend")
+    names = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(c, F.struct("pos", "channel")))),
+                                               lambda s: s["channel"]), ", ")
+    gain = lambda rate: F.sum(F.when(top, F.col("share") * rate)) - F.sum(moved * rate)
+    return el.agg(round6(F.max("shift")).alias("shift_amount"), names(bottom).alias("from_channels"),
+                  names(top).alias("to_channels"), round6(gain(F.col("roi"))).alias("net_profit_change"),
+                  round6(gain(roas_)).alias("net_revenue_change")).filter(F.col("shift_amount").isNotNull())
+
+
 def build(bundle) -> dict:
     """F8: the finance view, sharing one persisted customer-profit join."""
     p = bundle.params

@@ -390,6 +390,21 @@ SELECT (SELECT channel FROM pt ORDER BY campaign_revenue DESC, channel DESC LIMI
        (SELECT channel FROM pt ORDER BY campaign_revenue DESC, channel DESC LIMIT 1)
          <> (SELECT channel FROM pt ORDER BY net_profit DESC, channel DESC LIMIT 1) AS rankings_disagree"""
 
+_BODIES["f9_report_reallocation"] = _FIN + """,
+el AS (
+  SELECT *, net_profit / NULLIF(marketing_spend, 0) AS roi, campaign_revenue / NULLIF(marketing_spend, 0) AS roas FROM pt
+  WHERE channel IN ('Google Ads', 'Facebook', 'Instagram', 'Affiliate', 'TikTok')),
+pos AS (SELECT *, ROW_NUMBER() OVER (ORDER BY roi DESC NULLS LAST, channel) AS p, COUNT(*) OVER () AS n FROM el),
+tot AS (SELECT SUM(marketing_spend * 0.15) FILTER (WHERE p > n - 2) AS shift, SUM(roi) FILTER (WHERE p <= 2) AS roi FROM pos)
+SELECT ROUND((SELECT shift FROM tot), 6) AS shift_amount,
+       string_agg(channel, ', ' ORDER BY p) FILTER (WHERE p > n - 2) AS from_channels,
+       string_agg(channel, ', ' ORDER BY p) FILTER (WHERE p <= 2) AS to_channels,
+       ROUND(SUM(roi / (SELECT roi FROM tot) * (SELECT shift FROM tot) * roi) FILTER (WHERE p <= 2)
+             - SUM(marketing_spend * 0.15 * roi) FILTER (WHERE p > n - 2), 6) AS net_profit_change,
+       ROUND(SUM(roi / (SELECT roi FROM tot) * (SELECT shift FROM tot) * roas) FILTER (WHERE p <= 2)
+             - SUM(marketing_spend * 0.15 * roas) FILTER (WHERE p > n - 2), 6) AS net_revenue_change
+FROM pos HAVING COUNT(*) > 0"""
+
 _REALLOC = _FIN + """,
 conf AS (SELECT COUNT(*) AS n FROM pt WHERE channel IN ('Google Ads', 'Facebook', 'Instagram', 'Affiliate', 'TikTok')),
 el AS (

@@ -253,6 +253,12 @@ def _f9(spark, sf):
     return fi.top_channels(fi.profit_table(b.campaigns, b.customers, cp))
 
 
+@register("f9_report_reallocation")
+def _f9r(spark, sf):
+    b, cp = _finance(spark, sf)
+    return fi.report_reallocation(fi.profit_table(b.campaigns, b.customers, cp), b.params)
+
+
 @register("f10_net_profit_inner")
 def _f10(spark, sf):
     b, cp = _finance(spark, sf)
