@@ -65,18 +65,8 @@ def release_memory() -> None:
         trim(0)
 
 
-def released(function):
-    """``function`` of one group, after which the worker's free memory is given back."""
-    def run(rows):
-        try:
-            return function(rows)
-        finally:
-            release_memory()
-    return run
-
-
 def released_pair(function):
-    """The same for a function of two groups."""
+    """``function`` of two groups, after which the worker's free memory is given back."""
     def run(left, right):
         try:
             return function(left, right)

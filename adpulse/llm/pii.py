@@ -443,25 +443,28 @@ def find_pii(docs: DataFrame, model: dict | None = None, text_col: str = "text")
     return found.select(*columns, F.col("_pii.base").alias("base_spans"), F.col("_pii.all").alias("spans"))
 
 
+def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
+    """The text with every span replaced by ``<KIND>``; overlapping spans by the first one's kind."""
+    kept, at = [], 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if start >= at:
+            kept += [text[at:start], f"<{kind.upper()}>"]
+        at = max(at, end)
+    return "".join([*kept, text[at:]])
+
+
 def mask(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by ``<KIND>``; overlapping spans by the first one's kind."""
+    """``docs`` with every span replaced (see ``masked``). One function finds and replaces: two in a row
+    would keep two Python workers for each running task."""
+    model = fit(docs, text_col)
+
     @F.pandas_udf(T.StringType())
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for text, found in zip(texts, spans):
-            if text is None or found is None or not len(found):
-                out.append(text)
-                continue
-            kept, at = [], 0
-            for s in sorted(found, key=lambda s: (s["start"], -s["end"])):
-                if s["start"] >= at:
-                    kept += [text[at:s["start"]], f"<{s['kind'].upper()}>"]
-                at = max(at, s["end"])
-            out.append("".join([*kept, text[at:]]))
-        return pd.Series(out)
-
-    found = find_pii(docs, text_col=text_col)
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, cut(text_col, "spans")).otherwise(F.col(text_col)))
+    def cut(texts: pd.Series) -> pd.Series:
+        found = all_spans(model, ["" if t is None else t for t in texts])
+        return pd.Series([None if t is None else masked(t, spans) for t, (_, spans) in zip(texts, found)], dtype=object)
+
+    marked = F.when(F.col(text_col).rlike("[0-9@]"), F.col(text_col))
+    return docs.withColumn(text_col, F.coalesce(cut(marked), F.col(text_col)))
 
 
 def span_list(spans: Column) -> Column:
