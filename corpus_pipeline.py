@@ -25,6 +25,11 @@ from adpulse.llm.substring_dedup import remove_repeats
 from adpulse.session import ship_package
 
 
+#: Text of a block of the substring removal: half of the operator's own, since the workers of the other
+#: stages are still there.
+BLOCK_BYTES = 4 << 20
+
+
 def _with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
     """The documents' columns with another text and its length."""
     out = docs.withColumn("text", text)
@@ -73,14 +78,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Every document without the 50-byte strings that start in one with a smaller id."""
     ship_package(spark)
     aside, own = _aside(docs, ("spans", "n_bytes", "kept_bytes"))
-    return _with_new_text(remove_repeats(aside, whole_chars=True), F.col("kept_bytes").cast("string"), own, docs.columns)
+    return _with_new_text(remove_repeats(aside, whole_chars=True, block_bytes=BLOCK_BYTES), F.col("kept_bytes").cast("string"), own, docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced by its kind."""
     ship_package(spark)
-    aside, own = _aside(docs, ("spans", "base_spans"))
-    return _with_new_text(mask(spark, aside), F.col("text"), own, docs.columns)
+    return _with_text(mask(spark, docs), F.col("text"), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
