@@ -192,14 +192,24 @@ def replay_cohorts(bundle) -> DataFrame:
     """Active customers and retention per (tick, cohort, month), as of every cursor. A customer
     counts in a month from the first tick that sees both a purchase of that month and the customer."""
     p = bundle.params
-    start, end, total = replay_bounds(_daily(bundle))
     spark = bundle.transactions.sparkSession
-    customers = bundle.customers.filter(F.col("acquisition_date").isNotNull()).select(
+    ensure_checkpoint_dir(spark)
+    # one pass over the transactions, kept as a row per customer and month: for the cursors their first and
+    # last day, and the first purchase
+    day = F.col("transaction_date")
+    bought = F.lit(True) if p.include_refunds_in_cohorts else ~F.col("refund_flag")
+    active = (bundle.transactions.groupBy("customer_id", month_ordinal(day).alias("activity_month"))
+              .agg(F.min(day).alias("lo"), F.max(day).alias("hi"), F.min(F.when(bought, day)).alias("first")).checkpoint())
+    joined = bundle.customers.select("customer_id", "acquisition_date").checkpoint()
+    dates = {"campaigns": bundle.campaigns.select("date"), "customers": joined.select(F.col("acquisition_date").alias("date")),
+             "transactions": active.select(F.explode(F.array("lo", "hi")).alias("date"))}
+    if bundle.raw.get("ab_test") is not None:
+        dates["ab_test"] = bundle.ab_test.select("date")
+    start, end, total = replay_bounds(dates)
+    customers = joined.filter(F.col("acquisition_date").isNotNull()).select(
         "customer_id", month_ordinal("acquisition_date").alias("cohort_month"),
         _tick_of(F.col("acquisition_date"), start, total).alias("known"))
-    first = (purchases(bundle.transactions, p.include_refunds_in_cohorts).filter(F.col("customer_id").isNotNull())
-             .groupBy("customer_id", month_ordinal("transaction_date").alias("activity_month"))
-             .agg(F.min("transaction_date").alias("first")))
+    first = active.filter(F.col("customer_id").isNotNull() & F.col("first").isNotNull()).select("customer_id", "activity_month", "first")
     months = F.col("activity_month") - F.col("cohort_month")
     seen = (first.join(customers, "customer_id").where(months.between(0, p.cohort_max_months))
             .groupBy("cohort_month", months.alias("k"),

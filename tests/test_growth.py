@@ -1,7 +1,11 @@
 """The steps that grow with the tables: partitions follow the rows, passes are shared."""
 
+import random
+
+from adpulse.plans import replay as R
 from adpulse.sources import fixtures as X
 from adpulse.sources.bundle import load_bundle
+from tests.test_replay import make_bundle
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,3 +28,9 @@ def test_quarantine_holds_every_removed_copy_and_bad_rows_beside_them(spark):
     raw = X.campaigns(spark, SF).limit(3).withColumn("spend", (-X.F.abs("spend") - 1).cast("decimal(28,4)")).localCheckpoint()
     got = audit({"campaigns": raw.union(raw).union(raw)}).quarantine.groupBy("rule_key").count().collect()
     assert {x[0]: x[1] for x in got} == {"duplicate_rows": 6, "negative_spend": 3}
+
+
+def test_cohorts_read_the_transactions_once(spark):
+    bundle, *_ = make_bundle(spark, random.Random(6), customers=320)
+    plan = R.replay_cohorts(bundle)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transaction_date" not in plan and "refund_flag" not in plan
