@@ -188,18 +188,15 @@ def snapshot_status(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
 def snapshot_header(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
     """The snapshot's own row: cursor, parameters' fingerprint, history, raw and clean rows per
     table, and what the data allow."""
-    from adpulse.operators.coverage import capabilities, max_date, months_of_history
+    from adpulse.operators.coverage import coverage
     counts = bundle.audit.rows
     wide = counts.agg(*[F.max(F.when(F.col("table_name") == t, F.col(c))).alias(f"{t}_{c}")
                         for t in bundle.tables for c in ("rows_before", "rows_after")])
-    last = max_date(bundle.tables)
-    months = months_of_history(bundle.tables)
-    can = capabilities(bundle.tables, params)
-    return wide.select(
-        (F.lit(bundle.cursor) if bundle.cursor else last.select(F.max(last.columns[0])).scalar()).alias("as_of"),
-        F.lit(params.fingerprint()).alias("params_hash"),
-        months.select(F.max(months.columns[0])).scalar().cast("bigint").alias("months_of_history"), *wide.columns,
-        *[can.select(F.max(c)).scalar().alias(f"can_{c}") for c in can.columns])
+    what = coverage(bundle.tables, params)
+    can = [c for c in what.columns if c.startswith("can_")]
+    return wide.crossJoin(what).select(  # a row each
+        (F.lit(bundle.cursor) if bundle.cursor else F.col("max_date")).alias("as_of"),
+        F.lit(params.fingerprint()).alias("params_hash"), "months_of_history", *wide.columns, *can)
 
 
 def _melted(df: DataFrame, module: str, output: str, keys: tuple[str, ...]) -> DataFrame:

@@ -34,3 +34,9 @@ def test_cohorts_read_the_transactions_once(spark):
     bundle, *_ = make_bundle(spark, random.Random(6), customers=320)
     plan = R.replay_cohorts(bundle)._jdf.queryExecution().optimizedPlan().toString()
     assert "transaction_date" not in plan and "refund_flag" not in plan
+
+
+def test_header_takes_every_span_from_one_pass(spark):
+    from adpulse.plans.snapshot import snapshot_header
+    plan = snapshot_header(load_bundle(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in plan
