@@ -11,12 +11,16 @@ cursor.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from adpulse.functions.kpis import dbl, month_ordinal, safe_div
 from adpulse.params import DEFAULTS, AnalysisParams
+from adpulse.session import ensure_checkpoint_dir
+from adpulse.sources.io import SavedBundle
 
 DAYS_PER_TICK = 7
 
@@ -208,6 +212,26 @@ def _melted(df: DataFrame, module: str, output: str, keys: tuple[str, ...]) -> D
         F.lit(module).alias("module"), F.lit(output).alias("output"), "key", "p.metric", "p.value")
 
 
+#: The columns that the modules of ``snapshot_modules`` read.
+MODULE_COLUMNS = {
+    "campaigns": ("channel", "date", "spend", "impressions", "clicks", "conversions", "revenue"),
+    "customers": ("customer_id", "acquisition_channel", "acquisition_date", "subscription_plan"),
+    "transactions": ("transaction_id", "customer_id", "transaction_date", "amount", "profit", "refund_flag"),
+    "ab_test": ("variant", "date", "impressions", "clicks", "conversions", "revenue", "spend"),
+}
+
+
+def stored(bundle, columns: dict) -> SavedBundle:
+    """The bundle over columns of its clean tables, written once to the shared folder, so that modules
+    don't derive and clean the tables again and again."""
+    folder = f"{ensure_checkpoint_dir(bundle.spark).rstrip('/')}/clean-{uuid.uuid4().hex}"
+    tables = {n: df.select(*columns[n]) for n, df in bundle.tables.items()}
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+    return SavedBundle(raw={n: bundle.spark.read.schema(df.schema).parquet(f"{folder}/{n}") for n, df in tables.items()},
+                       params=bundle.params)
+
+
 def snapshot_modules(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
     """The numbers of every module that can run, one row per (module, output, key, metric), with
     the closed-form forecast methods."""
@@ -216,6 +240,7 @@ def snapshot_modules(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
     from adpulse.operators import marketing as mk
     from adpulse.operators.experiments import ab_test
     from adpulse.operators.forecast import monthly_series, select_and_forecast, trend_diagnostics
+    bundle = stored(bundle, MODULE_COLUMNS)
     c, cs, t = bundle.campaigns, bundle.customers, bundle.transactions
     parts = []
     if c is not None:

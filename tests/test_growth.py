@@ -40,3 +40,9 @@ def test_header_takes_every_span_from_one_pass(spark):
     from adpulse.plans.snapshot import snapshot_header
     plan = snapshot_header(load_bundle(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" not in plan
+
+
+def test_modules_read_stored_columns_of_the_clean_tables(spark):
+    from adpulse.plans.snapshot import snapshot_modules
+    plan = snapshot_modules(load_bundle(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "l_suppkey" not in plan and "c_custkey" not in plan
