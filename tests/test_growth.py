@@ -46,3 +46,11 @@ def test_modules_read_stored_columns_of_the_clean_tables(spark):
     from adpulse.plans.snapshot import snapshot_modules
     plan = snapshot_modules(load_bundle(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan and "l_suppkey" not in plan and "c_custkey" not in plan
+
+
+def test_streams_of_one_batch_go_through_their_state_twice(spark, monkeypatch, tmp_path):
+    from adpulse.streaming import jobs as J
+    monkeypatch.setattr(J, "_workdir", lambda spark, name: f"{tmp_path}/{name}")
+    for job, query in (("dedup", J.stream_dedup), ("channel_kpis", J.stream_channel_kpis), ("weekly_revenue", J.stream_weekly_revenue)):
+        query(spark, SF)
+        assert len([f for f in (tmp_path / job / "ckpt" / "commits").iterdir() if f.name.isdigit()]) == 2
