@@ -197,10 +197,11 @@ def snapshot_header(bundle, params: AnalysisParams = DEFAULTS) -> DataFrame:
     wide = counts.agg(*[F.max(F.when(F.col("table_name") == t, F.col(c))).alias(f"{t}_{c}")
                         for t in bundle.tables for c in ("rows_before", "rows_after")])
     what = coverage(bundle.tables, params)
-    can = [c for c in what.columns if c.startswith("can_")]
-    return wide.crossJoin(what).select(  # a row each
-        (F.lit(bundle.cursor) if bundle.cursor else F.col("max_date")).alias("as_of"),
-        F.lit(params.fingerprint()).alias("params_hash"), "months_of_history", *wide.columns, *can)
+    known = what.select(F.struct(*what.columns)).scalar()  # one row, one subquery
+    return wide.withColumn("known", known).select(
+        (F.lit(bundle.cursor) if bundle.cursor else F.col("known.max_date")).alias("as_of"),
+        F.lit(params.fingerprint()).alias("params_hash"), "known.months_of_history", *wide.columns,
+        *[f"known.{c}" for c in what.columns if c.startswith("can_")])
 
 
 def _melted(df: DataFrame, module: str, output: str, keys: tuple[str, ...]) -> DataFrame:
