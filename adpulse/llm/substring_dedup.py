@@ -52,28 +52,47 @@ PACKET = 256
 HOT_BLOCKS = 4096
 #: Strings in one stretch at most, in lengths of a string.
 MOST = 4
-#: Bytes hashed at a time, and bytes of one suffix array.
-PIECE = 1 << 20
+#: Bytes hashed at a time, few enough for a processor's cache, and bytes of one suffix array.
+PIECE = 1 << 16
 SA_BYTES = 4 << 20
+#: Ranges of the minimizer's place in a string, by which stretches without a common string are told.
+PARTS = 4
 NO_ID = np.iinfo(np.int64).max
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                   0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
-def _window_hash(data: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of every window of ``size`` (8 or more) bytes."""
-    n = len(data) - size + 1
-    words = np.lib.stride_tricks.as_strided(data[:n + size - 8].view(np.uint8), (n + size - 8, 8), (1, 1))
-    words = np.ascontiguousarray(words).view("<u8").ravel().astype(np.uint64, copy=False)
-    out = np.full(n, size, dtype=np.uint64)
-    for i, at in enumerate([*range(0, size - 8, 8), size - 8]):
-        out ^= words[at:at + n] * _MULT[i % 4]
+def _hash(words: list[np.ndarray], size: int) -> np.ndarray:
+    """A 64-bit hash of strings of ``size`` bytes, given as words of 8 at :func:`_word_places`."""
+    out = np.full(len(words[0]), size, dtype=np.uint64)
+    for i, word in enumerate(words):
+        out ^= word * _MULT[i % 4]
         out ^= out >> np.uint64(29)
         out *= _MULT[4]
     out ^= out >> np.uint64(32)
     return out
 
 
+def _word_places(size: int) -> list[int]:
+    return [*range(0, size - 8, 8), size - 8]
+
+
+def _window_hash(data: np.ndarray, size: int) -> np.ndarray:
+    """The hash of every window of ``size`` (8 or more) bytes."""
+    n = len(data) - size + 1
+    words = data
+    for kind in (np.uint16, np.uint32, np.uint64):  # little-endian words of 2, 4 and 8 bytes
+        width = words.itemsize
+        words = words[:-width].astype(kind) | words[width:].astype(kind) << kind(8 * width)
+    return _hash([words[at:at + n] for at in _word_places(size)], size)
+
+
+def _hash_at(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The same for the windows that start at the places ``at`` alone."""
+    each = np.arange(8)
+    return _hash([data[(at + j)[:, None] + each].view("<u8").ravel() for j in _word_places(size)], size)
+
+
 def _minimizers(data: np.ndarray, length: int, gram: int) -> np.ndarray:
     """For each place of a string of ``length`` bytes, the least hash of its grams, mixed again."""
     h = _window_hash(data, gram)
@@ -86,40 +105,55 @@ def _minimizers(data: np.ndarray, length: int, gram: int) -> np.ndarray:
     return h * _MULT[0]
 
 
-def stretches(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimizer, start, strings) of each stretch of one text, hashed in pieces."""
-    places = len(text) - length + 1
+def stretches(data: np.ndarray, base: np.ndarray, length: int,
+              gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(minimizer, text, start in it, strings) of each stretch of the texts that lie end to end
+    in ``data``, text ``i`` from ``base[i]`` to ``base[i + 1]``, hashed in pieces."""
+    places = len(data) - length + 1
     if places <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    data = np.frombuffer(text, np.uint8)
-    ms, starts = [], []
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+    # a stretch ends where a text's last string starts; what follows crosses into the next text
+    cuts = np.union1d(base, np.maximum(base[1:] - length + 1, base[:-1]))
+    ms, starts, before = [], [], None
     for at in range(0, places, PIECE):
         m = _minimizers(data[at:min(len(data), at + PIECE + length - 1)], length, gram)
-        new = np.flatnonzero(np.append(True, m[1:] != m[:-1]))
+        new = np.append(before is None or m[0] != before, m[1:] != m[:-1])
+        before = m[-1]
+        x, y = np.searchsorted(cuts, (at, at + len(m)))
+        new[cuts[x:y] - at] = True
+        new = np.flatnonzero(new)
         ms.append(m[new])
         starts.append(new + at)
     m, start = np.concatenate(ms), np.concatenate(starts)
     strings = np.diff(np.append(start, places))
+    doc = np.searchsorted(base, start, side="right") - 1
+    whole = start + length <= base[doc + 1]
+    m, doc, start, strings = m[whole], doc[whole], start[whole], strings[whole]
     # text of a short period has one minimizer throughout: cut it up
     parts = -(-strings // (MOST * length))
     step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    start = np.repeat(start, parts) + step * (MOST * length)
-    return np.repeat(m, parts), start, np.diff(np.append(start, places))
+    most = MOST * length
+    strings = np.minimum(np.repeat(strings, parts) - step * most, most)
+    doc = np.repeat(doc, parts)
+    return np.repeat(m, parts), doc, np.repeat(start, parts) + step * most - base[doc], strings
 
 
 class _Block:
     """The stretches of a block's documents, and its distinct minimizers in order."""
 
     def __init__(self, texts: list[bytes], ids: np.ndarray, length: int, gram: int):
-        parts = [stretches(t, length, gram) for t in texts]
-        self.doc = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-        self.m, self.start, self.strings = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        order = np.lexsort((ids[self.doc], self.m))
+        self.base = np.cumsum([0, *map(len, texts)])
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.m, self.doc, self.start, self.strings = stretches(self.data, self.base, length, gram)
+        order = np.argsort(self.m)
         m, who = self.m[order], ids[self.doc[order]]
-        first = np.flatnonzero(np.append(len(m) > 0, m[1:] != m[:-1])) if len(m) else np.zeros(0, np.int64)
-        last = np.append(first[1:], len(m)) - 1 if len(m) else first
+        new = np.append(True, m[1:] != m[:-1])[:len(m)]
+        first = np.flatnonzero(new)
         self.unique = m[first]
-        self.many = who[first] != who[last]
+        #: Each stretch's place among the distinct minimizers.
+        self.inverse = np.empty(len(m), np.int64)
+        self.inverse[order] = np.cumsum(new) - 1
+        self.many = (np.minimum.reduceat(who, first) != np.maximum.reduceat(who, first)) if len(first) else np.zeros(0, bool)
 
 
 def _shard_of(m: np.ndarray, bits: int) -> np.ndarray:
@@ -236,11 +270,10 @@ def _send(length: int, gram: int, bits: int):
         number = np.unique(docs["_sd_rid"].to_numpy(np.int64), return_inverse=True)[1]
         b = _Block(texts, ids, length, gram)
         state = np.frombuffer(b"".join(answers.sort_values("shard")["state"]), np.uint8)
-        state = state[np.searchsorted(b.unique, b.m)] if len(b.m) else state[:0]
+        state = state[b.inverse] if len(b.m) else state[:0]
         keep = state > 0
         m, doc, start, strings, hot = b.m[keep], b.doc[keep], b.start[keep], b.strings[keep], state[keep] > 1
-        base = np.cumsum([0, *map(len, texts)])
-        data = np.frombuffer(b"".join(texts), np.uint8)
+        base, data = b.base, b.data
         gone, same = [], []  # places of removed strings; occurrences and those they follow
 
         def merged(m, doc, start, strings):
@@ -283,12 +316,48 @@ def _send(length: int, gram: int, bits: int):
     return run
 
 
+def _may_share(m: np.ndarray, begin: np.ndarray, size: np.ndarray, data: np.ndarray, length: int,
+               gram: int) -> np.ndarray:
+    """Which of the given stretches may hold a string that another of their minimizer holds.
+
+    Such a string holds the minimizer's gram, at one place in both, with a number of bytes to
+    its left that lies in one of ``PARTS`` ranges; so both have the gram with the bytes that
+    all strings of that range have around it. A gram that isn't found (strings of a hot
+    minimizer, or a hash met by chance) says nothing, and the stretch may share.
+    """
+    room = length - gram
+    base = np.cumsum(size) - size
+    cat, sought = _gather(data, begin, size), np.repeat(m, size)
+    at = np.concatenate([
+        x + np.flatnonzero((h := _window_hash(cat[x:x + PIECE + gram - 1], gram) * _MULT[0]) == sought[x:x + len(h)])
+        for x in range(0, len(cat) - gram + 1, PIECE)])
+    owner = np.searchsorted(base, at, side="right") - 1
+    inside = at + gram <= base[owner] + size[owner]
+    at, owner = at[inside], owner[inside]
+    out = np.ones(len(m), dtype=bool)
+    out[owner] = False
+    parts = min(PARTS, room + 1)
+    cuts = np.arange(parts + 1) * (room + 1) // parts
+    for least, most in zip(cuts[:-1].tolist(), (cuts[1:] - 1).tolist()):  # bytes to the left of the gram
+        wide = least + gram + room - most
+        whole = (at - least >= base[owner]) & (at - least + wide <= base[owner] + size[owner])
+        who, key = owner[whole], _hash_at(cat, at[whole] - least, wide)
+        order = np.argsort(key)
+        who, key = who[order], key[order]
+        first = np.flatnonzero(np.append(len(key) > 0, key[1:] != key[:-1])[:len(key)])
+        if len(first):
+            several = np.minimum.reduceat(who, first) != np.maximum.reduceat(who, first)
+            out[who[np.repeat(several, np.diff(np.append(first, len(key))))]] = True
+    return out
+
+
 def least_ids(m: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray, data: np.ndarray,
-              length: int) -> np.ndarray:
+              length: int, gram: int) -> np.ndarray:
     """For every string of the given distinct stretches, in order, the smallest
     id among stretches of its minimizer that hold it.
 
-    Minimizers with one stretch are decided by it. All others go through a
+    Minimizers with one stretch are decided by it, and so are stretches whose bytes
+    around the minimizer's gram no other has. All others go through a
     suffix array of their stretches, each closed by a separator, in parts of
     about ``SA_BYTES`` that don't split a minimizer.
     """
@@ -299,6 +368,8 @@ def least_ids(m: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarra
     group = np.cumsum(new) - 1
     several = np.bincount(group)[group] > 1
     todo = np.flatnonzero(several)
+    if len(todo):
+        todo = todo[_may_share(m[todo], begin[todo], size[todo], data, length, gram)]
     if not len(todo):
         return out
     part = np.cumsum(size[todo] + 1) // SA_BYTES
@@ -312,7 +383,6 @@ def least_ids(m: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarra
         inside = np.arange(n.sum()) + np.repeat(np.arange(len(n)), n)
         t[inside] = _gather(data, begin[which], n).astype(np.int64) + 2
         sa = suffix_array(t)
-        prefix = common_prefixes(t, sa, length)
         # places of whole strings, the stretch they lie in, their slot in the result
         k = strings[which]
         step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
@@ -320,14 +390,17 @@ def least_ids(m: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarra
         slot = np.repeat(ends[which] - k, k) + step
         owner, slots = np.full(len(t), -1, np.int64), np.full(len(t), -1, np.int64)
         owner[place], slots[place] = np.repeat(ids[which], k), slot
-        rows = sa[slots[sa] >= 0]
+        string = slots[sa] >= 0
+        rows = sa[string]
+        # one that follows no string shares less: only whole strings have no separator in ``length`` symbols
+        prefix = common_prefixes(t, sa, length, sa[1:][string[1:] & string[:-1]])
         heads = np.flatnonzero(np.append(True, prefix[rows[1:]] < length))
         least = np.minimum.reduceat(owner[rows], heads)
         out[slots[rows]] = np.repeat(least, np.diff(np.append(heads, len(rows))))
     return out
 
 
-def _decide(length: int):
+def _decide(length: int, gram: int):
     """Step 2 in a shard: runs of removed strings, one packet per block. What a
     block sends itself passes through."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -344,7 +417,7 @@ def _decide(length: int):
         new = np.append(True, kind[order][1:] != kind[order][:-1])
         one = order[new]  # a representative of each distinct stretch
         low = np.minimum.reduceat(ids[order], np.flatnonzero(new))
-        least = least_ids(m[one], low, begin[one], size[one], data, length)
+        least = least_ids(m[one], low, begin[one], size[one], data, length, gram)
         # entries against the least ids of their strings
         strings = size[one] - length + 1
         base = np.cumsum(strings) - strings
@@ -487,6 +560,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = blocked.groupBy("_sd_block").cogroup(answers.groupBy("block")).applyInPandas(
         _send(length, gram, bits), "block int, shard int, data binary")
     ranges = sent.repartition(shards, "shard").groupBy("shard").applyInPandas(
-        _decide(length), "block int, ranges binary, own binary")
+        _decide(length, gram), "block int, ranges binary, own binary")
     schema = docs.select(*rest).schema.add("n_bytes", "long").add("spans", T.ArrayType(T.IntegerType())).add("kept_bytes", "binary")
     return blocked.groupBy("_sd_block").cogroup(ranges.groupBy("block")).applyInPandas(_cut(length, whole_chars), schema)

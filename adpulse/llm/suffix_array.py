@@ -32,7 +32,7 @@ def classify(t: np.ndarray) -> np.ndarray:
 
 def _spread(sa: np.ndarray, at: np.ndarray, head: np.ndarray, syms: np.ndarray, step: int) -> None:
     """Writes suffixes, in order, to the next free places of their buckets."""
-    order = np.argsort(syms, kind="stable")
+    order = np.argsort(syms.astype(np.uint16), kind="stable")  # in one linear pass; symbols are at most MAX_SYMBOLS
     s = syms[order]
     first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
     counts = np.diff(np.append(first, len(s)))
@@ -91,24 +91,29 @@ def _induce_each(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, symbols: i
     sizes = np.bincount(t, minlength=symbols)
     ends = np.cumsum(sizes)
     head, tail, last = (ends - sizes).tolist(), ends.tolist(), ends.tolist()
-    sym, small = t.tolist(), smaller.tolist()
+    sym = t.tolist()
+    # of each suffix's predecessor: its symbol where it is larger (or smaller) than the suffix, or -1
+    before = np.append(-1, t[:-1])
+    kind = np.append(False, smaller[:-1])
+    larger, less = np.where(kind, -1, before).tolist(), np.where(kind, before, -1).tolist()
     sa = [0] * n  # 0 has no predecessor and induces nothing
     for j in lms[::-1].tolist():
         c = sym[j]
-        tail[c] -= 1
-        sa[tail[c]] = j
-    for i in range(n):
-        j = sa[i] - 1
-        if j >= 0 and not small[j]:
-            c = sym[j]
-            sa[head[c]] = j
-            head[c] += 1
-    for i in range(n - 1, -1, -1):
-        j = sa[i] - 1
-        if j >= 0 and small[j]:
-            c = sym[j]
-            last[c] -= 1
-            sa[last[c]] = j
+        p = tail[c] - 1
+        tail[c] = p
+        sa[p] = j
+    for j in sa:  # meets what it has written ahead
+        c = larger[j]
+        if c >= 0:
+            p = head[c]
+            sa[p] = j - 1
+            head[c] = p + 1
+    for j in reversed(sa):
+        c = less[j]
+        if c >= 0:
+            p = last[c] - 1
+            last[c] = p
+            sa[p] = j - 1
     return np.array(sa, dtype=np.int64)
 
 
@@ -155,9 +160,10 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     return induce(t, smaller, ordered, symbols)
 
 
-def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """Permuted common prefixes: at each text place, how many symbols (up to
-    ``most``) its suffix shares with the one before it in suffix order."""
+def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int, places: np.ndarray | None = None) -> np.ndarray:
+    """Permuted common prefixes: at each text place, or only at the given ones (0
+    elsewhere), how many symbols (up to ``most``) its suffix shares with the one
+    before it in suffix order."""
     n = len(t)
     before = np.full(n, n, dtype=np.int64)
     before[sa[1:]] = sa[:-1]
@@ -169,7 +175,7 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     for j in range(per):
         words = (words << bits) | padded[j:j + n + 1]
     out = np.zeros(n, dtype=np.int64)
-    live = np.flatnonzero(before < n)
+    live = np.flatnonzero(before < n) if places is None else np.sort(places)
     for k in range(0, most, per):
         live = live[(live + k < n) & (before[live] + k < n)]
         a, b = live + k, before[live] + k

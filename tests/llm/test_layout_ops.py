@@ -205,6 +205,48 @@ def test_repeats_of_a_hot_text(spark, block, hot):
     assert sorted(map(tuple, out), key=str) == sorted(brute_repeats(rows), key=str)
 
 
+@pytest.mark.parametrize("alphabet,piece", [(2, 1 << 16), (4, 64), (26, 64)])
+def test_least_ids_sorts_only_what_may_be_shared(monkeypatch, alphabet, piece):
+    """Least ids equal brute force, whatever the pieces; texts that share less than a string's length reach no sort."""
+    from adpulse.llm import substring_dedup as S
+    monkeypatch.setattr(S, "PIECE", piece)
+    length, gram, r, sorted_bytes = 24, 10, np.random.default_rng(alphabet), []
+    whole = S.suffix_array
+    monkeypatch.setattr(S, "suffix_array", lambda t: sorted_bytes.append(len(t)) or whole(t))
+
+    def least(texts, ids):
+        ids = np.array(ids)
+        b = S._Block(texts, ids, length, gram)
+        assert {(d, x) for d, a, n in zip(b.doc, b.start, b.strings) for x in range(a, a + n)} == {
+            (d, x) for d, t in enumerate(texts) for x in range(len(t) - length + 1)}
+        assert b.unique.tolist() == sorted(set(b.m.tolist())) and (b.unique[b.inverse] == b.m).all()
+        size = b.strings + length - 1
+        data = S._gather(b.data, b.base[b.doc] + b.start, size)
+        kind = S._kinds(b.m, np.cumsum(size) - size, size, data)
+        at = np.lexsort((ids[b.doc], kind))
+        one = at[np.append(True, np.diff(kind[at]) > 0)]  # distinct stretches, each with its smallest id
+        found = S.least_ids(b.m[one], ids[b.doc[one]], (np.cumsum(size) - size)[one], size[one], data, length, gram)
+        strings = [texts[b.doc[i]][x:x + length] for i in one for x in range(b.start[i], b.start[i] + b.strings[i])]
+        want = {}
+        for t, i in zip(texts, ids.tolist()):
+            for x in range(len(t) - length + 1):
+                want[t[x:x + length]] = min(i, want.get(t[x:x + length], i))
+        assert found.tolist() == [want[x] for x in strings]
+
+    def text(n):
+        return bytes(r.integers(97, 97 + alphabet, n).astype("u1"))
+
+    common = [text(n) for n in (30, 60, 150)]
+    least([b"".join((text(r.integers(0, 40)), common[r.integers(3)], text(r.integers(0, 40)))) for _ in range(80)]
+          + [b"", text(5), b"a" * 300, b"ab" * 200, b"a" * 90 + text(30)], list(range(85))[::-1])
+    assert sorted_bytes
+    del sorted_bytes[:]
+    if alphabet > 4:
+        part = text(gram + 4)
+        least([text(30) + part + text(30) for _ in range(40)], list(range(40)))
+        assert not sorted_bytes
+
+
 def test_suffix_array_and_prefixes():
     from adpulse.llm.suffix_array import MAX_SYMBOLS, common_prefixes, suffix_array
     r = np.random.default_rng(1)
