@@ -44,6 +44,13 @@ K = 3
 SEED = 20
 #: Characters of text in one batch.
 BATCH = 2 << 20
+#: First bits of a hash by which pieces are looked up.
+NEAR_BITS = 16
+#: Words of a lattice built at a time, and word occurrences followed at a time: few enough for a processor's cache.
+CHUNK = 4096
+FOLLOWED = 1 << 15
+#: Log of the other arcs' share of a node below which they count as none.
+_SURE = np.log(1e-12)
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 _P = np.uint64(0x100000001B3)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
@@ -79,13 +86,18 @@ class Vocabulary:
             self.logp[i] = w
         #: By length: the sorted hashes of all pieces' beginnings, and the piece that ends there (-1: none).
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        #: Where the hashes with the same first bits start, and how many those are at most.
+        self.near: dict[int, tuple[np.ndarray, int]] = {}
         whole = {p: i for p, i in plain}
         for size in range(1, max(map(len, whole)) + 1):
             starts = sorted({p[:size] for p in whole if len(p) >= size})
             codes = np.frombuffer("".join(starts).encode("utf-32-le"), "<u4").reshape(-1, size)
-            keys = _hash(codes.astype(np.uint64))
+            keys = _hash(codes.astype(np.uint64)) * _M3  # so that the first bits differ
             order = np.argsort(keys)
-            self.by_length[size] = keys[order], np.array([whole.get(starts[j], -1) for j in order])
+            keys = np.append(keys[order], np.uint64(0xFFFFFFFFFFFFFFFF))
+            self.by_length[size] = keys, np.array([*(whole.get(starts[j], -1) for j in order), -1])
+            start = np.searchsorted(keys[:-1], np.arange(1 << NEAR_BITS, dtype=np.uint64) << np.uint64(64 - NEAR_BITS))
+            self.near[size] = start, int(np.diff(np.append(start, len(keys) - 1)).max())
         spelled = [self.bytes.get(i, b"") for i in range(n)]
         self.size = np.array([len(b) for b in spelled])
         self.at = np.cumsum(self.size) - self.size
@@ -120,75 +132,113 @@ class Lattice:
     """The lattices of distinct words, end to end: node ``i`` is before character
     ``i`` of the joined words, and each word has one more node at its end."""
 
-    def __init__(self, words: list[str], vocab: Vocabulary):
-        sizes = np.array([len(w) + 1 for w in words])
-        codes = np.frombuffer("".join([MARK + w for w in words]).encode("utf-32-le", "surrogatepass"), "<u4")
+    def __init__(self, words: list[str], vocab: Vocabulary, chunk: int = CHUNK):
+        self._build(words[:chunk], vocab)
+        parts = [self, *(Lattice(words[x:x + chunk], vocab, chunk) for x in range(chunk, len(words), chunk))]
+        if len(parts) == 1:
+            return
+        # one after another: what points at nodes, arcs or pieces moves on by those before
+        nodes, arcs, pieces = (np.cumsum([0, *map(size, parts)]).tolist() for size in (
+            lambda p: len(p.first) - 1, lambda p: len(p.dst), lambda p: len(p.all_pieces)))
+        moves = {"src": nodes, "dst": nodes, "start": nodes, "end": nodes, "first": arcs, "at_pieces": pieces}
+        joined = {}
+        for name in self.__dict__:
+            each = [getattr(p, name) for p in parts]
+            if name == "first":
+                each = [*(x[:-1] for x in each[:-1]), each[-1]]
+            joined[name] = np.concatenate([x + by for x, by in zip(each, moves[name])] if name in moves else each)
+        self.__dict__.update(joined)
+
+    def _build(self, words: list[str], vocab: Vocabulary) -> None:
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        codes = np.frombuffer((MARK + MARK.join(words)).encode("utf-32-le", "surrogatepass"), "<u4")
         n = len(codes)
         ends = np.cumsum(sizes)
         end = np.repeat(ends, sizes)
-        word = np.repeat(np.arange(len(words)), sizes)
-        place = np.arange(n)
-        h, src, dst, ids = np.zeros(n, np.uint64), [], [], []
+        h = np.zeros(n, np.uint64)
+        live = np.arange(n)
+        found = []  # by length: nodes with an arc, and its piece; a node has at most one of a length
         covered = np.zeros(n, dtype=bool)
-        live = place
+        counts = np.zeros(n, np.int64)
         c = codes.astype(np.uint64) + np.uint64(1)
+        left = end - live
         for size in vocab.by_length:
-            live = live[live + size <= end[live]]
+            live = live[left[live] >= size]
             if not len(live):
                 break
-            h[live] = h[live] * _P + c[live + size - 1]
+            grown = h[live] * _P + c[live + size - 1]
             keys, pieces = vocab.by_length[size]
-            at = np.minimum(np.searchsorted(keys, h[live]), len(keys) - 1)
-            known = keys[at] == h[live]
+            start, most = vocab.near[size]
+            sought = grown * _M3
+            at = start[sought >> np.uint64(64 - NEAR_BITS)]
+            for _ in range(most - 1):
+                at += keys[at] < sought
+            known = keys[at] == sought
             live, piece = live[known], pieces[at[known]]
+            h[live] = grown[known]
             hit = piece >= 0
-            src.append(live[hit])
-            dst.append(live[hit] + size)
-            ids.append(piece[hit])
+            at, piece = live[hit], piece[hit]
+            found.append((at, size, piece))
+            counts[at] += 1
             if size == 1:
-                covered[live[hit]] = True
+                covered[at] = True
         bare = np.flatnonzero(~covered)  # characters that are no piece: one arc of bytes
         spelled = [chr(x).encode("utf-8", "replace") for x in codes[bare]]
-        src.append(bare)
-        dst.append(bare + 1)
-        ids.append(-1 - np.arange(len(bare)))
-        src, dst, ids = map(np.concatenate, (src, dst, ids))
-        order = np.lexsort((dst, src))
-        src, dst, ids = src[order], dst[order], ids[order]
+        counts[bare] += 1
+        # arcs node by node, the shorter ones first
+        first = np.append(0, np.cumsum(counts))
+        free = first[:-1].copy()
+        dst, ids = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+        for at, size, piece in ((bare, 1, -1 - np.arange(len(bare))), *found):
+            to = free[at]
+            dst[to], ids[to] = at + size, piece
+            free[at] += 1
+        src = np.repeat(np.arange(n), counts)
         low = vocab.logp[vocab.byte_id[0]]
-        weight = np.where(ids >= 0, vocab.logp[np.maximum(ids, 0)], 0.0)
+        weight = vocab.logp[np.maximum(ids, 0)]
         if len(bare):
             lens = np.array([len(b) for b in spelled])
             weight = np.where(ids < 0, low * lens[np.where(ids < 0, -1 - ids, 0)], weight)
-        # sums over all ways to the word's end, by distance from it
-        beta = np.zeros(n + 1)
-        far = (end[src] - src)
-        by = np.argsort(far, kind="stable")
-        cuts = np.flatnonzero(np.append(True, far[by][1:] != far[by][:-1]))
+        # sums over all ways to the word's end, by distance from it; 0 at the end itself, which is no node
+        beta = np.zeros(n)
+        far = np.minimum(left, 0xFFFF).astype(np.uint16)
+        by = np.argsort(far, kind="stable")  # in one linear pass
+        if len(far) and far[by[-1]] == 0xFFFF:
+            by = np.argsort(left, kind="stable")
+        cuts = np.flatnonzero(np.append(True, left[by][1:] != left[by][:-1]))
+        last = dst == end[src]
+        step = np.where(last, 0, dst)
+        to_end = np.where(last, 0.0, 1.0)
         for a, b in zip(cuts, np.append(cuts[1:], len(by))):
-            arcs = by[a:b]
-            to = np.where(dst[arcs] == end[src[arcs]], 0.0, beta[np.minimum(dst[arcs], n)])
-            s = src[arcs]
-            first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-            beta[s[first]] = np.logaddexp.reduceat(weight[arcs] + to, first)
-        to = np.where(dst == end[src], 0.0, beta[np.minimum(dst, n)])
-        logp = np.minimum(weight + to - beta[src], 0.0)  # of an arc, given its node
+            nodes = by[a:b]
+            size = counts[nodes]
+            ends_ = np.cumsum(size)
+            arcs = np.arange(ends_[-1]) + np.repeat(first[nodes] - (ends_ - size), size)
+            beta[nodes] = np.logaddexp.reduceat(weight[arcs] + beta[step[arcs]] * to_end[arcs], ends_ - size)
+        logp = np.minimum(weight + beta[step] * to_end - np.repeat(beta, counts), 0.0)  # of an arc, given its node
         # a node's likeliest arcs come first, so that few are looked at to draw one
-        order = np.lexsort((-logp, src))
-        src, dst, ids, self.logp = src[order], dst[order], ids[order], logp[order]
-        first = np.searchsorted(src, np.arange(n + 1))
-        run = np.cumsum(np.exp(self.logp))
-        self.upto = run - np.append(0.0, run)[first[src]]
-        self.upto[first[1:] - 1] = 1.0
-        self.src, self.dst, self.ids, self.first = src, dst, ids, first
-        self.start, self.end, self.word = ends - sizes, ends, word
+        order = np.empty(len(logp), np.int64)
+        self.upto = np.empty(len(logp))
+        by = np.argsort(counts.astype(np.uint16), kind="stable")
+        cuts = np.flatnonzero(np.append(True, counts[by][1:] != counts[by][:-1]))
+        for a, b in zip(cuts, np.append(cuts[1:], len(by))):
+            arcs = first[by[a:b]][:, None] + np.arange(counts[by[a]])
+            sorted_ = np.argsort(-logp[arcs], axis=1, kind="stable")
+            order[arcs] = np.take_along_axis(arcs, sorted_, 1)
+            upto = np.cumsum(np.exp(logp[order[arcs]]), axis=1)
+            upto[:, -1] = 1.0
+            self.upto[arcs] = upto
+        dst, ids, self.logp = dst[order], ids[order], logp[order]
+        with np.errstate(divide="ignore"):
+            self.rest = np.log(-np.expm1(self.logp))  # of the node's other arcs together
+        self.src, self.dst, self.first = src, dst, first
+        self.start, self.end = ends - sizes, ends
         # pieces of every arc, end to end
         self.n_pieces = np.ones(len(ids), np.int64)
         if len(bare):
             self.n_pieces[ids < 0] = lens[-1 - ids[ids < 0]]
         self.at_pieces = np.cumsum(self.n_pieces) - self.n_pieces
-        self.all_pieces = np.zeros(int(self.n_pieces.sum()), np.int64)
-        self.all_pieces[self.at_pieces[ids >= 0]] = ids[ids >= 0]
+        self.all_pieces = np.repeat(ids, self.n_pieces) if len(bare) else ids
         for arc in np.flatnonzero(ids < 0):
             at = self.at_pieces[arc]
             self.all_pieces[at:at + self.n_pieces[arc]] = vocab.byte_id[list(spelled[-1 - ids[arc]])]
@@ -205,40 +255,47 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
 
 
 def noise(key: np.ndarray, path: np.ndarray, place: np.ndarray, stream: int) -> np.ndarray:
-    """Uniform numbers in (0, 1), a hash of all that is given."""
-    with np.errstate(over="ignore"):
-        x = key.astype(np.uint64) * _M3 + path.astype(np.uint64) * _M1 + place.astype(np.uint64) * _M2
-        x = x + np.uint64(stream) * np.uint64(0xD6E8FEB86659FD93)
-        for m in (_M1, _M2):
-            x = (x ^ (x >> np.uint64(30))) * m
-        x = x ^ (x >> np.uint64(31))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
+    """Uniform numbers in (0, 1), a hash of all that is given (arrays, which wrap around)."""
+    x = key.astype(np.uint64) * _M3 + path.astype(np.uint64) * _M1 + place.astype(np.uint64) * _M2
+    x += np.array([stream], np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    for m in (_M1, _M2):
+        x ^= x >> np.uint64(30)
+        x *= m
+    x ^= x >> np.uint64(31)
+    x >>= np.uint64(11)
+    out = x.astype(np.float64)
+    out += 0.5
+    out /= 2.0 ** 53
+    return out
 
 
-def _follow(lat: Lattice, word: np.ndarray, node: np.ndarray, key: np.ndarray, path: np.ndarray,
+def _follow(lat: Lattice, word: np.ndarray, node: np.ndarray, key: np.ndarray, path: int,
             place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Random arcs from each word occurrence's node to its end: (occurrence, arc), in text order."""
-    occ = np.flatnonzero(node < lat.end[word])
-    node = node.copy()
-    start = lat.start[word]
-    who, arcs = [], []
-    while len(occ):
-        at = node[occ]
-        u = noise(key[occ], path[occ], place[occ] + at - start[occ], 1)
-        arc = lat.first[at]
-        miss = np.flatnonzero(u > lat.upto[arc])
-        while len(miss):
-            arc[miss] += 1
-            miss = miss[u[miss] > lat.upto[arc[miss]]]
-        who.append(occ)
-        arcs.append(arc)
-        node[occ] = lat.dst[arc]
-        occ = occ[lat.dst[arc] < lat.end[word[occ]]]
-    if not who:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    who, arcs = np.concatenate(who), np.concatenate(arcs)
-    order = np.argsort(who, kind="stable")
-    return who[order], arcs[order]
+    who, arcs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    todo = np.flatnonzero(node < lat.end[word])
+    for lo in range(0, len(todo), FOLLOWED):
+        occ = todo[lo:lo + FOLLOWED]
+        at, end, keys, shift = node[occ], lat.end[word[occ]], key[occ], place[occ] - lat.start[word[occ]]
+        live = np.arange(len(occ))
+        each, taken = [], []
+        while len(live):
+            u = noise(keys, np.array([path]), shift + at, 1)
+            arc = lat.first[at]
+            miss = np.flatnonzero(u > lat.upto[arc])
+            while len(miss):
+                arc[miss] += 1
+                miss = miss[u[miss] > lat.upto[arc[miss]]]
+            each.append(live)
+            taken.append(arc)
+            at = lat.dst[arc]
+            on = np.flatnonzero(at < end)
+            live, at, end, keys, shift = live[on], at[on], end[on], keys[on], shift[on]
+        each, taken = np.concatenate(each), np.concatenate(taken)
+        order = np.argsort(each.astype(np.uint16), kind="stable")  # in one linear pass
+        who.append(occ[each[order]])
+        arcs.append(taken[order])
+    return np.concatenate(who), np.concatenate(arcs)
 
 
 class _Path:
@@ -255,16 +312,17 @@ def _siblings(lat: Lattice, path: _Path, key: np.uint64, since: int, most: int)
 
     Each is (score, path, step, arcs already taken there)."""
     logp = lat.logp[path.arcs]
-    prefix = np.concatenate(([0.0], np.cumsum(logp)[:-1]))[since:]
-    rest = -np.expm1(logp[since:])
-    open_ = np.flatnonzero(rest > 1e-12)
+    rest = lat.rest[path.arcs[since:]]
+    open_ = np.flatnonzero(rest > _SURE)
     if not len(open_):
         return []
-    where = prefix[open_] + np.log(rest[open_])
-    u = noise(np.full(len(open_), key), np.full(len(open_), path.number), open_ + since, 2)
-    score = -np.logaddexp(-path.score, np.log(-np.log(u)) - where)
-    best = np.argsort(-score)[:most]
-    return [(float(score[b]), path, int(open_[b]) + since, (int(path.arcs[open_[b] + since]),)) for b in best]
+    where = np.concatenate(([0.0], np.cumsum(logp)[:-1]))[since:][open_] + rest[open_]
+    u = noise(np.array([key]), np.array([path.number]), open_ + since, 2)
+    late = np.log(-np.log(u)) - where  # the lower, the higher is the score
+    best = np.argpartition(late, most)[:most] if len(late) > most else np.arange(len(late))
+    best = best[np.argsort(late[best])]
+    score = -np.logaddexp(-path.score, late[best])
+    return [(float(x), path, int(o) + since, (int(path.arcs[o + since]),)) for x, o in zip(score, open_[best])]
 
 
 def sample(texts: list[str], keys: np.ndarray, vocab: Vocabulary, k: int = K, seed: int = SEED) -> list[list[tuple]]:
@@ -284,7 +342,7 @@ def sample(texts: list[str], keys: np.ndarray, vocab: Vocabulary, k: int = K, se
     place = np.cumsum(size) - size
     place -= np.repeat(np.append(place, 0)[np.minimum(ends - counts, len(place))], counts)
     root = -np.log(-np.log(noise(keys, np.zeros(len(keys)), np.zeros(len(keys)), 4)))
-    who, arcs = _follow(lat, flat, lat.start[flat], key, np.zeros(len(flat)), place)
+    who, arcs = _follow(lat, flat, lat.start[flat], key, 0, place)
     cut = np.searchsorted(who, np.append(0, ends))
     paths = [[_Path(arcs[a:b], who[a:b], float(g), 0)] for a, b, g in zip(cut, cut[1:], root)]
     queues = [_siblings(lat, p[0], key_, 0, k) for p, key_ in zip(paths, keys)]
@@ -297,7 +355,7 @@ def sample(texts: list[str], keys: np.ndarray, vocab: Vocabulary, k: int = K, se
             queue.sort(key=lambda x: -x[0])
             score, parent, step, taken = queue.pop(0)
             at = lat.src[parent.arcs[step]]
-            some = np.setdiff1d(np.arange(lat.first[at], lat.first[at + 1]), taken)
+            some = np.array([x for x in range(lat.first[at], lat.first[at + 1]) if x not in taken])
             p = np.exp(lat.logp[some])
             u = noise(keys[d:d + 1], np.array([i]), np.array([step]), 5)[0]
             arc = int(some[min(np.searchsorted(np.cumsum(p) / p.sum(), u), len(some) - 1)])
@@ -305,7 +363,7 @@ def sample(texts: list[str], keys: np.ndarray, vocab: Vocabulary, k: int = K, se
             heads.append((d, parent, step, arc, score, taken))
             node[occ] = lat.dst[arc]
             node[occ + 1:ends[d]] = lat.start[flat[occ + 1:ends[d]]]
-        who, arcs = _follow(lat, flat, node, key, np.full(len(flat), i), place)
+        who, arcs = _follow(lat, flat, node, key, i, place)
         for d, parent, step, arc, score, taken in heads:
             a, b = np.searchsorted(who, (ends[d] - counts[d], ends[d]))
             path = _Path(np.concatenate((parent.arcs[:step], [arc], arcs[a:b])),

@@ -246,3 +246,23 @@ def test_base_patterns_are_linear_and_leftmost():
         began = time.process_time()
         P.base_spans(t)
         assert time.process_time() - began < 3, t[:10]
+
+
+def test_lattice_is_the_same_wherever_a_word_lies():
+    """Arcs, their order and their sums don't depend on the words before or on the chunks, to the last bit."""
+    from adpulse.llm import sentencepiece_sampling as P
+    vocab, r = P.vocabulary(), np.random.default_rng(6)
+    words = ["".join(map(chr, r.integers(97, 123, r.integers(1, 14)))) for _ in range(300)]
+    words += ["", "a", P.MARK * 3 + "deep", "naïve", "中文\U0001F600x", "\x00", "internationalization" * 5]
+    whole = P.Lattice(words, vocab)
+    for i in (*range(0, 300, 37), *range(300, len(words))):
+        alone = P.Lattice([words[i]], vocab)
+        a, b = whole.start[i], whole.end[i]
+        x, y = whole.first[a], whole.first[b]
+        assert (alone.dst + a).tolist() == whole.dst[x:y].tolist()
+        for name in ("logp", "upto", "rest"):
+            assert getattr(alone, name).tolist() == getattr(whole, name)[x:y].tolist()
+        assert alone.pieces(np.arange(y - x)).tolist() == whole.pieces(np.arange(x, y)).tolist()
+    parts = P.Lattice(words, vocab, 7)
+    assert parts.__dict__.keys() == whole.__dict__.keys()
+    assert all((parts.__dict__[k] == whole.__dict__[k]).all() for k in whole.__dict__)
