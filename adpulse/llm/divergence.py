@@ -12,10 +12,12 @@ within that language and every language has columns of its own, however many
 languages there are. The vocabulary of a fit passes through the driver and is
 broadcast, so the terms are dealt by hash into shards of about ``SHARD_TERMS``
 distinct ones, each fitted alone: memory is bounded, and one pass over the texts
-deals the terms of all shards. Since a fit only asks whether ``min_df`` documents
-have a term, it sees the term in the first ``min_df`` documents of each slice of
-texts; the vectors are of whole documents. Their group sums are kept as sparse
-rows (language, source, term, count).
+deals the terms of all shards, those of a slice of texts together. Since a fit only
+asks whether ``min_df`` documents have a term, a slice gives it a term once for each
+document that has it, up to ``min_df`` times. The vectors are of a slice's groups, one
+for each binary digit of the terms' counts in it, so that a term is looked up once per
+digit and not once per occurrence. Their sums are kept as sparse rows (language,
+source, term, count).
 
 The sum over all kept terms for a pair of sources is evaluated from the sparse
 rows: ``V`` times the divergence of two absent terms, corrected by one value per
@@ -121,10 +123,12 @@ def _lists(row: np.ndarray, rows: int, kind: np.ndarray, keys: pa.Array) -> pa.L
 
 
 def _deal(langs: list[str], sources: list[str], texts: list[bytes], shards: int, min_df: int) -> pa.RecordBatch:
-    """One row per document and shard: the document's terms of that shard and, of them, those
-    that ``min_df`` earlier documents of the slice don't have already."""
+    """Terms of the slice. One row per shard, group and binary digit of a count: the group's terms
+    whose count in the slice has that digit, which counts ``times``. And per shard ``min_df`` rows
+    to fit on, the ``r``-th with the terms that more than ``r`` documents of the slice have."""
     coded, doc = _terms(texts)
     lang_of, lang_names = pd.factorize(np.array(langs, dtype=object))
+    source_of, source_names = pd.factorize(np.array(sources, dtype=object))
     kind, kinds = pd.factorize(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(lang_names) + lang_of[doc])
     term_of, lang_in = kinds // max(1, len(lang_names)), kinds % max(1, len(lang_names))
     tails = [(MARK + x).encode("utf-8", "replace") for x in lang_names]
@@ -137,27 +141,37 @@ def _deal(langs: list[str], sources: list[str], texts: list[bytes], shards: int,
         keys = joined.cast(pa.string())
     except pa.ArrowInvalid:  # bytes that are no UTF-8
         keys = pa.array([k.decode("utf-8", "replace") for k in joined.to_pylist()], pa.string())
-    if shards <= 1 << 16:
-        shard_of = shard_of.astype(np.uint16)  # sorted in one linear pass
-
-    shard = shard_of[kind]
-    order = np.argsort(shard, kind="stable")  # documents stay in order within a shard
-    at = shard[order].astype(np.int64) * len(texts) + doc[order]
-    row = np.cumsum(np.diff(at, prepend=-1) > 0) - 1
-    rows = at[np.flatnonzero(np.diff(at, prepend=-1))]
-
-    once = pd.unique(doc * max(1, len(kinds)) + kind)
-    few = once[pd.Series(once % max(1, len(kinds))).groupby(once % max(1, len(kinds))).cumcount().to_numpy() < min_df]
-    few_doc, few_kind = few // max(1, len(kinds)), few % max(1, len(kinds))
-    few_at = shard_of[few_kind].astype(np.int64) * len(texts) + few_doc
-    few_order = np.argsort(few_at, kind="stable")
-
-    take = pa.array(rows % max(1, len(texts)))
+
+    # terms of a group (a kind holds its language), in order of shard and group
+    wide, n_kinds = max(1, len(source_names)), max(1, len(kinds))
+    each, n = np.unique(source_of[doc] * n_kinds + kind, return_counts=True)
+    of, kind_of = each // n_kinds, each % n_kinds
+    at = (shard_of[kind_of] * max(1, len(lang_names)) + lang_in[kind_of]) * wide + of
+    order = np.argsort(at, kind="stable")
+    at, kind_of, n = at[order], kind_of[order], n[order]
+    # how many documents have a kind
+    once = pd.unique(doc * n_kinds + kind) % n_kinds
+    having = np.bincount(once, minlength=len(kinds))
+    by_shard = np.argsort(shard_of, kind="stable")
+
+    parts = []
+    for bit in range(int(n.max(initial=0)).bit_length()):
+        some = np.flatnonzero(n >> bit & 1)
+        new = np.diff(at[some], prepend=-1) > 0
+        group = at[some][new]
+        parts.append((_lists(np.cumsum(new) - 1, len(group), kind_of[some], keys), group // wide % max(1, len(lang_names)),
+                      group % wide, group // wide // max(1, len(lang_names)), 1 << bit))
+    for r in range(min_df):
+        some = by_shard[having[by_shard] > r]
+        shard = np.unique(shard_of[some])
+        none = np.full(len(shard), -1)
+        parts.append((_lists(np.searchsorted(shard, shard_of[some]), len(shard), some, keys), none, none, shard, 0))
+    lists, lang, source, shard, times = zip(*parts)
+    lang, source, shard = map(np.concatenate, (lang, source, shard))
+    named = [pa.array(x.tolist(), pa.string()).take(pa.array(i, mask=i < 0)) for x, i in ((lang_names, lang), (source_names, source))]
     return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()).take(take), pa.array(sources, pa.string()).take(take),
-         _lists(row, len(rows), kind[order], keys),
-         _lists(np.searchsorted(rows, few_at[few_order]), len(rows), few_kind[few_order], keys),
-         pa.array((rows // max(1, len(texts))).astype(np.int32))], names=["lang", "source", "terms", "fit_terms", "shard"])
+        [*named, pa.concat_arrays(lists), pa.array(np.repeat(times, [len(x) for x in lists]), pa.int64()),
+         pa.array(shard.astype(np.int32))], names=["lang", "source", "terms", "times", "shard"])
 
 
 def _dealer(shards: int, min_df: int):
@@ -182,7 +196,8 @@ def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indices, values = b.column("indices"), b.column("values")
         group = np.repeat(np.array(of, np.int64), np.diff(indices.offsets.to_numpy()))
         keys.append(group << 32 | indices.flatten().to_numpy().astype(np.int64))
-        totals.append(values.flatten().to_numpy().astype(np.int64))
+        totals.append(values.flatten().to_numpy().astype(np.int64)
+                      * np.repeat(b.column("times").to_numpy(), np.diff(indices.offsets.to_numpy())))
         held += len(group)
         if held >= HELD:
             key, total = added_up()
@@ -223,14 +238,14 @@ def group_counts(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD
     folder = f"{shared_dir(spark).rstrip('/')}/divergence-{uuid.uuid4().hex}"
     docs = docs.withColumn("text", F.col("text").cast("binary"))
     shards = max(1, -(-distinct_terms(docs) // shard_terms))
-    columns = "lang string, source string, terms array<string>, fit_terms array<string>, shard int"
+    columns = "lang string, source string, terms array<string>, times long, shard int"
     docs.mapInArrow(_dealer(shards, min_df), columns).write.partitionBy("shard").parquet(f"{folder}/terms")
     # three documents of a term that can't occur: a fit without a single kept term raises an error
-    none = spark.range(min_df).select(F.array(F.lit(MARK)).alias("fit_terms"))
-    vectorizer = CountVectorizer(inputCol="fit_terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCAB)
+    none = spark.range(min_df).select(F.array(F.lit(MARK)).alias("terms"))
+    vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCAB)
     for s in range(shards):
         part = spark.read.schema(columns).parquet(f"{folder}/terms").where(F.col("shard") == s)
-        model = vectorizer.fit(part.select("fit_terms").unionByName(none)).setInputCol("terms")
+        model = vectorizer.fit(part.where("times = 0").select("terms").unionByName(none))
         model.write().save(f"{folder}/models/{s}")
         (spark.read.parquet(f"{folder}/models/{s}/data").select(F.posexplode("vocabulary").alias("idx", "key"))
          .where(F.col("key") != MARK)
@@ -238,8 +253,8 @@ def group_counts(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD
                  F.expr("substr(key, instr(key, '\\0') + 1)").alias("lang"))
          .write.parquet(f"{folder}/vocabulary/shard={s}"))
         vector = F.unwrap_udt("vector")
-        (model.transform(part.select("lang", "source", "terms"))
-         .select("lang", "source", vector["indices"].alias("indices"), vector["values"].alias("values"))
+        (model.transform(part.where("times > 0").select("lang", "source", "terms", "times"))
+         .select("lang", "source", "times", vector["indices"].alias("indices"), vector["values"].alias("values"))
          .mapInArrow(_group_sums, "lang string, source string, idx int, n long")
          .groupBy("lang", "source", "idx").agg(F.sum("n").alias("n"))
          .write.parquet(f"{folder}/counts/shard={s}"))

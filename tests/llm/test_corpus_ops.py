@@ -149,6 +149,23 @@ def test_divergence_matches_brute_force(spark, rows, shard_terms, block_rows):
     assert {x.value for x in out if x.lang == "zz"} == {0}
 
 
+def test_divergence_deals_a_term_once_per_digit_of_its_count():
+    """A slice's terms are added up by group before they are dealt; a fit sees each term's documents, up to ``min_df``."""
+    from collections import Counter
+    from adpulse.llm.divergence import MARK, _deal
+    r = np.random.default_rng(8)
+    docs = [("ab"[r.integers(2)], "xyz"[r.integers(3)], " ".join("w" * int(k) for k in r.geometric(0.3, 200))) for _ in range(50)]
+    rows = _deal(*[list(c) for c in zip(*docs)][:2], [t.encode() for _, _, t in docs], 3, 3).to_pylist()
+    dealt, fit = Counter(), Counter()
+    for row in rows:
+        assert len(set(row["terms"])) == len(row["terms"])
+        for t in row["terms"]:
+            (fit if not row["times"] else dealt)[(t,) if not row["times"] else (row["lang"], row["source"], t)] += row["times"] or 1
+    assert dealt == Counter((a, b, w + MARK + a) for a, b, t in docs for w in t.split())
+    assert fit == {k: min(3, n) for k, n in Counter((w + MARK + a,) for a, _, t in docs for w in set(t.split())).items()}
+    assert sum(len(row["terms"]) for row in rows) < 50 * 200 / 10
+
+
 def test_divergence_of_empty_tables(spark, empty):
     from adpulse.llm.divergence import source_divergence
     assert source_divergence(empty).count() == 0
