@@ -266,3 +266,36 @@ def test_lattice_is_the_same_wherever_a_word_lies():
     parts = P.Lattice(words, vocab, 7)
     assert parts.__dict__.keys() == whole.__dict__.keys()
     assert all((parts.__dict__[k] == whole.__dict__[k]).all() for k in whole.__dict__)
+
+
+def test_subtrees_are_sought_where_they_can_be(monkeypatch):
+    """The best subtrees that leave a path are those of a search along all of it, but only its likely beginning is searched."""
+    from adpulse.llm import sentencepiece_sampling as P
+    vocab, r, k = P.vocabulary(), np.random.default_rng(8), 3
+    known = ["the", "internationalization", "of", "understanding", "naïve\n", "\n中文", "x", "reconsiderations"]
+    texts = [" ".join(known[i] for i in r.integers(0, len(known), n)) for n in (1, 2, 5, 40, 300, 3000, 3000, 20000)]
+    looked, others = [], P.others
+    monkeypatch.setattr(P, "others", lambda logp: looked.append(logp.size) or others(logp))
+    found = P.sample(texts, np.arange(len(texts)), vocab, k)
+    total = sum(len(rows[0][0]) for rows in found)
+    assert 0 < sum(looked) < 0.5 * total  # not k times all of it
+    assert all(vocab.decode(ids) == t for t, rows in zip(texts, found) for ids, *_ in rows)
+
+    lat = P.Lattice(P.units(texts[5]), vocab)
+    word = np.arange(len(P.units(texts[5])))
+    keys = np.arange(60, dtype=np.uint64) * np.uint64(977)
+    paths = []
+    for key in keys:
+        occ, arcs = P._follow(lat, word, lat.start, np.full(len(word), key), 1, lat.start)
+        paths.append(P._Path(arcs, occ, 0.7, 1))
+    for since in (0, 7, 300, len(paths[0].arcs) - 5):
+        every = P._all_siblings(lat, paths, keys, [since] * len(paths), k)
+        for path, key, best in zip(paths, keys, every):
+            logp = lat.logp[path.arcs]
+            rest = lat.rest[path.arcs]
+            at = np.array([i for i in range(since, len(logp)) if rest[i] > P._SURE], np.int64)
+            where = np.append(0, np.cumsum(logp))[at] + rest[at]
+            score = -np.logaddexp(-0.7, np.log(-np.log(P.noise(np.array([key]), np.array([1]), at, 2))) - where)
+            want = sorted(zip(score.tolist(), at.tolist()), reverse=True)[:k]
+            assert [(x, o) for x, _, o, _ in best] == want
+            assert P._siblings(lat, path, key, since, k) == best
