@@ -12,11 +12,12 @@ within that language and every language has columns of its own, however many
 languages there are. The vocabulary of a fit passes through the driver and is
 broadcast, so the terms are dealt by hash into shards of about ``SHARD_TERMS``
 distinct ones, each fitted alone: memory is bounded, and one pass over the texts
-deals the terms of all shards, those of a slice of texts together. Since a fit only
-asks whether ``min_df`` documents have a term, a slice gives it a term once for each
-document that has it, up to ``min_df`` times. The vectors are of a slice's groups, one
-for each binary digit of the terms' counts in it, so that a term is looked up once per
-digit and not once per occurrence. Their sums are kept as sparse rows (language,
+deals the terms of all shards. They are tallied slice by slice and dealt together for
+as many slices as a task can hold the tallies of. Since a fit only asks whether
+``min_df`` documents have a term, it is given a term once for each document among those
+that has it, up to ``min_df`` times. The vectors are of the tallied groups, one for each
+binary digit of the terms' counts, so that a term is looked up once per digit and not
+once per occurrence. Their sums travel packed and are kept as sparse rows (language,
 source, term, count).
 
 The sum over all kept terms for a pair of sources is evaluated from the sparse
@@ -36,7 +37,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -69,6 +69,13 @@ SKETCH = 1024
 #: Entries of vectors that a task holds before it adds them up, and rows it returns at a time.
 HELD = 1 << 22
 ROWS_OUT = 1 << 17
+#: A group's terms that a task holds before it deals them, and terms dealt at a time.
+HELD_TERMS = 1 << 21
+TERMS_OUT = 1 << 16
+#: Indices whose sums make a row (divides 2^32), and such rows returned at a time.
+WIDTH = 1 << 13
+BLOCKS_OUT = 1 << 8
+_P = np.uint64(0x9E3779B97F4A7C15)
 #: Parts the term from its language; no term holds it.
 MARK = "\x00"
 
@@ -76,11 +83,13 @@ MARK = "\x00"
 def _terms(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The terms of the texts, one after another, and the text that each is from."""
     # seen as strings, which the split asks for without looking at more than ASCII
-    split = pc.ascii_split_whitespace(pa.array([t.translate(_LETTERS) for t in texts], pa.binary()).view(pa.string()))
+    split = pc.ascii_split_whitespace(pa.array([t.translate(_LETTERS).strip() for t in texts], pa.binary()).view(pa.string()))
     found = split.flatten().view(pa.binary())
-    some = pc.greater(pc.binary_length(found), 0)
     text = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
-    return found.filter(some).dictionary_encode(), text[some.to_numpy(zero_copy_only=False)]
+    some = pc.greater(pc.binary_length(found), 0)
+    if not pc.all(some).as_py():  # texts without a term
+        found, text = found.filter(some), text[some.to_numpy(zero_copy_only=False)]
+    return found.dictionary_encode(), text
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[str], list[bytes]]]:
@@ -96,16 +105,37 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list
             start = stop
 
 
+def _hashes(keys: pa.Array) -> np.ndarray:
+    """A 64-bit hash of every key's bytes, of which each has some."""
+    if not len(keys):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(keys.buffers()[1], np.int32, len(keys) + 1, 4 * keys.offset).astype(np.int64)
+    size, start = np.diff(ends), ends[:-1] - ends[0]
+    data = np.frombuffer(keys.buffers()[2], np.uint8)[ends[0]:ends[-1]].astype(np.uint64)
+    power = np.full(int(size.max()), _P, np.uint64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    data += np.uint64(1)
+    data *= power.take(np.arange(len(data)) - np.repeat(start, size))
+    return _mixed(np.add.reduceat(data, start))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Every bit of a hash depends on all of them."""
+    for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        h = (h ^ h >> np.uint64(30)) * np.uint64(m)
+    return h ^ h >> np.uint64(31)
+
+
 def _least_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ``SKETCH`` smallest hashes of the distinct (term, language) pairs of a partition."""
-    from xxhash import xxh64_intdigest
-
     least = np.zeros(0, np.uint64)
     for langs, _, texts in _slices(batches):
         for lang in set(langs):
-            found = _terms([t for x, t in zip(langs, texts, strict=True) if x == lang])[0].dictionary.to_pylist()
-            tail = MARK.encode() + lang.encode("utf-8", "replace")
-            new = np.fromiter((xxh64_intdigest(t + tail) for t in found), np.uint64, len(found))
+            found = _hashes(_terms([t for x, t in zip(langs, texts, strict=True) if x == lang])[0].dictionary)
+            new = _mixed(found + _hashes(pa.array([MARK.encode() + lang.encode("utf-8", "replace")], pa.binary())))
+            if len(least) == SKETCH:
+                new = new[new < least[-1]]
             least = np.unique(np.concatenate((least, new)))[:SKETCH]
     yield pa.RecordBatch.from_arrays([pa.array((least >> np.uint64(1)).astype(np.int64))], names=["h"])
 
@@ -116,42 +146,84 @@ def distinct_terms(docs: DataFrame) -> int:
     return len(least) if len(least) < SKETCH else int((SKETCH - 1) * float(1 << 63) / least[-1])
 
 
-def _lists(row: np.ndarray, rows: int, kind: np.ndarray, keys: pa.Array) -> pa.ListArray:
-    """The keys of each of ``rows`` rows; ``row`` is sorted."""
-    ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows))))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys.take(pa.array(kind)))
+class _Tally:
+    """Terms of some texts: the keys (term and language), how many documents have each, the groups,
+    and how often a group has a key."""
 
+    def __init__(self, keys: pa.Array, having: np.ndarray, groups: list[tuple[str, str]], key: np.ndarray,
+                 group: np.ndarray, n: np.ndarray):
+        self.keys, self.having, self.groups, self.key, self.group, self.n = keys, having, groups, key, group, n
 
-def _deal(langs: list[str], sources: list[str], texts: list[bytes], shards: int, min_df: int) -> pa.RecordBatch:
-    """Terms of the slice. One row per shard, group and binary digit of a count: the group's terms
-    whose count in the slice has that digit, which counts ``times``. And per shard ``min_df`` rows
-    to fit on, the ``r``-th with the terms that more than ``r`` documents of the slice have."""
+
+def _added(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sum of each one's numbers."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))  # no key is below zero
+    return key[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
+
+
+def _tally(langs: list[str], sources: list[str], texts: list[bytes]) -> _Tally:
     coded, doc = _terms(texts)
-    lang_of, lang_names = pd.factorize(np.array(langs, dtype=object))
-    source_of, source_names = pd.factorize(np.array(sources, dtype=object))
-    kind, kinds = pd.factorize(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(lang_names) + lang_of[doc])
-    term_of, lang_in = kinds // max(1, len(lang_names)), kinds % max(1, len(lang_names))
-    tails = [(MARK + x).encode("utf-8", "replace") for x in lang_names]
-    names = coded.dictionary.to_pylist()
-    shard_of = np.fromiter((crc32(tails[b], crc32(names[a])) % shards
-                            for a, b in zip(term_of.tolist(), lang_in.tolist(), strict=True)), np.int64, len(kinds))
-    joined = pc.binary_join_element_wise(coded.dictionary.take(pa.array(term_of)),
-                                         pa.array(tails, pa.binary()).take(pa.array(lang_in)), b"")
+    # with documents of a group and of a language together, one sort of (term, document) has all in order
+    by = sorted(range(len(texts)), key=lambda d: (langs[d], sources[d]))
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    lang_of, lang_names = pd.factorize(np.array([langs[d] for d in by], dtype=object))
+    group_of, groups = pd.factorize(pd.Series([(langs[d], sources[d]) for d in by], dtype=object))
+    pair = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(by) + place[doc]
+    pair.sort()
+    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    times = np.diff(first, append=len(pair))
+    term, doc = pair[first] // max(1, len(by)), pair[first] % max(1, len(by))
+    new_key = (np.diff(term, prepend=-1) != 0) | (np.diff(lang_of[doc], prepend=-1) != 0)
+    key = np.cumsum(new_key) - 1
+    start = np.flatnonzero(new_key | (np.diff(group_of[doc], prepend=-1) != 0))
+    tails = pa.array([(MARK + x).encode("utf-8", "replace") for x in lang_names], pa.binary())
+    joined = pc.binary_join_element_wise(coded.dictionary.take(pa.array(term[new_key])),
+                                         tails.take(pa.array(lang_of[doc[new_key]])), b"")
     try:
         keys = joined.cast(pa.string())
     except pa.ArrowInvalid:  # bytes that are no UTF-8
         keys = pa.array([k.decode("utf-8", "replace") for k in joined.to_pylist()], pa.string())
+    return _Tally(keys, np.bincount(key), list(groups), key[start], group_of[doc[start]],
+                  np.add.reduceat(times, start) if len(start) else times)
+
+
+def _merged(tallies: list[_Tally]) -> _Tally:
+    """The tally of all their texts; every document is in one of them."""
+    coded = pa.concat_arrays([t.keys for t in tallies]).dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    width, groups = max(1, len(coded.dictionary)), {}
+    having = np.zeros(width, np.int64)
+    np.add.at(having, code, np.concatenate([t.having for t in tallies]))
+    at, start = [], 0
+    for t in tallies:
+        of = np.zeros(len(t.groups), np.int64)
+        for g in np.unique(t.group).tolist():
+            of[g] = groups.setdefault(t.groups[g], len(groups))
+        at.append(of[t.group] * width + code[start:start + len(t.keys)][t.key])
+        start += len(t.keys)
+    at, n = _added(np.concatenate(at), np.concatenate([t.n for t in tallies]))
+    return _Tally(coded.dictionary, having[:len(coded.dictionary)], list(groups), at % width, at // width, n)
 
-    # terms of a group (a kind holds its language), in order of shard and group
-    wide, n_kinds = max(1, len(source_names)), max(1, len(kinds))
-    each, n = np.unique(source_of[doc] * n_kinds + kind, return_counts=True)
-    of, kind_of = each // n_kinds, each % n_kinds
-    at = (shard_of[kind_of] * max(1, len(lang_names)) + lang_in[kind_of]) * wide + of
+
+def _lists(row: np.ndarray, rows: int, kind: np.ndarray, keys: pa.Array) -> pa.ListArray:
+    """The keys of each of ``rows`` rows; ``row`` is sorted."""
+    ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows))))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys.take(pa.array(kind)))
+
+
+def _dealt(found: _Tally, shards: int, min_df: int) -> pa.RecordBatch:
+    """One row per shard, group and binary digit of a count: the group's terms whose count has that
+    digit, which counts ``times``. And per shard ``min_df`` rows to fit on, the ``r``-th with the
+    terms that more than ``r`` documents have."""
+    keys, having = found.keys, found.having
+    shard_of = (_hashes(keys) % np.uint64(shards)).astype(np.int64)
+    wide = max(1, len(found.groups))
+    at = shard_of[found.key] * wide + found.group
     order = np.argsort(at, kind="stable")
-    at, kind_of, n = at[order], kind_of[order], n[order]
-    # how many documents have a kind
-    once = pd.unique(doc * n_kinds + kind) % n_kinds
-    having = np.bincount(once, minlength=len(kinds))
+    at, key, n = at[order], found.key[order], found.n[order]
     by_shard = np.argsort(shard_of, kind="stable")
 
     parts = []
@@ -159,56 +231,110 @@ def _deal(langs: list[str], sources: list[str], texts: list[bytes], shards: int,
         some = np.flatnonzero(n >> bit & 1)
         new = np.diff(at[some], prepend=-1) > 0
         group = at[some][new]
-        parts.append((_lists(np.cumsum(new) - 1, len(group), kind_of[some], keys), group // wide % max(1, len(lang_names)),
-                      group % wide, group // wide // max(1, len(lang_names)), 1 << bit))
+        parts.append((_lists(np.cumsum(new) - 1, len(group), key[some], keys), group % wide, group // wide, 1 << bit))
     for r in range(min_df):
         some = by_shard[having[by_shard] > r]
         shard = np.unique(shard_of[some])
-        none = np.full(len(shard), -1)
-        parts.append((_lists(np.searchsorted(shard, shard_of[some]), len(shard), some, keys), none, none, shard, 0))
-    lists, lang, source, shard, times = zip(*parts)
-    lang, source, shard = map(np.concatenate, (lang, source, shard))
-    named = [pa.array(x.tolist(), pa.string()).take(pa.array(i, mask=i < 0)) for x, i in ((lang_names, lang), (source_names, source))]
+        parts.append((_lists(np.searchsorted(shard, shard_of[some]), len(shard), some, keys), np.full(len(shard), -1), shard, 0))
+    lists, group, shard, times = zip(*parts)
+    group, shard = np.concatenate(group), np.concatenate(shard)
+    named = [pa.array([g[i] for g in found.groups], pa.string()).take(pa.array(group, mask=group < 0)) for i in range(2)]
     return pa.RecordBatch.from_arrays(
         [*named, pa.concat_arrays(lists), pa.array(np.repeat(times, [len(x) for x in lists]), pa.int64()),
          pa.array(shard.astype(np.int32))], names=["lang", "source", "terms", "times", "shard"])
 
 
+def _deal(langs: list[str], sources: list[str], texts: list[bytes], shards: int, min_df: int) -> pa.RecordBatch:
+    """The terms of one slice as they are dealt."""
+    return _dealt(_tally(langs, sources, texts), shards, min_df)
+
+
 def _dealer(shards: int, min_df: int):
+    def dealt(held: list[_Tally]) -> Iterator[pa.RecordBatch]:
+        out = _dealt(_merged(held), shards, min_df)
+        step = max(1, out.num_rows * TERMS_OUT // max(1, len(out.column("terms").flatten())))
+        for lo in range(0, out.num_rows, step):
+            yield out.slice(lo, step)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for langs, sources, texts in _slices(batches):
-            yield _deal(langs, sources, texts, shards, min_df)
+            held.append(_tally(langs, sources, texts))
+            if sum(len(t.n) for t in held) >= HELD_TERMS:
+                yield from dealt(held)
+                held = []
+        if held:
+            yield from dealt(held)
     return run
 
 
-def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of a partition's sparse vectors by language and source, as sparse rows."""
-    groups: dict[tuple[str, str], int] = {}
-    key, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys, totals, held = [key], [total], 0
+class _Sums:
+    """Numbers by language, source and index, added up now and then."""
+
+    def __init__(self):
+        self.groups: dict[tuple[str, str], int] = {}
+        self.parts, self.held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+
+    def add(self, langs: list, sources: list, sizes: np.ndarray, index: np.ndarray, n: np.ndarray) -> None:
+        """Rows of ``sizes`` entries, one after another."""
+        of = np.array([self.groups.setdefault(g, len(self.groups)) for g in zip(langs, sources, strict=True)], np.int64)
+        self.parts.append((np.repeat(of, sizes) << 32 | index.astype(np.int64), n))
+        self.held += len(n)
+        if self.held >= HELD:
+            self.total()
 
-    def added_up() -> tuple[np.ndarray, np.ndarray]:
-        each, at = np.unique(np.concatenate(keys), return_inverse=True)
-        return each, np.bincount(at, np.concatenate(totals), len(each)).astype(np.int64)  # exact below 2^53
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct ``group << 32 | index`` in order, and their sums."""
+        if self.held:
+            self.parts, self.held = [_added(*map(np.concatenate, zip(*self.parts)))], 0
+        return self.parts[0]
 
+    def named(self, group: np.ndarray) -> list[pa.Array]:
+        names = list(self.groups)
+        return [pa.array([g[i] for g in names], pa.string()).take(pa.array(group)) for i in range(2)]
+
+
+def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a partition's sparse vectors by language and source: a row per ``WIDTH`` indices, which holds those
+    that occur and their sums as little-endian 32 and 64 bits."""
+    sums = _Sums()
     for b in batches:
-        of = [groups.setdefault(g, len(groups)) for g in zip(b.column("lang").to_pylist(), b.column("source").to_pylist())]
         indices, values = b.column("indices"), b.column("values")
-        group = np.repeat(np.array(of, np.int64), np.diff(indices.offsets.to_numpy()))
-        keys.append(group << 32 | indices.flatten().to_numpy().astype(np.int64))
-        totals.append(values.flatten().to_numpy().astype(np.int64)
-                      * np.repeat(b.column("times").to_numpy(), np.diff(indices.offsets.to_numpy())))
-        held += len(group)
-        if held >= HELD:
-            key, total = added_up()
-            keys, totals, held = [key], [total], 0
-    key, total = added_up()
-    names = list(groups)
+        sizes = np.diff(indices.offsets.to_numpy())
+        sums.add(b.column("lang").to_pylist(), b.column("source").to_pylist(), sizes, indices.flatten().to_numpy(),
+                 values.flatten().to_numpy().astype(np.int64) * np.repeat(b.column("times").to_numpy(), sizes))
+    key, total = sums.total()
+    start = np.append(np.flatnonzero(np.diff(key // WIDTH, prepend=-1)), len(key))
+    index, total = (key & 0xFFFFFFFF).astype("<u4"), total.astype("<i8")
+    for lo in range(0, len(start) - 1, BLOCKS_OUT):
+        cut = start[lo:lo + BLOCKS_OUT + 1]
+        first = key[cut[:-1]]
+        packed = [pa.BinaryArray.from_buffers(pa.binary(), len(first), [
+            None, pa.py_buffer(((cut - cut[0]) * x.itemsize).astype(np.int32)), pa.py_buffer(x[cut[0]:cut[-1]])])
+            for x in (index, total)]
+        yield pa.RecordBatch.from_arrays([*sums.named(first >> 32), pa.array(((first & 0xFFFFFFFF) // WIDTH).astype(np.int32)),
+                                          *packed], names=["lang", "source", "part", "idx", "n"])
+
+
+def _packed(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in each row, and all of them."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset).astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    return np.diff(offsets) // np.dtype(kind).itemsize, np.frombuffer(data.tobytes(), kind)
+
+
+def _whole_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``_group_sums`` found in all partitions, added up and as sparse rows."""
+    sums = _Sums()
+    for b in batches:
+        if b.num_rows:
+            sizes, index = _packed(b.column("idx"), "<u4")
+            sums.add(b.column("lang").to_pylist(), b.column("source").to_pylist(), sizes, index, _packed(b.column("n"), "<i8")[1])
+    key, total = sums.total()
     for lo in range(0, len(key), ROWS_OUT):
         k = key[lo:lo + ROWS_OUT]
         yield pa.RecordBatch.from_arrays(
-            [*[pa.array([g[i] for g in names], pa.string()).take(pa.array(k >> 32)) for i in range(2)],
-             pa.array((k & 0xFFFFFFFF).astype(np.int32)), pa.array(total[lo:lo + ROWS_OUT])],
+            [*sums.named(k >> 32), pa.array((k & 0xFFFFFFFF).astype(np.int32)), pa.array(total[lo:lo + ROWS_OUT])],
             names=["lang", "source", "idx", "n"])
 
 
@@ -255,8 +381,8 @@ def group_counts(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD
         vector = F.unwrap_udt("vector")
         (model.transform(part.where("times > 0").select("lang", "source", "terms", "times"))
          .select("lang", "source", "times", vector["indices"].alias("indices"), vector["values"].alias("values"))
-         .mapInArrow(_group_sums, "lang string, source string, idx int, n long")
-         .groupBy("lang", "source", "idx").agg(F.sum("n").alias("n"))
+         .mapInArrow(_group_sums, "lang string, source string, part int, idx binary, n binary")
+         .repartition("lang", "source", "part").mapInArrow(_whole_sums, "lang string, source string, idx int, n long")
          .write.parquet(f"{folder}/counts/shard={s}"))
     return (spark.read.schema("idx int, term string, lang string, shard int").parquet(f"{folder}/vocabulary"),
             spark.read.schema("lang string, source string, idx int, n long, shard int").parquet(f"{folder}/counts"))

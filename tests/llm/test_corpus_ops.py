@@ -166,6 +166,56 @@ def test_divergence_deals_a_term_once_per_digit_of_its_count():
     assert sum(len(row["terms"]) for row in rows) < 50 * 200 / 10
 
 
+def test_divergence_deals_the_terms_of_many_slices_together(monkeypatch):
+    """Slices are tallied alone and dealt as one: the same terms, counts and documents, in fewer entries."""
+    import pyarrow as pa
+    from adpulse.llm import divergence as D
+    r = np.random.default_rng(4)
+    docs = [(["en", "", "x\x00y"][r.integers(3)], "xyz"[r.integers(3)], " ".join("Wé"[i % 2] * int(k) for i, k in enumerate(
+        r.geometric(0.3, 200)))) for _ in range(60)] + [("en", "q", ""), ("lone", "q", " . ")]
+    batch = pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs]), pa.array([d[1] for d in docs]),
+                                        pa.array([d[2].encode() for d in docs])], names=["lang", "source", "text"])
+    monkeypatch.setattr(D, "SLICE", 4000)
+    entries = []
+    for held in (1 << 21, 300, 1):
+        monkeypatch.setattr(D, "HELD_TERMS", held)
+        dealt, fit, shards = Counter(), Counter(), defaultdict(set)
+        rows = [x for b in D._dealer(3, 3)(iter([batch, batch])) for x in b.to_pylist()]
+        for row in rows:
+            for t in row["terms"]:
+                shards[t].add(row["shard"])
+                (fit if not row["times"] else dealt)[(t,) if not row["times"] else (row["lang"], row["source"], t)] += row["times"] or 1
+        assert dealt == Counter((a, b, w.lower() + D.MARK + a) for a, b, t in docs * 2 for w in t.split() if w.strip("."))
+        df = Counter((w + D.MARK + a,) for a, _, t in docs * 2 for w in set(t.lower().split()) if w.strip("."))
+        assert fit.keys() == df.keys() and all(min(3, n) <= fit[k] <= n for k, n in df.items())
+        assert all(len(x) == 1 for x in shards.values())
+        entries.append(sum(len(row["terms"]) for row in rows))
+    assert entries[0] < entries[2] / 4
+
+
+def test_divergence_sums_stay_whole_when_packed(monkeypatch):
+    import pyarrow as pa
+    from adpulse.llm import divergence as D
+    r, want, packed = np.random.default_rng(2), Counter(), []
+    monkeypatch.setattr(D, "WIDTH", 8)
+    monkeypatch.setattr(D, "BLOCKS_OUT", 3)
+    monkeypatch.setattr(D, "HELD", 50)
+    for _ in range(4):
+        rows = [("ab"[r.integers(2)], "cd"[r.integers(2)], sorted(r.choice(60, 9, False).tolist()), int(2 ** r.integers(40)))
+                for _ in range(30)] + [("e", "f", [], 1)]
+        for a, b, index, times in rows:
+            want.update({(a, b, i): times for i in index})
+        batch = pa.RecordBatch.from_arrays([
+            *(pa.array([x[i] for x in rows]) for i in range(2)), pa.array([x[2] for x in rows], pa.list_(pa.int32())),
+            pa.array([[1.0] * len(x[2]) for x in rows], pa.list_(pa.float64())), pa.array([x[3] for x in rows], pa.int64())],
+            names=["lang", "source", "indices", "values", "times"])
+        packed += list(D._group_sums(iter([batch.slice(0, 11), batch.slice(11)])))
+    assert all(len(i) <= 4 * 8 for b in packed for i in b.column("idx").to_pylist())
+    got = [tuple(x.values()) for b in D._whole_sums(iter(packed)) for x in b.to_pylist()]
+    assert len(got) == len(want) and {x[:3]: x[3] for x in got} == want
+    assert not list(D._group_sums(iter([]))) and not list(D._whole_sums(iter([])))
+
+
 def test_divergence_of_empty_tables(spark, empty):
     from adpulse.llm.divergence import source_divergence
     assert source_divergence(empty).count() == 0
