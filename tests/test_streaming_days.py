@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from adpulse.sources import fixtures as X
+from adpulse.sources.bundle import load_bundle
 from adpulse.streaming import jobs as J
 
 SF = "/root/testdata/sf0.001"
@@ -49,6 +50,13 @@ def drained(spark, sf, wd, **kw):
     return sorted(map(tuple, left), key=str)
 
 
+def weeks(spark, sf):
+    """Revenue and rows of the clean campaigns by 7-day window, from the batch."""
+    day = lambda n: F.date_from_unix_date((F.floor(F.unix_date("date") / 7) * 7 + n).cast("int"))
+    return load_bundle(spark, sf, tables=("campaigns",)).campaigns.groupBy(day(0).alias("window_start"), day(7).alias("window_end")).agg(
+        F.sum("revenue").cast("double").alias("revenue"), F.count("*").alias("rows"))
+
+
 def test_channel_kpis_hold_no_state(spark, monkeypatch, tmp_path):
     wd = job_folder(monkeypatch, tmp_path) / "channel_kpis"
     want = E.queries()["m3_by_channel"](spark, SF).select("channel", "clicks", "spend", "revenue")
@@ -88,3 +96,21 @@ def test_a_repeated_batch_changes_nothing(spark, undated, tmp_path):
     (commits / str(last)).unlink()
     (commits / f".{last}.crc").unlink(missing_ok=True)
     assert drained(spark, undated, wd) == first and len(first) > 1000
+
+
+def test_weekly_revenue_holds_no_state(spark, monkeypatch, tmp_path):
+    wd = job_folder(monkeypatch, tmp_path) / "weekly_revenue"
+    want = weeks(spark, SF)
+    monkeypatch.setattr(X, "ROWS_PER_PARTITION", 200)
+    got = J.stream_weekly_revenue(spark, SF)
+    assert rows(got) == rows(want)
+    assert not (wd / "ckpt" / "state").exists()
+    changes = spark.read.schema(J._CHANGES).parquet(f"{wd}/out")
+    assert changes.count() == changes.select("epoch", "window_start").distinct().count() > 50  # a row per window and batch
+
+
+def test_weekly_revenue_has_the_lines_without_a_day(spark, undated):
+    want = weeks(spark, undated)
+    assert any(x.window_start is None for x in want.collect())
+    assert rows(J.stream_weekly_revenue(spark, undated)) == rows(want)
+    assert rows(J.stream_weekly_revenue(spark, undated, files_per_batch=1)) == rows(want)
