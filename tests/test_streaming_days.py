@@ -114,3 +114,26 @@ def test_weekly_revenue_has_the_lines_without_a_day(spark, undated):
     assert any(x.window_start is None for x in want.collect())
     assert rows(J.stream_weekly_revenue(spark, undated)) == rows(want)
     assert rows(J.stream_weekly_revenue(spark, undated, files_per_batch=1)) == rows(want)
+
+
+def test_dedup_holds_no_state(spark, monkeypatch, tmp_path):
+    wd = job_folder(monkeypatch, tmp_path) / "dedup"
+    want = X.campaigns(spark, SF).distinct()
+    want, columns = rows(want), want.columns
+    monkeypatch.setattr(X, "ROWS_PER_PARTITION", 200)
+    got = J.stream_dedup(spark, SF)
+    assert got.columns == columns and rows(got) == want
+    assert not (wd / "ckpt" / "state").exists()
+
+
+def test_dedup_has_the_lines_without_a_day(spark, undated):
+    want = rows(X.campaigns(spark, undated).distinct())
+    assert any("date=None" in x for x in want)
+    assert rows(J.stream_dedup(spark, undated)) == want
+    assert rows(J.stream_dedup(spark, undated, files_per_batch=1)) == want
+
+
+def test_dedup_shuffles_a_day_once(spark):
+    days = X.campaigns(spark, SF, keyed=True)
+    plan = days.dropDuplicates(days.columns)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
